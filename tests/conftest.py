@@ -13,6 +13,7 @@ def make_session():
         "tests",
         "local[8]",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
     )
