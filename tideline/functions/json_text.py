@@ -1,31 +1,21 @@
-"""JSON text built from columns, with null fields written as empty strings."""
+"""Struct fields for JSON text in which null is written as ``""``."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_PLAIN = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
 
+def or_empty(name: str, value: Column, present: Column | None = None) -> list[Column]:
+    """Two struct fields of one name, of which exactly one is not null.
 
-def json_literal(col: Column, dtype: T.DataType) -> Column:
-    """One JSON value; null becomes ``""``."""
-    if isinstance(dtype, _PLAIN):
-        text = col.cast("string")
-    else:
-        array = F.to_json(F.array(col))
-        text = F.when(col.isNotNull(), F.substring(array, F.lit(2), F.length(array) - 2))
-    return F.coalesce(text, F.lit('""'))
+    ``to_json`` leaves null fields out, so a field of any type is written either
+    as itself or as ``""``, in one pass over the struct. Where ``present`` is
+    false neither is written.
+    """
+    missing = value.isNull() if present is None else present & value.isNull()
+    return [value.alias(name), F.when(missing, "").alias(name)]
 
 
-def json_object(fields: list[tuple[str, Column]]) -> Column:
-    """An object from (name, JSON text) pairs; pairs with null text are left out."""
-    parts = [F.concat(F.lit(_quoted(name) + ":"), text) for name, text in fields]
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
-
-
-def _quoted(name: str) -> str:
-    import json
-
-    return json.dumps(name, ensure_ascii=False)
+def object_text(*fields: Column) -> Column:
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "true"})

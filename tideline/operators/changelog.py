@@ -85,28 +85,42 @@ def delete_keys(rows: DataFrame, key: str | None = None) -> DataFrame:
     return rows.filter(removed).select(key).distinct()
 
 
-def keyed_images(env: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """``(keys…, _order, _image)`` per change; a null ``_image`` removes the key.
+def _keyed(env: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """``op`` and the key fields of both images as flat columns, plus ``more``.
 
-    An update that changes its key removes the old key and writes the new one.
+    Single fields are picked first, so nothing else of an image has to be read.
     """
-    same_struct(env)
-    op, before, after = F.col("op"), F.col("before"), F.col("after")
-    order = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)])
+    picked = [F.col(side)[k].alias(f"_{side}_{k}") for side in ("before", "after") for k in keys]
+    return env.select(F.col("op").alias("_op"), *picked, *more)
 
-    def entry(keys_of: Column, image: Column) -> Column:
-        named = [keys_of[k].alias(k) for k in keys]
-        return F.struct(*named, order.alias("_order"), image.alias("_image"))
 
-    nothing = F.when(F.lit(False), after)
-    current = (
-        F.when(op == m.OP_DELETE, entry(F.coalesce(before, after), nothing))
-        .otherwise(entry(after, after))
-    )
-    changed = reduce(or_, [~before[k].eqNullSafe(after[k]) for k in keys])
-    moved = (op == m.OP_UPDATE) & before.isNotNull() & changed
-    entries = F.when(moved, F.array(entry(before, nothing), current)).otherwise(F.array(current))
-    return env.select(F.inline(entries))
+def _entries(keys: list[str], *written: Column, removed: list[Column] | None = None) -> Column:
+    """One entry per change; an update that moves its key removes the old one too."""
+    old = [F.col(f"_before_{k}") for k in keys]
+    new = [F.col(f"_after_{k}") for k in keys]
+    gone = F.col("_op") == m.OP_DELETE
+    current = [F.when(gone, F.coalesce(o, n)).otherwise(n).alias(k) for k, o, n in zip(keys, old, new)]
+    entry = F.struct(*current, *written)
+    old_entry = F.struct(*[o.alias(k) for k, o in zip(keys, old)], *(removed or []))
+    had_key = reduce(or_, [o.isNotNull() for o in old])
+    changed = reduce(or_, [~o.eqNullSafe(n) for o, n in zip(old, new)])
+    moved = (F.col("_op") == m.OP_UPDATE) & had_key & changed
+    return F.inline(F.when(moved, F.array(old_entry, entry)).otherwise(F.array(entry)))
+
+
+def changed_keys(env: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct keys that the changes write or remove."""
+    return _keyed(env, keys).select(_entries(keys)).distinct()
+
+
+def keyed_images(env: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+    """``(keys…, _order, _image)`` per change; a null ``_image`` removes the key."""
+    same_struct(env)
+    order = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)])
+    kept = F.when(F.col("op") != m.OP_DELETE, F.col("after"))
+    rows = _keyed(env, keys, order.alias("_order"), kept.alias("_image"))
+    nothing = F.when(F.lit(False), F.col("_image")).alias("_image")
+    return rows.select(_entries(keys, F.col("_order"), F.col("_image"), removed=[F.col("_order"), nothing]))
 
 
 def last_images(entries: DataFrame, keys: list[str]) -> DataFrame:
@@ -132,8 +146,8 @@ def apply_changelog(
     upserts = last_images(entries, keys).filter(F.col("_image").isNotNull()).select("_image.*")
     if base is None:
         return upserts
-    changed = entries.select(*keys).distinct()
-    return base.join(changed, keys, "left_anti").select(*upserts.columns).unionByName(upserts)
+    kept = base.join(changed_keys(env, keys), keys, "left_anti")
+    return kept.select(*upserts.columns).unionByName(upserts)
 
 
 def fan_out(env: DataFrame, path: str, tables: list[str] | None = None) -> None:

@@ -7,37 +7,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline import model as m
-from tideline.functions.json_text import json_literal, json_object
+from tideline.functions.json_text import object_text, or_empty
 from tideline.functions.temporal import render_temporal
 
 
-def _fields_text(
-    image: Column, dtype: T.StructType, temporal: dict[str, str], tz: str, compat: bool
-) -> Column:
-    fields = []
-    for f in dtype.fields:
-        col, ftype, logical = image[f.name], f.dataType, temporal.get(f.name)
-        if logical:
-            # 32-bit times stay numbers in compat mode and keep their type here
-            raw_int = compat and logical == m.TIME_MS and isinstance(ftype, T.IntegerType)
-            if not raw_int:
-                zone = None if logical == m.ZONED else tz
-                col = render_temporal(col, logical, zone, compat, ftype.simpleString())
-                ftype = T.StringType()
-        fields.append((f.name, json_literal(col, ftype)))
-    return json_object(fields)
-
-
-def _image_text(df: DataFrame, name: str, temporal: dict[str, str], tz: str, compat: bool) -> Column:
+def _image(df: DataFrame, name: str, temporal: dict[str, str], tz: str, compat: bool) -> Column:
+    """An image for ``to_json``: ``{}`` when absent, ``""`` for null fields."""
     dtype, image = df.schema[name].dataType, F.col(name)
-    if isinstance(dtype, T.StructType):
-        text = _fields_text(image, dtype, temporal, tz, compat)
-    elif isinstance(dtype, T.MapType):
+    if isinstance(dtype, T.MapType):
         filled = F.transform_values(image, lambda _, v: F.coalesce(v.cast("string"), F.lit("")))
-        text = F.to_json(filled)
-    else:
-        text = image
-    return F.when(image.isNull(), F.lit("{}")).otherwise(text)
+        return F.coalesce(filled, F.create_map().cast("map<string,string>")).alias(name)
+    if not isinstance(dtype, T.StructType):
+        return F.parse_json(F.coalesce(image, F.lit("{}"))).alias(name)
+    fields = []
+    for f in dtype.fields:
+        col, logical = image[f.name], temporal.get(f.name)
+        # 32-bit times stay numbers in compat mode
+        raw = compat and logical == m.TIME_MS and isinstance(f.dataType, T.IntegerType)
+        if logical and not raw:
+            zone = None if logical == m.ZONED else tz
+            col = render_temporal(col, logical, zone, compat, f.dataType.simpleString())
+        fields += or_empty(f.name, col, image.isNotNull())
+    return F.struct(*fields).alias(name)
 
 
 def normalize_envelope(
@@ -52,13 +43,9 @@ def normalize_envelope(
     ``op`` and ``ts_ms`` are left out. ``temporal`` maps field names to logical
     types. Rows without ``source`` are no data changes and are dropped.
     """
-    temporal = temporal or {}
-    types = {f.name: f.dataType for f in df.schema.fields}
-    members = [(name, _image_text(df, name, temporal, tz, compat)) for name in ("before", "after", "source")]
-    for name in ("op", "ts_ms"):
-        members.append((name, F.when(F.col(name).isNotNull(), json_literal(F.col(name), types[name]))))
-    members.append(("transaction", json_literal(F.col("transaction"), types["transaction"])))
-    return df.filter(F.col("source").isNotNull()).withColumn("value", json_object(members))
+    images = [_image(df, name, temporal or {}, tz, compat) for name in ("before", "after", "source")]
+    text = object_text(*images, F.col("op"), F.col("ts_ms"), *or_empty("transaction", F.col("transaction")))
+    return df.filter(F.col("source").isNotNull()).withColumn("value", text)
 
 
 def unwrap_payload(df: DataFrame, column: str = "value") -> DataFrame:
@@ -136,11 +123,16 @@ def flatten_changes(env: DataFrame, schema: T.StructType | str) -> DataFrame:
     schema = _struct(schema)
     if "after" not in env.columns:
         env = parse_envelope(env, schema)
-    image = F.when(F.col("op") == m.OP_DELETE, F.col("before")).otherwise(F.col("after"))
+    removed = F.col("op") == m.OP_DELETE
+
+    def field(f: T.StructField) -> Column:
+        value = F.when(removed, F.col("before")[f.name]).otherwise(F.col("after")[f.name])
+        return value.cast(f.dataType).alias(f.name)
+
     return env.select(
         "op",
         F.col("source.db").alias("db"),
         F.col("source.table").alias("table"),
         "ts_ms",
-        *[image[f.name].cast(f.dataType).alias(f.name) for f in schema.fields],
+        *[field(f) for f in schema.fields],
     )

@@ -47,14 +47,19 @@ def changes_of(rows: DataFrame, with_nulls: bool = False) -> DataFrame:
             "props",
         )
 
-    row = image(F.col("event_id"), F.col("event_type"))
-    earlier = image(F.col("event_id") - 1, F.lit("signup"))
     kind = F.col("event_type")
-    op = F.when(kind == "signup", "c").when(kind == "error", "d").otherwise("u")
+    removed = kind == "error"
+    row = image(F.col("event_id"), kind)
+    # an update replaces an earlier image, a delete removes the row itself
+    earlier = image(
+        F.when(removed, F.col("event_id")).otherwise(F.col("event_id") - 1),
+        F.when(removed, kind).otherwise(F.lit("signup")),
+    )
+    op = F.when(kind == "signup", "c").when(removed, "d").otherwise("u")
     ts_ms = F.call_function("div", F.col("ts"), F.lit(1000))
     return rows.select(
-        F.when(kind == "error", row).when(kind != "signup", earlier).alias("before"),
-        F.when(kind != "error", row).alias("after"),
+        F.when(kind != "signup", earlier).alias("before"),
+        F.when(~removed, row).alias("after"),
         F.struct(
             F.lit(DB).alias("db"),
             F.concat(F.lit("events_"), (F.col("user_id") % 5).cast("string")).alias("table"),

@@ -115,13 +115,11 @@ FROM {TOPIC} JOIN (SELECT partition AS p, min(off) FILTER (WHERE ts >= TIMESTAMP
 WHERE CASE WHEN seek IS NULL THEN {unmatched} ELSE off >= seek END"""
 
 
-def _allocate(registry: str, n: int) -> str:
+def _allocate_ctes(registry: str, names: str, n: int) -> str:
     # slots (load + j, p) in order, matched to new tables by row number
     return f"""
-WITH reg AS ({registry}),
-names AS (
-  SELECT 'crm.customer_' || c_custkey AS name, c_custkey AS ord FROM customer
-  UNION ALL SELECT 'erp.supplier_' || s_suppkey, s_suppkey + 1000000000000 FROM supplier),
+reg AS ({registry}),
+names AS ({names}),
 fresh AS (
   SELECT name, row_number() OVER (ORDER BY ord) AS r FROM names
   WHERE name NOT IN (SELECT db_table_name FROM reg WHERE kafka_topic = 'changes')),
@@ -131,7 +129,17 @@ loads AS (
 slots AS (
   SELECT p, row_number() OVER (ORDER BY level, p) AS r
   FROM (SELECT p, l + j AS level
-        FROM loads, (SELECT unnest(range((SELECT count(*) FROM fresh))) AS j) js) s)
+        FROM loads, (SELECT unnest(range((SELECT count(*) FROM fresh))) AS j) js) s)"""
+
+
+NAMES = """
+SELECT 'crm.customer_' || c_custkey AS name, c_custkey AS ord FROM customer
+UNION ALL SELECT 'erp.supplier_' || s_suppkey, s_suppkey + 1000000000000 FROM supplier"""
+
+
+def _allocate(registry: str, n: int) -> str:
+    return f"""
+WITH {_allocate_ctes(registry, NAMES, n)}
 SELECT db_table_name, kafka_partition, kafka_topic FROM reg
 UNION ALL
 SELECT name, CAST(p AS VARCHAR), 'changes' FROM fresh JOIN slots USING (r)"""
@@ -228,6 +236,10 @@ SELECT db_table_name, CAST(kafka_partition AS INTEGER) AS partition FROM ({REGIS
 WITH {CDC}, keyed AS (SELECT *, {_key()} AS key_value FROM cdc)
 SELECT {_envelope('CAST(value AS VARCHAR)', _ROUTED_TS)} AS value,
        CAST(abs({_hash("tbl || 'shop' || key_value")} % 6) AS INTEGER) AS partition FROM keyed""",
+    "k1_registry_topic_frame": f"""
+WITH {CDC}, {_allocate_ctes(REGISTRY, "SELECT tbl AS name, min(pos) AS ord FROM cdc GROUP BY tbl", 12)}
+SELECT {_envelope('CAST(value AS VARCHAR)', _ROUTED_TS)} AS value, CAST(p AS INTEGER) AS partition
+FROM cdc JOIN fresh ON tbl = name JOIN slots USING (r)""",
     "k2_encode_rows": f"""
 WITH {CDC}
 SELECT {_image_json('event_id', 'event_type', "CASE WHEN event_id % 7 = 0 THEN 'null' ELSE CAST(value AS VARCHAR) END",

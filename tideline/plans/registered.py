@@ -12,9 +12,10 @@ from tideline.functions.temporal import render_temporal
 from tideline.operators import changelog, envelope, routing
 from tideline.plans import fixtures as fx
 from tideline.plans.mirror import mirror_table, start_mirror
+from tideline.plans.publish import publish_by_key, publish_by_registry
 from tideline.plans.scripts import run_script
 from tideline.session import fresh_path
-from tideline.sinks import debug, rows, topics as topic_sinks
+from tideline.sinks import debug, rows
 from tideline.sources import cdc, topics
 from tideline.streaming.apply import compact_applied, read_applied, start_apply
 from tideline.streaming.jobs import envelope_stream, start_envelope_files
@@ -141,12 +142,13 @@ def _half_wrapped(texts: DataFrame) -> DataFrame:
 
 def t3_unwrap_payload(spark, sf_dir):
     texts = envelope.unwrap_payload(_half_wrapped(_envelope_texts(spark, sf_dir)))
-    return texts.select(
+    shape = "op STRING, source STRUCT<table: STRING>, after STRUCT<event_type: STRING>, payload STRING"
+    return texts.select("pos", F.from_json("value", shape).alias("e")).select(
         "pos",
-        F.get_json_object("value", "$.op").alias("op"),
-        F.get_json_object("value", "$.source.table").alias("tbl"),
-        F.get_json_object("value", "$.after.event_type").alias("after_type"),
-        F.get_json_object("value", "$.payload").isNull().alias("bare"),
+        "e.op",
+        F.col("e.source.table").alias("tbl"),
+        F.col("e.after.event_type").alias("after_type"),
+        F.col("e.payload").isNull().alias("bare"),
     )
 
 
@@ -215,8 +217,13 @@ def p5_registry_for(spark, sf_dir):
 
 
 def k1_topic_frame(spark, sf_dir):
-    env = envelope.normalize_envelope(fx.cdc_events(spark, sf_dir), TEMPORAL)
-    return topic_sinks.topic_frame(routing.hash_partition(env, KEY_MAP, 6))
+    return publish_by_key(fx.cdc_events(spark, sf_dir), KEY_MAP, 6, TEMPORAL)
+
+
+def k1_registry_topic_frame(spark, sf_dir):
+    env = fx.cdc_events(spark, sf_dir)
+    registry = routing.allocate_partitions(fx.supplier_registry(spark, sf_dir), fx.event_tables(env), fx.TOPIC, 12)
+    return publish_by_registry(env, registry, fx.TOPIC, TEMPORAL)
 
 
 def k2_encode_rows(spark, sf_dir):
@@ -360,7 +367,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         t5_effective_key, t6_row_kinds, t7_primary_key_map, t8_fan_out,
         p1_hash_partition, p2_registry_partition, p3_partition_load, p4_allocate, p4_allocate_empty,
         p5_registry_for,
-        k1_topic_frame, k2_encode_rows, k3_delete_keys, k3_delete_event_keys,
+        k1_topic_frame, k1_registry_topic_frame, k2_encode_rows, k3_delete_keys, k3_delete_event_keys,
         k4_latest_rows, k4_apply_to_base, k4_moving_keys, k4_apply_stream, k5_debug_lines,
         q1_script_batch, q2_script_immediate, q3_mirror, q3_mirror_stream,
     )

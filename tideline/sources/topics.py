@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,23 +56,39 @@ def read_topic(
     return raw.select("topic", "partition", "offset", "timestamp", F.col("value").cast("string").alias("value"))
 
 
-def offsets_for_times(records: DataFrame, t: dt.datetime | str, partitions: dict[str, int] | None = None) -> DataFrame:
+def _first_offsets(records: DataFrame, t: dt.datetime | str) -> DataFrame:
+    # the time filter reaches the scan, so only files from t on are read
+    moment = F.lit(str(t)).cast(records.schema["timestamp"].dataType)
+    return (
+        records.filter(F.col("timestamp") >= moment)
+        .groupBy("topic", "partition")
+        .agg(F.min("offset").alias("offset"))
+    )
+
+
+def offsets_for_times(
+    records: DataFrame, t: dt.datetime | str, partitions: dict[str, int] | None = None
+) -> DataFrame:
     """Per partition the earliest offset whose timestamp is at or after ``t``.
 
-    Null where no record qualifies. ``partitions`` maps topics to partition
-    counts, so that partitions without any record are listed too.
+    Null where no record qualifies. ``partitions`` gives the partition count of
+    every topic; without it the partitions are those that hold any record, which
+    takes a scan of all of them.
     """
-    kind = records.schema["timestamp"].dataType.typeName()
-    moment = F.lit(str(t)).cast(kind)
-    found = records.select("topic", "partition", F.when(F.col("timestamp") >= moment, F.col("offset")).alias("offset"))
-    for topic, count in (partitions or {}).items():
-        listed = records.sparkSession.range(count).select(
-            F.lit(topic).alias("topic"),
-            F.col("id").cast(records.schema["partition"].dataType).alias("partition"),
-            F.lit(None).cast("bigint").alias("offset"),
-        )
-        found = found.unionByName(listed)
-    return found.groupBy("topic", "partition").agg(F.min("offset").alias("offset"))
+    found = _first_offsets(records, t)
+    no_offset = F.lit(None).cast("bigint").alias("offset")
+    if partitions is None:
+        listed = records.select("topic", "partition", no_offset).distinct()
+    else:
+        kind = records.schema["partition"].dataType
+        ranges = [
+            records.sparkSession.range(count).select(
+                F.lit(topic).alias("topic"), F.col("id").cast(kind).alias("partition"), no_offset
+            )
+            for topic, count in partitions.items()
+        ]
+        listed = reduce(DataFrame.unionByName, ranges)
+    return found.unionByName(listed).groupBy("topic", "partition").agg(F.min("offset").alias("offset"))
 
 
 def replay_from(
@@ -88,15 +105,15 @@ def replay_from(
     """
     if unmatched not in ("latest", "earliest"):
         raise ValueError("unmatched must be 'latest' or 'earliest'")
-    seek = offsets_for_times(records, t).withColumnRenamed("offset", "_seek")
+    keys = ["topic", "partition"]
+    seek = _first_offsets(records, t)
     if committed is not None:
-        held = committed.select("topic", "partition", F.col("offset").alias("_held"))
-        seek = seek.join(held, ["topic", "partition"], "left").withColumn("_seek", F.coalesce("_seek", "_held"))
-    if unmatched == "earliest":
-        seek = seek.withColumn("_seek", F.coalesce("_seek", F.lit(0)))
-    seek = seek.select("topic", "partition", "_seek").filter(F.col("_seek").isNotNull())
-    joined = records.join(checked_broadcast(seek), ["topic", "partition"])
-    return joined.filter(F.col("offset") >= F.col("_seek")).select("topic", "partition", "offset", "timestamp")
+        held = committed.select(*keys, F.col("offset").alias("_held"))
+        seek = seek.join(held, keys, "full").select(*keys, F.coalesce("offset", "_held").alias("offset"))
+    seek = checked_broadcast(seek.withColumnRenamed("offset", "_seek"))
+    joined = records.join(seek, keys, "left" if unmatched == "earliest" else "inner")
+    reached = F.coalesce(F.col("offset") >= F.col("_seek"), F.lit(True))
+    return joined.filter(reached).select(*keys, "offset", "timestamp")
 
 
 def starting_offsets(offsets: DataFrame, topic: str) -> str:
