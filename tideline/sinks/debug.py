@@ -17,6 +17,5 @@ def debug_lines(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def debug_sink(rows: DataFrame, order_by: list[str], show: int = 20) -> None:
     """Print the first ``show`` lines in order."""
-    top = debug_lines(rows.orderBy(*order_by).limit(show), keep=[])
-    for row in top.collect():
+    for row in debug_lines(rows.orderBy(*order_by).limit(show)).collect():
         print(row.line)
