@@ -41,9 +41,9 @@ def test_sink_options():
 
 
 def test_delete_statement():
-    assert delete_statement("db.t", "id", "db.s") == "DELETE FROM db.t WHERE id IN (SELECT id FROM db.s)"
-    assert delete_statement("db.t", "id", "db.s", mutation=True) == (
-        "ALTER TABLE db.t DELETE WHERE id IN (SELECT id FROM db.s)"
+    assert delete_statement("db.t", ["id"], "db.s") == "DELETE FROM db.t WHERE id IN (SELECT id FROM db.s)"
+    assert delete_statement("db.t", ["a", "b"], "db.s", mutation=True) == (
+        "ALTER TABLE db.t DELETE WHERE (a, b) IN (SELECT a, b FROM db.s)"
     )
 
 

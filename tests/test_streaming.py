@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from tests.test_changelog import FRAME, applied, frame
 from tideline.operators.envelope import normalize_envelope
 from tideline.plans.mirror import start_mirror
+from tideline.streaming import apply
 from tideline.streaming.apply import compact_applied, read_applied, start_apply, write_batch
-from tideline.streaming.jobs import envelope_stream, start_debug, start_envelope_files
+from tideline.streaming.jobs import envelope_stream, start_debug, start_envelope_files, start_fan_out
 
 KEYS, ORDER = ["id"], ["ts_ms", "pos"]
 
@@ -82,6 +83,33 @@ def test_text_to_mirror(spark, tmp_path):
     assert rows(read_applied(spark, path, KEYS)) == applied(frame(spark, *changes))
 
 
+def test_jdbc_batch(spark, monkeypatch):
+    """The frames handed to the two JDBC writers, without a database."""
+    sent = {}
+
+    def deletes(keys, url, table, staging, mutation, **options):
+        sent["deleted"] = (rows(keys), url, table, staging, mutation, options)
+
+    def inserts(written, url, table, **options):
+        sent["inserted"] = (sorted(tuple(r) for r in written.collect()), url, table, options)
+
+    monkeypatch.setattr(apply, "delete_rows_jdbc", deletes)
+    monkeypatch.setattr(apply, "insert_rows_jdbc", inserts)
+    env = frame(spark, ("c", None, (1, "a"), 1), ("u", (1, "a"), (2, "b"), 2), ("d", (3, "x"), None, 3))
+    apply.apply_batch_jdbc(env, "jdbc:x", "t", "s", KEYS, ORDER, mutation=True, user="u")
+    assert sent["deleted"] == ([(1,), (2,), (3,)], "jdbc:x", "t", "s", True, {"user": "u"})
+    assert sent["inserted"] == ([("+I", 2, "b")], "jdbc:x", "t", {"user": "u"})
+
+
+def test_fan_out_stream(spark, tmp_path):
+    changes = [("c", None, (i, "a"), i, "d", f"t{i % 2}") for i in range(6)]
+    frame(spark, *changes).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(FRAME).parquet(str(tmp_path / "in"))
+    start_fan_out(stream, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).groupBy("db", "table").count().collect()
+    assert sorted(tuple(r) for r in got) == [("d", "t0", 3), ("d", "t1", 3)]
+
+
 def test_debug_stream(spark, tmp_path):
     frame(spark, ("c", None, (1, "a"), 1)).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(FRAME).parquet(str(tmp_path / "in"))

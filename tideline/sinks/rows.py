@@ -27,20 +27,22 @@ def insert_rows_jdbc(rows: DataFrame, url: str, table: str, batch_size: int = 10
     written.write.format("jdbc").options(**options).mode("append").save()
 
 
-def delete_statement(table: str, key: str, staging: str, mutation: bool = False) -> str:
+def delete_statement(table: str, keys: list[str], staging: str, mutation: bool = False) -> str:
     """One set-based delete of the keys in ``staging``; ``mutation`` for ALTER … DELETE."""
-    where = f"{key} IN (SELECT {key} FROM {staging})"
+    columns = ", ".join(keys)
+    matched = columns if len(keys) == 1 else f"({columns})"
+    where = f"{matched} IN (SELECT {columns} FROM {staging})"
     return f"ALTER TABLE {table} DELETE WHERE {where}" if mutation else f"DELETE FROM {table} WHERE {where}"
 
 
 def delete_rows_jdbc(
     keys: DataFrame, url: str, table: str, staging: str, mutation: bool = False, **options: str
 ) -> None:
-    """Delete by key: executors write the keys to ``staging``, the database joins.
+    """Delete the rows whose key columns match ``keys``.
 
-    No key passes through the driver, which only sends the one statement.
+    Executors write the keys to ``staging`` and the database matches them. No key
+    passes through the driver, which only sends the one statement.
     """
-    key = keys.columns[0]
     keys.write.format("jdbc").options(url=url, dbtable=staging, **options).mode("overwrite").save()
     jvm = keys.sparkSession._jvm
     if "driver" in options:
@@ -51,6 +53,6 @@ def delete_rows_jdbc(
             properties.setProperty(name, options[name])
     connection = jvm.java.sql.DriverManager.getConnection(url, properties)
     try:
-        connection.createStatement().executeUpdate(delete_statement(table, key, staging, mutation))
+        connection.createStatement().executeUpdate(delete_statement(table, keys.columns, staging, mutation))
     finally:
         connection.close()

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tideline import model as m
 from tideline.operators.changelog import keyed_images, last_images
+from tideline.sinks.rows import delete_rows_jdbc, insert_rows_jdbc
 
 
 def write_batch(env: DataFrame, batch_id: int, path: str, keys: list[str], order_by: list[str]) -> None:
@@ -41,6 +43,32 @@ def start_apply(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def apply_batch_jdbc(
+    env: DataFrame, url: str, table: str, staging: str, keys: list[str], order_by: list[str], **options: str
+) -> None:
+    """Bring a JDBC table up to date with one micro-batch.
+
+    Per key only the last image counts: the key's row is deleted, and inserted
+    again unless the key was removed. A repeated batch gives the same table.
+    """
+    mutation = options.pop("mutation", False)
+    folded = last_images(keyed_images(env, keys, order_by), keys).persist()
+    try:
+        delete_rows_jdbc(folded.select(*keys), url, table, staging, mutation, **options)
+        kept = folded.filter(F.col("_image").isNotNull())
+        insert_rows_jdbc(kept.select(F.lit(m.INSERT).alias("row_kind"), "_image.*"), url, table, **options)
+    finally:
+        folded.unpersist()
+
+
+def start_apply_jdbc(
+    stream: DataFrame, checkpoint: str, trigger: dict | None = None, **target
+) -> StreamingQuery:
+    """Apply a stream of changes to a JDBC table; ``target`` as in :func:`apply_batch_jdbc`."""
+    writer = stream.writeStream.foreachBatch(lambda env, _: apply_batch_jdbc(env, **target))
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
 def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -50,27 +78,31 @@ def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _entries(spark: SparkSession, path: str) -> DataFrame:
-    """The newest compaction plus the batches after it."""
+def _entries(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
+    """The newest compaction plus later batches, and whether keys are unique."""
     batches = spark.read.parquet(f"{path}/changes")
     done = _read_if_present(spark, f"{path}/compacted")
     if done is None:
-        return batches.drop("batch_id")
+        return batches.drop("batch_id"), False
     upto = done.agg(F.max("upto")).first()[0]
-    return (
-        done.filter(F.col("upto") == upto)
-        .drop("upto")
-        .unionByName(batches.filter(F.col("batch_id") > upto).drop("batch_id"))
-    )
+    done = done.filter(F.col("upto") == upto).drop("upto")
+    later = batches.filter(F.col("batch_id") > upto).drop("batch_id")
+    if later.isEmpty():
+        return done, True
+    return done.unionByName(later), False
 
 
 def read_applied(spark: SparkSession, path: str, keys: list[str], base: DataFrame | None = None) -> DataFrame:
-    """The current rows of the table; ``base`` rows count as older than all changes."""
-    entries = _entries(spark, path)
-    rows = last_images(entries, keys).filter(F.col("_image").isNotNull()).select("_image.*")
+    """The current rows of the table; ``base`` rows count as older than all changes.
+
+    Right after a compaction nothing has to be folded, nor shuffled.
+    """
+    entries, unique = _entries(spark, path)
+    folded = entries if unique else last_images(entries, keys)
+    rows = folded.filter(F.col("_image").isNotNull()).select("_image.*")
     if base is None:
         return rows
-    changed = entries.select(*keys).distinct()
+    changed = entries.select(*keys) if unique else entries.select(*keys).distinct()
     return base.join(changed, keys, "left_anti").select(*rows.columns).unionByName(rows)
 
 
@@ -81,5 +113,5 @@ def compact_applied(spark: SparkSession, path: str, keys: list[str]) -> int:
     to the compaction once it is written.
     """
     upto = spark.read.parquet(f"{path}/changes").agg(F.max("batch_id")).first()[0]
-    last_images(_entries(spark, path), keys).write.mode("overwrite").parquet(f"{path}/compacted/upto={upto}")
+    last_images(_entries(spark, path)[0], keys).write.mode("overwrite").parquet(f"{path}/compacted/upto={upto}")
     return upto

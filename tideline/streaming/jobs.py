@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tideline.operators.changelog import fan_out
 from tideline.operators.envelope import parse_envelope
 from tideline.sinks.debug import debug_lines
 from tideline.sinks.topics import sink_options, topic_frame
@@ -46,6 +47,17 @@ def start_envelope_files(
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or ONCE)).start()
 
 
+def start_fan_out(
+    env: DataFrame, path: str, checkpoint: str, tables: list[str] | None = None, trigger: dict | None = None
+) -> StreamingQuery:
+    """Write every table's changes to its own folder, batch by batch.
+
+    A repeated batch overwrites its own ``batch_id=…`` folder.
+    """
+    writer = env.writeStream.foreachBatch(lambda rows, i: fan_out(rows, f"{path}/batch_id={i}", tables))
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or ONCE)).start()
+
+
 def start_debug(rows: DataFrame, show: int = 20, trigger: dict | None = None) -> StreamingQuery:
     """Print the first ``show`` row-kind lines of every micro-batch."""
     writer = debug_lines(rows).writeStream.format("console")
