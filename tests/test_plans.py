@@ -101,7 +101,7 @@ def test_joins_beyond_the_broadcast_bound(spark, monkeypatch):
 
     small = both()
     for module in (changelog, routing):
-        monkeypatch.setattr(module, "checked_broadcast", lambda side: checked_broadcast(side, 0))
+        monkeypatch.setattr(module, "checked_broadcast", lambda side, **_: checked_broadcast(side, 0))
     setting = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

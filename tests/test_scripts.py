@@ -1,6 +1,7 @@
 import pytest
 from pyspark.errors import AnalysisException
 
+from tideline.plans.run_sql import main
 from tideline.plans.scripts import read_script, run_script, split_statements
 
 
@@ -82,3 +83,12 @@ def test_read_script(spark, tmp_path):
     path = tmp_path / "job.sql"
     path.write_text("SELECT 1;\nSELECT 2")
     assert split_statements(read_script(spark, str(path))) == ["SELECT 1", "SELECT 2"]
+
+
+def test_command_line(spark, tmp_path, no_tables):
+    script_file = tmp_path / "job.sql"
+    script_file.write_text(
+        f"CREATE TABLE job_a (s STRING) USING parquet LOCATION '{tmp_path / 'a'}' | INSERT INTO job_a VALUES (:word)"
+    )
+    assert main(["--sql-path", str(script_file), "--sql-delimiter", "|", "--arg", "word=x;y"]) == 2
+    assert spark.table("job_a").first().s == "x;y"

@@ -25,12 +25,12 @@ def primary_key_map(desc: DataFrame) -> DataFrame:
     )
 
 
-def key_map_frame(env: DataFrame, key_map: DataFrame | dict[str, str]) -> DataFrame:
-    """The key map as a frame whose broadcast is behind a size check."""
+def key_map_frame(env: DataFrame, key_map: DataFrame | dict[str, str]) -> tuple[DataFrame, int | None]:
+    """The key map as a frame, with its row count where that is known."""
     if isinstance(key_map, dict):
         rows = list(key_map.items())
-        key_map = env.sparkSession.createDataFrame(rows, "db_table STRING, pk_column STRING")
-    return key_map.select("db_table", "pk_column")
+        return env.sparkSession.createDataFrame(rows, "db_table STRING, pk_column STRING"), len(rows)
+    return key_map.select("db_table", "pk_column"), None
 
 
 def qualified_table() -> Column:
@@ -42,11 +42,10 @@ def effective_key(env: DataFrame, key_map: DataFrame | dict[str, str]) -> DataFr
 
     It is ``""`` for an unknown table or a missing column.
     """
-    keys = checked_broadcast(key_map_frame(env, key_map))
-    return _with_key_value(
-        env.withColumn("_db_table", qualified_table())
-        .join(keys.withColumnRenamed("db_table", "_db_table"), "_db_table", "left")
-    ).drop("_db_table", "pk_column")
+    keys, known = key_map_frame(env, key_map)
+    keys = checked_broadcast(keys.withColumnRenamed("db_table", "_db_table"), known_rows=known)
+    joined = env.withColumn("_db_table", qualified_table()).join(keys, "_db_table", "left")
+    return _with_key_value(joined).drop("_db_table", "pk_column")
 
 
 def _with_key_value(env: DataFrame) -> DataFrame:

@@ -18,12 +18,14 @@ def hash_partition(env: DataFrame, key_map: DataFrame | dict[str, str], n: int)
     continues it over its key.
     """
     name = F.col("db_table")
-    keys = key_map_frame(env, key_map).select(
+    keys, known = key_map_frame(env, key_map)
+    keys = keys.select(
         name.alias("_db_table"),
         "pk_column",
         F.concat(F.substring_index(name, ".", -1), F.substring_index(name, ".", 1)).alias("_prefix"),
     )
-    keys = checked_broadcast(keys.withColumn("_prefix_hash", fold_hash(F.col("_prefix"), F.lit(0))))
+    keys = keys.withColumn("_prefix_hash", fold_hash(F.col("_prefix"), F.lit(0)))
+    keys = checked_broadcast(keys, known_rows=known)
     joined = _with_key_value(
         env.withColumn("_db_table", qualified_table())
         .withColumn("_raw", F.concat("source.table", "source.db"))

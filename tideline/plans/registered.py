@@ -305,21 +305,20 @@ def q2_script_immediate(spark, sf_dir):
 PASS_THROUGH = {
     # joins, semi and anti joins, aggregation
     "q1_pass_joins": """
-        SELECT n.n_name AS nation, count(*) AS orders, sum(CAST(floor(o.o_totalprice) AS BIGINT)) AS whole_price
+        SELECT n.n_name AS nation, count(*) AS orders, CAST(sum(floor(o.o_totalprice)) AS BIGINT) AS whole_price
         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
              JOIN nation n ON c.c_nationkey = n.n_nationkey
         WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R')
         GROUP BY n.n_name""",
     # grouping sets, having
     "q1_pass_rollup": """
-        SELECT l_returnflag AS flag, l_linestatus AS status, count(*) AS n, sum(CAST(l_quantity AS BIGINT)) AS quantity
+        SELECT l_returnflag AS flag, l_linestatus AS status, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS quantity
         FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus) HAVING count(*) > 1""",
     # windows and top-k
     "q1_pass_window": """
-        SELECT * FROM (
+        SELECT l_suppkey, l_orderkey, l_linenumber, CAST(place AS BIGINT) AS place FROM (
           SELECT l_suppkey, l_orderkey, l_linenumber,
-                 row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber,
-                                    l_partkey, l_quantity) AS place
+                 rank() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC) AS place
           FROM lineitem) ranked WHERE place <= 3""",
     # set operations and string functions
     "q1_pass_sets": """
