@@ -72,6 +72,18 @@ def test_int_time_compat_stays_a_number(spark):
     assert got["after"] == {"t": "12:34:56"}
 
 
+def test_timestamps_of_spark_types(spark):
+    env = frame(spark, (None, ROW, SOURCE, "c", 7, None)).withColumn(
+        "after",
+        F.expr(
+            "named_struct('n', TIMESTAMP_NTZ'2024-01-01 00:00:00', 'z', TIMESTAMP'2024-01-01 00:00:00Z', "
+            "'d', DATE'2024-01-02')"
+        ),
+    )
+    [got] = values(normalize_envelope(env))
+    assert got["after"] == {"n": "2024-01-01 00:00:00", "z": "2024-01-01 08:00:00", "d": "2024-01-02"}
+
+
 def test_map_and_text_images(spark):
     env = frame(spark, (None, ROW, SOURCE, "c", 7, None))
     maps = env.withColumn("after", F.create_map(F.lit("a"), F.lit("1"), F.lit("b"), F.lit(None).cast("string")))

@@ -80,6 +80,23 @@ def test_zone_and_pass_through(spark):
     assert rendered(spark, None, "bigint", m.TIMESTAMP_MS) is None
 
 
+def test_native_types(spark):
+    df = spark.sql(
+        "SELECT TIMESTAMP_NTZ'2024-03-10 02:30:00.123456' AS n, TIMESTAMP'2024-01-01 20:00:00Z' AS z,"
+        " DATE'2024-03-10' AS d, TIME'10:11:12.5' AS t"
+    )
+    kinds = dict(df.dtypes)
+
+    def shown(name, logical):
+        return df.select(render_temporal(F.col(name), logical, source_type=kinds[name])).first()[0]
+
+    assert shown("n", m.TIMESTAMP_MS) == "2024-03-10 02:30:00.123"
+    assert shown("n", m.TIMESTAMP_US) == "2024-03-10 02:30:00.123"
+    assert shown("n", m.DATE) == shown("d", m.DATE) == "2024-03-10"
+    assert shown("z", m.ZONED) == shown("z", m.TIMESTAMP_MS) == "2024-01-02 04:00:00"
+    assert shown("t", m.TIME_US) == "10:11:12"
+
+
 def test_session_zone_does_not_matter(spark):
     # 02:30 does not exist on this day in New York
     value = ms("2024-03-10 02:30:00.5")

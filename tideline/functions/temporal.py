@@ -13,6 +13,10 @@ from tideline import model as m
 
 _PER_MS = {m.TIME_US: 1_000, m.TIME_NS: 1_000_000, m.TIMESTAMP_US: 1_000, m.TIMESTAMP_NS: 1_000_000}
 _TIMES = (m.TIME_MS, m.TIME_US, m.TIME_NS)
+_TIMESTAMPS = (m.TIMESTAMP_MS, m.TIMESTAMP_US, m.TIMESTAMP_NS)
+
+# how Spark's own timestamps are shown: zone-less ones as they are, instants zoned
+NATIVE = {"timestamp_ntz": m.TIMESTAMP_MS, "timestamp": m.ZONED}
 
 
 def _epoch() -> Column:
@@ -57,27 +61,34 @@ def render_temporal(
 ) -> Column:
     """Text of a temporal value; other logical types pass through unchanged.
 
-    ``tz`` defaults to UTC, for zoned timestamps to +08:00. ``compat`` keeps two
-    old habits: millisecond and zoned timestamps lose their last two characters
-    even when they hold a real fraction, and 32-bit times stay numbers.
+    ``source_type`` is the column's type: a number by default, else ``string``
+    or one of Spark's own temporal types; instants (``timestamp``) are shown as
+    zoned. ``tz`` defaults to UTC, for zoned timestamps to +08:00. ``compat``
+    keeps two old habits: millisecond and zoned timestamps lose their last two
+    characters even when they hold a real fraction, and 32-bit times stay numbers.
     """
-    if logical_type == m.ZONED:
+    if logical_type == m.ZONED or (logical_type in _TIMESTAMPS and source_type in ("string", "timestamp")):
         instant = F.timestamp_add("MICROSECOND", F.unix_micros(col.cast("timestamp")), _epoch())
         text = _shift(instant, tz or m.ZONED_OFFSET).cast("string")
         return _drop_last_two(text) if compat else text
     zone = tz or "UTC"
     if logical_type == m.DATE:
+        if source_type in ("date", "timestamp_ntz"):
+            return F.to_date(col).cast("string")
         if zone == "UTC":
             return F.date_add(F.lit("1970-01-01").cast("date"), col.cast("int")).cast("string")
         local = _shift(F.timestamp_add("DAY", col.cast("bigint"), _epoch()), zone)
         return F.to_date(local).cast("string")
-    if logical_type in _TIMES and source_type in ("string", "time"):
+    if logical_type in _TIMES and (source_type == "string" or source_type.startswith("time(")):
         return F.substring(col.cast("string"), 1, 8)
     if logical_type == m.TIME_MS and source_type == "int" and compat:
         return col.cast("string")
-    if logical_type in _TIMES or logical_type in (m.TIMESTAMP_MS, m.TIMESTAMP_US, m.TIMESTAMP_NS):
-        millis = col.cast("bigint")
-        if logical_type in _PER_MS:
+    if logical_type in _TIMES or logical_type in _TIMESTAMPS:
+        if source_type == "timestamp_ntz":
+            millis = F.call_function("div", epoch_micros(col), F.lit(1000))
+        else:
+            millis = col.cast("bigint")
+        if logical_type in _PER_MS and source_type != "timestamp_ntz":
             millis = F.call_function("div", millis, F.lit(_PER_MS[logical_type]))
         local = _shift(F.timestamp_add("MILLISECOND", millis, _epoch()), zone)
         if logical_type in _TIMES:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tideline import model as m
 from tideline.functions.json_text import object_text, or_empty
-from tideline.functions.temporal import render_temporal
+from tideline.functions.temporal import NATIVE, render_temporal
 
 
 def _image(df: DataFrame, name: str, temporal: dict[str, str], tz: str, compat: bool) -> Column:
@@ -21,12 +21,13 @@ def _image(df: DataFrame, name: str, temporal: dict[str, str], tz: str, compat:
         return F.parse_json(F.coalesce(image, F.lit("{}"))).alias(name)
     fields = []
     for f in dtype.fields:
-        col, logical = image[f.name], temporal.get(f.name)
+        kind = f.dataType.simpleString()
+        col, logical = image[f.name], temporal.get(f.name, NATIVE.get(kind))
         # 32-bit times stay numbers in compat mode
         raw = compat and logical == m.TIME_MS and isinstance(f.dataType, T.IntegerType)
         if logical and not raw:
             zone = None if logical == m.ZONED else tz
-            col = render_temporal(col, logical, zone, compat, f.dataType.simpleString())
+            col = render_temporal(col, logical, zone, compat, kind)
         fields += or_empty(f.name, col, image.isNotNull())
     return F.struct(*fields).alias(name)
 
@@ -41,7 +42,7 @@ def normalize_envelope(
 
     Absent images become ``{}``, null fields and a null transaction ``""``; null
     ``op`` and ``ts_ms`` are left out. ``temporal`` maps field names to logical
-    types. Rows without ``source`` are no data changes and are dropped.
+    types; timestamps of Spark's own types need none. Rows without ``source`` are no data changes and are dropped.
     """
     images = [_image(df, name, temporal or {}, tz, compat) for name in ("before", "after", "source")]
     text = object_text(*images, F.col("op"), F.col("ts_ms"), *or_empty("transaction", F.col("transaction")))

@@ -182,6 +182,14 @@ ORACLES: dict[str, str] = {
     "s1_snapshot": f"""
 SELECT 'r' AS op, 'shop' AS db, 'orders' AS tbl, CAST({SNAPSHOT_TS} AS BIGINT) AS ts_ms, TRUE AS no_before,
        o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
+    "s1_snapshot_envelopes": f"""
+SELECT o_orderkey,
+  '{{"before":{{}},"after":{{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"'
+  || o_orderstatus || '","o_totalprice":' || o_totalprice || ',"o_orderdate":"'
+  || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '","o_orderpriority":"' || o_orderpriority
+  || '"}},"source":{{"db":"shop","table":"orders","ts_ms":{SNAPSHOT_TS},"pos":{SNAPSHOT_POS}}},"op":"r","ts_ms":'
+  || '{SNAPSHOT_TS},"transaction":""}}' AS value
+FROM orders""",
     "s2_initial": f"""
 WITH {CDC}
 SELECT 'r' AS op, 'users' AS tbl, CAST({SNAPSHOT_POS} AS BIGINT) AS pos, CAST({SNAPSHOT_TS} AS BIGINT) AS ts_ms,

@@ -48,6 +48,11 @@ def s1_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def s1_snapshot_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    env = cdc.cdc_snapshot(fx.table(spark, sf_dir, "orders"), "shop", "orders", fx.SNAPSHOT_TS, SNAPSHOT_POS)
+    return envelope.normalize_envelope(env).select(F.col("after.o_orderkey").alias("o_orderkey"), "value")
+
+
 def _user_source(spark: SparkSession, sf_dir: str, startup: str) -> DataFrame:
     snapshot = cdc.cdc_snapshot(fx.user_rows(spark, sf_dir), fx.DB, "users", fx.SNAPSHOT_TS, SNAPSHOT_POS)
     changes = fx.cdc_events(spark, sf_dir).drop("order_ts", "pos")
@@ -360,7 +365,7 @@ def q3_mirror_stream(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        s1_snapshot, s2_initial, s2_latest, s3_select_tables, s3_select_patterns,
+        s1_snapshot, s1_snapshot_envelopes, s2_initial, s2_latest, s3_select_tables, s3_select_patterns,
         s7_offsets_for_times, s7_offsets_tail, s8_replay_from, s8_replay_earliest,
         t1_normalize, t2_render_temporal, t2_order_dates, t3_unwrap_payload, t4_flatten,
         t5_effective_key, t6_row_kinds, t7_primary_key_map, t8_fan_out,
