@@ -72,6 +72,30 @@ def test_stream_of_files_restarts_where_it_stopped(spark, tmp_path):
     assert rows(read_applied(spark, path, KEYS)) == applied(frame(spark, *changes))
 
 
+def test_a_lost_checkpoint_is_noticed(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "t")
+    frame(spark, ("c", None, (1, "a"), 1)).write.parquet(source)
+    stream = spark.readStream.schema(FRAME).parquet(source)
+    start_apply(stream, path, KEYS, ORDER).awaitTermination()
+    start_apply(stream, path, KEYS, ORDER).awaitTermination()
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start_apply(stream, path, KEYS, ORDER, checkpoint=str(tmp_path / "new"))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_apply_equals_one_change_at_a_time(spark, seed):
+    changes = random_changes(100 + seed)
+    table = {i: "base" for i in range(20)}
+    base = spark.createDataFrame(list(table.items()), "id BIGINT, v STRING")
+    for op, before, after, _ in changes:
+        if before:
+            table.pop(before[0], None)
+        if after:
+            table[after[0]] = after[1]
+    random.Random(seed).shuffle(changes)
+    assert applied(frame(spark, *changes), base) == sorted(table.items())
+
+
 def test_text_to_mirror(spark, tmp_path):
     source, lines, path = (str(tmp_path / n) for n in ("in", "lines", "t"))
     changes = random_changes(3, 60)

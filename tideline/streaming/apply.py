@@ -35,11 +35,16 @@ def start_apply(
 ) -> StreamingQuery:
     """Apply a stream of changes to the table at ``path``.
 
-    The checkpoint belongs to the path and lives below it by default. A key
-    column named ``batch_id`` is not possible.
+    The checkpoint belongs to the path and lives below it by default: batches
+    written under another checkpoint would be overwritten, so a path that holds
+    some is refused. A key column named ``batch_id`` is not possible.
     """
+    checkpoint = checkpoint or f"{path}/_checkpoint"
+    spark = stream.sparkSession
+    if _present(spark, f"{path}/changes") and not _present(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{path} holds batches of another checkpoint than {checkpoint}")
     writer = stream.writeStream.foreachBatch(lambda env, i: write_batch(env, i, path, keys, order_by))
-    writer = writer.option("checkpointLocation", checkpoint or f"{path}/_checkpoint")
+    writer = writer.option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
@@ -69,21 +74,22 @@ def start_apply_jdbc(
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+def _present(spark: SparkSession, path: str) -> bool:
     try:
-        return spark.read.parquet(path)
+        spark.read.text(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return False
         raise
+    return True
 
 
 def _entries(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
     """The newest compaction plus later batches, and whether keys are unique."""
     batches = spark.read.parquet(f"{path}/changes")
-    done = _read_if_present(spark, f"{path}/compacted")
-    if done is None:
+    if not _present(spark, f"{path}/compacted"):
         return batches.drop("batch_id"), False
+    done = spark.read.parquet(f"{path}/compacted")
     upto = done.agg(F.max("upto")).first()[0]
     done = done.filter(F.col("upto") == upto).drop("upto")
     later = batches.filter(F.col("batch_id") > upto).drop("batch_id")
