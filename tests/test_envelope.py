@@ -102,6 +102,15 @@ def test_unwrap(spark):
     assert [json.loads(r.value) for r in unwrap_payload(df).collect()] == [json.loads(bare)] * 2
 
 
+def test_transaction_block(spark):
+    env = frame(spark, (None, ROW, SOURCE, "c", 7, None)).withColumn(
+        "transaction", F.struct(F.lit("tx1").alias("id"), F.lit(3).alias("total_order"))
+    )
+    assert values(normalize_envelope(env))[0]["transaction"] == {"id": "tx1", "total_order": 3}
+    none = env.withColumn("transaction", F.when(F.lit(False), F.col("transaction")))
+    assert values(normalize_envelope(none))[0]["transaction"] == ""
+
+
 def test_round_trip(spark):
     env = frame(
         spark,

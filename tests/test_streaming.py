@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_changelog import FRAME, applied, frame
+from tideline.operators.changelog import to_row_kinds
 from tideline.operators.envelope import normalize_envelope
 from tideline.plans.mirror import start_mirror
 from tideline.streaming import apply
 from tideline.streaming.apply import compact_applied, read_applied, start_apply, write_batch
-from tideline.streaming.jobs import envelope_stream, start_debug, start_envelope_files, start_fan_out
+from tideline.streaming.jobs import envelope_stream, start_debug, start_envelope_files, start_fan_out, start_rows
 
 KEYS, ORDER = ["id"], ["ts_ms", "pos"]
 
@@ -134,6 +135,13 @@ def test_fan_out_stream(spark, tmp_path):
     assert sorted(tuple(r) for r in got) == [("d", "t0", 3), ("d", "t1", 3)]
 
 
+def test_rows_stream(spark, tmp_path):
+    frame(spark, ("c", None, (1, "a"), 1), ("d", (1, "a"), None, 2)).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(FRAME).parquet(str(tmp_path / "in"))
+    start_rows(to_row_kinds(stream), str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    assert [tuple(r) for r in spark.read.json(str(tmp_path / "out")).collect()] == [(1, "a")]
+
+
 def test_debug_stream(spark, tmp_path):
     frame(spark, ("c", None, (1, "a"), 1)).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(FRAME).parquet(str(tmp_path / "in"))

@@ -1,6 +1,8 @@
 import datetime as dt
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tideline import model as m
@@ -80,6 +82,20 @@ def test_zone_and_pass_through(spark):
     assert rendered(spark, None, "bigint", m.TIMESTAMP_MS) is None
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(-30_000_000_000_000, 250_000_000_000_000), min_size=1, max_size=50))
+def test_any_timestamp(spark, values):
+    """Against Python's calendar, years 1019 to 9892."""
+    df = spark.createDataFrame([(v,) for v in values], "x BIGINT")
+    cols = [render_temporal(F.col("x"), m.TIMESTAMP_MS), render_temporal(F.col("x") * 1000, m.TIMESTAMP_US)]
+    for v, row in zip(values, df.select(*cols).collect()):
+        at = EPOCH + dt.timedelta(milliseconds=v)
+        digits = f"{at.microsecond // 1000:03d}".rstrip("0")
+        whole = f"{at:%Y-%m-%d %H:%M:%S}"
+        assert row[0] == whole + ("." + digits if digits else "")
+        assert row[1] == whole + "." + (digits or "0")
+
+
 def test_native_types(spark):
     df = spark.sql(
         "SELECT TIMESTAMP_NTZ'2024-03-10 02:30:00.123456' AS n, TIMESTAMP'2024-01-01 20:00:00Z' AS z,"

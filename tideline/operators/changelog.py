@@ -84,6 +84,11 @@ def delete_keys(rows: DataFrame, key: str | None = None) -> DataFrame:
     return rows.filter(removed).select(key).distinct()
 
 
+def remove_rows(table: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of a table of files whose key is not among ``keys``."""
+    return table.join(keys, keys.columns, "left_anti")
+
+
 def _keyed(env: DataFrame, keys: list[str], *more: Column) -> DataFrame:
     """``op`` and the key fields of both images as flat columns, plus ``more``.
 
@@ -145,7 +150,7 @@ def apply_changelog(
     upserts = last_images(entries, keys).filter(F.col("_image").isNotNull()).select("_image.*")
     if base is None:
         return upserts
-    kept = base.join(changed_keys(env, keys), keys, "left_anti")
+    kept = remove_rows(base, changed_keys(env, keys))
     return kept.select(*upserts.columns).unionByName(upserts)
 
 

@@ -254,6 +254,8 @@ SELECT {_image_json('event_id', 'event_type', "CASE WHEN event_id % 7 = 0 THEN '
                     'ts')} AS line FROM cdc WHERE op <> 'd'""",
     "k3_delete_keys": f"WITH {CDC} SELECT DISTINCT user_id FROM cdc WHERE op <> 'c'",
     "k3_delete_event_keys": f"WITH {CDC} SELECT DISTINCT b_event_id AS event_id FROM cdc WHERE op <> 'c'",
+    "k3_remove_rows": f"""
+WITH {CDC}, {USERS} SELECT * FROM users WHERE user_id NOT IN (SELECT user_id FROM cdc WHERE op <> 'c')""",
     "k4_latest_rows": f"WITH {CDC}, {LATEST} {LATEST_ROWS}",
     "k4_apply_to_base": MERGED,
     "k4_moving_keys": f"""

@@ -244,6 +244,11 @@ def k3_delete_event_keys(spark, sf_dir):
     return changelog.delete_keys(changelog.to_row_kinds(fx.cdc_events(spark, sf_dir)), "event_id")
 
 
+def k3_remove_rows(spark, sf_dir):
+    keys = changelog.delete_keys(changelog.to_row_kinds(fx.cdc_events(spark, sf_dir)))
+    return changelog.remove_rows(fx.user_rows(spark, sf_dir), keys)
+
+
 def k4_latest_rows(spark, sf_dir):
     return changelog.apply_changelog(None, fx.cdc_events(spark, sf_dir), KEYS, ORDER)
 
@@ -371,7 +376,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         t5_effective_key, t6_row_kinds, t7_primary_key_map, t8_fan_out,
         p1_hash_partition, p2_registry_partition, p3_partition_load, p4_allocate, p4_allocate_empty,
         p5_registry_for,
-        k1_topic_frame, k1_registry_topic_frame, k2_encode_rows, k3_delete_keys, k3_delete_event_keys,
+        k1_topic_frame, k1_registry_topic_frame, k2_encode_rows, k3_delete_keys, k3_delete_event_keys, k3_remove_rows,
         k4_latest_rows, k4_apply_to_base, k4_moving_keys, k4_apply_stream, k5_debug_lines,
         q1_script_batch, q2_script_immediate, q3_mirror, q3_mirror_stream,
     )

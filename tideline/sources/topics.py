@@ -47,10 +47,15 @@ def read_topic(
     max_offsets: int | None = 1_000_000,
     security: dict[str, str] | None = None,
     replay: dict[str, str] | None = None,
+    starting: str | None = None,
     streaming: bool = True,
 ) -> DataFrame:
-    """Records of a topic with ``value`` as text; fetches are bounded per trigger."""
-    options = topic_options(bootstrap, topic, max_offsets if streaming else None, security=security)
+    """Records of a topic with ``value`` as text; fetches are bounded per trigger.
+
+    ``starting`` is ``earliest``, ``latest`` or the text of :func:`starting_offsets`;
+    ``replay`` comes from :func:`replay_options`.
+    """
+    options = topic_options(bootstrap, topic, max_offsets if streaming else None, starting, security)
     reader = spark.readStream if streaming else spark.read
     raw = reader.format("kafka").options(**options, **(replay or {})).load()
     return raw.select("topic", "partition", "offset", "timestamp", F.col("value").cast("string").alias("value"))

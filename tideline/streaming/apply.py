@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tideline import model as m
-from tideline.operators.changelog import keyed_images, last_images
+from tideline.operators.changelog import keyed_images, last_images, remove_rows
 from tideline.sinks.rows import delete_rows_jdbc, insert_rows_jdbc
 
 
@@ -109,7 +109,7 @@ def read_applied(spark: SparkSession, path: str, keys: list[str], base: DataFram
     if base is None:
         return rows
     changed = entries.select(*keys) if unique else entries.select(*keys).distinct()
-    return base.join(changed, keys, "left_anti").select(*rows.columns).unionByName(rows)
+    return remove_rows(base, changed).select(*rows.columns).unionByName(rows)
 
 
 def compact_applied(spark: SparkSession, path: str, keys: list[str]) -> int:

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tideline.operators.changelog import fan_out
 from tideline.operators.envelope import parse_envelope
 from tideline.sinks.debug import debug_lines
+from tideline.sinks.rows import encode_rows
 from tideline.sinks.topics import sink_options, topic_frame
 
 ONCE = {"availableNow": True}
@@ -47,6 +48,12 @@ def start_envelope_files(
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or ONCE)).start()
 
 
+def start_rows(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append ``+I``/``+U`` rows to a folder of JSON-lines files, exactly once."""
+    writer = encode_rows(rows).writeStream.format("text").option("path", path)
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or ONCE)).start()
+
+
 def start_fan_out(
     env: DataFrame, path: str, checkpoint: str, tables: list[str] | None = None, trigger: dict | None = None
 ) -> StreamingQuery:
