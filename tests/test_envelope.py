@@ -1,5 +1,8 @@
 import json
 
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tideline import model as m
@@ -125,6 +128,14 @@ def test_round_trip(spark):
         assert back == env.orderBy("ts_ms").collect()
 
 
+def test_bad_text_fails_unless_permitted(spark):
+    df = spark.createDataFrame([("{oops",), ('{"op":"c","source":{"db":"d"},"after":{"id":"1"}}',)], "value STRING")
+    with pytest.raises((PySparkException, Py4JJavaError), match="MALFORMED_RECORD"):
+        parse_envelope(df, IMAGE).collect()
+    rows = parse_envelope(df, IMAGE, mode="PERMISSIVE").collect()
+    assert [r.op for r in rows] == [None, "c"] and rows[1].after.id == 1
+
+
 def test_flatten(spark):
     declared = "id BIGINT, name STRING, price DECIMAL(10,2), ok BOOLEAN, at TIMESTAMP_NTZ"
     env = frame(spark, (None, ROW, SOURCE, "c", 7, None), (ROW, None, SOURCE, "d", 8, None))

@@ -58,7 +58,7 @@ def test_hash_partition(spark):
     assert got == expected
 
 
-REGISTRY = [("d.t", "2", "one"), ("d.u", "0", "one"), ("d.t", "5", "two"), (None, "1", "one"), ("d.x", None, "one")]
+REGISTRY = [("d.t", "2", "one"), ("d.t", "3", "one"), ("d.u", "0", "one"), ("d.t", "5", "two"), (None, "1", "one"), ("d.x", None, "one")]
 
 
 def registry(spark, rows):

@@ -80,31 +80,37 @@ def parse_envelope(
     image: T.StructType | str,
     source: T.StructType | str = "db STRING, table STRING, ts_ms BIGINT",
     column: str = "value",
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """JSON text, wrapped or bare, to a change frame in one parse per row."""
-    image = _struct(image)
-    source = _struct(source)
-    flat = T.StructType(
-        [
-            T.StructField("before", _as_text(image)),
-            T.StructField("after", _as_text(image)),
-            T.StructField("source", _as_text(source)),
-            T.StructField("op", T.StringType()),
-            T.StructField("ts_ms", T.LongType()),
-            T.StructField("transaction", T.StringType()),
-        ]
-    )
-    both = T.StructType([T.StructField("payload", flat), *flat.fields])
-    rest = [c for c in df.columns if c != column and c not in flat.names]
-    parsed = df.select(*rest, F.from_json(column, both).alias("_e"))
-    pick = {n: F.when(F.col("_e.payload").isNotNull(), F.col(f"_e.payload.{n}")).otherwise(F.col(f"_e.{n}")) for n in flat.names}
-    parsed = parsed.select(*rest, *[c.alias(n) for n, c in pick.items()])
-    before, after, src = F.col("before"), F.col("after"), F.col("source")
+    """JSON text, wrapped or bare, to a change frame in one parse per row.
+
+    Text that is no JSON object fails the job; ``mode="PERMISSIVE"`` turns it into
+    nulls instead.
+    """
+    image, source = _struct(image), _struct(source)
+    members = {
+        "before": _as_text(image),
+        "after": _as_text(image),
+        "source": _as_text(source),
+        "op": T.StringType(),
+        "ts_ms": T.LongType(),
+        "transaction": T.StringType(),
+    }
+    bare = T.StructType([T.StructField(name, dtype) for name, dtype in members.items()])
+    either = T.StructType([T.StructField("payload", bare), *bare.fields])
+    rest = [c for c in df.columns if c != column and c not in members]
+    payload, root = F.col("_e.payload"), F.col("_e")
+    picked = [F.when(payload.isNotNull(), payload[n]).otherwise(root[n]).alias(n) for n in members]
+    parsed = df.select(*rest, F.from_json(column, either, {"mode": mode}).alias("_e")).select(*rest, *picked)
+
+    def typed(name: str, schema: T.StructType) -> Column:
+        return F.when(_present(F.col(name), schema), _typed(F.col(name), schema)).alias(name)
+
     return parsed.select(
         *rest,
-        F.when(_present(before, image), _typed(before, image)).alias("before"),
-        F.when(_present(after, image), _typed(after, image)).alias("after"),
-        F.when(_present(src, source), _typed(src, source)).alias("source"),
+        typed("before", image),
+        typed("after", image),
+        typed("source", source),
         "op",
         "ts_ms",
         F.nullif(F.col("transaction"), F.lit("")).alias("transaction"),

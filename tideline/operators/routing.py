@@ -41,12 +41,16 @@ def hash_partition(env: DataFrame, key_map: DataFrame | dict[str, str], n: int)
 
 
 def registry_for(registry: DataFrame, topic: str) -> DataFrame:
-    """``(db_table_name, partition)`` of one topic, partition as a number."""
-    return registry.filter(
-        (F.col("kafka_topic") == topic)
-        & F.col("db_table_name").isNotNull()
-        & F.col("kafka_partition").isNotNull()
-    ).select("db_table_name", F.col("kafka_partition").cast("int").alias("partition"))
+    """``(db_table_name, partition)`` of one topic, partition as a number.
+
+    A table that is registered more than once counts once, with its lowest partition.
+    """
+    return (
+        registry.filter((F.col("kafka_topic") == topic) & F.col("db_table_name").isNotNull())
+        .filter(F.col("kafka_partition").isNotNull())
+        .groupBy("db_table_name")
+        .agg(F.min(F.col("kafka_partition").cast("int")).alias("partition"))
+    )
 
 
 def registry_partition(env: DataFrame, routes: DataFrame, on_missing: str = "error") -> DataFrame:
