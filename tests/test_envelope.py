@@ -129,11 +129,12 @@ def test_round_trip(spark):
 
 
 def test_bad_text_fails_unless_permitted(spark):
-    df = spark.createDataFrame([("{oops",), ('{"op":"c","source":{"db":"d"},"after":{"id":"1"}}',)], "value STRING")
+    df = spark.createDataFrame([("{oops",), ('{"op":"c","source":{"db":"d"},"after":{"id":"1","at":"no number"}}',)], "value STRING")
     with pytest.raises((PySparkException, Py4JJavaError), match="MALFORMED_RECORD"):
         parse_envelope(df, IMAGE).collect()
     rows = parse_envelope(df, IMAGE, mode="PERMISSIVE").collect()
     assert [r.op for r in rows] == [None, "c"] and rows[1].after.id == 1
+    assert rows[1].after["at"] is None
 
 
 def test_flatten(spark):

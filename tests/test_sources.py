@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_changelog import frame
+from tideline.sources import topics
 from tideline.sources.cdc import cdc_snapshot, cdc_source, select_tables
 from tideline.sources.jdbc import jdbc_options
 from tideline.sources.topics import (
@@ -73,7 +74,9 @@ def test_offsets_for_times(spark):
     assert json.loads(starting_offsets(listed, "topic")) == {"topic": {"0": 10, "1": -1, "2": 0, "3": -1, "4": -1}}
 
 
-def test_replay(spark):
+@pytest.mark.parametrize("filter_partitions", [64, 1])
+def test_replay(spark, monkeypatch, filter_partitions):
+    monkeypatch.setattr(topics, "FILTER_PARTITIONS", filter_partitions)
     t = T0 + dt.timedelta(minutes=5)
 
     def replayed(**kw):
@@ -86,6 +89,16 @@ def test_replay(spark):
     assert replayed(committed=held) == found + [(1, 10), (2, 0)]
     with pytest.raises(ValueError):
         replayed(unmatched="none")
+    late = replay_from(records(spark), T0 + dt.timedelta(days=1))
+    assert late.count() == 0
+    assert replay_from(records(spark), T0 + dt.timedelta(days=1), "earliest").count() == 7
+
+
+def test_replay_of_too_many_partitions_for_a_broadcast(spark, monkeypatch):
+    t = T0 + dt.timedelta(minutes=5)
+    monkeypatch.setattr(topics, "checked_broadcast", lambda side: side)
+    got = sorted((r.partition, r.offset) for r in replay_from(records(spark), t).collect())
+    assert got == [(0, 10), (0, 20), (0, 30), (2, 0)]
 
 
 def test_topic_options():

@@ -59,13 +59,14 @@ def _as_text(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
 
 
-def _typed(image: Column, schema: T.StructType) -> Column:
+def _typed(image: Column, schema: T.StructType, strict: bool) -> Column:
     # numbers and times may arrive as "" for null
     cols = []
     for f in schema.fields:
         text = image[f.name]
         if not isinstance(f.dataType, T.StringType):
-            text = F.nullif(text, F.lit("")).cast(f.dataType)
+            text = F.nullif(text, F.lit(""))
+            text = text.cast(f.dataType) if strict else text.try_cast(f.dataType)
         cols.append(text.alias(f.name))
     return F.struct(*cols)
 
@@ -84,8 +85,8 @@ def parse_envelope(
 ) -> DataFrame:
     """JSON text, wrapped or bare, to a change frame in one parse per row.
 
-    Text that is no JSON object fails the job; ``mode="PERMISSIVE"`` turns it into
-    nulls instead.
+    Text that is no JSON object, or a value of the wrong type, fails the job;
+    ``mode="PERMISSIVE"`` turns it into nulls instead.
     """
     image, source = _struct(image), _struct(source)
     members = {
@@ -104,7 +105,7 @@ def parse_envelope(
     parsed = df.select(*rest, F.from_json(column, either, {"mode": mode}).alias("_e")).select(*rest, *picked)
 
     def typed(name: str, schema: T.StructType) -> Column:
-        return F.when(_present(F.col(name), schema), _typed(F.col(name), schema)).alias(name)
+        return F.when(_present(F.col(name), schema), _typed(F.col(name), schema, mode == "FAILFAST")).alias(name)
 
     return parsed.select(
         *rest,

@@ -5,12 +5,16 @@ from __future__ import annotations
 import datetime as dt
 import json
 from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators.sizing import checked_broadcast
 
+# up to so many partitions, replay positions are a filter instead of a join
+FILTER_PARTITIONS = 64
+
 
 def topic_options(
     bootstrap: str,
@@ -115,10 +119,27 @@ def replay_from(
     if committed is not None:
         held = committed.select(*keys, F.col("offset").alias("_held"))
         seek = seek.join(held, keys, "full").select(*keys, F.coalesce("offset", "_held").alias("offset"))
-    seek = checked_broadcast(seek.withColumnRenamed("offset", "_seek"))
-    joined = records.join(seek, keys, "left" if unmatched == "earliest" else "inner")
-    reached = F.coalesce(F.col("offset") >= F.col("_seek"), F.lit(True))
-    return joined.filter(reached).select(*keys, "offset", "timestamp")
+    seek = seek.withColumnRenamed("offset", "_seek")
+    side = checked_broadcast(seek)
+    kept = [*keys, "offset", "timestamp"]
+    if side is not seek:
+        found = side.limit(FILTER_PARTITIONS + 1).collect()
+        if len(found) <= FILTER_PARTITIONS:
+            return records.filter(_reached(found, unmatched)).select(*kept)
+        if unmatched == "latest":
+            records = records.filter(F.col("offset") >= side.agg(F.min("_seek")).first()[0])
+    joined = records.join(side, keys, "left" if unmatched == "earliest" else "inner")
+    return joined.filter(F.coalesce(F.col("offset") >= F.col("_seek"), F.lit(True))).select(*kept)
+
+
+def _reached(found: list, unmatched: str) -> Column:
+    """The positions of a few partitions as one filter, which reaches the scan."""
+    offset = F.col("offset")
+    at = [(F.col("topic") == r.topic) & (F.col("partition") == r.partition) for r in found]
+    passed = reduce(or_, [p & (offset >= r["_seek"]) for p, r in zip(at, found)], F.lit(False))
+    if unmatched == "earliest":
+        return passed | ~reduce(or_, at, F.lit(False))
+    return passed & (offset >= min((r["_seek"] for r in found), default=0))
 
 
 def starting_offsets(offsets: DataFrame, topic: str) -> str:
