@@ -47,7 +47,11 @@ def test_effective_key(spark):
 def test_effective_key_of_mixed_tables(spark):
     env = frame(spark, ("c", None, (1, "a"), 1), ("d", (2, "b"), None, 2))
     texts = env.withColumns({c: F.to_json(c) for c in ("before", "after")})
-    maps = env.withColumns({c: F.when(F.col(c).isNotNull(), F.create_map(F.lit("id"), F.col(c)["id"].cast("string"))) for c in ("before", "after")})
+
+    def as_map(c):
+        return F.when(F.col(c).isNotNull(), F.create_map(F.lit("id"), F.col(c)["id"].cast("string")))
+
+    maps = env.withColumns({c: as_map(c) for c in ("before", "after")})
     for df in (texts, maps):
         assert {r.pos: r.key_value for r in effective_key(df, {"d.t": "id"}).collect()} == {1: "1", 2: "2"}
         assert {r.key_value for r in effective_key(df, {"d.t": "none"}).collect()} == {""}
@@ -126,7 +130,12 @@ def test_primary_key_map(spark):
 
 
 def test_fan_out(spark, tmp_path):
-    env = frame(spark, ("c", None, (1, "a"), 1, "d", "t1"), ("c", None, (2, "a"), 2, "d", "t2"), ("c", None, (3, "a"), 3, "e", "t1"))
+    env = frame(
+        spark,
+        ("c", None, (1, "a"), 1, "d", "t1"),
+        ("c", None, (2, "a"), 2, "d", "t2"),
+        ("c", None, (3, "a"), 3, "e", "t1"),
+    )
     fan_out(env, str(tmp_path / "all"))
     assert spark.read.parquet(str(tmp_path / "all" / "db=e" / "table=t1")).first().after.id == 3
     fan_out(env, str(tmp_path / "some"), ["d.t2"])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from tests.test_changelog import applied, frame
 from tideline.operators.changelog import apply_changelog, changed_keys
-from tideline.operators.routing import hash_partition, registry_for, registry_partition
+from tideline.operators.routing import hash_partition, registry_partition
 from tideline.operators.sizing import checked_broadcast
 from tideline.plans import fixtures as fx
 from tideline.sources.topics import offsets_for_times, replay_from

@@ -49,7 +49,8 @@ def test_hash_partition(spark):
     changes, expected = [], {}
     for i in range(40):
         db, table = tables[i % 5]
-        changes.append(("d", (i * 7919, "v"), None, i, db, table) if i % 3 == 0 else ("c", None, (i * 7919, "v"), i, db, table))
+        image = (i * 7919, "v")
+        changes.append(("d", image, None, i, db, table) if i % 3 == 0 else ("c", None, image, i, db, table))
         key = str(i * 7919) if (db.strip(), table.strip()) in (("d", "t"), ("商店", "表😀"), ("a.b", "c")) else ""
         h = java_hash(table + db + key)
         expected[i] = abs(h) % 11 if h >= 0 else abs(-(abs(h) % 11))

@@ -106,11 +106,12 @@ def t1_normalize(spark, sf_dir):
 
 
 def t2_render_temporal(spark, sf_dir):
-    events = fx.event_rows(fx.table(spark, sf_dir, "events"))
+    events = fx.event_rows(fx.table(spark, sf_dir, "events").withColumn("utc", F.col("ts")))
     us = F.col("ts")
     ms = F.call_function("div", us, F.lit(1000))
     day_us = us % 86_400_000_000
-    zoned = F.concat(F.replace(F.timestamp_add("MICROSECOND", us, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")).cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+    iso = F.replace(F.col("utc").cast("string"), F.lit(" "), F.lit("T"))
+    zoned = F.concat(iso, F.lit("Z"))
     return events.select(
         "event_id",
         render_temporal(F.call_function("div", us, F.lit(86_400_000_000)), m.DATE).alias("as_date"),
