@@ -120,6 +120,12 @@ def test_allocation_equals_one_by_one(spark, seed):
     assert added == expected
 
 
+def test_nothing_new_to_allocate(spark):
+    tables = spark.createDataFrame([("d.t", 1)], "db_table_name STRING, ord BIGINT")
+    rows = [("d.t", "2", "topic")]
+    assert [tuple(r) for r in allocate_partitions(registry(spark, rows), tables, "topic", 3).collect()] == rows
+
+
 def test_single_partition(spark):
     tables = spark.createDataFrame([("a.b", 1), ("a.c", 2)], "db_table_name STRING, ord BIGINT")
     got = allocate_partitions(registry(spark, []), tables, "t", 1).collect()

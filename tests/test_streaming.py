@@ -8,7 +8,7 @@ from tideline.operators.changelog import to_row_kinds
 from tideline.operators.envelope import normalize_envelope
 from tideline.plans.mirror import start_mirror
 from tideline.streaming import apply
-from tideline.streaming.apply import compact_applied, read_applied, start_apply, write_batch
+from tideline.streaming.apply import compact_applied, drop_compacted, read_applied, start_apply, write_batch
 from tideline.streaming.jobs import envelope_stream, start_debug, start_envelope_files, start_fan_out, start_rows
 
 KEYS, ORDER = ["id"], ["ts_ms", "pos"]
@@ -61,6 +61,42 @@ def test_batches_after_a_compaction(spark, tmp_path):
     assert rows(read_applied(spark, path, KEYS)) == [(1, "b")]
 
 
+def test_drop_compacted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_batch(frame(spark, ("c", None, (1, "a"), 1)), 0, path, KEYS, ORDER)
+    compact_applied(spark, path, KEYS)
+    write_batch(frame(spark, ("c", None, (2, "b"), 2)), 1, path, KEYS, ORDER)
+    compact_applied(spark, path, KEYS)
+    drop_compacted(spark, path)
+    assert [p.name for p in (tmp_path / "t" / "compacted").iterdir() if "=" in p.name] == ["upto=1"]
+    assert not [p for p in (tmp_path / "t" / "changes").iterdir() if "=" in p.name]
+    assert rows(read_applied(spark, path, KEYS)) == [(1, "a"), (2, "b")]
+    # nothing new: the compaction stays as it is
+    assert compact_applied(spark, path, KEYS) == 1
+    assert rows(read_applied(spark, path, KEYS)) == [(1, "a"), (2, "b")]
+    write_batch(frame(spark, ("u", (2, "b"), (2, "c"), 3)), 2, path, KEYS, ORDER)
+    assert rows(read_applied(spark, path, KEYS)) == [(1, "a"), (2, "c")]
+
+
+def test_unfinished_folders_are_not_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(ValueError):
+        read_applied(spark, path, KEYS)
+    write_batch(frame(spark, ("c", None, (1, "a"), 1)), 0, path, KEYS, ORDER)
+    write_batch(frame(spark, ("c", None, (2, "b"), 2)), 1, path, KEYS, ORDER)
+    (tmp_path / "t" / "changes" / "batch_id=1" / "_SUCCESS").unlink()
+    assert rows(read_applied(spark, path, KEYS)) == [(1, "a")]
+    assert compact_applied(spark, path, KEYS) == 0
+    # the repetition of the batch is not lost to the compaction
+    write_batch(frame(spark, ("c", None, (2, "b"), 2)), 1, path, KEYS, ORDER)
+    assert rows(read_applied(spark, path, KEYS)) == [(1, "a"), (2, "b")]
+    assert compact_applied(spark, path, KEYS) == 1
+    (tmp_path / "t" / "compacted" / "upto=1" / "_SUCCESS").unlink()
+    assert rows(read_applied(spark, path, KEYS)) == [(1, "a"), (2, "b")]
+    assert compact_applied(spark, path, KEYS) == 1
+    assert rows(read_applied(spark, path, KEYS)) == [(1, "a"), (2, "b")]
+
+
 def test_stream_of_files_restarts_where_it_stopped(spark, tmp_path):
     source, path = str(tmp_path / "in"), str(tmp_path / "t")
     changes = random_changes(7, 90)

@@ -77,24 +77,27 @@ def partition_load(routes: DataFrame, n: int) -> DataFrame:
     return used.unionByName(every).groupBy("partition").agg(F.sum("one").alias("tables"))
 
 
-def _fill_plan(load: DataFrame) -> DataFrame:
-    """One row holding ``steps``: how the next tables fill the partitions.
+def _fill_plan(load: DataFrame, tables: int) -> DataFrame:
+    """One row holding ``steps``: how the next ``tables`` tables fill the partitions.
 
     Slots are taken in the order (load, partition). From a load level on, the
     partitions at or below it (``members``) take turns until the next level
     that some partition already has; ``first`` is the rank of the first table
-    in the step. All sizes here are bounded by the partition count.
+    in the step. The input has one row per partition of the topic.
     """
     levels = load.groupBy(F.col("tables").alias("level")).agg(F.collect_list("partition").alias("ps"))
-    members = levels.selectExpr(
+    turns = levels.selectExpr(
         "level",
-        "sort_array(flatten(collect_list(ps) OVER (ORDER BY level))) AS members",
-        "lead(level) OVER (ORDER BY level) - level AS height",
+        "ps",
+        "sum(size(ps)) OVER (ORDER BY level) * (lead(level) OVER (ORDER BY level) - level) AS slots",
     )
-    steps = members.selectExpr(
-        "coalesce(sum(height * size(members)) OVER "
-        "(ORDER BY level ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first",
-        "members",
+    firsts = turns.selectExpr(
+        "level",
+        "ps",
+        "coalesce(sum(slots) OVER (ORDER BY level ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first",
+    )
+    steps = firsts.filter(F.col("first") < tables).selectExpr(
+        "first", "sort_array(flatten(collect_list(ps) OVER (ORDER BY level))) AS members"
     )
     return steps.selectExpr("sort_array(collect_list(struct(first, members))) AS steps")
 
@@ -115,7 +118,7 @@ def allocate_partitions(registry: DataFrame, tables: DataFrame, topic: str, n: i
     )
     if n > 1:
         ranked = with_position(fresh, ["ord", "db_table_name"], "rank")
-        plan = _fill_plan(partition_load(known, n)).scalar()
+        plan = _fill_plan(partition_load(known, n), ranked.count()).scalar()
         step = F.element_at(F.filter(F.col("_plan"), lambda s: s["first"] <= F.col("rank")), -1)
         turn = (F.col("rank") - F.col("_step")["first"]) % F.size(F.col("_step")["members"])
         chosen = F.get(F.col("_step")["members"], turn.cast("int"))

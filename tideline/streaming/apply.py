@@ -9,7 +9,8 @@ that a late change cannot bring one back.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -74,28 +75,45 @@ def start_apply_jdbc(
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def _present(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
-def _entries(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
-    """The newest compaction plus later batches, and whether keys are unique."""
-    batches = spark.read.parquet(f"{path}/changes")
-    if not _present(spark, f"{path}/compacted"):
-        return batches.drop("batch_id"), False
-    done = spark.read.parquet(f"{path}/compacted")
-    upto = done.agg(F.max("upto")).first()[0]
-    done = done.filter(F.col("upto") == upto).drop("upto")
-    later = batches.filter(F.col("batch_id") > upto).drop("batch_id")
-    if later.isEmpty():
-        return done, True
-    return done.unionByName(later), False
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def _finished(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """Ids of the ``name=…`` folders that were written to the end."""
+    files, target = _file_system(spark, folder)
+    if not files.exists(target):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(target)]
+    ids = [int(found.split("=")[1]) for found in names if found.startswith(f"{name}=")]
+    return sorted(i for i in ids if _present(spark, f"{folder}/{name}={i}/_SUCCESS"))
+
+
+def _entries(spark: SparkSession, path: str) -> tuple[DataFrame, bool, int]:
+    """The newest compaction plus later batches, whether keys are unique, the last batch.
+
+    A batch that was cut off while it was written is left for its repetition.
+    """
+    batches = _finished(spark, f"{path}/changes", "batch_id")
+    compactions = _finished(spark, f"{path}/compacted", "upto")
+    upto = compactions[-1] if compactions else -1
+    later = [i for i in batches if i > upto]
+    last = later[-1] if later else upto
+    if last < 0:
+        raise ValueError(f"{path} holds no finished batch")
+    parts = []
+    if compactions:
+        parts.append(spark.read.parquet(f"{path}/compacted/upto={upto}"))
+    if later:
+        changes = spark.read.parquet(f"{path}/changes")
+        parts.append(changes.filter(F.col("batch_id").between(later[0], last)).drop("batch_id"))
+    return reduce(DataFrame.unionByName, parts), not later, last
 
 
 def read_applied(spark: SparkSession, path: str, keys: list[str], base: DataFrame | None = None) -> DataFrame:
@@ -103,7 +121,7 @@ def read_applied(spark: SparkSession, path: str, keys: list[str], base: DataFram
 
     Right after a compaction nothing has to be folded, nor shuffled.
     """
-    entries, unique = _entries(spark, path)
+    entries, unique, _ = _entries(spark, path)
     folded = entries if unique else last_images(entries, keys)
     rows = folded.filter(F.col("_image").isNotNull()).select("_image.*")
     if base is None:
@@ -113,11 +131,27 @@ def read_applied(spark: SparkSession, path: str, keys: list[str], base: DataFram
 
 
 def compact_applied(spark: SparkSession, path: str, keys: list[str]) -> int:
-    """Fold all batches so far into one compaction; returns the last batch it holds.
+    """Fold all finished batches into one compaction; returns the last batch it holds.
 
     Running jobs are not disturbed: batches are only added, and readers switch
     to the compaction once it is written.
     """
-    upto = spark.read.parquet(f"{path}/changes").agg(F.max("batch_id")).first()[0]
-    last_images(_entries(spark, path)[0], keys).write.mode("overwrite").parquet(f"{path}/compacted/upto={upto}")
-    return upto
+    entries, unique, last = _entries(spark, path)
+    if not unique:
+        last_images(entries, keys).write.mode("overwrite").parquet(f"{path}/compacted/upto={last}")
+    return last
+
+
+def drop_compacted(spark: SparkSession, path: str) -> None:
+    """Delete the batches and older compactions that the newest compaction replaces.
+
+    Run it when no reader still works on them.
+    """
+    compactions = _finished(spark, f"{path}/compacted", "upto")
+    replaced = [f"compacted/upto={i}" for i in compactions[:-1]]
+    replaced += [
+        f"changes/batch_id={i}" for i in _finished(spark, f"{path}/changes", "batch_id") if i <= compactions[-1]
+    ]
+    for folder in replaced:
+        files, target = _file_system(spark, f"{path}/{folder}")
+        files.delete(target, True)
