@@ -22,6 +22,19 @@ def test_encode_and_write_rows(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "rows")).count() == 4
 
 
+def test_timestamps_as_sql_text(spark):
+    rows = spark.sql(
+        "SELECT '+I' AS row_kind, TIMESTAMP_NTZ'2024-01-01 10:00:00' AS a, TIMESTAMP_NTZ'2024-01-01 10:00:00.120' AS b,"
+        " TIMESTAMP'2024-01-01 10:00:00+02:00' AS c, DATE'2024-01-02' AS d"
+    )
+    assert json.loads(encode_rows(rows).first().line) == {
+        "a": "2024-01-01 10:00:00",
+        "b": "2024-01-01 10:00:00.12",
+        "c": "2024-01-01 08:00:00Z",
+        "d": "2024-01-02",
+    }
+
+
 def test_topic_frame(spark):
     out = publish_by_key(changes(spark), {"d.t": "id"}, 4)
     assert out.dtypes == [("value", "string"), ("partition", "int")]

@@ -98,3 +98,13 @@ def render_temporal(
             return _drop_last_two(text) if compat else text
         return _with_fraction(text)
     return col
+
+
+def sql_text(col: Column, source_type: str) -> Column:
+    """Spark's own timestamps as SQL text: ``yyyy-MM-dd HH:mm:ss[.f]``, instants in UTC with ``Z``."""
+    if source_type == "timestamp_ntz":
+        return col.cast("string")
+    if source_type == "timestamp":
+        utc = F.timestamp_add("MICROSECOND", F.unix_micros(col), _epoch())
+        return F.concat(utc.cast("string"), F.lit("Z"))
+    return col

@@ -178,16 +178,17 @@ _F6 = f"lpad(CAST({_US} % 1000000 AS VARCHAR), 6, '0')"
 _FULL_MS = f"{_SECONDS} || '.' || {_trimmed(_F3)}"
 _OPTIONAL_MS = f"{_SECONDS} || CASE WHEN {_MS} % 1000 = 0 THEN '' ELSE '.' || rtrim({_F3}, '0') END"
 
+_ORDER_JSON = """
+  '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus
+  || '","o_totalprice":' || o_totalprice || ',"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+  || '","o_orderpriority":"' || o_orderpriority || '"}'"""
+
 ORACLES: dict[str, str] = {
     "s1_snapshot": f"""
 SELECT 'r' AS op, 'shop' AS db, 'orders' AS tbl, CAST({SNAPSHOT_TS} AS BIGINT) AS ts_ms, TRUE AS no_before,
        o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
     "s1_snapshot_envelopes": f"""
-SELECT o_orderkey,
-  '{{"before":{{}},"after":{{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"'
-  || o_orderstatus || '","o_totalprice":' || o_totalprice || ',"o_orderdate":"'
-  || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '","o_orderpriority":"' || o_orderpriority
-  || '"}},"source":{{"db":"shop","table":"orders","ts_ms":{SNAPSHOT_TS},"pos":{SNAPSHOT_POS}}},"op":"r","ts_ms":'
+SELECT o_orderkey, '{{"before":{{}},"after":' || {_ORDER_JSON} || ',"source":{{"db":"shop","table":"orders","ts_ms":{SNAPSHOT_TS},"pos":{SNAPSHOT_POS}}},"op":"r","ts_ms":'
   || '{SNAPSHOT_TS},"transaction":""}}' AS value
 FROM orders""",
     "s2_initial": f"""
@@ -252,6 +253,7 @@ FROM cdc JOIN fresh ON tbl = name JOIN slots USING (r)""",
 WITH {CDC}
 SELECT {_image_json('event_id', 'event_type', "CASE WHEN event_id % 7 = 0 THEN 'null' ELSE CAST(value AS VARCHAR) END",
                     'ts')} AS line FROM cdc WHERE op <> 'd'""",
+    "k2_encode_orders": f"SELECT {_ORDER_JSON} AS line FROM orders",
     "k3_delete_keys": f"WITH {CDC} SELECT DISTINCT user_id FROM cdc WHERE op <> 'c'",
     "k3_delete_event_keys": f"WITH {CDC} SELECT DISTINCT b_event_id AS event_id FROM cdc WHERE op <> 'c'",
     "k3_remove_rows": f"""

@@ -237,6 +237,11 @@ def k2_encode_rows(spark, sf_dir):
     return rows.encode_rows(kinds)
 
 
+def k2_encode_orders(spark, sf_dir):
+    env = cdc.cdc_snapshot(fx.table(spark, sf_dir, "orders"), "shop", "orders", fx.SNAPSHOT_TS)
+    return rows.encode_rows(changelog.to_row_kinds(env))
+
+
 def k3_delete_keys(spark, sf_dir):
     return changelog.delete_keys(changelog.to_row_kinds(fx.cdc_events(spark, sf_dir)))
 
@@ -377,7 +382,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         t5_effective_key, t6_row_kinds, t7_primary_key_map, t8_fan_out,
         p1_hash_partition, p2_registry_partition, p3_partition_load, p4_allocate, p4_allocate_empty,
         p5_registry_for,
-        k1_topic_frame, k1_registry_topic_frame, k2_encode_rows, k3_delete_keys, k3_delete_event_keys, k3_remove_rows,
+        k1_topic_frame, k1_registry_topic_frame, k2_encode_rows, k2_encode_orders, k3_delete_keys, k3_delete_event_keys, k3_remove_rows,
         k4_latest_rows, k4_apply_to_base, k4_moving_keys, k4_apply_stream, k5_debug_lines,
         q1_script_batch, q2_script_immediate, q3_mirror, q3_mirror_stream,
     )

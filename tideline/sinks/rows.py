@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline import model as m
+from tideline.functions.temporal import sql_text
 
 
 def encode_rows(rows: DataFrame) -> DataFrame:
-    """``line``: each ``+I``/``+U`` row as one JSON object, nulls written out."""
-    fields = [c for c in rows.columns if c != "row_kind"]
+    """``line``: each ``+I``/``+U`` row as one JSON object, nulls written out.
+
+    Timestamps are written as SQL text, which JSON-row tables take.
+    """
+    fields = [sql_text(F.col(c), kind).alias(c) for c, kind in rows.dtypes if c != "row_kind"]
     written = rows.filter(F.col("row_kind").isin(m.INSERT, m.UPDATE_AFTER))
     return written.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("line"))
 
