@@ -56,6 +56,7 @@ def apply_batch_jdbc(
 
     Per key only the last image counts: the key's row is deleted, and inserted
     again unless the key was removed. A repeated batch gives the same table.
+    The database keeps no order, so batches must bring a key's changes in order.
     """
     mutation = options.pop("mutation", False)
     folded = last_images(keyed_images(env, keys, order_by), keys).persist()
