@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tideline.llm import packing, sharding
+from tideline.llm import mixing, packing, sharding
 
 QUERIES = {
+    "op2_mixing": mixing.op2_mixing,
     "op6_packing": packing.op6_packing,
     "op10_sharding": sharding.op10_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_mixing": mixing.ORACLE}
