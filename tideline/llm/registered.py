@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tideline.llm import mixing, packing, rules, sharding
+from tideline.llm import fingerprints, mixing, packing, rules, sharding
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
     "op3_rules": rules.op3_rules,
     "op6_packing": packing.op6_packing,
+    "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_sharding": sharding.op10_sharding,
 }
 
