@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tideline.llm import fingerprints, mixing, packing, rules, sharding
+from tideline.llm import fingerprints, mixing, neighbours, packing, rules, sharding
 
 QUERIES = {
+    "op1_neighbours": neighbours.op1_neighbours,
     "op2_mixing": mixing.op2_mixing,
     "op3_rules": rules.op3_rules,
     "op6_packing": packing.op6_packing,
