@@ -118,7 +118,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     classes = stash(few.groupBy("h", "embedding").agg(F.min("vec_id").alias("cls"), F.sort_array(F.collect_list("vec_id")).alias("ids")), "classes")
     queries = rows.filter(is_query).distinct().join(classes.select("h", "embedding", "cls"), ["h", "embedding"]).select("vec_id", "cls")
     queries = stash(queries.withColumnRenamed("vec_id", "query_id"), "queries")
-    asked = classes.join(queries.select("cls").distinct(), "cls", "left_semi")
+    asked = stash(classes.join(queries.select("cls").distinct(), "cls", "left_semi"), "asked")
     size = classes.agg(F.count("*").alias("n"), F.max(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x)).alias("s")).first()
     n_base, n_query = parts(size.n, BASE_BLOCK), parts(asked.count(), QUERY_BLOCK)
     top_norm = float(np.sqrt(size.s or 1.0)) * (1 + 1e-9)
