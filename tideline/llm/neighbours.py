@@ -34,7 +34,7 @@ PROJECTIONS = 64
 #: Part of the projections in which a vector must collide.
 THRESHOLD = 0.75
 #: Vectors a query verifies in a block, as a part of the block, besides ten times ``k``.
-VERIFY = 0.2
+VERIFY = 0.25
 #: Half-width of the first windows, in standard deviations of a projection, and its growth.
 START, GROW = 0.8, 1.1
 BASE_BLOCK, QUERY_BLOCK = 16_384, 2_048
