@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tideline.llm import fingerprints, jaccard, mixing, neighbours, packing, rules, sharding
+from tideline.llm import fingerprints, html, jaccard, mixing, neighbours, packing, rules, sharding
 
 QUERIES = {
     "op1_neighbours": neighbours.op1_neighbours,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_rules": rules.op3_rules,
     "op5_jaccard": jaccard.op5_jaccard,
     "op6_packing": packing.op6_packing,
+    "op7_html": html.op7_html,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_sharding": sharding.op10_sharding,
 }
