@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +41,37 @@ def remainder(n: int, id_col: str = "doc_id") -> Column:
 def parts(rows: int, per_part: int) -> int:
     """How many blocks of about ``per_part`` rows; at least one."""
     return max(1, math.ceil(rows / per_part))
+
+
+#: Bits of the filter that ``id_filter`` builds: 8 MB, however many ids there are.
+FILTER_BITS = 1 << 26
+
+
+def id_filter(ids: DataFrame, col: str = "doc_id") -> Column:
+    """A condition over ``col`` that holds for every id in ``ids`` and for few others.
+
+    It keeps rows that a join would drop from being shuffled. The filter has a fixed size; with very
+    many ids it lets more rows pass, never fewer, so a join still has to decide.
+    """
+    place = F.pmod(F.xxhash64(col), F.lit(FILTER_BITS))
+    rows = (
+        ids.select(place.alias("p"))
+        .groupBy(F.bitmap_bucket_number("p").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+        .collect()  # at most FILTER_BITS / 32768 rows of 4 KB
+    )
+    bits = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)
+    for r in rows:
+        if r.bucket > 0:  # bucket 0 holds place 0 alone, which always passes below
+            start = (r.bucket - 1) * 4096
+            bits[start : start + len(r.bits)] = np.frombuffer(r.bits, np.uint8)
+    shared = ids.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def maybe(p: pd.Series) -> pd.Series:
+        # bucket k + 1 holds the places k * 32768 + 1 to (k + 1) * 32768
+        before = np.maximum(p.to_numpy() - 1, 0)
+        held = shared.value[before // 32768 * 4096 + before % 32768 // 8] >> (before % 8)
+        return pd.Series((p.to_numpy() == 0) | (held & 1).astype(bool))
+
+    return maybe(place)

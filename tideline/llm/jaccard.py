@@ -32,12 +32,11 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import parts, stash, text_of
+from tideline.llm.common import id_filter, parts, stash, text_of
 from tideline.llm.graph import components
 
 WORDS = 5
@@ -46,7 +45,6 @@ POSTINGS_PER_PART = 2_000_000
 FREQUENT, MOST_FREQUENT = 8, 50_000
 #: Subsets may cost so many times what lists and sets do.
 SUBSET_COST = 4
-FILTER_BITS = 1 << 26
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _rng = np.random.default_rng(5)
 _BYTE = _rng.integers(0, 2**64, 256, np.uint64)
@@ -300,23 +298,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets_of(docs: DataFrame, wanted_ids: DataFrame) -> DataFrame:
     """``cls`` and ``items`` of the documents whose id is wanted, through a filter of bounded size."""
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    at = wanted_ids.select(bit.alias("p"))
-    rows = at.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
-    # at most FILTER_BITS / 32768 rows of 4 KB
-    bits = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)
-    for r in rows:
-        if r.bucket > 0:  # bucket 0 holds position 0 alone, which always passes below
-            start = (r.bucket - 1) * 4096
-            bits[start : start + len(r.bits)] = np.frombuffer(r.bits, np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def maybe(p: pd.Series) -> pd.Series:
-        # bucket k + 1 holds the positions k * 32768 + 1 to (k + 1) * 32768
-        before = np.maximum(p.to_numpy() - 1, 0)
-        held = shared.value[before // 32768 * 4096 + before % 32768 // 8] >> (before % 8)
-        return pd.Series((p.to_numpy() == 0) | (held & 1).astype(bool))
+    maybe = id_filter(wanted_ids)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -328,7 +310,7 @@ def _sets_of(docs: DataFrame, wanted_ids: DataFrame) -> DataFrame:
                     items.append(_signed(s))
             yield pa.RecordBatch.from_arrays([pa.array(_signed(classes), pa.int64()), pa.array(items, pa.list_(pa.int64()))], ["cls", "items"])
 
-    chosen = docs.filter(F.col("doc_id").isNotNull()).filter(maybe(bit))
+    chosen = docs.filter(F.col("doc_id").isNotNull() & maybe)
     return chosen.mapInArrow(sets, "cls long, items array<long>")
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tideline.llm import fingerprints, html, jaccard, mixing, neighbours, packing, rules, sharding
+from tideline.llm import fingerprints, html, jaccard, mixing, neighbours, packing, repeats, rules, sharding
 
 QUERIES = {
     "op1_neighbours": neighbours.op1_neighbours,
     "op2_mixing": mixing.op2_mixing,
     "op3_rules": rules.op3_rules,
+    "op4_repeats": repeats.op4_repeats,
     "op5_jaccard": jaccard.op5_jaccard,
     "op6_packing": packing.op6_packing,
     "op7_html": html.op7_html,
