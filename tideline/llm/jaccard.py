@@ -12,10 +12,11 @@ they save (``boundary``). Sets just below it are in both parts, for links across
 Frequent shingles are those that some batch of documents has several times; their order is by count,
 all others by hash. The order decides cost only, never results.
 
-Long lists do not become all pairs. Each set first tries only the list member that shares the most lists
-with it among those that hold a list's shingle earliest, the middle of a group of near copies; verified
+Long lists do not become all pairs. Each set first tries only one of the list members that hold a list's
+shingle earliest, the middle of a group of near copies: the nearest by sketch. Verified
 links form components. Then every pair of a list that is in different components, and that
-sizes and places in the lists do not rule out, is verified too, so no link between components is lost.
+sizes, places in the lists and sketches do not rule out, is verified too, so no link between components
+is lost. A sketch gives a lower bound of the difference of two sets and rules out only what cannot link.
 
 Equal sets are one class from the start (a 64-bit hash of the set), and copies cost
 nothing. Verification compares whole sets.
@@ -140,11 +141,40 @@ def _texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
-DESCRIBED = "kind int, id long, cls long, n long"
+def sketch(s: np.ndarray) -> bytes:
+    """One bit per hash place: whether an odd number of shingles fall there; at least two places per shingle."""
+    places = 1 << max(3, (2 * len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def distance(x: bytes, y: bytes) -> int:
+    """At most the number of shingles that only one of two sets has."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) != len(b):  # the larger folds onto itself
+        if len(a) > len(b):
+            a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+        else:
+            b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches do not rule a link out."""
+    for batch in batches:
+        a, b, s, t, x, y = (batch.column(c).to_pylist() for c in ("a", "b", "s", "t", "x", "y"))
+        far = [distance(p, q) for p, q in zip(x, y, strict=True)]
+        keep = np.array([d <= m + n - 2 * need(m, n) for d, m, n in zip(far, s, t, strict=True)], bool)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.array(a, np.int64)[keep]), pa.array(np.array(b, np.int64)[keep]), pa.array(np.array(far, np.int64)[keep])], ["a", "b", "far"]
+        )
+
+
+DESCRIBED = "kind int, id long, cls long, n long, sketch binary"
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 0: a document's id, class and size. Kind 1: a shingle that this batch often has, and its count."""
+    """Kind 0: a document's id, class, size and sketch. Kind 1: a shingle that this batch often has, and its count."""
     for batch in batches:
         sets = shingle_sets(_texts(batch, "text"))
         n = np.array([len(s) for s in sets], np.int64)
@@ -158,7 +188,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.chunked_array([batch.column("doc_id"), pa.array(_signed(values[often]), pa.int64())]).combine_chunks(),
             pa.array(np.concatenate([classes, np.zeros(m, np.int64)]), mask=np.concatenate([n == 0, np.zeros(m, bool)])),
             pa.array(np.concatenate([n, counts[often]])),
-        ], ["kind", "id", "cls", "n"])
+            pa.array([sketch(s) if len(s) else None for s in sets] + [None] * m, pa.binary()),
+        ], ["kind", "id", "cls", "n", "sketch"])
 
 
 def _postings(frequent: np.ndarray, rank: np.ndarray, small: int):
@@ -314,11 +345,21 @@ def _sets_of(docs: DataFrame, wanted_ids: DataFrame) -> DataFrame:
     return chosen.mapInArrow(sets, "cls long, items array<long>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _filtered(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``a``, ``b`` and ``far`` of the pairs that may link by their sketches."""
+    left = sketches.select(F.col("cls").alias("a"), F.col("n").alias("s"), F.col("sketch").alias("x"))
+    right = sketches.select(F.col("cls").alias("b"), F.col("n").alias("t"), F.col("sketch").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t", "x", "y").mapInArrow(_may_link, "a long, b long, far long")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, one_id: DataFrame) -> DataFrame:
+    """The pairs that link, by their whole sets."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = stash(_sets_of(docs, one_id.join(ends, "cls").select("doc_id")).join(ends, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
     left = sets.select(F.col("cls").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("items").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("x", "y"))
+    both = pairs.join(left, "a").join(right, "b")
     return both.filter(100 * common >= 80 * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
@@ -338,19 +379,21 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     postings = docs.mapInArrow(_postings(frequent[by], rank, boundary()), "key long, cls long, size int, place int")
     listed = stash(postings.repartition(n_parts, "key").mapInArrow(_lists, LISTED), "lists")
     lists = listed.filter("kind = 0").select("key", "cls", "size", "place")
-    votes = listed.filter("kind = 1").groupBy("cls", "other").agg(F.sum("place").alias("n"))
-    tried = votes.groupBy(F.col("cls").alias("a")).agg(F.max_by("other", F.struct("n", "other")).alias("b"))
     sure = listed.filter("kind = 2").select(F.col("cls").alias("a"), F.col("other").alias("b")).distinct()
-
-    one_id = own.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    wanted = one_id.join(lists.select("cls").distinct(), "cls", "left_semi").select("doc_id")
-    sets = stash(_sets_of(docs, wanted).dropDuplicates(["cls"]), "sets")
-    near = stash(_verified(tried, sets).union(sure), "near-links")
+    in_lists = lists.select("cls").distinct()
+    classes = described.filter("kind = 0 and cls is not null").join(in_lists, "cls", "left_semi")
+    classes = stash(classes.groupBy("cls").agg(F.min("id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "sketches")
+
+    voted = listed.filter("kind = 1").select(F.col("cls").alias("a"), F.col("other").alias("b")).distinct()
+    tried = _filtered(voted, classes).groupBy("a").agg(F.min_by("b", F.struct("far", "b")).alias("b"))
+    tried = stash(tried, "tried")
+    near = stash(_verified(tried, docs, classes).union(sure), "near-links")
     labels = components(near)
     in_comps = lists.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    several = in_comps.repartition(n_parts, "key").mapInArrow(_across, "a long, b long")
-    rest = several.distinct().join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    far = stash(_verified(rest, sets), "far-links")
+    several = in_comps.repartition(n_parts, "key").mapInArrow(_across, "a long, b long").distinct()
+    rest = several.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    rest = stash(_filtered(rest, classes).select("a", "b"), "rest")
+    far = stash(_verified(rest, docs, classes), "far-links")
     labels = components(near.union(far))
 
     grouped = own.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
