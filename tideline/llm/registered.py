@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tideline.llm import fingerprints, html, jaccard, mixing, neighbours, packing, repeats, rules, sharding
+from tideline.llm import fingerprints, html, jaccard, language, mixing, neighbours, packing, repeats, rules, sharding
 
 QUERIES = {
     "op1_neighbours": neighbours.op1_neighbours,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_jaccard": jaccard.op5_jaccard,
     "op6_packing": packing.op6_packing,
     "op7_html": html.op7_html,
+    "op8_language": language.op8_language,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_sharding": sharding.op10_sharding,
 }
