@@ -12,17 +12,18 @@ phrase and document, equal phrases are runs: all but the run's first document lo
 phrases of one trigger can still share strings, where a repeat begins or ends. Such strings contain the 17
 bytes left or right of the trigger, so only phrases of different first documents that agree there go on.
 
-*Suffix order.* For these, each suffix of a phrase that starts one of its strings is ranked by its first ``WIDTH``
-bytes (a 64-bit hash; order within equal ranks is by document), and again all but the first document lose it.
+*Suffix order.* For these, each suffix of a phrase that starts one of its strings is ranked in the same way by its first
+``WIDTH`` bytes (by hash, and by document within equal ranks), and again all but the first document lose it.
 
-What is sent of a phrase is about 13 bytes: parts of its two hashes, document and place, packed per batch and
+What is sent of a phrase or string is about 13 bytes: 88 bits of its hashes, document and place, packed per batch and
 bucket. Within a batch of documents only a phrase's first document is sent, so a passage in a third of all
-documents is a few entries per batch. The second step counts with the shuffle's own partial minima. Texts
+documents is a few entries per batch. Texts
 themselves move only to where their repeats are known, and only those of documents that have some.
 
 Defined cases: a null text counts as empty; texts shorter than ``WIDTH`` lose nothing. Rows of one id do not remove
 from each other, whatever their texts. Rows with a null id neither remove nor lose bytes. An empty table
-gives no rows. Other columns are kept by ``remove_repeats``.
+gives no rows. Other columns are kept by ``remove_repeats``, but for those named like the added ones. Names that
+start with an underscore are the operator's own.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -43,8 +45,8 @@ SPAN = WIDTH - TRIGGER + 1
 SIDE = SPAN // 2
 #: Bytes of text per bucket of phrases, and per group of documents.
 BUCKET_BYTES, CHUNK_BYTES = 32 << 20, 8 << 20
-#: Bytes of text that are parsed together.
-TOGETHER = 1 << 20
+#: Bytes of text that are parsed together, and whose phrases are packed together.
+TOGETHER, SEND_BYTES = 1 << 20, 8 << 20
 _PLACE = np.uint64((1 << 26) - 1)
 _rng = np.random.default_rng(4)
 _BYTE = _rng.integers(0, 2**64, 256, np.uint64)
@@ -87,8 +89,8 @@ class Hashes:
 
 
 def phrases(texts: list[bytes]):
-    """Of each phrase: its text's number, trigger hash, phrase hash, side hashes, first string's place
-    and how many more strings follow."""
+    """Of each phrase: its text's number, trigger hash, phrase hash, side hashes, first string's place,
+    how many more strings follow, and how far its trigger is from the first string's place."""
     out = []
     start = 0
     while start < len(texts):
@@ -132,7 +134,7 @@ def _parse(texts: list[bytes]):
     left = hashes.of(np.maximum(trigger - SIDE, first[text]), trigger)
     right_end = np.minimum(trigger + TRIGGER + SIDE, first[text] + lengths[text])
     right = hashes.of(trigger + TRIGGER, right_end)
-    return text, grams[trigger], _mix(phrase), left.astype(np.uint8), right.astype(np.uint8), begin - first[text], more
+    return text, grams[trigger], _mix(phrase), left.astype(np.uint8), right.astype(np.uint8), begin - first[text], more, trigger - begin
 
 
 def _pack(blob: bytes) -> bytes:
@@ -190,42 +192,56 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["kind", "bucket", "chunk", "blob"])
 
 
+def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the runs of equal values in sorted columns, and each row's run."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def _packed(n_buckets: int, n_chunks: int, ids, tags, found) -> list[tuple]:
+    """Rows to send for phrases: those whose document here is not their first are known repeats already."""
+    doc, trigger, phrase, left, right, start, more, off = found
+    order = np.argsort(phrase, kind="stable")
+    at, _ = _runs(phrase[order])
+    least = np.minimum.reduceat(ids[doc[order]], at) if len(at) else np.empty(0, np.int64)
+    known = np.zeros(len(order), bool)
+    known[order] = ids[doc[order]] > np.repeat(least, np.diff(np.append(at, len(order))))
+    d = doc[known]
+    rows = _by_chunk(REPEATED, n_chunks, n_buckets, *_joined(ids[d], tags[d], start[known], more[known]))
+    doc, trigger, phrase, left, right, start, more, off = (x[~known] for x in (doc, trigger, phrase, left, right, start, more, off))
+    key = trigger >> np.uint64(24)
+    bucket = (key % np.uint64(n_buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+    for b in range(n_buckets):
+        some = order[cuts[b] : cuts[b + 1]]
+        if not len(some):
+            continue
+        docs, index = np.unique(doc[some], return_inverse=True)
+        short = phrase[some] >> np.uint64(16)
+        raw = b"".join(a.tobytes() for a in (
+            np.array([len(docs), len(some)], np.int64), ids[docs].astype(np.int64), tags[docs].astype(np.int32),
+            np.diff(index, prepend=0).astype(np.int32), np.diff(start[some], prepend=0).astype(np.int32), more[some].astype(np.uint8), off[some].astype(np.uint8),
+            (key[some] // np.uint64(n_buckets)).astype(np.uint32), short.astype(np.uint32), (short >> np.uint64(32)).astype(np.uint16),
+            left[some], right[some],
+        ))
+        rows.append((PHRASES, b, -1, _pack(raw)))
+    return rows
+
+
 def _send(n_buckets: int, n_chunks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            if not texts:
-                continue
-            ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tag"))
-            doc, trigger, phrase, left, right, start, more = phrases(texts)
-            order = np.argsort(phrase, kind="stable")
-            new = np.ones(len(order), bool)
-            new[1:] = phrase[order][1:] != phrase[order][:-1]
-            at = np.flatnonzero(new)
-            least = np.minimum.reduceat(ids[doc[order]], at) if len(at) else np.empty(0, np.int64)
-            known = np.zeros(len(order), bool)
-            known[order] = ids[doc[order]] > np.repeat(least, np.diff(np.append(at, len(order))))
-            d = doc[known]
-            rows = _by_chunk(REPEATED, n_chunks, n_buckets, *_joined(ids[d], tags[d], start[known], more[known]))
-            doc, trigger, phrase, left, right, start, more = (x[~known] for x in (doc, trigger, phrase, left, right, start, more))
-            key = trigger >> np.uint64(24)
-            bucket = (key % np.uint64(n_buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-            for b in range(n_buckets):
-                some = order[cuts[b] : cuts[b + 1]]
-                if not len(some):
-                    continue
-                docs, index = np.unique(doc[some], return_inverse=True)
-                short = phrase[some] >> np.uint64(16)
-                raw = b"".join(a.tobytes() for a in (
-                    np.array([len(docs), len(some)], np.int64), ids[docs].astype(np.int64), tags[docs].astype(np.int32),
-                    np.diff(index, prepend=0).astype(np.int32), start[some].astype(np.int32), more[some].astype(np.uint8),
-                    (key[some] // np.uint64(n_buckets)).astype(np.uint32), short.astype(np.uint32), (short >> np.uint64(32)).astype(np.uint16),
-                    left[some], right[some],
-                ))
-                rows.append((PHRASES, b, -1, _pack(raw)))
-            yield _rows(rows)
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+            part = np.cumsum(sizes, dtype=np.int64) // SEND_BYTES
+            cuts = np.append(_runs(part)[0], len(part))
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                some = batch.slice(a, b - a)
+                ids, tags = (some.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tag"))
+                yield _rows(_packed(n_buckets, n_chunks, ids, tags, phrases(some.column("text").cast(pa.binary()).to_pylist())))
 
     return run
 
@@ -234,45 +250,42 @@ def _read_phrases(blob: bytes):
     raw = _unpack(blob)
     n_docs, n = np.frombuffer(raw, np.int64, 2)
     at, out = 16, []
-    for kind, m in ((np.int64, n_docs), (np.int32, n_docs), (np.int32, n), (np.int32, n), (np.uint8, n), (np.uint32, n), (np.uint32, n), (np.uint16, n), (np.uint8, n), (np.uint8, n)):
+    for kind, m in ((np.int64, n_docs), (np.int32, n_docs), (np.int32, n), (np.int32, n), (np.uint8, n), (np.uint8, n), (np.uint32, n), (np.uint32, n), (np.uint16, n), (np.uint8, n), (np.uint8, n)):
         out.append(np.frombuffer(raw, kind, int(m), at))
         at += out[-1].nbytes
-    ids, tags, step, start, more, key, low, high, left, right = out
+    ids, tags, step, move, more, off, key, low, high, left, right = out
     doc = np.cumsum(step)
-    return ids[doc], tags[doc], start, more.astype(np.int32), key, low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), left, right
-
-
-def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of the runs of equal values in sorted columns, and each row's run."""
-    new = np.zeros(len(columns[0]), bool)
-    new[:1] = True
-    for c in columns:
-        new[1:] |= c[1:] != c[:-1]
-    return np.flatnonzero(new), np.cumsum(new) - 1
+    return ids[doc], tags[doc], np.cumsum(move, dtype=np.int32), more.astype(np.int32), off.astype(np.int32), key, low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), left, right
 
 
 def _order(n_buckets: int, n_chunks: int):
+    """Sorts a bucket's phrases, and tells which strings are repeats and which may be."""
+
     def run(group: pa.Table) -> pa.Table:
         rows = [tuple(r) for r in zip(*(group.filter(pc.greater(group["kind"], PHRASES))[c].to_pylist() for c in ("kind", "bucket", "chunk", "blob")), strict=True)]
         blobs = group.filter(pc.equal(group["kind"], PHRASES))["blob"].to_pylist()
         if blobs:
-            doc, tag, start, more, key, phrase, left, right = (np.concatenate(c) for c in zip(*map(_read_phrases, blobs), strict=True))
+            doc, tag, start, more, off, key, phrase, left, right = (np.concatenate(c) for c in zip(*map(_read_phrases, blobs), strict=True))
             order = np.lexsort((doc, phrase, key))
-            doc, tag, start, more, key, phrase, left, right = (x[order] for x in (doc, tag, start, more, key, phrase, left, right))
+            doc, tag, start, more, off, key, phrase, left, right = (x[order] for x in (doc, tag, start, more, off, key, phrase, left, right))
             at, run_of = _runs(key, phrase)
             lead = doc[at]  # the first document of each phrase
             later = doc > lead[run_of]
             rows += _by_chunk(REPEATED, n_chunks, n_buckets, doc[later], tag[later], start[later], more[later])
             # phrases of one trigger that agree on a side but have different first documents
-            unsure = np.zeros(len(at), bool)
+            agrees = []
             for side in (left, right):
                 by = np.lexsort((side[at], key[at]))
                 starts, run_at = _runs(key[at][by], side[at][by])
-                if len(starts):
-                    differ = np.minimum.reduceat(lead[by], starts) != np.maximum.reduceat(lead[by], starts)
-                    unsure[by] |= differ[run_at]
-            look = ~later & unsure[run_of]
-            rows += _by_chunk(UNSURE, n_chunks, n_buckets, doc[look], tag[look], start[look], more[look])
+                differ = np.minimum.reduceat(lead[by], starts) != np.maximum.reduceat(lead[by], starts)
+                agrees.append(np.zeros(len(at), bool))
+                agrees[-1][by] = differ[run_at]
+            on_left, on_right = (g[run_of] for g in agrees)
+            # strings with the whole left side start up to SIDE before the trigger, those with the right side from there on
+            first = np.where(on_left, 0, np.maximum(off - SIDE, 0))
+            last = np.where(on_right, more, np.minimum(off - SIDE, more))
+            look = ~later & (on_left | on_right) & (first <= last)
+            rows += _by_chunk(UNSURE, n_chunks, n_buckets, doc[look], tag[look], (start + first)[look], (last - first)[look])
         return pa.Table.from_batches([_rows(rows)]).select(["kind", "chunk", "blob"])
 
     return run
@@ -296,34 +309,31 @@ def _wanted(ranges: pa.Table) -> dict[tuple[int, int], tuple[np.ndarray, np.ndar
     return {(int(doc[a]), int(tag[a])): (start[a:b], more[a:b]) for a, b in zip(at, np.append(at[1:], len(doc)), strict=True)}
 
 
-def _suffixes(docs: pa.Table, ranges: pa.Table) -> pa.Table:
-    """Each string of the unsure ranges: its hash, document and place."""
-    wanted = _wanted(ranges)
-    out = {"w": [], "doc_id": [], "tag": [], "start": []}
-    seen = set()
-    for doc_id, tag, text in zip(docs["doc_id"].to_pylist(), docs["_tag"].to_pylist(), docs["text"].cast(pa.binary()).to_pylist(), strict=True):
-        if (doc_id, tag) not in wanted or (doc_id, tag) in seen:
-            continue
-        seen.add((doc_id, tag))
-        start, more = wanted[doc_id, tag]
-        places = np.repeat(start, more + 1) + np.arange(int((more + 1).sum())) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
-        hashes = Hashes(np.frombuffer(text, np.uint8))
-        out["w"].append(hashes.of(places, places + WIDTH).view(np.int64))
-        out["doc_id"].append(np.full(len(places), doc_id))
-        out["tag"].append(np.full(len(places), tag, np.int32))
-        out["start"].append(places.astype(np.int32))
-    kinds = {"w": np.int64, "doc_id": np.int64, "tag": np.int32, "start": np.int32}
-    return pa.table({c: pa.array(np.concatenate(v) if v else np.empty(0, kinds[c]), pa.from_numpy_dtype(kinds[c])) for c, v in out.items()})
-
-
-def _blobs(n_chunks: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            doc, tag, start = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tag", "start"))
-            order = np.lexsort((start, tag, doc))
-            doc, tag, start = doc[order], tag[order], start[order]
-            rows = _by_chunk(REPEATED, n_chunks, 1, *_joined(doc, tag, start, np.zeros(len(doc), np.int64)))
-            yield _rows(rows).select(["kind", "chunk", "blob"])
+def _suffixes(n_buckets: int, n_chunks: int):
+    """Sends each string of the unsure ranges as a phrase of its own."""
+
+    def run(docs: pa.Table, ranges: pa.Table) -> pa.Table:
+        wanted = _wanted(ranges)
+        ids, tags, doc, start, hashes = [], [], [], [], []
+        seen = set()
+        for doc_id, tag, text in zip(docs["doc_id"].to_pylist(), docs["_tag"].to_pylist(), docs["text"].cast(pa.binary()).to_pylist(), strict=True):
+            if (doc_id, tag) not in wanted or (doc_id, tag) in seen:
+                continue
+            seen.add((doc_id, tag))
+            begin, more = wanted[doc_id, tag]
+            n = more + 1
+            places = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            hashes.append(Hashes(np.frombuffer(text, np.uint8)).of(places, places + WIDTH))
+            doc.append(np.full(len(places), len(ids)))
+            start.append(places)
+            ids.append(doc_id)
+            tags.append(tag)
+        if not ids:
+            return pa.Table.from_batches([_rows([])])
+        doc, start, hashes = np.concatenate(doc), np.concatenate(start), np.concatenate(hashes)
+        none = np.zeros(len(doc), np.uint8)
+        found = doc, _mix(hashes), hashes, none, none, start, none.astype(np.int64), none.astype(np.int64)
+        return pa.Table.from_batches([_rows(_packed(n_buckets, n_chunks, np.array(ids, np.int64), np.array(tags, np.int32), found))])
 
     return run
 
@@ -356,6 +366,7 @@ def _finish(docs: pa.Table, wanted: dict) -> pa.Table:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the bytes that stay (``kept``), ``n_bytes``, ``n_removed`` and ``n_spans``."""
+    docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets, n_chunks = parts(size, BUCKET_BYTES), parts(size, CHUNK_BYTES)
     keyed = _keyed(docs, n_chunks)
@@ -366,13 +377,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     unsure = found.filter(F.col("kind") == UNSURE)
     some = keyed.filter("doc_id is not null and text is not null").filter(id_filter(_ids(unsure)))
     some = some.select(F.col("doc_id").cast("long").alias("doc_id"), "_tag", "text", F.col("_chunk").alias("chunk"))
-    strings = some.groupBy("chunk").cogroup(unsure.select("chunk", "blob").groupBy("chunk")).applyInArrow(_suffixes, "w long, doc_id long, tag int, start int")
-    strings = stash(strings, "strings")
-    lead = strings.groupBy("w").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).filter("lead < last").select("w", "lead")
-    again = strings.join(lead, "w").filter("doc_id > lead").select("doc_id", "tag", "start")
-    again = stash(again.mapInArrow(_blobs(n_chunks), "kind int, chunk int, blob binary"), "repeated-strings")
+    strings = some.groupBy("chunk").cogroup(unsure.select("chunk", "blob").groupBy("chunk")).applyInArrow(_suffixes(n_buckets, n_chunks), SENT)
+    # a single string is sure: its runs are of equal strings, so what is still unsure differs
+    again = strings.groupBy("bucket").applyInArrow(_order(n_buckets, n_chunks), "kind int, chunk int, blob binary")
+    again = stash(again.filter(F.col("kind") == REPEATED), "repeated-strings").select("chunk", "blob")
 
-    ranges = found.filter(F.col("kind") == REPEATED).union(again).select("chunk", "blob")
+    ranges = found.filter(F.col("kind") == REPEATED).select("chunk", "blob").union(again)
     loses = F.coalesce(id_filter(_ids(ranges)), F.lit(False))
     fields = [f for f in docs.schema.fields]
     schema = T.StructType([*fields, *(T.StructField(n, t) for n, t in (("kept", T.BinaryType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType())))])
@@ -400,6 +410,12 @@ def _ids(ranges: DataFrame) -> DataFrame:
     return ranges.select("blob").mapInArrow(run, "doc_id long")
 
 
+@F.pandas_udf(T.StringType())
+def whole_characters(kept: pd.Series) -> pd.Series:
+    """Text from bytes, without characters of which bytes are missing."""
+    return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"), na_action="ignore")
+
+
 def op4_repeats(spark, sf_dir: str) -> DataFrame:
     """What is left of every document without strings of 50 bytes of earlier documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
