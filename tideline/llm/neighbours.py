@@ -3,7 +3,7 @@
 Each vector gets ``m`` random projections. A block of base vectors keeps one sorted array per
 projection. A query puts a window around its own value in every array and counts, for each base
 vector, in how many windows it lies. The windows widen together, level by level (virtual
-rehashing: no array is built again), and only what they newly cover is counted. A vector
+rehashing: no array is built again). A vector
 that collides in at least ``threshold`` of the arrays is verified by its exact inner product. A query
 stops once enough vectors are verified, or its windows hold the whole block.
 
@@ -30,58 +30,82 @@ from pyspark.sql.window import Window
 
 from tideline.llm.common import parts, stash
 
-PROJECTIONS = 64
+PROJECTIONS = 96
 #: Part of the projections in which a vector must collide.
-THRESHOLD = 0.75
-#: Vectors a query verifies in a block, as a part of the block, besides ten times ``k``.
-VERIFY = 0.25
+THRESHOLD = 0.85
+#: Vectors a query verifies in a block, as a part of the block, besides fifteen times ``k``.
+VERIFY = 0.08
 #: Half-width of the first windows, in standard deviations of a projection, and its growth.
-START, GROW = 0.8, 1.1
+START, GROW = 1.25, 1.06
+#: Places of a sorted array with a stored set of what lies before.
+STEPS = 64
 BASE_BLOCK, QUERY_BLOCK = 16_384, 2_048
 SALTS = 64
 SEED = 11
 
 
 class Block:
-    """Sorted projections of some base vectors."""
+    """Sorted projections of some base vectors.
+
+    Each sorted array also keeps, at ``STEPS`` evenly spaced places, the set of all vectors before
+    that place as bits. A window is the difference of two such sets, rounded outwards, and the
+    collisions of all vectors with many queries are counted in bit planes.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, top_norm: float, m: int = PROJECTIONS):
-        self.ids, self.vectors = ids, vectors
+        self.ids, self.vectors, self.m = ids, vectors, m
+        n = len(ids)
         fill = np.sqrt(np.maximum(top_norm**2 - (vectors**2).sum(axis=1), 0))
         self.axes = np.random.default_rng(SEED).standard_normal((vectors.shape[1] + 1, m))
         values = (np.column_stack([vectors, fill]) @ self.axes) / top_norm
-        self.order = np.ascontiguousarray(values.argsort(axis=0, kind="stable").T.astype(np.int32))
-        self.sorted = np.ascontiguousarray(np.sort(values, axis=0).T)
-        self.m = m
+        order = values.argsort(axis=0, kind="stable")
+        self.sorted = np.ascontiguousarray(np.take_along_axis(values, order, axis=0).T)
+        cuts = np.arange(STEPS + 1) * n // STEPS
+        self.before = np.zeros((m, STEPS + 1, -(-n // 64)), np.uint64)
+        rank = np.empty(n, np.int64)
+        for i in range(m):
+            rank[order[:, i]] = np.arange(n)
+            bits = np.packbits(rank < cuts[:, None], axis=1, bitorder="little")
+            self.before[i].view(np.uint8)[:, : bits.shape[1]] = bits
+
+    def _collisions(self, low: np.ndarray, high: np.ndarray, least: int) -> np.ndarray:
+        """For each query, the vectors (as bits) in at least ``least`` of its windows."""
+        planes: list[np.ndarray] = []
+        for i in range(self.m):
+            carry = self.before[i][high[:, i]] ^ self.before[i][low[:, i]]
+            for p in range(len(planes)):
+                planes[p], carry = planes[p] ^ carry, planes[p] & carry
+            if (i + 1) & i == 0:  # the count can reach one more bit
+                planes.append(carry)
+        more, same = np.zeros_like(planes[0]), ~np.zeros_like(planes[0])
+        for p in range(len(planes) - 1, -1, -1):
+            if least >> p & 1:
+                same &= planes[p]
+            else:
+                more |= same & planes[p]
+                same &= ~planes[p]
+        return more | same
 
     def search(self, queries: np.ndarray, k: int, threshold: float = THRESHOLD, verify: float = VERIFY):
         """For each query, positions and exact products of the best ``k`` found."""
         n = len(self.ids)
         unit = queries / np.linalg.norm(queries, axis=1, keepdims=True)
         at = unit @ self.axes[:-1]
-        enough, least = 10 * k + int(np.ceil(verify * n)), int(np.ceil(threshold * self.m))
+        enough, least = min(n, 15 * k + int(np.ceil(verify * n))), int(np.ceil(threshold * self.m))
         out = [None] * len(queries)
-        counts = np.zeros((len(queries), n), np.uint8)
-        middle = np.stack([np.searchsorted(self.sorted[i], at[:, i]) for i in range(self.m)], axis=1)
-        low, high = middle.copy(), middle.copy()
-        going, width = np.arange(len(queries)), START
-        while len(going):
-            new_low = np.stack([np.searchsorted(self.sorted[i], at[going, i] - width, "left") for i in range(self.m)], axis=1)
-            new_high = np.stack([np.searchsorted(self.sorted[i], at[going, i] + width, "right") for i in range(self.m)], axis=1)
-            still = []
-            for j, q in enumerate(going):
-                own = counts[q]
-                for i in range(self.m):
-                    row = self.order[i]
-                    own[row[new_low[j, i] : low[q, i]]] += 1
-                    own[row[high[q, i] : new_high[j, i]]] += 1
-                found = np.flatnonzero(own >= least)
-                if len(found) >= min(enough, n) or (new_high[j] - new_low[j]).min() >= n:
-                    out[q] = self._verify(found if len(found) >= min(k, n) else np.arange(n), queries[q], k)
-                else:
-                    still.append(q)
-            low[going], high[going] = new_low, new_high
-            going, width = np.array(still, np.int64), width * GROW
+        for first in range(0, len(queries), 64):
+            going, width = np.arange(first, min(first + 64, len(queries))), START
+            while len(going):
+                low = np.stack([np.searchsorted(self.sorted[i], at[going, i] - width, "left") for i in range(self.m)], axis=1)
+                high = np.stack([np.searchsorted(self.sorted[i], at[going, i] + width, "right") for i in range(self.m)], axis=1)
+                whole = (high - low).min(axis=1) >= n
+                hits = self._collisions(low * STEPS // n, -(-high * STEPS // n), least)
+                counts = np.bitwise_count(hits).sum(axis=1)
+                done = (counts >= enough) | whole
+                for j in np.flatnonzero(done):
+                    found = np.arange(n) if whole[j] else np.flatnonzero(np.unpackbits(hits[j].view(np.uint8), bitorder="little", count=n))
+                    out[going[j]] = self._verify(found, queries[going[j]], k)
+                going, width = going[~done], width * GROW
         return out
 
     def _verify(self, found: np.ndarray, query: np.ndarray, k: int):
