@@ -44,6 +44,8 @@ WORDS = 5
 POSTINGS_PER_PART = 2_000_000
 #: A shingle is frequent if so many sets of one batch hold it; at most so many are ordered by count.
 FREQUENT, MOST_FREQUENT = 8, 50_000
+#: In place of a place: a subset that links sets of one size, or of two sizes.
+SAME, OTHER = -1, -2
 #: Subsets may cost so many times what lists and sets do.
 SUBSET_COST = 4
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -193,7 +195,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _postings(frequent: np.ndarray, rank: np.ndarray, small: int):
-    """Entries of the inverted lists (place >= 0) and of the subset index (place -1)."""
+    """Entries of the inverted lists (place >= 0) and of the subset index (place SAME or OTHER)."""
     also = -(-4 * (small + 1) // 5)  # the smallest size that links with a large set
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,12 +219,12 @@ def _postings(frequent: np.ndarray, rank: np.ndarray, small: int):
                     places.append(np.arange(len(first)))
                 if n <= small:
                     own = [
-                        hash((min(n, t), max(n, t), c)) & (2**64 - 1)
+                        (hash((min(n, t), max(n, t), c)) & (2**64 - 1), SAME if n == t else OTHER)
                         for t in partners(n) if t <= small and need(n, t) <= n
                         for c in itertools.combinations(s.tolist(), need(n, t))
                     ]
-                    keys.append(_mix(np.array(own, np.uint64) ^ _K[4]))
-                    places.append(np.full(len(own), -1))
+                    keys.append(_mix(np.array([k for k, _ in own], np.uint64) ^ _K[4]))
+                    places.append(np.array([p for _, p in own]))
                 while len(classes) < len(keys):
                     m = len(keys[len(classes)])
                     classes.append(np.full(m, cls, np.uint64))
@@ -296,7 +298,7 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = np.arange(len(k))
         same = s[head] == s[last]
         other = np.where(same, head, other)
-        fine = other != at
+        fine = (other != at) & ~(same & (p == OTHER))
         pairs = np.unique(np.stack([c[fine], c[other][fine]], axis=1), axis=0)
         yield _listed(2, np.zeros(len(pairs), np.int64), pairs[:, 0], pairs[:, 1], np.zeros(len(pairs)), np.zeros(len(pairs)))
 
