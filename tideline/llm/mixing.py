@@ -17,7 +17,8 @@ must stay below 2**63.
 Defined cases: a null domain, language or source is a node of its own, ``''``. A null or empty
 text has no tokens; a leaf of only such texts is taken once if it has weight. Nodes of
 weight 0 give nothing. Repeated rows are read as rows of one id. A null id is ordered as ``''``.
-An empty table gives no rows. Extra columns are kept.
+An empty table gives no rows. Extra columns are kept, but for those
+named like the added ones. Names that start with an underscore are the operator's own.
 """
 
 from __future__ import annotations
@@ -120,7 +121,8 @@ def mix(docs: DataFrame, budget: float, weights: dict[tuple[str, ...], int] = WE
     copies = F.col("_epochs") + F.when(F.col("_end").isNotNull() & (place <= F.col("_end")), 1).otherwise(0)
     taken = joined.withColumn("_copies", copies.cast("int")).filter("_copies > 0")
     out = taken.withColumn("epoch", F.explode(F.expr("sequence(0, _copies - 1)")))
-    return out.select(*docs.columns, F.col("_domain").alias("domain"), F.col("_tokens").alias("n_tokens"), "epoch", F.col("budget").alias("leaf_budget"))
+    kept = [f"`{c}`" for c in docs.columns if c not in ("domain", "n_tokens", "epoch", "leaf_budget")]
+    return out.select(*kept, F.col("_domain").alias("domain"), F.col("_tokens").alias("n_tokens"), "epoch", F.col("budget").alias("leaf_budget"))
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ among all of them; statistics and scores are computed for every whole text.
 Defined cases: a null text is scored as an empty one. A label that is null, or of an id that no
 document has, is not used. Several labels of one id count as several rows. Without labels every score is
 0.5; with labels of one class only, it is that class's smoothed rate. Repeated
-documents are scored each. Extra columns are kept by ``score_documents``.
+documents are scored each. Extra columns are kept by ``score_documents``, but for ``score`` and ``predicted``. Names that
+start with an underscore are the operator's own.
 """
 
 from __future__ import annotations
