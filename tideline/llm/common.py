@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,3 +78,12 @@ def id_filter(ids: DataFrame, col: str = "doc_id") -> Column:
         return pd.Series((p.to_numpy() == 0) | (held & 1).astype(bool))
 
     return maybe(place)
+
+
+def byte_slices(batch: pa.RecordBatch, limit: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in stretches of about ``limit`` bytes of text; a longer text is one of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // limit
+    cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1)) if len(part) else []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(a, b - a)

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import id_filter, parts, stash, text_of
+from tideline.llm.common import byte_slices, id_filter, parts, stash, text_of
 
 WIDTH, TRIGGER = 50, 16
 SPAN = WIDTH - TRIGGER + 1
@@ -235,11 +235,7 @@ def _packed(n_buckets: int, n_chunks: int, ids, tags, found) -> list[tuple]:
 def _send(n_buckets: int, n_chunks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-            part = np.cumsum(sizes, dtype=np.int64) // SEND_BYTES
-            cuts = np.append(_runs(part)[0], len(part))
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                some = batch.slice(a, b - a)
+            for some in byte_slices(batch, SEND_BYTES):
                 ids, tags = (some.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tag"))
                 yield _rows(_packed(n_buckets, n_chunks, ids, tags, phrases(some.column("text").cast(pa.binary()).to_pylist())))
 
@@ -303,7 +299,7 @@ def _wanted(ranges: pa.Table) -> dict[tuple[int, int], tuple[np.ndarray, np.ndar
     if not blobs:
         return {}
     doc, tag, start, more = (np.concatenate(c) for c in zip(*map(_read_ranges, blobs), strict=True))
-    order = np.lexsort((tag, doc))
+    order = np.lexsort((start, tag, doc))
     doc, tag, start, more = doc[order], tag[order], start[order], more[order]
     at, _ = _runs(doc, tag)
     return {(int(doc[a]), int(tag[a])): (start[a:b], more[a:b]) for a, b in zip(at, np.append(at[1:], len(doc)), strict=True)}
