@@ -1,0 +1,201 @@
+"""Quality rules, mixing, page text and language scores."""
+
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.data import documents, empty, words
+from tideline.llm import html, language, mixing, rules
+
+
+def labelled(n=400):
+    rng = random.Random(4)
+    docs, labels = [], []
+    for i in range(n):
+        good = rng.random() < 0.7
+        text = words(rng, rng.randint(5, 80))
+        docs.append((i, text if good else text.upper().replace(" ", "!! ")))
+        labels.append((i, int(good), 0))
+    return docs, labels
+
+
+def test_rules_separate_and_match_their_columns(spark):
+    docs, labels = labelled()
+    frame = spark.createDataFrame(docs + [(None, None), (9000, ""), (9001, "x " * 50_000)], "doc_id long, text string").withColumn("score", F.lit("x"))
+    marks = spark.createDataFrame(labels + [(None, 1, 0), (5, None, 0), (99999, 1, 1)], "doc_id long, quality int, toxic int")
+    model = rules.train(frame, marks)
+    scored = rules.score_documents(frame, model)
+    got = {r.doc_id: (r.score, r.predicted) for r in scored.collect()}
+    assert len(got) == len(docs) + 3 and all(0 <= s <= 1 and p == (s >= 0.3) for s, p in got.values())
+    assert np.mean([got[i][1] == q for i, q, _ in labels]) > 0.98
+    stats, _ = rules.with_statistics(frame)
+    rows = stats.select("doc_id", "_stats").collect()
+    again = model.predict(np.array([r._stats for r in rows]))
+    assert np.allclose(again, [got[r.doc_id][0] for r in rows])
+
+
+def test_rules_without_or_with_one_label(spark):
+    docs = spark.createDataFrame([(i, "a b") for i in range(9)], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r.score for r in rules.score_documents(docs, rules.train(docs, none)).collect()} == {0.5}
+    one = spark.createDataFrame([(i, 1) for i in range(9)], "doc_id long, quality int")
+    assert all(r.predicted == 1 for r in rules.score_documents(docs, rules.train(docs, one)).collect())
+    assert rules.score_documents(docs.limit(0), rules.train(docs, one)).collect() == []
+
+
+def brute_mix(rows, part, weights, langs, epochs):
+    """Budgets by water-filling node by node, then prefixes row by row."""
+    import hashlib
+
+    leaves = defaultdict(list)
+    for i, doc_id, tokens, path in rows:
+        leaves[path].append((i, doc_id, tokens))
+    weight = lambda p: weights.get(p, langs.get(p[1], 1) if len(p) == 2 else 1)
+    leaves = {p: r for p, r in leaves.items() if all(weight(p[:k]) > 0 for k in (1, 2, 3))}
+    cap = defaultdict(int)
+    for p, r in leaves.items():
+        for k in range(4):
+            cap[p[:k]] += epochs * sum(t for *_, t in r)
+
+    def split(node, budget):
+        if len(node) == 3:
+            return {node: budget}
+        children = sorted({p[: len(node) + 1] for p in leaves if p[: len(node)] == node}, key=lambda c: (cap[c] / weight(c), c[-1]))
+        out, left, open_ = {}, budget, list(children)
+        while open_ and cap[open_[0]] * sum(map(weight, open_)) <= left * weight(open_[0]):
+            c = open_.pop(0)
+            out[c] = cap[c]
+            left -= cap[c]
+        total = sum(map(weight, open_))
+        out |= {c: left * weight(c) // total for c in open_}
+        return {leaf: b for c, own in out.items() for leaf, b in split(c, own).items()}
+
+    budgets = split((), min(int(sum(t for *_, t, _ in rows) * part), cap[()]))
+    taken = Counter()
+    for p, r in leaves.items():
+        supply = sum(t for *_, t in r)
+        full, rest = divmod(budgets[p], supply) if supply else (1, 0)
+        key = lambda x: (hashlib.md5(f"17:{full}:{'' if x[1] is None else x[1]}".encode()).hexdigest(), -(2**63) if x[1] is None else x[1], x[2])  # noqa: B023, E731
+        before = 0
+        for i, _, t in sorted(r, key=key):
+            taken[i] += full + (before < rest)
+            before += t
+    return Counter({i: n for i, n in taken.items() if n})
+
+
+@pytest.mark.parametrize("part,epochs", [(0.6, 4), (1.0, 1), (0.3, 1), (3.0, 4)])
+def test_mix(spark, part, epochs):
+    docs = documents(spark, n=90, odd=False).withColumn("epoch", F.lit("clash"))
+    rows = []
+    for r in docs.collect():
+        s = r.source or ""
+        domain = "web" if s[-1:] in "0369" and s else "books" if s[-1:] in "147" and s else "forums"
+        rows.append((r.doc_id, r.doc_id, len((r.text or "").encode().split()), (domain, r.lang or "", s)))
+    got = Counter(r.doc_id for r in mixing.mix(docs, part, max_epochs=epochs).collect())
+    assert got == brute_mix(rows, part, mixing.WEIGHTS, mixing.LANG_WEIGHTS, epochs)
+
+
+def test_mix_odd(spark):
+    docs = documents(spark)
+    assert mixing.mix(docs, 1.0, max_epochs=1).count() == docs.count()
+    assert mixing.mix(docs, 1.0, weights={("web",): 0, ("books",): 1, ("forums",): 1}).filter("domain = 'web'").count() == 0
+    assert mixing.mix(empty(spark), 0.5).collect() == []
+
+
+PAGES = [
+    ("https://a.example/1", "<html><head><title>no</title><style>p{}</style></head><body><nav><a href=x>menu</a></nav><article><h1>T &amp; t</h1><p>one  <b>two<br>three<p>four</article><footer>f</footer></body></html>", "T & t\n\none two three\n\nfour"),
+    ("https://a.example/2", None, ""),
+    (None, "", ""),
+    ("https://a.example/3", "plain &lt;text&gt; a < b", "plain <text> a < b"),
+    ("https://a.example/4", "<div class='sidebar'>side</div><main><p>main<script>var a='</p>'</script> text</p><div class=comments><p>me too</p></div><form>f</form></main>", "main text"),
+    ("https://a.example/5", "<!-- c --><p>un<!-- x -->closed <div>block</div></p> tail", "unclosed\n\nblock\n\ntail"),
+    ("https://a.example/6", "<article><header><h1>Title</h1></header><ul><li>a<li>b</ul><aside>x</aside><div class='ad'>buy</div></article></article>", "Title\n\na\n\nb"),
+]
+
+
+def test_pages(spark):
+    rows = [(i, u, h) for i, (u, h, _) in enumerate(PAGES)] + [(None, "x", "<p>y</p>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit(1)).withColumn("low", F.lit(2))
+    got = {r.page_id: r for r in html.extract_text(frame).collect()}
+    for i, (url, _, text) in enumerate(PAGES):
+        assert (got[i].url, got[i].text, got[i].n_chars) == (url, text, len(text))
+    assert got[None].text == "y"
+    assert html.extract_text(frame.limit(0)).collect() == []
+
+
+def test_what_a_host_repeats_is_not_content(spark):
+    rng = random.Random(6)
+    body = [words(rng, 30) for _ in range(30)]
+    rows = [(i, "http://h.example/" + str(i), f"<body><div class=x1>We use biscuits here</div><div class=x2><p>{b}</p></div></body>") for i, b in enumerate(body)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html.extract_text(frame).collect()} == dict(enumerate(body))
+
+
+def test_a_long_page(spark):
+    text = "word " * 200_000
+    frame = spark.createDataFrame([(1, "http://x.example", f"<article><p>{text}</p></article>")], "page_id long, url string, html string")
+    assert html.extract_text(frame).first().n_chars == len(text) - 1
+
+
+def test_language_counts_and_base(spark):
+    docs = documents(spark, n=120)
+    rows = docs.select("doc_id", "text").collect()
+    words_of = [(r.doc_id, (r.text or "").encode().lower().split() + [b"\0end"], r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 10 == 0) for r in rows]
+    count = Counter(w for _, ws, held in words_of if not held for w in ws)
+    total, distinct = sum(count.values()), len(count)
+    base = lambda ws: sum(math.log10((count[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in ws)
+    want = sorted(((i, held, len(ws), sum(count[w] > 0 for w in ws), total, round(base(ws), 6)) for i, ws, held in words_of), key=repr)
+    got = language.score_documents(docs).collect()
+    assert sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got), key=repr) == want
+    assert all(np.isfinite(r.score) and r.score <= 0 for r in got)
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)
+    assert language.score_documents(empty(spark)).collect() == []
+
+
+def test_windows_score_each_subword_once():
+    rng = np.random.default_rng(0)
+    sequences = [rng.integers(0, 5000, n).astype(np.int32) for n in (0, 1, 15, 16, 17, 100)]
+    x, target, sizes = language.windows(sequences)
+    end, begin, pad, _ = language.vocabulary()
+    assert target[target >= 0].tolist() == [t for s in sequences for t in [*s.tolist(), end]]
+    assert (x == begin).any() and sizes.tolist() == [len(s) + 1 for s in sequences]
+    front = language.WINDOW - language.STRIDE
+    for row, goals in zip(x, target, strict=True):
+        for j in range(language.STRIDE - 1):
+            if goals[j] >= 0 and goals[j] != end:
+                assert row[front + j + 1] == goals[j]
+
+
+def test_attention_is_causal_and_normalised():
+    rng = np.random.default_rng(1)
+    size = language.vocabulary()[3]
+    classes = rng.integers(0, language.CLASSES, size).astype(np.int32)
+    own = rng.integers(0, 9, size).astype(float)
+    follows = rng.integers(0, 4, (size, language.CLASSES)).astype(float)
+    model = language.fit(own, follows, [], classes)
+    model.wv[:] = rng.standard_normal(model.wv.shape)
+    model.freeze()
+    x = rng.integers(0, 5000, (1, language.WINDOW))
+    total = sum(np.exp(model.log_shares(np.repeat(x, 2048, 0), np.broadcast_to(np.arange(a, a + 2048).clip(max=size - 1)[:, None], (2048, language.STRIDE)))[: max(0, min(2048, size - a))]).sum(axis=0) for a in range(0, size, 2048))
+    assert np.allclose(total, 1, atol=1e-3)
+    y = x.copy()
+    y[0, -1] = 7
+    t = np.full((1, language.STRIDE), 11)
+    assert np.allclose(model.log_shares(x, t)[:, :-1], model.log_shares(y, t)[:, :-1])
+
+
+def test_training_lowers_the_loss(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["aa bb cc dd", "ee ff gg hh"]) for _ in range(1)).split()[0] and (("aa bb cc dd " if k % 2 else "ee ff gg hh ") * 30) for k in range(60)]
+    sample = [t.encode() for t in texts]
+    sequences = language._sequences(language.Words(sample))
+    classes = language.cluster(sequences)
+    size = language.vocabulary()[3]
+    flat = language.fit(np.ones(size), np.zeros((size, language.CLASSES)), [], classes)
+    trained = language.fit(np.ones(size), np.zeros((size, language.CLASSES)), sample, classes)
+    assert language.log_probabilities(trained, sequences).sum() > language.log_probabilities(flat, sequences).sum() + 100
