@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import remainder, stash, text_of
+from tideline.llm.common import byte_slices, remainder, stash, text_of
 from tideline.llm.packing import encoder
 
 WINDOW, STRIDE = 24, 16
@@ -43,6 +43,8 @@ KINDS = 8
 BACK_OFF = 0.05
 SAMPLE_DOCS, SAMPLE_BYTES = 2_000, 200_000
 EPOCHS, BATCH = 2, 256
+#: Bytes of text that are worked on together.
+TOGETHER = 4 << 20
 PRIOR = 20.0
 _BYTE = np.random.default_rng(8).integers(0, 2**64, 256, np.uint64)
 _BASE = np.uint64(0x5851F42D4C957F2D)
@@ -350,38 +352,48 @@ def log_probabilities(model: Attention, sequences: list[np.ndarray]) -> np.ndarr
 COUNTED = "kind int, a long, b long, n long"
 
 
+def _tally(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct small numbers and how often each occurs."""
+    n = np.bincount(values)
+    some = np.flatnonzero(n)
+    return some, n[some]
+
+
 def _count(classes: np.ndarray, centres: np.ndarray):
     """Kind 0: a word's hash and the kind of text; kind 1: a subword's id; kind 2: a subword's id and the class after it."""
-    end, begin, _, size = vocabulary()
+    end, begin, _, _ = vocabulary()
+
+    def tallies(texts: list[bytes]) -> list[np.ndarray]:
+        words = Words(texts)
+        kind_of = nearest_kind(histograms(_sequences(words), classes), centres)
+        used, times = _tally(words.index * KINDS + np.repeat(kind_of, np.diff(words.firsts)))
+        ids, _ = words.sequence(0, len(words.index))
+        ends = np.concatenate([[0], np.cumsum(words.length[words.index])])[words.firsts]
+        with_ends = np.insert(ids, ends[1:], end)
+        follow = np.concatenate([[begin], with_ends[:-1]])
+        follow[follow == end] = begin
+        pairs, pair_n = _tally(follow.astype(np.int64) * CLASSES + classes[with_ends])
+        some, some_n = _tally(with_ends)
+        rows = [
+            (0, np.append(words.hashes[used // KINDS], np.full(KINDS, END_WORD)).view(np.int64), np.append(used % KINDS, np.arange(KINDS)),
+             np.append(times, np.bincount(kind_of, minlength=KINDS))),
+            (1, some, np.zeros(len(some)), some_n),
+            (2, pairs // CLASSES, pairs % CLASSES, pair_n),
+        ]
+        return [np.concatenate([np.asarray(c[k], np.int64) for c in rows]) for k in (1, 2, 3)] + [np.repeat([0, 1, 2], [len(r[1]) for r in rows])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            if not texts:
+            found = [tallies(some.column("text").cast(pa.binary()).to_pylist()) for some in byte_slices(batch, TOGETHER)]
+            if not found:
                 continue
-            words = Words(texts)
-            kind_of = nearest_kind(histograms(_sequences(words), classes), centres)
-            used, times = np.unique(words.index * KINDS + np.repeat(kind_of, np.diff(words.firsts)), return_counts=True)
-            ids, _ = words.sequence(0, len(words.index))
-            per_word = words.length[words.index]
-            ends = np.concatenate([[0], np.cumsum(per_word)])[words.firsts]
-            with_ends = np.insert(ids, ends[1:], end)
-            follow = np.concatenate([[begin], with_ends[:-1]])
-            follow[follow == end] = begin
-            pairs, pair_n = np.unique(follow.astype(np.int64) * CLASSES + classes[with_ends], return_counts=True)
-            own = np.bincount(with_ends, minlength=size)
-            some = np.flatnonzero(own)
-            rows = [
-                (0, np.append(words.hashes[used // KINDS], np.full(KINDS, END_WORD)).view(np.int64), np.append(used % KINDS, np.arange(KINDS)),
-                 np.append(times, np.bincount(kind_of, minlength=KINDS))),
-                (1, some, 0, own[some]),
-                (2, pairs // CLASSES, pairs % CLASSES, pair_n),
-            ]
-            for kind, a, b, n in rows:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(a), kind, np.int32)), pa.array(np.asarray(a, np.int64)),
-                    pa.array(np.broadcast_to(np.asarray(b, np.int64), a.shape)), pa.array(np.asarray(n, np.int64)),
-                ], ["kind", "a", "b", "n"])
+            a, b, n, kind = (np.concatenate(c) for c in zip(*found, strict=True))
+            order = np.lexsort((a, kind * CLASSES + b))
+            a, b, n, kind = a[order], b[order], n[order], kind[order]
+            at = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (kind[1:] != kind[:-1])]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kind[at].astype(np.int32)), pa.array(a[at]), pa.array(b[at]), pa.array(np.add.reduceat(n, at))], ["kind", "a", "b", "n"]
+            )
 
     return run
 
@@ -402,8 +414,7 @@ def _score(model: Attention, table: Table, train_tokens: int, distinct: int, mix
         end_row = table.find(np.array([END_WORD]))
         end_count = int(table.count(end_row)[0])
         for big in batches:
-            for a in range(0, big.num_rows, 2000):
-                batch = big.slice(a, 2000)
+            for batch in byte_slices(big, TOGETHER):
                 words = Words(batch.column("text").cast(pa.binary()).to_pylist())
                 sequences = _sequences(words)
                 logs = log_probabilities(model, sequences).astype(np.float64)
@@ -458,7 +469,7 @@ def fit(own: np.ndarray, follows: np.ndarray, sample: list[bytes], classes: np.n
     own = own + 0.5
     per_class = np.bincount(classes, own, CLASSES)
     within = np.log(own / per_class[classes])
-    usual = per_class / per_class.sum()
+    usual = (per_class + 1e-3) / (per_class + 1e-3).sum()
     follows = np.log((follows + PRIOR * usual) / (follows.sum(axis=1, keepdims=True) + PRIOR))
     model = Attention(follows.astype(np.float32), within.astype(np.float32), classes)
     if sample:
@@ -487,6 +498,19 @@ def mixture(model: Attention, sample: list[bytes], table: Table) -> float:
     return min(max(mixed, 0.01), 0.99)
 
 
+def _least_count(word_counts: DataFrame) -> int:
+    """The count from which on words are in the table, so that TABLE of them are at most."""
+    step = F.floor(F.log2("c") * 16).cast("int").alias("step")
+    sizes = {r.step: (r.n, r.least) for r in word_counts.groupBy(step).agg(F.count("*").alias("n"), F.min("c").alias("least")).collect()}
+    least, held = 2**62, 0
+    for _, (n, low) in sorted(sizes.items(), reverse=True):  # at most 16 rows per doubling
+        held += n
+        if held > TABLE:
+            break
+        least = low
+    return least
+
+
 def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), (remainder(folds) == 0).alias("held_out"))
@@ -506,7 +530,7 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     word_counts = stash(counted.filter("kind = 0").groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("c"), *by_kind), "word-counts")
     totals = word_counts.agg(F.sum("c").alias("tokens"), F.count("*").alias("distinct"), *[F.sum(f"k{k}").alias(f"k{k}") for k in range(KINDS)]).first()
     tokens, distinct = int(totals.tokens or 0), int(totals.distinct or 0)
-    top = word_counts.orderBy(F.desc("c"), "word").limit(TABLE).toPandas()  # TABLE rows at most
+    top = word_counts.filter(F.col("c") >= _least_count(word_counts)).toPandas()  # TABLE rows at most
     names = [f"k{k}" for k in range(KINDS)]
     table = Table(top["word"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), top[names].to_numpy(np.float64).reshape(-1, KINDS),
                   np.array([totals[k] or 0 for k in names], float), tokens)
