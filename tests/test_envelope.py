@@ -99,6 +99,28 @@ def test_map_and_text_images(spark):
     assert got["before"] == {} and got["after"] == {"x": [1, {"y": 2}]}
 
 
+def test_exact_numbers(spark):
+    text = '{"payload":{"after":{"a":12345678901234567890.123456789012,"b":1.10,"c":"","d":null},"op":"c"}}'
+    df = spark.createDataFrame([(text,)], "value STRING")
+    assert "12345678901234567890.123456789012" in unwrap_payload(df).first().value
+    declared = "a DECIMAL(38,12), b DECIMAL(10,2), c STRING, d STRING"
+    row = parse_envelope(df, declared).first().after
+    assert (str(row.a), str(row.b), row.c, row.d) == ("12345678901234567890.123456789012", "1.10", "", None)
+    assert parse_envelope(df, declared, empty_as_null=True).first().after.c is None
+
+
+def test_untyped_images_follow_the_rules(spark):
+    env = frame(spark, (None, ROW, SOURCE, "c", 7, None))
+    text = env.withColumns({"before": F.lit(None).cast("string"), "after": F.lit('{"x":null,"at":1704067200000,"n":12345678901234567890.5}')})
+    [got] = values(normalize_envelope(text, {"at": m.TIMESTAMP_MS}))
+    assert got["after"] == {"x": "", "at": "2024-01-01 00:00:00", "n": 12345678901234567890.5}
+    own = {"shop.t1": {"at": m.DATE}, "at": m.TIMESTAMP_MS}
+    days = text.withColumn("after", F.lit('{"at":19723}'))
+    assert values(normalize_envelope(days, own))[0]["after"] == {"at": "2024-01-01"}
+    maps = text.withColumns({c: F.create_map(F.lit("at"), F.lit("1704067200000"), F.lit("y"), F.lit(None).cast("string")) for c in ("before", "after")})
+    assert values(normalize_envelope(maps, {"at": m.TIMESTAMP_MS}))[0]["after"] == {"at": "2024-01-01 00:00:00", "y": ""}
+
+
 def test_unwrap(spark):
     bare = '{"op":"c","after":{"x":1}}'
     df = spark.createDataFrame([(bare,), ('{"schema":{},"payload":' + bare + "}",)], "value STRING")

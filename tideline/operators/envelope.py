@@ -11,30 +11,95 @@ from tideline.functions.json_text import object_text, or_empty
 from tideline.functions.temporal import NATIVE, render_temporal
 
 
-def _image(df: DataFrame, name: str, temporal: dict[str, str], tz: str, compat: bool) -> Column:
+#: Logical types by field, or by ``db.table`` and field.
+Temporal = dict[str, str | dict[str, str]]
+
+
+def _cases(temporal: Temporal) -> list[tuple[Column | None, str, str]]:
+    """(which rows, field, logical type); a table's own types come before those of all tables."""
+    name = F.concat(F.trim("source.db"), F.lit("."), F.trim("source.table"))
+    own = [(name == table, f, logical) for table, fields in temporal.items() if isinstance(fields, dict) for f, logical in fields.items()]
+    return own + [(None, f, logical) for f, logical in temporal.items() if isinstance(logical, str)]
+
+
+def _loose_text(key: Column, raw: Column, temporal: Temporal, tz: str, compat: bool) -> Column:
+    """The temporal text of a field of an untyped image; null where it has none."""
+    out = None
+    for rows, field, logical in _cases(temporal):
+        here = (key == field) if rows is None else rows & (key == field)
+        zoned = logical == m.ZONED
+        text = render_temporal(raw if zoned else raw.try_cast("bigint"), logical, None if zoned else tz, compat, "string" if zoned else "bigint")
+        out = F.when(here, text) if out is None else out.when(here, text)
+    return F.lit(None).cast("string") if out is None else out
+
+
+def _struct_fields(df: DataFrame, name: str, temporal: Temporal, tz: str, compat: bool) -> list[tuple[str, list[tuple[Column | None, Column]]]]:
+    """Each field of a struct image with its forms: (which rows, value), the last one for all others."""
+    out, image = [], F.col(name)
+    for f in df.schema[name].dataType.fields:
+        kind, col = f.dataType.simpleString(), image[f.name]
+
+        def shown(logical: str | None, col: Column = col, kind: str = kind, dtype: T.DataType = f.dataType) -> Column:
+            # 32-bit times stay numbers in compat mode
+            raw = compat and logical == m.TIME_MS and isinstance(dtype, T.IntegerType)
+            if not logical or raw:
+                return col
+            return render_temporal(col, logical, None if logical == m.ZONED else tz, compat, kind)
+
+        cases = [(rows, logical) for rows, field, logical in _cases(temporal) if field == f.name]
+        if not cases or cases[-1][0] is not None:
+            cases.append((None, NATIVE.get(kind)))
+        out.append((f.name, [(rows, shown(logical)) for rows, logical in cases]))
+    return out
+
+
+def _image(df: DataFrame, name: str, temporal: Temporal, tz: str, compat: bool) -> Column:
     """An image for ``to_json``: ``{}`` when absent, ``""`` for null fields."""
     dtype, image = df.schema[name].dataType, F.col(name)
     if isinstance(dtype, T.MapType):
-        filled = F.transform_values(image, lambda _, v: F.coalesce(v.cast("string"), F.lit("")))
+        filled = F.transform_values(
+            image, lambda k, v: F.coalesce(_loose_text(k, v.cast("string"), temporal, tz, compat), v.cast("string"), F.lit(""))
+        )
         return F.coalesce(filled, F.create_map().cast("map<string,string>")).alias(name)
     if not isinstance(dtype, T.StructType):
-        return F.parse_json(F.coalesce(image, F.lit("{}"))).alias(name)
-    fields = []
-    for f in dtype.fields:
-        kind = f.dataType.simpleString()
-        col, logical = image[f.name], temporal.get(f.name, NATIVE.get(kind))
-        # 32-bit times stay numbers in compat mode
-        raw = compat and logical == m.TIME_MS and isinstance(f.dataType, T.IntegerType)
-        if logical and not raw:
-            zone = None if logical == m.ZONED else tz
-            col = render_temporal(col, logical, zone, compat, kind)
-        fields += or_empty(f.name, col, image.isNotNull())
-    return F.struct(*fields).alias(name)
+        fields = F.variant_get(F.parse_json(F.coalesce(image, F.lit("{}"))), "$", "map<string,variant>")
+
+        def value(k: Column, v: Column) -> Column:
+            text = _loose_text(k, F.try_variant_get(v, "$", "string"), temporal, tz, compat)
+            empty = v.isNull() | F.is_variant_null(v)
+            return F.when(empty, F.lit("").cast("variant")).when(text.isNotNull(), text.cast("variant")).otherwise(v)
+
+        return F.transform_values(fields, value).alias(name)
+    written = []
+    for field, forms in _struct_fields(df, name, temporal, tz, compat):
+        before = F.lit(False)
+        for rows, col in forms:  # one of several fields of one name is not null
+            here = ~before if rows is None else rows & ~before
+            written.append((col if len(forms) == 1 else F.when(here, col)).alias(field))
+            before = F.lit(True) if rows is None else before | F.coalesce(rows, F.lit(False))
+        written.append(F.when(image.isNotNull() & image[field].isNull(), "").alias(field))
+    return F.struct(*written).alias(name)
+
+
+def image_texts(df: DataFrame, temporal: Temporal | None = None, tz: str = "UTC", compat: bool = False) -> DataFrame:
+    """Both struct images with temporal fields as the envelope shows them; other images stay."""
+    images = {}
+    for name in ("before", "after"):
+        if isinstance(df.schema[name].dataType, T.StructType):
+            fields = []
+            for field, forms in _struct_fields(df, name, temporal or {}, tz, compat):
+                out = None
+                for rows, col in forms:
+                    col = col if len(forms) == 1 else col.cast("string")
+                    out = (F.when(rows, col) if out is None else out.when(rows, col)) if rows is not None else (col if out is None else out.otherwise(col))
+                fields.append(out.alias(field))
+            images[name] = F.when(F.col(name).isNotNull(), F.struct(*fields))
+    return df.withColumns(images)
 
 
 def normalize_envelope(
     df: DataFrame,
-    temporal: dict[str, str] | None = None,
+    temporal: Temporal | None = None,
     tz: str = "UTC",
     compat: bool = False,
 ) -> DataFrame:
@@ -42,7 +107,8 @@ def normalize_envelope(
 
     Absent images become ``{}``, null fields and a null transaction ``""``; null
     ``op`` and ``ts_ms`` are left out. ``temporal`` maps field names to logical
-    types; timestamps of Spark's own types need none. Rows without ``source`` are no data changes and are dropped.
+    types, and ``db.table`` to such a map of its own; the rules hold for images of any type: structs, maps and
+    JSON texts. Timestamps of Spark's own types need none. Numbers of texts keep up to 38 digits. Rows without ``source`` are no data changes and are dropped.
     """
     images = [_image(df, name, temporal or {}, tz, compat) for name in ("before", "after", "source")]
     text = object_text(*images, F.col("op"), F.col("ts_ms"), *or_empty("transaction", F.col("transaction")))
@@ -50,71 +116,77 @@ def normalize_envelope(
 
 
 def unwrap_payload(df: DataFrame, column: str = "value") -> DataFrame:
-    """Replace a ``{"payload": …}`` wrapper by the payload; bare envelopes stay."""
+    """Replace a ``{"payload": …}`` wrapper by the payload; bare envelopes stay as they are.
+
+    Numbers of up to 38 digits keep their value, but not a zero at the end of a fraction; members are
+    ordered by name.
+    """
     text = F.col(column)
-    return df.withColumn(column, F.coalesce(F.get_json_object(text, "$.payload"), text))
+    payload = F.to_json(F.try_variant_get(F.try_parse_json(text), "$.payload", "variant"))
+    return df.withColumn(column, F.coalesce(payload, text))
 
 
-def _as_text(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+def _field_path(*names: str) -> str:
+    quoted = [name.replace("\\", "\\\\").replace('"', '\\"') for name in names]
+    return "$" + "".join(f'["{name}"]' for name in quoted)
 
 
-def _typed(image: Column, schema: T.StructType, strict: bool) -> Column:
+def _typed(texts: list[Column], schema: T.StructType, strict: bool, empty_as_null: bool) -> Column:
     # numbers and times may arrive as "" for null
     cols = []
-    for f in schema.fields:
-        text = image[f.name]
-        if not isinstance(f.dataType, T.StringType):
+    for text, f in zip(texts, schema.fields):
+        if empty_as_null or not isinstance(f.dataType, T.StringType):
             text = F.nullif(text, F.lit(""))
+        if not isinstance(f.dataType, T.StringType):
             text = text.cast(f.dataType) if strict else text.try_cast(f.dataType)
         cols.append(text.alias(f.name))
     return F.struct(*cols)
 
 
-def _present(image: Column, schema: T.StructType) -> Column:
-    # {} parses to a struct of nulls; a written image has text in every field
-    return F.coalesce(*[image[f.name] for f in schema.fields]).isNotNull()
-
-
 def parse_envelope(
     df: DataFrame,
     image: T.StructType | str,
     source: T.StructType | str = "db STRING, table STRING, ts_ms BIGINT",
     column: str = "value",
     mode: str = "FAILFAST",
+    empty_as_null: bool = False,
 ) -> DataFrame:
     """JSON text, wrapped or bare, to a change frame in one parse per row.
 
-    Text that is no JSON object, or a value of the wrong type, fails the job;
-    ``mode="PERMISSIVE"`` turns it into nulls instead.
+    Numbers of up to 38 digits come out exactly as written. Text that is no JSON object, or a value of
+    the wrong type, fails the job; ``mode="PERMISSIVE"`` turns it into nulls instead. An empty text is
+    null for all but string columns, for these too with ``empty_as_null``.
     """
     image, source = _struct(image), _struct(source)
-    members = {
-        "before": _as_text(image),
-        "after": _as_text(image),
-        "source": _as_text(source),
-        "op": T.StringType(),
-        "ts_ms": T.LongType(),
-        "transaction": T.StringType(),
-    }
-    bare = T.StructType([T.StructField(name, dtype) for name, dtype in members.items()])
-    either = T.StructType([T.StructField("payload", bare), *bare.fields])
+    strict = mode == "FAILFAST"
+    members = ("before", "after", "source", "op", "ts_ms", "transaction")
     rest = [c for c in df.columns if c != column and c not in members]
-    payload, root = F.col("_e.payload"), F.col("_e")
-    picked = [F.when(payload.isNotNull(), payload[n]).otherwise(root[n]).alias(n) for n in members]
-    parsed = df.select(*rest, F.from_json(column, either, {"mode": mode}).alias("_e")).select(*rest, *picked)
+    parsed = (F.parse_json if strict else F.try_parse_json)(F.col(column))
+    read = df.select(*rest, parsed.alias("_v"))
+    root = F.coalesce(F.try_variant_get("_v", "$.payload", "variant"), F.col("_v"))
+    if strict:
+        is_object = F.try_variant_get("_v", "$", "map<string,variant>").isNotNull()
+        wrong = F.raise_error(F.lit("an envelope is no JSON object")).cast("variant")
+        root = F.when(F.col("_v").isNull() | is_object, root).otherwise(wrong)
+    read = read.select(*rest, root.alias("_v"))
+
+    def text(*names: str) -> Column:
+        return F.try_variant_get("_v", _field_path(*names), "string")
 
     def typed(name: str, schema: T.StructType) -> Column:
-        return F.when(_present(F.col(name), schema), _typed(F.col(name), schema, mode == "FAILFAST")).alias(name)
+        # {} has no text in any field; a written image has some
+        texts = [text(name, f.name) for f in schema.fields]
+        return F.when(F.coalesce(*texts).isNotNull(), _typed(texts, schema, strict, empty_as_null)).alias(name)
 
-    return parsed.select(
+    ts_ms = F.nullif(text("ts_ms"), F.lit(""))
+    return read.select(
         *rest,
         typed("before", image),
         typed("after", image),
         typed("source", source),
-        "op",
-        "ts_ms",
-        F.nullif(F.col("transaction"), F.lit("")).alias("transaction"),
+        text("op").alias("op"),
+        (ts_ms.cast("bigint") if strict else ts_ms.try_cast("bigint")).alias("ts_ms"),
+        F.nullif(text("transaction"), F.lit("")).alias("transaction"),
     )
 
 
