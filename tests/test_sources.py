@@ -87,6 +87,11 @@ def test_replay(spark, monkeypatch, filter_partitions):
     assert replayed(unmatched="earliest") == found + [(1, 0), (1, 10), (2, 0)]
     held = spark.createDataFrame([("topic", 1, 10), ("topic", 0, 0)], "topic STRING, partition INT, offset BIGINT")
     assert replayed(committed=held) == found + [(1, 10), (2, 0)]
+    # a null position is none
+    none = spark.createDataFrame([("topic", 1, None), ("topic", 0, 0)], "topic STRING, partition INT, offset BIGINT")
+    assert replayed(committed=none) == found + [(2, 0)]
+    assert replayed(committed=none, unmatched="earliest") == found + [(1, 0), (1, 10), (2, 0)]
+    assert replay_from(records(spark), t).columns == records(spark).columns
     with pytest.raises(ValueError):
         replayed(unmatched="none")
     late = replay_from(records(spark), T0 + dt.timedelta(days=1))

@@ -1,4 +1,4 @@
-"""Debug sink: row-kind rows as printed lines."""
+"""Debug sink: row-kind rows as text lines."""
 
 from __future__ import annotations
 
@@ -15,7 +15,6 @@ def debug_lines(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return rows.select(*keep, line.alias("line"))
 
 
-def debug_sink(rows: DataFrame, order_by: list[str], show: int = 20) -> None:
-    """Print the first ``show`` lines in order."""
-    for row in debug_lines(rows.orderBy(*order_by).limit(show)).collect():
-        print(row.line)
+def debug_sink(rows: DataFrame, path: str) -> None:
+    """Write the lines of all rows to a folder of text files; limit ``rows`` for fewer."""
+    debug_lines(rows).select("line").write.text(path)

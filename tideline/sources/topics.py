@@ -106,11 +106,12 @@ def replay_from(
     unmatched: str = "latest",
     committed: DataFrame | None = None,
 ) -> DataFrame:
-    """Records from the offset found for ``t`` on, partition by partition.
+    """Whole records from the offset found for ``t`` on, partition by partition.
 
     A partition without such an offset keeps its position: the one in
     ``committed`` (topic, partition, offset) when given, else its end
-    (``latest``, no rows) or its start (``earliest``, all rows).
+    (``latest``, no rows) or its start (``earliest``, all rows). A null offset in
+    ``committed`` is no position.
     """
     if unmatched not in ("latest", "earliest"):
         raise ValueError("unmatched must be 'latest' or 'earliest'")
@@ -119,9 +120,9 @@ def replay_from(
     if committed is not None:
         held = committed.select(*keys, F.col("offset").alias("_held"))
         seek = seek.join(held, keys, "full").select(*keys, F.coalesce("offset", "_held").alias("offset"))
-    seek = seek.withColumnRenamed("offset", "_seek")
+    seek = seek.filter(F.col("offset").isNotNull()).withColumnRenamed("offset", "_seek")
     side = checked_broadcast(seek)
-    kept = [*keys, "offset", "timestamp"]
+    kept = records.columns
     if side is not seek:
         found = side.limit(FILTER_PARTITIONS + 1).collect()
         if len(found) <= FILTER_PARTITIONS:
