@@ -138,5 +138,9 @@ def test_fan_out(spark, tmp_path):
     )
     fan_out(env, str(tmp_path / "all"))
     assert spark.read.parquet(str(tmp_path / "all" / "db=e" / "table=t1")).first().after.id == 3
+    fan_out(env, str(tmp_path / "all"), ["d.t2"], mode="overwrite")
+    assert sorted(r.pos for r in spark.read.parquet(str(tmp_path / "all")).collect()) == [1, 2, 3]
+    fan_out(env, str(tmp_path / "all"), ["d.t2"])
+    assert sorted(r.pos for r in spark.read.parquet(str(tmp_path / "all")).collect()) == [1, 2, 2, 3]
     fan_out(env, str(tmp_path / "some"), ["d.t2"])
     assert [r.pos for r in spark.read.parquet(str(tmp_path / "some")).collect()] == [2]

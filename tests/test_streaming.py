@@ -179,9 +179,17 @@ def test_rows_stream(spark, tmp_path):
 
 
 def test_debug_stream(spark, tmp_path):
-    frame(spark, ("c", None, (1, "a"), 1)).write.parquet(str(tmp_path / "in"))
+    frame(spark, *[("c", None, (i, "a"), i) for i in range(30)]).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(FRAME).parquet(str(tmp_path / "in"))
     kinds = stream.select(F.lit("+I").alias("row_kind"), "after.*")
-    query = start_debug(kinds)
-    query.awaitTermination()
-    assert query.exception() is None
+    start_debug(kinds, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    got = [r.value for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert sorted(got) == sorted(f"+I[{i}, a]" for i in range(30))
+
+
+def test_fan_out_refuses_another_checkpoint(spark, tmp_path):
+    frame(spark, ("c", None, (1, "a"), 1, "d", "t")).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(FRAME).parquet(str(tmp_path / "in"))
+    start_fan_out(stream, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start_fan_out(stream, str(tmp_path / "out"), str(tmp_path / "other"))

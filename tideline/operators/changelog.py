@@ -154,9 +154,10 @@ def apply_changelog(
     return kept.select(*upserts.columns).unionByName(upserts)
 
 
-def fan_out(env: DataFrame, path: str, tables: list[str] | None = None) -> None:
+def fan_out(env: DataFrame, path: str, tables: list[str] | None = None, mode: str = "append") -> None:
     """Write each table's changes to its own ``db=…/table=…`` folder.
 
+    Rows are added to what is there; ``mode="overwrite"`` replaces the tables that ``env`` has, and no others.
     The rebalance hint gathers a table's rows into few files and splits the
     partitions of a hot table.
     """
@@ -165,7 +166,8 @@ def fan_out(env: DataFrame, path: str, tables: list[str] | None = None) -> None:
         rows = rows.filter(F.concat_ws(".", "db", "table").isin(tables))
     (
         rows.hint("rebalance", F.col("db"), F.col("table"))
-        .write.mode("overwrite")
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("db", "table")
         .parquet(path)
     )

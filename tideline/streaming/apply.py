@@ -42,8 +42,7 @@ def start_apply(
     """
     checkpoint = checkpoint or f"{path}/_checkpoint"
     spark = stream.sparkSession
-    if _present(spark, f"{path}/changes") and not _present(spark, f"{checkpoint}/metadata"):
-        raise ValueError(f"{path} holds batches of another checkpoint than {checkpoint}")
+    own_checkpoint(spark, f"{path}/changes", checkpoint)
     writer = stream.writeStream.foreachBatch(lambda env, i: write_batch(env, i, path, keys, order_by))
     writer = writer.option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -86,6 +85,12 @@ def _present(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def own_checkpoint(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Refuse a path that holds batches while the checkpoint is new."""
+    if _present(spark, path) and not _present(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{path} holds batches of another checkpoint than {checkpoint}")
+
+
 def _finished(spark: SparkSession, folder: str, name: str) -> list[int]:
     """Ids of the ``name=…`` folders that were written to the end."""
     files, target = _file_system(spark, folder)
@@ -96,10 +101,11 @@ def _finished(spark: SparkSession, folder: str, name: str) -> list[int]:
     return sorted(i for i in ids if _present(spark, f"{folder}/{name}={i}/_SUCCESS"))
 
 
-def _entries(spark: SparkSession, path: str) -> tuple[DataFrame, bool, int]:
-    """The newest compaction plus later batches, whether keys are unique, the last batch.
+def _entries(spark: SparkSession, path: str) -> tuple[DataFrame | None, DataFrame | None, int]:
+    """The newest compaction, the batches after it, and the last batch.
 
-    A batch that was cut off while it was written is left for its repetition.
+    A batch that was cut off while it was written is left for its repetition. Only the folders of later
+    batches are listed, however many there were before.
     """
     batches = _finished(spark, f"{path}/changes", "batch_id")
     compactions = _finished(spark, f"{path}/compacted", "upto")
@@ -108,13 +114,25 @@ def _entries(spark: SparkSession, path: str) -> tuple[DataFrame, bool, int]:
     last = later[-1] if later else upto
     if last < 0:
         raise ValueError(f"{path} holds no finished batch")
-    parts = []
-    if compactions:
-        parts.append(spark.read.parquet(f"{path}/compacted/upto={upto}"))
-    if later:
-        changes = spark.read.parquet(f"{path}/changes")
-        parts.append(changes.filter(F.col("batch_id").between(later[0], last)).drop("batch_id"))
-    return reduce(DataFrame.unionByName, parts), not later, last
+    compacted = spark.read.parquet(f"{path}/compacted/upto={upto}") if compactions else None
+    changes = spark.read.parquet(*[f"{path}/changes/batch_id={i}" for i in later]) if later else None
+    return compacted, changes, last
+
+
+def _folded(compacted: DataFrame | None, later: DataFrame | None, keys: list[str]) -> list[DataFrame]:
+    """Parts that together hold the last image of every key.
+
+    Compacted rows without a later change pass as they are: they are only anti-joined with the later
+    keys, and not shuffled where these are few.
+    """
+    if later is None:
+        return [compacted]
+    if compacted is None:
+        return [last_images(later, keys)]
+    new = last_images(later, keys)
+    changed = later.select(*keys).distinct()
+    touched = compacted.join(changed, keys, "left_semi")
+    return [remove_rows(compacted, changed), last_images(touched.unionByName(new), keys)]
 
 
 def read_applied(spark: SparkSession, path: str, keys: list[str], base: DataFrame | None = None) -> DataFrame:
@@ -122,13 +140,16 @@ def read_applied(spark: SparkSession, path: str, keys: list[str], base: DataFram
 
     Right after a compaction nothing has to be folded, nor shuffled.
     """
-    entries, unique, _ = _entries(spark, path)
-    folded = entries if unique else last_images(entries, keys)
+    compacted, later, _ = _entries(spark, path)
+    parts = _folded(compacted, later, keys)
+    folded = reduce(DataFrame.unionByName, parts)
     rows = folded.filter(F.col("_image").isNotNull()).select("_image.*")
     if base is None:
         return rows
-    changed = entries.select(*keys) if unique else entries.select(*keys).distinct()
-    return remove_rows(base, changed).select(*rows.columns).unionByName(rows)
+    for part in (compacted, later):
+        if part is not None:
+            base = remove_rows(base, part.select(*keys) if part is compacted else part.select(*keys).distinct())
+    return base.select(*rows.columns).unionByName(rows)
 
 
 def compact_applied(spark: SparkSession, path: str, keys: list[str]) -> int:
@@ -137,9 +158,10 @@ def compact_applied(spark: SparkSession, path: str, keys: list[str]) -> int:
     Running jobs are not disturbed: batches are only added, and readers switch
     to the compaction once it is written.
     """
-    entries, unique, last = _entries(spark, path)
-    if not unique:
-        last_images(entries, keys).write.mode("overwrite").parquet(f"{path}/compacted/upto={last}")
+    compacted, later, last = _entries(spark, path)
+    if later is not None:
+        folded = reduce(DataFrame.unionByName, _folded(compacted, later, keys))
+        folded.write.mode("overwrite").parquet(f"{path}/compacted/upto={last}")
     return last
 
 

@@ -11,6 +11,7 @@ from tideline.operators.envelope import parse_envelope
 from tideline.sinks.debug import debug_lines
 from tideline.sinks.rows import encode_rows
 from tideline.sinks.topics import sink_options, topic_frame
+from tideline.streaming.apply import own_checkpoint
 
 ONCE = {"availableNow": True}
 
@@ -59,13 +60,15 @@ def start_fan_out(
 ) -> StreamingQuery:
     """Write every table's changes to its own folder, batch by batch.
 
-    A repeated batch overwrites its own ``batch_id=…`` folder.
+    A repeated batch overwrites its own ``batch_id=…`` folder. The checkpoint belongs to the path: under
+    another one, batches would replace each other, so a path that holds some is refused.
     """
-    writer = env.writeStream.foreachBatch(lambda rows, i: fan_out(rows, f"{path}/batch_id={i}", tables))
+    own_checkpoint(env.sparkSession, path, checkpoint)
+    writer = env.writeStream.foreachBatch(lambda rows, i: fan_out(rows, f"{path}/batch_id={i}", tables, "overwrite"))
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or ONCE)).start()
 
 
-def start_debug(rows: DataFrame, show: int = 20, trigger: dict | None = None) -> StreamingQuery:
-    """Print the first ``show`` row-kind lines of every micro-batch."""
-    writer = debug_lines(rows).writeStream.format("console")
-    return writer.options(numRows=show, truncate="false").trigger(**(trigger or ONCE)).start()
+def start_debug(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append the row-kind lines of all rows to a folder of text files, exactly once."""
+    writer = debug_lines(rows).select("line").writeStream.format("text").option("path", path)
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or ONCE)).start()
