@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from tideline.plans.registered import QUERIES
 from tests.test_changelog import applied, frame
 from tideline.operators.changelog import apply_changelog, changed_keys
 from tideline.operators.routing import hash_partition, registry_partition
@@ -26,7 +27,7 @@ def read_schemas(df):
     return re.findall(r"ReadSchema: struct<(.*?)>\n", plan(df))
 
 
-@pytest.mark.parametrize("name", sorted(q for q in queries() if not q.endswith("stream") and not q.startswith(("q1_s", "q2"))))
+@pytest.mark.parametrize("name", sorted(q for q in QUERIES if not q.endswith("stream") and not q.startswith(("q1_s", "q2"))))
 def test_no_cross_joins_and_no_python(spark, name):
     text = plan(queries()[name](spark, SF))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups"):

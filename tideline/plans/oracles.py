@@ -1,4 +1,4 @@
-"""DuckDB SQL for the registered queries, written independently of them."""
+"""DuckDB SQL for the registered queries; only the pass-through statements are shared with them."""
 
 from __future__ import annotations
 
@@ -95,7 +95,7 @@ UNION ALL SELECT CASE op WHEN 'u' THEN '-U' ELSE '-D' END, pos, user_id, b_event
           FROM cdc WHERE op IN ('u', 'd')
 """
 
-TOPIC = "(SELECT 'changes' AS topic, CAST(user_id % 6 AS INTEGER) AS partition, event_id AS off, ts FROM events) t"
+TOPIC = "(SELECT 'changes' AS topic, CAST(user_id % 6 AS INTEGER) AS partition, event_id AS off, ts, props FROM events) t"
 
 
 def _offsets(t: str) -> str:
@@ -109,7 +109,7 @@ LEFT JOIN (SELECT partition, min(off) FILTER (WHERE ts >= TIMESTAMP '{t}') AS of
 def _replay(t: str, keep_unmatched: bool) -> str:
     unmatched = "TRUE" if keep_unmatched else "FALSE"
     return f"""
-SELECT topic, t.partition, off AS "offset", ts AS timestamp
+SELECT topic, t.partition, off AS "offset", ts AS timestamp, props AS value
 FROM {TOPIC} JOIN (SELECT partition AS p, min(off) FILTER (WHERE ts >= TIMESTAMP '{t}') AS seek
                    FROM {TOPIC} GROUP BY partition) f ON t.partition = f.p
 WHERE CASE WHEN seek IS NULL THEN {unmatched} ELSE off >= seek END"""
@@ -186,7 +186,7 @@ _ORDER_JSON = """
 ORACLES: dict[str, str] = {
     "s1_snapshot": f"""
 SELECT 'r' AS op, 'shop' AS db, 'orders' AS tbl, CAST({SNAPSHOT_TS} AS BIGINT) AS ts_ms, TRUE AS no_before,
-       o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
+       o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""",
     "s1_snapshot_envelopes": f"""
 SELECT o_orderkey, '{{"before":{{}},"after":' || {_ORDER_JSON} || ',"source":{{"db":"shop","table":"orders","ts_ms":{SNAPSHOT_TS},"pos":{SNAPSHOT_POS}}},"op":"r","ts_ms":'
   || '{SNAPSHOT_TS},"transaction":""}}' AS value
@@ -205,6 +205,12 @@ WITH {CDC} SELECT tbl, op, count(*) AS n FROM cdc WHERE tbl IN ('events_0', 'eve
     "s8_replay_from": _replay(MIDDLE, False),
     "s8_replay_earliest": _replay(TAIL, True),
     "t1_normalize": f"WITH {CDC} SELECT pos, {_envelope(_NULLED, _ROUTED_TS)} AS value FROM cdc",
+    "t1_normalize_mixed": """
+SELECT event_id AS pos, '{"before":{},"after":{"at":"'
+  || CASE WHEN event_id % 2 = 0 THEN strftime(ts, '%Y-%m-%d') ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END
+  || '","id":' || event_id || ',"note":"' || CASE WHEN event_id % 7 = 0 THEN '' ELSE event_type END
+  || '"},"source":{"db":"shop","table":"' || CASE WHEN event_id % 2 = 0 THEN 'days' ELSE 'moments' END
+  || '"},"op":"c","ts_ms":1,"transaction":""}' AS value FROM events""",
     "t2_render_temporal": f"""
 SELECT event_id, strftime(ts, '%Y-%m-%d') AS as_date, {_time(f'({_US} % 86400000000)')} AS time_ms,
        {_time(f'({_US} % 86400000000)')} AS time_us, strftime(ts, '%H:%M') AS time_whole_minute,
@@ -222,6 +228,9 @@ WITH {CDC} SELECT pos, op, tbl, CASE WHEN op <> 'd' THEN event_type END AS after
     "t4_flatten": f"""
 WITH {CDC} SELECT op, 'shop' AS db, tbl, ts_ms, user_id, event_id, event_type,
        CASE WHEN event_id % 7 <> 0 THEN value END AS value, ts, props FROM cdc""",
+    "t4_flatten_decimals": """
+SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN '9876543210' || lpad(CAST(event_id AS VARCHAR), 10, '0') || '.'
+  || lpad(CAST(user_id AS VARCHAR), 12, '0') || '123456' END AS amount FROM events""",
     "t5_effective_key": f"WITH {CDC} SELECT pos, op, {_key()} AS key_value FROM cdc",
     "t6_row_kinds": KINDS,
     "t7_primary_key_map": """
@@ -231,6 +240,10 @@ WITH {CDC} SELECT 'shop' AS db, tbl, count(*) AS n, min(pos) AS first_pos, max(p
     "p1_hash_partition": f"""
 WITH {CDC}, keyed AS (SELECT pos, tbl, {_key()} AS key_value FROM cdc)
 SELECT pos, key_value, CAST(abs({_hash("tbl || 'shop' || key_value")} % 7) AS INTEGER) AS partition FROM keyed""",
+    "p1_hash_temporal_key": f"""
+WITH {CDC}, keyed AS (SELECT pos, tbl, CASE WHEN tbl IN ('events_0', 'events_1', 'events_2') THEN replace({_ROUTED_TS}, '"', '')
+  ELSE event_type END AS key_value FROM cdc)
+SELECT pos, key_value, CAST(abs({_hash("tbl || 'shop' || key_value")} % 97) AS INTEGER) AS partition FROM keyed""",
     "p2_registry_partition": f"""
 WITH {CDC}, firsts AS (SELECT tbl, row_number() OVER (ORDER BY min(pos)) - 1 AS r FROM cdc GROUP BY tbl)
 SELECT pos, tbl, CAST(r % 3 AS INTEGER) AS partition FROM cdc JOIN firsts USING (tbl)""",
@@ -265,7 +278,8 @@ WITH {CDC}, nexts AS (SELECT *, lead(op) OVER (ORDER BY pos) AS next_op FROM cdc
 SELECT user_id, event_id, event_type, value, ts, props FROM nexts WHERE op <> 'd' AND coalesce(next_op, '') <> 'u'""",
     "k4_apply_stream": MERGED,
     "k5_debug_lines": f"""
-SELECT pos, row_kind || '[' || user_id || ', ' || event_id || ', ' || event_type || ', ' || ts || ']' AS line
+SELECT pos, row_kind || '[' || user_id || ', ' || event_id || ', ' || event_type || ', ' || CAST(value AS VARCHAR) || ', ' || ts
+  || ', ' || props || ']' AS line
 FROM ({KINDS}) k""",
     "q1_script_batch": SCRIPT_RESULT,
     "q2_script_immediate": SCRIPT_RESULT,

@@ -17,7 +17,7 @@ from tideline.plans.scripts import run_script
 from tideline.session import fresh_path
 from tideline.sinks import debug, rows
 from tideline.sources import cdc, topics
-from tideline.streaming.apply import compact_applied, read_applied, start_apply
+from tideline.streaming.apply import compact_applied, read_applied, start_apply, write_batch
 from tideline.streaming.jobs import envelope_stream, start_envelope_files
 
 KEYS = ["user_id"]
@@ -40,8 +40,7 @@ KEY_MAP = {
 
 
 def s1_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = fx.table(spark, sf_dir, "orders").drop("o_orderdate")
-    env = cdc.cdc_snapshot(orders, "shop", "orders", fx.SNAPSHOT_TS)
+    env = cdc.cdc_snapshot(fx.table(spark, sf_dir, "orders"), "shop", "orders", fx.SNAPSHOT_TS)
     return env.select(
         "op", F.col("source.db").alias("db"), F.col("source.table").alias("tbl"), "ts_ms",
         F.col("before").isNull().alias("no_before"), "after.*",
@@ -105,6 +104,22 @@ def t1_normalize(spark, sf_dir):
     return envelope.normalize_envelope(env, TEMPORAL).select("pos", "value")
 
 
+def t1_normalize_mixed(spark, sf_dir):
+    """Text images of two tables in which ``at`` differs in its logical type; every seventh ``note`` is null."""
+    events = fx.event_rows(fx.table(spark, sf_dir, "events"))
+    days = F.col("event_id") % 2 == 0
+    at = F.when(days, F.call_function("div", F.col("ts"), F.lit(86_400_000_000))).otherwise(F.call_function("div", F.col("ts"), F.lit(1_000_000)) * 1000)
+    note = F.when(F.col("event_id") % 7 == 0, F.lit("null")).otherwise(F.concat(F.lit('"'), "event_type", F.lit('"')))
+    env = events.select(
+        F.lit(None).cast("string").alias("before"),
+        F.concat(F.lit('{"at":'), at.cast("string"), F.lit(',"id":'), "event_id", F.lit(',"note":'), note, F.lit("}")).alias("after"),
+        F.struct(F.lit("shop").alias("db"), F.when(days, "days").otherwise("moments").alias("table")).alias("source"),
+        F.lit("c").alias("op"), F.lit(1).cast("bigint").alias("ts_ms"), F.lit(None).cast("string").alias("transaction"),
+        F.col("event_id").alias("pos"),
+    )
+    return envelope.normalize_envelope(env, {"shop.days": {"at": m.DATE}, "at": m.TIMESTAMP_MS}).select("pos", "value")
+
+
 def t2_render_temporal(spark, sf_dir):
     events = fx.event_rows(fx.table(spark, sf_dir, "events").withColumn("utc", F.col("ts")))
     us = F.col("ts")
@@ -164,6 +179,20 @@ def t4_flatten(spark, sf_dir):
     )
 
 
+def t4_flatten_decimals(spark, sf_dir):
+    """Amounts of 38 digits in envelope text, every fifth one written as ``""``."""
+    whole = F.concat(F.lit("9876543210"), F.lpad(F.col("event_id").cast("string"), 10, "0"))
+    part = F.concat(F.lpad(F.col("user_id").cast("string"), 12, "0"), F.lit("123456"))
+    amount = F.when(F.col("event_id") % 5 == 0, F.lit('""')).otherwise(F.concat(whole, F.lit("."), part))
+    text = F.concat(
+        F.lit('{"before":{},"after":{"event_id":'), "event_id", F.lit(',"amount":'), amount,
+        F.lit('},"source":{"db":"shop","table":"amounts"},"op":"c","ts_ms":1}'),
+    )
+    texts = fx.table(spark, sf_dir, "events").select(F.col("event_id").alias("pos"), text.alias("value"))
+    rows = envelope.flatten_changes(_half_wrapped(texts), "event_id BIGINT, amount DECIMAL(38,18)")
+    return rows.select("event_id", F.col("amount").cast("string").alias("amount"))
+
+
 def t5_effective_key(spark, sf_dir):
     return changelog.effective_key(fx.cdc_events(spark, sf_dir), KEY_MAP).select("pos", "op", "key_value")
 
@@ -178,7 +207,9 @@ def t7_primary_key_map(spark, sf_dir):
 
 def t8_fan_out(spark, sf_dir):
     path = fresh_path(spark, "fan-out")
-    changelog.fan_out(fx.cdc_events(spark, sf_dir), path)
+    env = fx.cdc_events(spark, sf_dir)
+    changelog.fan_out(env, path, ["shop.events_0", "shop.events_3"])
+    changelog.fan_out(env, path, ["shop.events_1", "shop.events_2", "shop.events_4"])
     return (
         spark.read.parquet(path)
         .groupBy("db", F.col("table").alias("tbl"))
@@ -194,6 +225,13 @@ def p1_hash_partition(spark, sf_dir):
     return env.select("pos", "key_value", "partition")
 
 
+def p1_hash_temporal_key(spark, sf_dir):
+    """Keyed by a timestamp, as the envelope writes it."""
+    keys = {f"shop.events_{i}": "ts" if i < 3 else "event_type" for i in range(5)}
+    env = envelope.image_texts(fx.cdc_events(spark, sf_dir), TEMPORAL)
+    return routing.hash_partition(env, keys, 97).select("pos", "key_value", "partition")
+
+
 def p2_registry_partition(spark, sf_dir):
     env = fx.cdc_events(spark, sf_dir)
     registry = routing.allocate_partitions(fx.empty_registry(spark), fx.event_tables(env), fx.TOPIC, 3)
@@ -276,15 +314,18 @@ def _event_stream(spark, sf_dir):
 
 def k4_apply_stream(spark, sf_dir):
     path = fresh_path(spark, "applied")
-    start_apply(_event_stream(spark, sf_dir), path, KEYS, ORDER).awaitTermination()
-    compact_applied(spark, path, KEYS)
+    # every fourth event comes only after the compaction
+    first, later = _event_stream(spark, sf_dir).filter("pos % 4 <> 0"), _event_stream(spark, sf_dir).filter("pos % 4 = 0")
+    start_apply(first, path, KEYS, ORDER).awaitTermination()
+    last = compact_applied(spark, path, KEYS)
+    query = later.writeStream.foreachBatch(lambda env, i: write_batch(env, last + 1 + i, path, KEYS, ORDER))
+    query.option("checkpointLocation", f"{path}/_later").trigger(availableNow=True).start().awaitTermination()
     return read_applied(spark, path, KEYS, fx.user_rows(spark, sf_dir))
 
 
 def k5_debug_lines(spark, sf_dir):
     env = fx.cdc_events(spark, sf_dir)
-    kinds = changelog.to_row_kinds(env, ["pos"]).select("pos", "row_kind", "user_id", "event_id", "event_type", "ts")
-    return debug.debug_lines(kinds, keep=["pos"])
+    return debug.debug_lines(changelog.to_row_kinds(env, ["pos"]), keep=["pos"])
 
 
 # scripts and copies
@@ -378,9 +419,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         s1_snapshot, s1_snapshot_envelopes, s2_initial, s2_latest, s3_select_tables, s3_select_patterns,
         s7_offsets_for_times, s7_offsets_tail, s8_replay_from, s8_replay_earliest,
-        t1_normalize, t2_render_temporal, t2_order_dates, t3_unwrap_payload, t4_flatten,
+        t1_normalize, t1_normalize_mixed, t2_render_temporal, t2_order_dates, t3_unwrap_payload, t4_flatten, t4_flatten_decimals,
         t5_effective_key, t6_row_kinds, t7_primary_key_map, t8_fan_out,
-        p1_hash_partition, p2_registry_partition, p3_partition_load, p4_allocate, p4_allocate_empty,
+        p1_hash_partition, p1_hash_temporal_key, p2_registry_partition, p3_partition_load, p4_allocate, p4_allocate_empty,
         p5_registry_for,
         k1_topic_frame, k1_registry_topic_frame, k2_encode_rows, k2_encode_orders, k3_delete_keys, k3_delete_event_keys, k3_remove_rows,
         k4_latest_rows, k4_apply_to_base, k4_moving_keys, k4_apply_stream, k5_debug_lines,
