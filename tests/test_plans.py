@@ -134,3 +134,17 @@ def test_bucketed_base_is_not_shuffled(spark, tmp_path):
         spark.sql("DROP TABLE bucketed_base")
 
 
+
+
+def test_untouched_compacted_rows_are_not_shuffled(spark, tmp_path):
+    from tideline.streaming.apply import compact_applied, read_applied, write_batch
+
+    path = str(tmp_path / "table")
+    write_batch(frame(spark, *[("c", None, (i, "a"), i) for i in range(50)]), 0, path, ["id"], ["pos"])
+    compact_applied(spark, path, ["id"])
+    write_batch(frame(spark, ("u", (7, "a"), (7, "b"), 99), ("d", (8, "a"), None, 100)), 1, path, ["id"], ["pos"])
+    rows = read_applied(spark, path, ["id"])
+    branches = plan(rows).split("Union", 1)[1]
+    untouched = branches[: branches.index("+- *", branches.index("LeftAnti")) if "+- *" in branches else None]
+    assert "Exchange hashpartitioning" not in untouched.split("LeftAnti")[0]
+    assert {r.id: r.v for r in rows.collect()} == {i: "b" if i == 7 else "a" for i in range(50) if i != 8}

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.operators.sizing import checked_broadcast
 from tideline.session import use_checkpoint_dir
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row number below
@@ -34,7 +33,7 @@ def with_position(df: DataFrame, order_by: list[str | Column], name: str = "posi
     )
     offsets = counts.select("_part", before.alias("_before"))
     return (
-        rows.join(checked_broadcast(offsets), "_part")
+        rows.join(F.broadcast(offsets), "_part")  # a row per sort partition
         .withColumn(name, F.col("_before") + F.col("_row"))
         .drop("_part", "_row", "_before")
     )

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tideline.operators.changelog import apply_changelog
 from tideline.sources.cdc import cdc_source, select_tables
-from tideline.streaming.apply import start_apply
+from tideline.streaming.apply import start_apply, write_base
 
 
 def mirror_table(
@@ -29,6 +29,25 @@ def mirror_table(
     return apply_changelog(base, captured, keys, order_by)
 
 
-def start_mirror(changes: DataFrame, path: str, keys: list[str], order_by: list[str], **options) -> StreamingQuery:
-    """The same copy as a continuous job over a stream of changes."""
-    return start_apply(changes, path, keys, order_by, **options)
+def start_mirror(
+    changes: DataFrame,
+    path: str,
+    keys: list[str],
+    order_by: list[str],
+    snapshot: DataFrame | None = None,
+    snapshot_pos: int | None = None,
+    databases: str | None = None,
+    tables: str | None = None,
+    **options,
+) -> StreamingQuery:
+    """The same copy as a continuous job over a stream of changes.
+
+    With a snapshot the table starts from its images; ``snapshot_pos``, the last log position it
+    contains, is where the changes begin. A restart finds the snapshot written and goes on.
+    """
+    captured = select_tables(cdc_source(None, changes, "latest", snapshot_pos), databases, tables)
+    if snapshot is not None:
+        if snapshot_pos is None:
+            raise ValueError("a snapshot needs its position")
+        write_base(select_tables(snapshot, databases, tables), captured, path, keys, order_by)
+    return start_apply(captured, path, keys, order_by, **options)

@@ -291,3 +291,4 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, p
 UNION ALL SELECT * FROM users WHERE user_id NOT IN (SELECT user_id FROM ranked)""",
     "q3_mirror_stream": f"WITH {CDC}, {LATEST} {LATEST_ROWS}",
 } | PASS_THROUGH
+ORACLES["s2_initial_stream"] = ORACLES["q3_mirror"]

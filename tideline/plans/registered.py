@@ -70,6 +70,15 @@ def s2_latest(spark, sf_dir):
     return _user_source(spark, sf_dir, "latest")
 
 
+def s2_initial_stream(spark, sf_dir):
+    """A live start from the snapshot: its images, then the changes behind it."""
+    path = fresh_path(spark, "initial")
+    snapshot = cdc.cdc_snapshot(fx.user_rows(spark, sf_dir), fx.DB, "users", fx.SNAPSHOT_TS, SNAPSHOT_POS)
+    changes = _event_stream(spark, sf_dir)
+    start_mirror(changes, path, KEYS, ORDER, snapshot, SNAPSHOT_POS, databases=fx.DB).awaitTermination()
+    return read_applied(spark, path, KEYS)
+
+
 def s3_select_tables(spark, sf_dir):
     env = cdc.select_tables(fx.cdc_events(spark, sf_dir), "shop", "shop.events_1, shop.events_3")
     return env.select(F.col("source.table").alias("tbl"), "op", "pos")
@@ -417,7 +426,7 @@ def q3_mirror_stream(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        s1_snapshot, s1_snapshot_envelopes, s2_initial, s2_latest, s3_select_tables, s3_select_patterns,
+        s1_snapshot, s1_snapshot_envelopes, s2_initial, s2_initial_stream, s2_latest, s3_select_tables, s3_select_patterns,
         s7_offsets_for_times, s7_offsets_tail, s8_replay_from, s8_replay_earliest,
         t1_normalize, t1_normalize_mixed, t2_render_temporal, t2_order_dates, t3_unwrap_payload, t4_flatten, t4_flatten_decimals,
         t5_effective_key, t6_row_kinds, t7_primary_key_map, t8_fan_out,

@@ -26,6 +26,15 @@ def write_batch(env: DataFrame, batch_id: int, path: str, keys: list[str], order
     folded.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
 
 
+def write_base(snapshot: DataFrame, changes: DataFrame, path: str, keys: list[str], order_by: list[str]) -> None:
+    """Store the images of a snapshot as the first compaction, older than any change."""
+    if _finished(snapshot.sparkSession, f"{path}/compacted", "upto"):
+        return
+    order = changes.select(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)]).alias("_order")).schema["_order"].dataType
+    images = snapshot.select(*[F.col("after")[k].alias(k) for k in keys], F.col("after").alias("_image"), F.lit(None).cast(order).alias("_order"))
+    images.write.mode("overwrite").parquet(f"{path}/compacted/upto=-1")
+
+
 def start_apply(
     stream: DataFrame,
     path: str,
@@ -112,7 +121,7 @@ def _entries(spark: SparkSession, path: str) -> tuple[DataFrame | None, DataFram
     upto = compactions[-1] if compactions else -1
     later = [i for i in batches if i > upto]
     last = later[-1] if later else upto
-    if last < 0:
+    if not compactions and not later:
         raise ValueError(f"{path} holds no finished batch")
     compacted = spark.read.parquet(f"{path}/compacted/upto={upto}") if compactions else None
     changes = spark.read.parquet(*[f"{path}/changes/batch_id={i}" for i in later]) if later else None
