@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from tideline.llm.common import byte_slices, remainder, stash, text_of
 from tideline.llm.packing import encoder
 
-WINDOW, STRIDE = 24, 16
-CLASSES, DIM = 48, 16
+WINDOW, STRIDE = 16, 12
+CLASSES, DIM = 32, 16
 TABLE = 200_000
 KINDS = 8
 #: Part of a word's share over all kinds in its share of one kind.
