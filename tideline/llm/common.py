@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from tideline.session import fresh_path
 
@@ -41,6 +42,20 @@ def remainder(n: int, id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(n), F.lit(0)).cast("int")
 
 
+#: Texts per Arrow batch where whole texts go to Python.
+TEXTS_PER_BATCH = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size, as texts are long: a batch is held in Spark and in Python.
+
+    A smaller size that is set already stays.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= TEXTS_PER_BATCH:
+        spark.conf.set(name, TEXTS_PER_BATCH)
+
+
 def parts(rows: int, per_part: int) -> int:
     """How many blocks of about ``per_part`` rows; at least one."""
     return max(1, math.ceil(rows / per_part))
@@ -50,34 +65,46 @@ def parts(rows: int, per_part: int) -> int:
 FILTER_BITS = 1 << 26
 
 
-def id_filter(ids: DataFrame, col: str = "doc_id") -> Column:
-    """A condition over ``col`` that holds for every id in ``ids`` and for few others.
+class IdFilter:
+    """Tells of every id in ``ids`` that it may be one of them, and of few others.
 
     It keeps rows that a join would drop from being shuffled. The filter has a fixed size; with very
     many ids it lets more rows pass, never fewer, so a join still has to decide.
     """
-    place = F.pmod(F.xxhash64(col), F.lit(FILTER_BITS))
-    rows = (
-        ids.select(place.alias("p"))
-        .groupBy(F.bitmap_bucket_number("p").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
-        .collect()  # at most FILTER_BITS / 32768 rows of 4 KB
-    )
-    bits = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)
-    for r in rows:
-        if r.bucket > 0:  # bucket 0 holds place 0 alone, which always passes below
-            start = (r.bucket - 1) * 4096
-            bits[start : start + len(r.bits)] = np.frombuffer(r.bits, np.uint8)
-    shared = ids.sparkSession.sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def maybe(p: pd.Series) -> pd.Series:
+
+    def __init__(self, ids: DataFrame, col: str = "doc_id"):
+        rows = (
+            ids.select(self.place(col).alias("p"))
+            .groupBy(F.bitmap_bucket_number("p").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+            .collect()  # at most FILTER_BITS / 32768 rows of 4 KB
+        )
+        bits = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)
+        for r in rows:
+            if r.bucket > 0:  # bucket 0 holds place 0 alone, which always passes below
+                start = (r.bucket - 1) * 4096
+                bits[start : start + len(r.bits)] = np.frombuffer(r.bits, np.uint8)
+        self.bits = ids.sparkSession.sparkContext.broadcast(bits)
+
+    @staticmethod
+    def place(col: str = "doc_id") -> Column:
+        return F.pmod(F.xxhash64(col), F.lit(FILTER_BITS))
+
+    def holds(self, places: np.ndarray) -> np.ndarray:
         # bucket k + 1 holds the places k * 32768 + 1 to (k + 1) * 32768
-        before = np.maximum(p.to_numpy() - 1, 0)
-        held = shared.value[before // 32768 * 4096 + before % 32768 // 8] >> (before % 8)
-        return pd.Series((p.to_numpy() == 0) | (held & 1).astype(bool))
+        before = np.maximum(places - 1, 0)
+        held = self.bits.value[before // 32768 * 4096 + before % 32768 // 8] >> (before % 8)
+        return (places == 0) | (held & 1).astype(bool)
+
+    def column(self, col: str = "doc_id") -> Column:
+        """The answer as a column; a stage that has its own Python code had better call ``holds`` there."""
+        holds = self.holds
+
+        @F.pandas_udf(BooleanType())
+        def maybe(p: pd.Series) -> pd.Series:
+            return pd.Series(holds(p.to_numpy()))
 
-    return maybe(place)
+        return maybe(self.place(col))
 
 
 def byte_slices(batch: pa.RecordBatch, limit: int, column: str = "text") -> Iterator[pa.RecordBatch]:

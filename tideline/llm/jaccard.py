@@ -37,13 +37,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import id_filter, parts, stash, text_of
+from tideline.llm.common import IdFilter, byte_slices, parts, small_batches, stash, text_of
 from tideline.llm.graph import components
 
 WORDS = 5
-POSTINGS_PER_PART = 2_000_000
+POSTINGS_PER_PART = 500_000
 #: A shingle is frequent if so many sets of one batch hold it; at most so many are ordered by count.
-FREQUENT, MOST_FREQUENT = 8, 50_000
+FREQUENT, MOST_FREQUENT = 5, 50_000
+#: Bytes of text that are worked on together, a batch of documents.
+TOGETHER = 4 << 20
 #: In place of a place: a subset that links sets of one size, or of two sizes.
 SAME, OTHER = -1, -2
 #: Subsets may cost so many times what lists and sets do.
@@ -177,7 +179,7 @@ DESCRIBED = "kind int, id long, cls long, n long, sketch binary"
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kind 0: a document's id, class, size and sketch. Kind 1: a shingle that this batch often has, and its count."""
-    for batch in batches:
+    for batch in (some for whole in batches for some in byte_slices(whole, TOGETHER)):
         sets = shingle_sets(_texts(batch, "text"))
         n = np.array([len(s) for s in sets], np.int64)
         classes = _signed([_class(s) if len(s) else 0 for s in sets])
@@ -199,8 +201,9 @@ def _postings(frequent: np.ndarray, rank: np.ndarray, small: int):
     also = -(-4 * (small + 1) // 5)  # the smallest size that links with a large set
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, classes, sizes, places, seen = [], [], [], [], set()
+        seen: set = set()  # of this task: a class is sent once
+        for batch in (some for whole in batches for some in byte_slices(whole, TOGETHER)):
+            keys, classes, sizes, places = [], [], [], []
             for s in shingle_sets(_texts(batch, "text")):
                 n = len(s)
                 if n == 0:
@@ -331,19 +334,21 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets_of(docs: DataFrame, wanted_ids: DataFrame) -> DataFrame:
     """``cls`` and ``items`` of the documents whose id is wanted, through a filter of bounded size."""
-    maybe = id_filter(wanted_ids)
+    wanted = IdFilter(wanted_ids)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            places = batch.column("p").to_numpy(zero_copy_only=False)
+            some = batch.filter(pa.array(wanted.holds(places)))
             seen, classes, items = set(), [], []
-            for s in shingle_sets(_texts(batch, "text")):
+            for s in shingle_sets(_texts(some, "text")):
                 if len(s) and (cls := _class(s)) not in seen:
                     seen.add(cls)
                     classes.append(cls)
                     items.append(_signed(s))
             yield pa.RecordBatch.from_arrays([pa.array(_signed(classes), pa.int64()), pa.array(items, pa.list_(pa.int64()))], ["cls", "items"])
 
-    chosen = docs.filter(F.col("doc_id").isNotNull() & maybe)
+    chosen = docs.filter(F.col("doc_id").isNotNull()).select(IdFilter.place().alias("p"), "text")
     return chosen.mapInArrow(sets, "cls long, items array<long>")
 
 
@@ -367,6 +372,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, one_id: DataFrame) -> DataFrame
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every document."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     described = stash(docs.mapInArrow(_describe, DESCRIBED), "shingle-sets")
     own = described.filter("kind = 0").select(F.col("id").alias("doc_id"), "cls", F.col("n").alias("n_shingles"))

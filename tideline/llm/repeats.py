@@ -38,15 +38,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import byte_slices, id_filter, parts, stash, text_of
+from tideline.llm.common import IdFilter, byte_slices, parts, small_batches, stash, text_of
 
 WIDTH, TRIGGER = 50, 16
 SPAN = WIDTH - TRIGGER + 1
 SIDE = SPAN // 2
 #: Bytes of text per bucket of phrases, and per group of documents.
-BUCKET_BYTES, CHUNK_BYTES = 32 << 20, 8 << 20
+BUCKET_BYTES, CHUNK_BYTES = 16 << 20, 4 << 20
 #: Bytes of text that are parsed together, and whose phrases are packed together.
-TOGETHER, SEND_BYTES = 1 << 20, 8 << 20
+TOGETHER, SEND_BYTES = 256 << 10, 4 << 20
 _PLACE = np.uint64((1 << 26) - 1)
 _rng = np.random.default_rng(4)
 _BYTE = _rng.integers(0, 2**64, 256, np.uint64)
@@ -65,7 +65,7 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(20, int(n).bit_length())
+    size = 1 << max(19, int(n).bit_length())
     if size not in _powers:
         _powers.clear()
         _powers[size] = tuple(np.concatenate([[np.uint64(1)], np.full(size - 1, b)]).cumprod(dtype=np.uint64) for b in (_BASE, _INVERSE))
@@ -362,6 +362,7 @@ def _finish(docs: pa.Table, wanted: dict) -> pa.Table:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the bytes that stay (``kept``), ``n_bytes``, ``n_removed`` and ``n_spans``."""
+    small_batches(docs.sparkSession)
     docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets, n_chunks = parts(size, BUCKET_BYTES), parts(size, CHUNK_BYTES)
@@ -371,7 +372,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     found = stash(sent.groupBy("bucket").applyInArrow(_order(n_buckets, n_chunks), "kind int, chunk int, blob binary"), "repeats")
 
     unsure = found.filter(F.col("kind") == UNSURE)
-    some = keyed.filter("doc_id is not null and text is not null").filter(id_filter(_ids(unsure)))
+    some = keyed.filter("doc_id is not null and text is not null").filter(IdFilter(_ids(unsure)).column())
     some = some.select(F.col("doc_id").cast("long").alias("doc_id"), "_tag", "text", F.col("_chunk").alias("chunk"))
     strings = some.groupBy("chunk").cogroup(unsure.select("chunk", "blob").groupBy("chunk")).applyInArrow(_suffixes(n_buckets, n_chunks), SENT)
     # a single string is sure: its runs are of equal strings, so what is still unsure differs
@@ -379,20 +380,23 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     again = stash(again.filter(F.col("kind") == REPEATED), "repeated-strings").select("chunk", "blob")
 
     ranges = found.filter(F.col("kind") == REPEATED).select("chunk", "blob").union(again)
-    loses = F.coalesce(id_filter(_ids(ranges)), F.lit(False))
+    loses = IdFilter(_ids(ranges))
     fields = [f for f in docs.schema.fields]
     schema = T.StructType([*fields, *(T.StructField(n, t) for n, t in (("kept", T.BinaryType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType())))])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _finish(pa.Table.from_batches([batch]), {}).to_batches()
+            places = batch.column("_place").to_numpy(zero_copy_only=False)
+            some = batch.filter(pa.array(~loses.holds(places) | (places < 0)))
+            yield from _finish(pa.Table.from_batches([some]).drop_columns("_place"), {}).to_batches()
 
     def finish(docs: pa.Table, ranges: pa.Table) -> pa.Table:
         return _finish(docs, _wanted(ranges))
 
-    marked = keyed.withColumn("_loses", loses & F.col("doc_id").isNotNull())
-    apart = marked.filter("not _loses").drop("_loses").mapInArrow(whole, schema)
-    changed = marked.filter("_loses").drop("_loses").groupBy("_chunk").cogroup(ranges.withColumnRenamed("chunk", "_chunk").groupBy("_chunk")).applyInArrow(finish, schema)
+    # a null id has no place
+    apart = keyed.withColumn("_place", F.when(F.col("doc_id").isNull(), -1).otherwise(IdFilter.place())).mapInArrow(whole, schema)
+    changed = keyed.filter(F.col("doc_id").isNotNull() & loses.column())
+    changed = changed.groupBy("_chunk").cogroup(ranges.withColumnRenamed("chunk", "_chunk").groupBy("_chunk")).applyInArrow(finish, schema)
     return apart.unionByName(changed)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import jaccard, mixing, packing, repeats, rules
-from tideline.llm.common import id_filter, stash
+from tideline.llm.common import IdFilter, stash
 
 #: The part of all tokens that the mix takes.
 MIX_PART = 0.8
@@ -48,7 +48,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     links = stash(jaccard.link_documents(docs).filter("doc_id is not null"), "links")
     gone = stash(links.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
     several = links.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    in_doubt = F.col("doc_id").isNotNull() & id_filter(gone.union(several))
+    in_doubt = F.col("doc_id").isNotNull() & IdFilter(gone.union(several)).column()
     marked = docs.withColumn("_in_doubt", F.coalesce(in_doubt, F.lit(False)))
     doubtful = marked.filter("_in_doubt").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
     return marked.filter("not _in_doubt").unionByName(doubtful).select(*docs.columns)
