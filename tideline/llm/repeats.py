@@ -31,7 +31,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -355,15 +354,17 @@ def _finish(docs: pa.Table, wanted: dict) -> pa.Table:
         removed.append(n)
         spans.append(runs)
     out = docs.drop_columns(["_tag", "_chunk"])
-    for name, values, kind in (("kept", kept, pa.binary()), ("n_bytes", sizes, pa.int64()), ("n_removed", removed, pa.int64()), ("n_spans", spans, pa.int64())):
+    texts = [b.decode("utf-8", "ignore") for b in kept]
+    for name, values, kind in (("kept", kept, pa.binary()), ("kept_text", texts, pa.string()), ("n_bytes", sizes, pa.int64()), ("n_removed", removed, pa.int64()), ("n_spans", spans, pa.int64())):
         out = out.append_column(name, pa.array(values, kind))
     return out
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the bytes that stay (``kept``), ``n_bytes``, ``n_removed`` and ``n_spans``."""
+    """``docs`` with the bytes that stay (``kept``), their whole characters (``kept_text``), ``n_bytes``,
+    ``n_removed`` and ``n_spans``."""
     small_batches(docs.sparkSession)
-    docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans")
+    docs = docs.drop("kept", "kept_text", "n_bytes", "n_removed", "n_spans")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets, n_chunks = parts(size, BUCKET_BYTES), parts(size, CHUNK_BYTES)
     keyed = _keyed(docs, n_chunks)
@@ -382,7 +383,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     ranges = found.filter(F.col("kind") == REPEATED).select("chunk", "blob").union(again)
     loses = IdFilter(_ids(ranges))
     fields = [f for f in docs.schema.fields]
-    schema = T.StructType([*fields, *(T.StructField(n, t) for n, t in (("kept", T.BinaryType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType())))])
+    schema = T.StructType([*fields, *(T.StructField(n, t) for n, t in (("kept", T.BinaryType()), ("kept_text", T.StringType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType())))])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -410,12 +411,6 @@ def _ids(ranges: DataFrame) -> DataFrame:
     return ranges.select("blob").mapInArrow(run, "doc_id long")
 
 
-@F.pandas_udf(T.StringType())
-def whole_characters(kept: pd.Series) -> pd.Series:
-    """Text from bytes, without characters of which bytes are missing."""
-    return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"), na_action="ignore")
-
-
 def op4_repeats(spark, sf_dir: str) -> DataFrame:
     """What is left of every document without strings of 50 bytes of earlier documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

@@ -61,7 +61,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents of which nothing is left go; those that were empty before stay.
     """
     cut = repeats.remove_repeats(docs).filter("n_removed < n_bytes or n_bytes = 0 or n_bytes is null")
-    text = F.when(F.col("n_removed") > 0, repeats.whole_characters(F.col("kept"))).otherwise(F.col("text"))
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     changed = cut.withColumn("_text", text).withColumn("text", F.col("_text"))
     return changed.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*docs.columns)
 
