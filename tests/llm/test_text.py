@@ -199,3 +199,11 @@ def test_training_lowers_the_loss(spark):
     flat = language.fit(np.ones(size), np.zeros((size, language.CLASSES)), [], classes)
     trained = language.fit(np.ones(size), np.zeros((size, language.CLASSES)), sample, classes)
     assert language.log_probabilities(trained, sequences).sum() > language.log_probabilities(flat, sequences).sum() + 100
+
+
+def test_language_learns_from_long_texts(spark):
+    train_id, held_id = (next(i for i in range(99) if (zlib.crc32(str(i).encode()) % 10 == 0) == held) for held in (False, True))
+    docs = spark.createDataFrame([(train_id, "aa bb cc dd " * 20_000), (held_id, "aa bb cc dd " * 25)], "doc_id long, text string")
+    got = {r.doc_id: r for r in language.score_documents(docs).collect()}
+    # each word follows from the one before it; without the long text it would be one of four
+    assert got[held_id].score > -0.1 * got[held_id].n_tokens

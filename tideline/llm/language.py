@@ -8,7 +8,12 @@ the ``TABLE`` most frequent words, its share of the training words of texts of o
 by class counts, mostly languages) weigh by how well each explains the words so far.
 
 * Counts (words, subwords, classes after subwords) come from every training document. Equal words are spelled once per batch.
-* Classes and attention weights are fitted in numpy on at most ``SAMPLE_DOCS`` training documents, a documented bound.
+* Classes come from what precedes each subword in all training text, kinds from the class shares of all training texts.
+  Both are sums over all tasks; only the centres that kinds start from are chosen on ``STARTS`` texts.
+* Attention weights are fitted in ``EPOCHS`` rounds. In each, every task trains the last round's weights in numpy on all
+  its training documents, and the results are averaged, by how often a subword occurred or by the number of places.
+* The part of the word table in the mixture is fitted on all words of all training documents, by a histogram of
+  how much more likely the table finds each word than its spelling does. A word that no other text has counts as unseen.
 * Scoring cuts each document's subwords into overlapping windows of ``WINDOW`` places. Each window scores its last
   ``STRIDE`` places, so every subword is scored once, after at least ``WINDOW - STRIDE`` others where there are so many.
   Windows are batched; what lies before a text is masked.
@@ -35,14 +40,19 @@ from pyspark.sql import functions as F
 from tideline.llm.common import byte_slices, remainder, stash, text_of
 from tideline.llm.packing import encoder
 
-WINDOW, STRIDE = 16, 12
-CLASSES, DIM = 32, 16
+WINDOW, STRIDE = 24, 16
+CLASSES, DIM = 48, 16
 TABLE = 200_000
 KINDS = 8
 #: Part of a word's share over all kinds in its share of one kind.
 BACK_OFF = 0.05
-SAMPLE_DOCS, SAMPLE_BYTES = 2_000, 200_000
+#: Texts among which the first centres of kinds are chosen.
+STARTS = 2_000
 EPOCHS, BATCH = 2, 256
+#: Random marks by which subwords tell what they precede.
+MARKS = 24
+#: The histogram for the mixture: natural logarithms from -EDGE to EDGE.
+EDGE, PER_UNIT = 64, 64
 #: Bytes of text that are worked on together.
 TOGETHER = 4 << 20
 PRIOR = 20.0
@@ -126,22 +136,34 @@ def vocabulary() -> tuple[int, int, int, int]:
     return n, n + 1, n + 2, n + 3
 
 
-def cluster(sequences: list[np.ndarray]) -> np.ndarray:
-    """A class for each subword, by what precedes it in the sample; the end is alone in the last class."""
+def contexts(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """How often each subword occurs, and the sums of the marks of what precedes it; whole numbers, exact in any order."""
     end, begin, _, size = vocabulary()
-    rng = np.random.default_rng(3)
-    classes = np.full(size, CLASSES - 2, np.int32)  # what the sample does not have
-    classes[end:] = CLASSES - 1
     if not sequences:
-        return classes
+        return np.zeros(size, np.int64), np.zeros((size, MARKS), np.int64)
+    marks = np.round(np.random.default_rng(3).standard_normal((size, MARKS)) * 256)
     stream = np.concatenate([np.concatenate([[begin], s, [end]]) for s in sequences])
     before, after = stream[:-1], stream[1:]
     inside = after < end
     before, after = before[inside], after[inside]
-    mark = rng.standard_normal((size, 24)).astype(np.float32)
-    seen, counts = np.unique(after, return_counts=True)
-    where = np.searchsorted(seen, after)
-    around = np.stack([np.bincount(where, mark[before, k], len(seen)) for k in range(24)], axis=1) / np.sqrt(counts)[:, None]
+    sums = np.stack([np.bincount(after, marks[before, k], size) for k in range(MARKS)], axis=1)
+    return np.bincount(after, minlength=size), sums.astype(np.int64)
+
+
+def cluster(sequences: list[np.ndarray]) -> np.ndarray:
+    return classes_of(*contexts(sequences))
+
+
+def classes_of(all_counts: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """A class for each subword, by what precedes it; the end is alone in the last class."""
+    end, _, _, size = vocabulary()
+    classes = np.full(size, CLASSES - 2, np.int32)  # what no text has
+    classes[end:] = CLASSES - 1
+    seen = np.flatnonzero(all_counts)
+    if not len(seen):
+        return classes
+    counts = all_counts[seen]
+    around = sums[seen] / 256 / np.sqrt(counts)[:, None]
     around /= np.maximum(np.linalg.norm(around, axis=1, keepdims=True), 1e-9)
     points = np.column_stack([around, np.where(_opens()[seen], 1.5, 0.0)])
     n = min(CLASSES - 2, len(seen))
@@ -165,23 +187,57 @@ def histograms(sequences: list[np.ndarray], classes: np.ndarray) -> np.ndarray:
     return np.sqrt(out / np.maximum(out.sum(axis=1, keepdims=True), 1))
 
 
-def kinds_of(sequences: list[np.ndarray], classes: np.ndarray) -> np.ndarray:
-    """Centres of kinds of texts, by k-means over the sample, seeded by the farthest point."""
-    points = histograms(sequences, classes)
+def first_kinds(points: np.ndarray) -> np.ndarray:
+    """The centres that kinds start from, far from each other."""
     if not len(points):
         return np.zeros((KINDS, CLASSES))
     centres = points[:1]
     for _ in range(KINDS - 1):
         far = ((points[:, None] - centres) ** 2).sum(axis=2).min(axis=1)
         centres = np.concatenate([centres, points[[int(np.argsort(far)[-max(1, len(far) // 50)])]]])
+    return centres
+
+
+def kinds_of(shares: DataFrame) -> np.ndarray:
+    """Centres of kinds of texts, by k-means over all of them; ``shares`` has a histogram in ``h`` per text."""
+    some = shares.orderBy(F.xxhash64("h"), "h").limit(STARTS).toPandas()["h"]
+    centres = first_kinds(_points(some))
+    if not len(some):
+        return centres
     for _ in range(15):
-        own = nearest_kind(points, centres)
-        for k in range(KINDS):
-            if (own == k).any():
-                centres[k] = points[own == k].mean(axis=0)
+        sums = shares.mapInArrow(_kind_sums(centres), "kind int, place int, total long").groupBy("kind", "place").agg(F.sum("total").alias("total"))
+        sums = sums.toPandas()  # KINDS * (CLASSES + 1) rows
+        own = np.zeros((KINDS, CLASSES + 1))
+        own[sums["kind"], sums["place"]] = sums["total"]
+        full = own[:, CLASSES] > 0
+        moved = np.where(full[:, None], own[:, :CLASSES] / 65535 / np.maximum(own[:, CLASSES:], 1), centres)
+        if np.array_equal(moved, centres):
+            break
+        centres = moved
     return centres
 
 
+def _points(h) -> np.ndarray:
+    return np.frombuffer(b"".join(h), np.uint16).reshape(-1, CLASSES) / 65535
+
+
+def _kind_sums(centres: np.ndarray):
+    """Sums of the histograms of each kind's texts, and at the last place how many they are; whole numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((KINDS, CLASSES + 1), np.int64)
+        for batch in batches:
+            points = _points(batch.column("h").to_pylist())
+            own = nearest_kind(points, centres)
+            for k in range(KINDS):
+                total[k, :CLASSES] += np.round(points[own == k] * 65535).astype(np.int64).sum(axis=0)
+                total[k, CLASSES] += (own == k).sum()
+        kind, place = np.divmod(np.arange(total.size), CLASSES + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(total.ravel())], ["kind", "place", "total"])
+
+    return run
+
+
 def nearest_kind(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return ((centres**2).sum(axis=1) - 2 * points @ centres.T).argmin(axis=1)
 
@@ -270,52 +326,90 @@ class Attention:
         np.exp(logits, out=logits)
         return own - top - np.log(logits.sum(axis=2)) + self.within[target]
 
-    def train(self, x: np.ndarray, target: np.ndarray, rate: float = 0.01) -> None:
-        """Adam on the cross entropy of the next class, by hand-written gradients."""
-        pad = vocabulary()[2]
-        weights = [self.embed, self.wq, self.wk, self.wv, self.place]
-        first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
-        rng, step = np.random.default_rng(2), 0
+    def train(self, x: np.ndarray, target: np.ndarray) -> None:
+        """``EPOCHS`` passes over windows."""
+        self.begin()
         for _ in range(EPOCHS):
-            order = rng.permutation(len(x))
-            for a in range(0, len(order), BATCH):
-                some = x[order[a : a + BATCH]]
-                goal = target[order[a : a + BATCH]]
-                real = goal >= 0
-                n = max(int(real.sum()), 1)
-                e = self.embed[some]
-                e[some == pad] = 0
-                el, last = e[:, WINDOW - STRIDE :], some[:, WINDOW - STRIDE :]
-                q, k, v = el @ self.wq, e @ self.wk, e @ self.wv
-                s = q @ k.transpose(0, 2, 1) / math.sqrt(DIM) + self.causal + self.place[np.maximum(self.back, 0)]
-                s += np.where(some == pad, np.float32(-1e9), np.float32(0))[:, None, :]
-                p = np.exp(s - s.max(axis=2, keepdims=True))
-                p /= p.sum(axis=2, keepdims=True)
-                z = p @ v + self.follows[last]
-                z = np.exp(z - z.max(axis=2, keepdims=True))
-                z /= z.sum(axis=2, keepdims=True)
-                c = self.classes[np.maximum(goal, 0)]
-                dz = z
-                np.put_along_axis(dz, c[:, :, None], np.take_along_axis(dz, c[:, :, None], 2) - 1, 2)
-                dz *= (real / np.float32(n))[:, :, None]
-                dp = dz @ v.transpose(0, 2, 1)
-                dv = p.transpose(0, 2, 1) @ dz
-                ds = p * (dp - (dp * p).sum(axis=2, keepdims=True))
-                dq = ds @ k / math.sqrt(DIM)
-                dk = ds.transpose(0, 2, 1) @ q / math.sqrt(DIM)
-                de = dk @ self.wk.T + dv @ self.wv.T
-                de[:, WINDOW - STRIDE :] += dq @ self.wq.T
-                de[some == pad] = 0
-                grad_embed = np.zeros_like(self.embed)
-                np.add.at(grad_embed, some.ravel(), de.reshape(-1, DIM))
-                flat = lambda t: t.reshape(-1, t.shape[-1])
-                grad_place = np.bincount(np.maximum(self.back, 0).ravel(), np.where(self.back >= 0, ds.sum(axis=0), 0).ravel(), WINDOW)
-                grads = [grad_embed, flat(el).T @ flat(dq), flat(e).T @ flat(dk), flat(e).T @ flat(dv), grad_place.astype(np.float32)]
-                step += 1
-                for i, (w, g) in enumerate(zip(weights, grads, strict=True)):
-                    first[i] += 0.1 * (g - first[i])
-                    second[i] += 0.01 * (g * g - second[i])
-                    w -= rate * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.99**step)) + 1e-8)
+            self.learn(x, target)
+
+    def begin(self) -> None:
+        weights = self.weights()
+        self.moments = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
+        self.order, self.steps = np.random.default_rng(2), 0
+
+    def weights(self) -> list[np.ndarray]:
+        return [self.embed, self.wq, self.wk, self.wv, self.place]
+
+    def learn(self, x: np.ndarray, target: np.ndarray, rate: float = 0.01) -> None:
+        """Adam on the cross entropy of the next class, by hand-written gradients. A step moves the subwords that it has."""
+        pad = vocabulary()[2]
+        weights = self.weights()
+        first, second = self.moments
+        order = self.order.permutation(len(x))
+        back, front = np.maximum(self.back, 0), WINDOW - STRIDE
+        flat = lambda t: t.reshape(-1, t.shape[-1])
+        for a in range(0, len(order), BATCH):
+            some = x[order[a : a + BATCH]]
+            goal = target[order[a : a + BATCH]]
+            real = goal >= 0
+            n = max(int(real.sum()), 1)
+            padded = some == pad
+            e = self.embed[some]
+            e[padded] = 0
+            el, last = e[:, front:], some[:, front:]
+            q, k, v = el @ self.wq, e @ self.wk, e @ self.wv
+            p = q @ k.transpose(0, 2, 1)
+            p *= np.float32(1 / math.sqrt(DIM))
+            p += self.causal + self.place[back]
+            p += np.where(padded, np.float32(-1e9), np.float32(0))[:, None, :]
+            p -= p.max(axis=2, keepdims=True)
+            np.exp(p, out=p)
+            p /= p.sum(axis=2, keepdims=True)
+            z = p @ v
+            z += self.follows[last]
+            z -= z.max(axis=2, keepdims=True)
+            np.exp(z, out=z)
+            z /= z.sum(axis=2, keepdims=True)
+            dz = flat(z)
+            dz[np.arange(len(dz)), self.classes[np.maximum(goal, 0)].ravel()] -= 1
+            z *= (real / np.float32(n))[:, :, None]
+            dv = p.transpose(0, 2, 1) @ z
+            ds = z @ v.transpose(0, 2, 1)
+            ds -= (ds * p).sum(axis=2, keepdims=True)
+            ds *= p
+            dq = ds @ k / np.float32(math.sqrt(DIM))
+            dk = ds.transpose(0, 2, 1) @ q / np.float32(math.sqrt(DIM))
+            de = dk @ self.wk.T + dv @ self.wv.T
+            de[:, front:] += dq @ self.wq.T
+            de[padded] = 0
+            ids = some.ravel()
+            by_id = np.argsort(ids, kind="stable")
+            cuts = np.flatnonzero(np.diff(ids[by_id], prepend=-1))
+            here = ids[by_id[cuts]]
+            grad_place = np.bincount(back.ravel(), np.where(self.back >= 0, ds.sum(axis=0), 0).ravel(), WINDOW).astype(np.float32)
+            grads = [np.add.reduceat(flat(de)[by_id], cuts, axis=0), flat(el).T @ flat(dq), flat(e).T @ flat(dk), flat(e).T @ flat(dv), grad_place]
+            self.steps += 1
+            for i, (w, g) in enumerate(zip(weights, grads, strict=True)):
+                at = here if i == 0 else slice(None)
+                first[i][at] += 0.1 * (g - first[i][at])
+                second[i][at] += 0.01 * (g * g - second[i][at])
+                w[at] -= rate * (first[i][at] / (1 - 0.9**self.steps)) / (np.sqrt(second[i][at] / (1 - 0.99**self.steps)) + 1e-8)
+
+    def small(self) -> np.ndarray:
+        """All weights but the subwords' own, as rows of ``DIM`` numbers."""
+        every = np.concatenate([w.ravel() for w in self.weights()[1:]])
+        return np.append(every, np.zeros(-len(every) % DIM, np.float32)).reshape(-1, DIM)
+
+    def take(self, rows: np.ndarray, values: np.ndarray) -> None:
+        """Sets weights by row: a subword's own, then the rows of ``small``."""
+        size = len(self.embed)
+        self.embed[rows[rows < size]] = values[rows < size]
+        rest = self.small()
+        rest[rows[rows >= size] - size] = values[rows >= size]
+        rest, at = rest.ravel(), 0
+        for w in self.weights()[1:]:
+            w[...] = rest[at : at + w.size].reshape(w.shape)
+            at += w.size
 
 
 def windows(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -402,17 +496,102 @@ def _sequences(words: Words) -> list[np.ndarray]:
     return [words.sequence(a, b)[0] for a, b in zip(words.firsts, words.firsts[1:], strict=False)]
 
 
-SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word long, n long"
+def _numbers(column: pa.Array) -> list[np.ndarray]:
+    """The texts of a column of subword ids."""
+    values, at = column.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *column.value_lengths().to_pylist()])
+    return [values[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+
+SUMS = [f"s{k}" for k in range(MARKS)]
+CONTEXTS = f"a long, n long, {', '.join(c + ' long' for c in SUMS)}, ids array<int>"
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row with ``ids`` for each text, and at the end a row without for each subword."""
+    counts, sums = contexts([])
+    whole = lambda v: pa.array(v, pa.int64())
+    names = ["a", "n", *SUMS, "ids"]
+    for batch in batches:
+        for some in byte_slices(batch, TOGETHER):
+            sequences = _sequences(Words(some.column("text").cast(pa.binary()).to_pylist()))
+            n, s = contexts(sequences)
+            counts += n
+            sums += s
+            offsets = np.cumsum([0, *map(len, sequences)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sequences)))
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(ids), pa.int64())] * (MARKS + 2) + [ids], names)
+    seen = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([whole(seen), whole(counts[seen]), *(whole(c) for c in sums[seen].T), pa.nulls(len(seen), pa.list_(pa.int32()))], names)
 
 
-def _score(model: Attention, table: Table, train_tokens: int, distinct: int, mixed: float):
-    """Rows with a null ``word`` are documents; the others are words outside the table, to be joined."""
+def _histograms(classes: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = np.round(histograms(_numbers(batch.column("ids")), classes) * 65535).astype(np.uint16)
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in h], pa.binary())], ["h"])
+
+    return run
+
+
+WEIGHTS = [f"w{k}" for k in range(DIM)]
+
+
+def _round(model: Attention):
+    """The weights after training on all documents of a task, times what they count: ``n``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model.begin()
+        size, places = len(model.embed), 0
+        seen = np.zeros(size, np.int64)
+        for batch in batches:
+            sequences = _numbers(batch.column("ids"))
+            part = np.cumsum([len(s) for s in sequences]) // TOGETHER
+            for k in np.unique(part):
+                x, target, _ = windows([s for s, own in zip(sequences, part, strict=True) if own == k])
+                model.learn(x, target)
+                seen += np.bincount(x.ravel(), minlength=size)
+                places += int((target >= 0).sum())
+        if places:
+            rows = np.flatnonzero(seen)
+            rest = model.small()
+            n = np.concatenate([seen[rows], np.full(len(rest), places)])
+            values = np.concatenate([model.embed[rows], rest]).astype(np.float64) * n[:, None]
+            rows = np.concatenate([rows, size + np.arange(len(rest))])
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(n), *(pa.array(c) for c in values.T)], ["a", "n", *WEIGHTS])
+
+    return run
+
+
+def train(model: Attention, training: DataFrame) -> None:
+    """``EPOCHS`` rounds over all training documents."""
+    for _ in range(EPOCHS):
+        schema = f"a long, n long, {', '.join(c + ' double' for c in WEIGHTS)}"
+        sums = training.mapInArrow(_round(model), schema).groupBy("a").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in WEIGHTS])
+        sums = sums.toPandas()  # a row per subword at most, and those of small()
+        model.take(sums["a"].to_numpy(np.int64), sums[WEIGHTS].to_numpy(np.float64).reshape(-1, DIM) / sums[["n"]].to_numpy(np.float64))
+
+
+SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, spelled double, ratios array<float>, word long, bin int, n long"
+
+
+def _score(model: Attention, table: Table, train_tokens: int, distinct: int):
+    """Documents have a ``row`` and no ``word``: ``spelled`` is the log of all spellings, ``ratios`` have the log of share by
+    spelling for each word and the end. Rows with a ``word`` are words outside the table, to be joined. Rows with a ``bin``
+    count the ratios of training documents."""
     scale = math.log10(train_tokens + 0.1 * (distinct + 1)) if train_tokens else -1.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = TaskContext.get().partitionId() << 40
         end_row = table.find(np.array([END_WORD]))
         end_count = int(table.count(end_row)[0])
+        bins = np.zeros(2 * EDGE * PER_UNIT, np.int64)
+        names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "spelled", "ratios", "word", "bin", "n"]
+        types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.float32()), pa.int64(), pa.int32(), pa.int64()]
+
+        def rows_of(**columns: pa.Array) -> pa.RecordBatch:
+            m = len(next(iter(columns.values())))
+            return pa.RecordBatch.from_arrays([columns[c].cast(t) if c in columns else pa.nulls(m, t) for c, t in zip(names, types, strict=True)], names)
+
         for big in batches:
             for batch in byte_slices(big, TOGETHER):
                 words = Words(batch.column("text").cast(pa.binary()).to_pylist())
@@ -425,28 +604,32 @@ def _score(model: Attention, table: Table, train_tokens: int, distinct: int, mix
                 spelled = np.add.reduceat(logs, np.cumsum(lengths) - lengths)
                 at = table.find(words.hashes)
                 with_ends = np.insert(at[words.index], words.firsts[1:], end_row)
-                value = np.log10(mixed * table.probabilities(with_ends, n_words + 1) + (1 - mixed) * np.exp(spelled) + 1e-300)
-                score = np.add.reduceat(value, words.firsts[:-1] + np.arange(len(sequences)))
-                known = table.count(at)[words.index]
+                with np.errstate(divide="ignore"):
+                    ratios = np.log(table.probabilities(with_ends, n_words + 1)) - spelled
+                starts = words.firsts[:-1] + np.arange(len(sequences))
+                key, inside, times = np.unique(text * len(words.hashes) + words.index, return_inverse=True, return_counts=True)
+                counts = table.count(at)
+                # a text's own words must not speak for the table
+                others = np.where(counts[words.index] > times[inside], np.delete(ratios, words.firsts[1:] + np.arange(len(sequences))), -np.inf)
+                used = np.insert(others, words.firsts[1:], ratios[words.firsts[1:] + np.arange(len(sequences))])
+                used = used[np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False), n_words + 1)]
+                bins += np.bincount(((np.clip(used, -EDGE, EDGE - 1e-6) + EDGE) * PER_UNIT).astype(np.int64), minlength=len(bins))
+                known = counts[words.index]
                 part = np.where(known > 0, np.log10(known + 0.1) - scale, 0.0)
                 base = np.bincount(text, part, len(sequences)) + (math.log10(end_count + 0.1) - scale)
                 n_known = np.bincount(text, known > 0, len(sequences)).astype(np.int64) + (end_count > 0)
                 rows = serial + np.arange(len(sequences))
                 serial += len(sequences)
-                m = len(rows)
-                rare = np.flatnonzero(known == 0)
-                key, n = np.unique(text[rare] * len(words.hashes) + words.index[rare], return_counts=True)
-                r = len(key)
-                none = np.concatenate([np.zeros(m, bool), np.ones(r, bool)])
-                fill = lambda v, k: pa.array(np.concatenate([v, np.zeros(r)]).astype(k), mask=none)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([rows, rows[key // max(len(words.hashes), 1)]])),
-                    pa.concat_arrays([batch.column("doc_id"), pa.nulls(r, pa.int64())]),
-                    pa.concat_arrays([batch.column("held_out"), pa.nulls(r, pa.bool_())]),
-                    fill(n_words + 1, np.int64), fill(n_known, np.int64), fill(base, np.float64), fill(score, np.float64),
-                    pa.array(np.concatenate([np.zeros(m, np.int64), words.hashes[key % max(len(words.hashes), 1)].view(np.int64)]), mask=~none),
-                    pa.array(np.concatenate([np.zeros(m, np.int64), n]), mask=~none),
-                ], ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "word", "n"])
+                yield rows_of(
+                    row=pa.array(rows), doc_id=batch.column("doc_id"), held_out=batch.column("held_out"), n_tokens=pa.array(n_words + 1),
+                    n_known=pa.array(n_known), base=pa.array(base), spelled=pa.array(np.add.reduceat(spelled, starts)),
+                    ratios=pa.ListArray.from_arrays(pa.array(np.append(starts, len(ratios)).astype(np.int32)), pa.array(ratios.astype(np.float32))),
+                )
+                rare = counts[key % max(len(words.hashes), 1)] == 0
+                key, times = key[rare], times[rare]
+                yield rows_of(row=pa.array(rows[key // max(len(words.hashes), 1)]), word=pa.array(words.hashes[key % max(len(words.hashes), 1)].view(np.int64)), n=pa.array(times))
+        filled = np.flatnonzero(bins)
+        yield rows_of(bin=pa.array(filled), n=pa.array(bins[filled]))
 
     return run
 
@@ -464,40 +647,53 @@ def gather(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return own, follows
 
 
-def fit(own: np.ndarray, follows: np.ndarray, sample: list[bytes], classes: np.ndarray) -> Attention:
-    """The model from the counts of all training text and the sample."""
+def start(own: np.ndarray, follows: np.ndarray, classes: np.ndarray) -> Attention:
+    """The model from the counts of all training text, before its weights are trained."""
     own = own + 0.5
     per_class = np.bincount(classes, own, CLASSES)
     within = np.log(own / per_class[classes])
     usual = (per_class + 1e-3) / (per_class + 1e-3).sum()
     follows = np.log((follows + PRIOR * usual) / (follows.sum(axis=1, keepdims=True) + PRIOR))
-    model = Attention(follows.astype(np.float32), within.astype(np.float32), classes)
-    if sample:
-        x, target, _ = windows(_sequences(Words(sample)))
+    return Attention(follows.astype(np.float32), within.astype(np.float32), classes)
+
+
+def fit(own: np.ndarray, follows: np.ndarray, texts: list[bytes], classes: np.ndarray) -> Attention:
+    """The model from counts and texts, in this process."""
+    model = start(own, follows, classes)
+    if texts:
+        x, target, _ = windows(_sequences(Words(texts)))
         model.train(x, target)
     return model.freeze()
 
 
-def mixture(model: Attention, sample: list[bytes], table: Table) -> float:
-    """The part of the word table in the mixture, by expectation maximisation on some of the sample."""
-    if not sample or not len(table.words):
+def mixture(bins: np.ndarray, counts: np.ndarray) -> float:
+    """The part of the word table in the mixture, by expectation maximisation on the ratios of share and spelling."""
+    if not counts.sum():
         return 0.0
-    words = Words(sample[:200])
-    logs = log_probabilities(model, _sequences(words)).astype(np.float64)
-    lengths = np.insert(words.length[words.index], words.firsts[1:], 1)
-    spelled = np.exp(np.add.reduceat(logs, np.cumsum(lengths) - lengths))
-    at = table.find(words.hashes)
-    # the sample's own occurrences must not speak for the table
-    unseen = table.count(at) <= np.bincount(words.index, minlength=len(at))
-    at = np.where(unseen, len(table.words), at)
-    rows = np.insert(at[words.index], words.firsts[1:], table.find(np.array([END_WORD])))
-    share = table.probabilities(rows, np.diff(words.firsts) + 1)
+    ratio = np.exp((bins + 0.5) / PER_UNIT - EDGE)
     mixed = 0.5
     for _ in range(20):
-        mixed = float(np.mean(mixed * share / (mixed * share + (1 - mixed) * spelled + 1e-300)))
+        mixed = float(np.average(mixed * ratio / (mixed * ratio + 1 - mixed), weights=counts))
     return min(max(mixed, 0.01), 0.99)
 
 
+def _mixed(part: float):
+    """Scores from the spellings and the ratios."""
+    with np.errstate(divide="ignore"):
+        table, spelling = np.log(part), np.log(1 - part)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ratios = batch.column("ratios")
+            n = ratios.value_lengths().to_numpy(zero_copy_only=False)
+            value = np.logaddexp(spelling, table + ratios.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
+            score = (batch.column("spelled").to_numpy() + np.add.reduceat(value, np.cumsum(n) - n)) / math.log(10) if len(n) else np.zeros(0)
+            kept = [c for c in batch.schema.names if c not in ("spelled", "ratios")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(score)], [*kept, "score"])
+
+    return run
+
+
 def _least_count(word_counts: DataFrame) -> int:
     """The count from which on words are in the table, so that TABLE of them are at most."""
     step = F.floor(F.log2("c") * 16).cast("int").alias("step")
@@ -515,14 +711,13 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), (remainder(folds) == 0).alias("held_out"))
     trained = docs.filter("not held_out")
-    n = trained.count()
-    scale = 1_000_003
-    keep = scale if n <= SAMPLE_DOCS else int(scale * SAMPLE_DOCS / n)
-    fits = (F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(scale)) < keep) & (F.octet_length("text") <= SAMPLE_BYTES)
-    sample = [r.text.encode() for r in trained.filter(fits).orderBy("doc_id", "text").limit(SAMPLE_DOCS).select("text").collect()]
-    sequences = _sequences(Words(sample)) if sample else []
-    classes = cluster(sequences)
-    centres = kinds_of(sequences, classes)
+    encoded = stash(trained.select("text").mapInArrow(_contexts, CONTEXTS), "subwords")
+    sums = encoded.filter("ids is null").groupBy("a").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SUMS]).toPandas()  # a row per subword
+    context = contexts([])
+    context[0][sums["a"]], context[1][sums["a"]] = sums["n"], sums[SUMS]
+    classes = classes_of(*context)
+    training = encoded.filter("ids is not null").select("ids")
+    centres = kinds_of(stash(training.mapInArrow(_histograms(classes), "h binary"), "histograms"))
 
     counted = trained.select("text").mapInArrow(_count(classes, centres), COUNTED).groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
     counted = stash(counted, "counts")
@@ -534,11 +729,15 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     names = [f"k{k}" for k in range(KINDS)]
     table = Table(top["word"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), top[names].to_numpy(np.float64).reshape(-1, KINDS),
                   np.array([totals[k] or 0 for k in names], float), tokens)
-    model = fit(*gather(counted), sample, classes)
-    mixed = mixture(model, sample, table)
-
-    scored = stash(docs.mapInArrow(_score(model, table, tokens, distinct, mixed), SCORED), "scores")
-    whole = scored.filter("word is null")
+    model = start(*gather(counted), classes)
+    train(model, training)
+    model.freeze()
+
+    scored = stash(docs.mapInArrow(_score(model, table, tokens, distinct), SCORED), "scores")
+    found = scored.filter("bin is not null").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
+    mixed = mixture(found["bin"].to_numpy(np.int64), found["n"].to_numpy(np.int64))
+    columns = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double"
+    whole = scored.filter("ratios is not null").select(*[c.split()[0] for c in columns.split(", ")], "spelled", "ratios").mapInArrow(_mixed(mixed), columns + ", score double")
     rare = scored.filter("word is not null").select("row", "word", "n").join(word_counts.select("word", "c"), "word", "left")
     share = F.log10(F.coalesce("c", F.lit(0)) + 0.1) - (F.lit(math.log10(tokens + 0.1 * (distinct + 1)) if tokens else -1.0))
     sums = rare.groupBy("row").agg(F.sum(F.col("n") * share).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("found"))
