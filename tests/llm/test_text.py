@@ -207,3 +207,13 @@ def test_language_learns_from_long_texts(spark):
     got = {r.doc_id: r for r in language.score_documents(docs).collect()}
     # each word follows from the one before it; without the long text it would be one of four
     assert got[held_id].score > -0.1 * got[held_id].n_tokens
+
+
+def test_language_scores_do_not_depend_on_the_size_of_the_table(spark, monkeypatch):
+    docs = spark.createDataFrame(documents(spark, n=60).select("doc_id", "text").collect(), "doc_id long, text string").coalesce(1)
+    key = lambda r: (repr(r.doc_id), r.n_tokens, r.base_score)
+    whole = sorted(language.score_documents(docs).collect(), key=key)
+    for size in (0, 20):
+        monkeypatch.setattr(language, "TABLE", size)
+        for a, b in zip(whole, sorted(language.score_documents(docs).collect(), key=key), strict=True):
+            assert a[:5] == b[:5] and np.allclose(a[5:], b[5:], rtol=1e-6)

@@ -3,8 +3,8 @@
 A text is the sequence of its words (A-Z lower-cased) and an end. Each word is spelled in subword ids. The model
 gives the class of the next subword: one layer of causal self-attention with learned relative
 positions, added to how often each class follows the last subword in all training text; within a class a subword
-has its share of all training text. A word's probability is a fixed mixture of its spelling and, for
-the ``TABLE`` most frequent words, its share of the training words of texts of one kind; the ``KINDS`` kinds (clusters
+has its share of all training text. A word's probability is a fixed mixture of its spelling and
+its share of the training words of texts of one kind; the ``KINDS`` kinds (clusters
 by class counts, mostly languages) weigh by how well each explains the words so far.
 
 * Counts (words, subwords, classes after subwords) come from every training document. Equal words are spelled once per batch.
@@ -18,8 +18,9 @@ by class counts, mostly languages) weigh by how well each explains the words so
   ``STRIDE`` places, so every subword is scored once, after at least ``WINDOW - STRIDE`` others where there are so many.
   Windows are batched; what lies before a text is masked.
 
-The base score is the smoothed share of each word among all training words. Words below the frequent ones are
-counted by a join on their hash; frequent ones, which would make it skewed, are in the table (a fixed number of rows).
+The base score is the smoothed share of each word among all training words. The ``TABLE`` most frequent words, which would
+make a join skewed, are in every task. The counts of all others are joined by hash with the distinct words of each block
+of texts, and the block is scored with its own: what a word counts does not depend on ``TABLE``.
 
 Defined cases: a null or empty text is one end. A null id counts as trained on if crc32 of nothing does (it is held out). Repeated
 rows count and are scored each. With no training documents all words are unknown, and the score is the model's
@@ -28,6 +29,7 @@ before any fit. An empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import copy
 import math
 from collections.abc import Iterator
 
@@ -76,7 +78,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 class Words:
     """The words of some texts: hashes, and spellings of the distinct ones."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], spelled: bool = True):
         data = _LOWER[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
         edge = np.diff(np.concatenate([[False], ~_SPACE[data]]).astype(np.int8))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -90,7 +92,8 @@ class Words:
         limits = np.cumsum([len(t) + 1 for t in texts])
         self.firsts = np.searchsorted(starts, np.concatenate([[0], limits]))  # of each text
         self.hashes, at, self.index = np.unique(_mix(hashes) | np.uint64(2), return_index=True, return_inverse=True)
-        self.spell(data, starts[at], ends[at])
+        if spelled:
+            self.spell(data, starts[at], ends[at])
 
     def spell(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """The subword ids of each distinct word after a space: ``flat`` from ``offset``, ``length`` many."""
@@ -243,7 +246,7 @@ def nearest_kind(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 class Table:
-    """The most frequent words: counts, and shares per kind of text."""
+    """Some words: counts, and shares per kind of text."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, by_kind: np.ndarray, kind_totals: np.ndarray, total: int):
         order = np.argsort(words)
@@ -266,6 +269,15 @@ class Table:
     def count(self, rows: np.ndarray) -> np.ndarray:
         return np.append(self.counts, 0)[rows]
 
+    def only(self, hashes: np.ndarray, more: Table) -> Table:
+        """A table whose rows are these words, taken from this one or else from ``more``."""
+        part = copy.copy(self)
+        at, other = self.find(hashes), more.find(hashes)
+        here = (at < len(self.words))[:, None]
+        part.words, part.counts = hashes, np.where(here[:, 0], self.count(at), more.count(other))
+        part.shares, part.logs = np.where(here, self.shares[at], more.shares[other]), np.where(here, self.logs[at], more.logs[other])
+        return part
+
     def probabilities(self, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Of each word of some texts, ``sizes`` words each, given the words before it in its text."""
         out = np.empty(len(rows))
@@ -443,6 +455,7 @@ def log_probabilities(model: Attention, sequences: list[np.ndarray]) -> np.ndarr
     return out[target >= 0]
 
 
+KIND_COUNTS = [f"k{k}" for k in range(KINDS)]
 COUNTED = "kind int, a long, b long, n long"
 
 
@@ -571,65 +584,80 @@ def train(model: Attention, training: DataFrame) -> None:
         model.take(sums["a"].to_numpy(np.int64), sums[WEIGHTS].to_numpy(np.float64).reshape(-1, DIM) / sums[["n"]].to_numpy(np.float64))
 
 
-SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, spelled double, ratios array<float>, word long, bin int, n long"
+BLOCKS = "block long, doc_id long, held_out boolean, text string, word long"
 
 
-def _score(model: Attention, table: Table, train_tokens: int, distinct: int):
-    """Documents have a ``row`` and no ``word``: ``spelled`` is the log of all spellings, ``ratios`` have the log of share by
-    spelling for each word and the end. Rows with a ``word`` are words outside the table, to be joined. Rows with a ``bin``
-    count the ratios of training documents."""
-    scale = math.log10(train_tokens + 0.1 * (distinct + 1)) if train_tokens else -1.0
+def _blocks(frequent: np.ndarray):
+    """Rows without a ``word`` are documents with a block; the others are a block's distinct words outside ``frequent``, which is sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        serial = TaskContext.get().partitionId() << 40
-        end_row = table.find(np.array([END_WORD]))
-        end_count = int(table.count(end_row)[0])
-        bins = np.zeros(2 * EDGE * PER_UNIT, np.int64)
-        names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "spelled", "ratios", "word", "bin", "n"]
-        types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.float32()), pa.int64(), pa.int32(), pa.int64()]
-
-        def rows_of(**columns: pa.Array) -> pa.RecordBatch:
-            m = len(next(iter(columns.values())))
-            return pa.RecordBatch.from_arrays([columns[c].cast(t) if c in columns else pa.nulls(m, t) for c, t in zip(names, types, strict=True)], names)
-
+        block = TaskContext.get().partitionId() << 40
+        names = ["block", "doc_id", "held_out", "text", "word"]
         for big in batches:
             for batch in byte_slices(big, TOGETHER):
-                words = Words(batch.column("text").cast(pa.binary()).to_pylist())
-                sequences = _sequences(words)
-                logs = log_probabilities(model, sequences).astype(np.float64)
-                n_words = np.diff(words.firsts)
-                text = np.repeat(np.arange(len(sequences)), n_words)
-                # a text's words, then its end
-                lengths = np.insert(words.length[words.index], words.firsts[1:], 1)
-                spelled = np.add.reduceat(logs, np.cumsum(lengths) - lengths)
-                at = table.find(words.hashes)
-                with_ends = np.insert(at[words.index], words.firsts[1:], end_row)
-                with np.errstate(divide="ignore"):
-                    ratios = np.log(table.probabilities(with_ends, n_words + 1)) - spelled
-                starts = words.firsts[:-1] + np.arange(len(sequences))
-                key, inside, times = np.unique(text * len(words.hashes) + words.index, return_inverse=True, return_counts=True)
-                counts = table.count(at)
-                # a text's own words must not speak for the table
-                others = np.where(counts[words.index] > times[inside], np.delete(ratios, words.firsts[1:] + np.arange(len(sequences))), -np.inf)
-                used = np.insert(others, words.firsts[1:], ratios[words.firsts[1:] + np.arange(len(sequences))])
-                used = used[np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False), n_words + 1)]
-                bins += np.bincount(((np.clip(used, -EDGE, EDGE - 1e-6) + EDGE) * PER_UNIT).astype(np.int64), minlength=len(bins))
-                known = counts[words.index]
-                part = np.where(known > 0, np.log10(known + 0.1) - scale, 0.0)
-                base = np.bincount(text, part, len(sequences)) + (math.log10(end_count + 0.1) - scale)
-                n_known = np.bincount(text, known > 0, len(sequences)).astype(np.int64) + (end_count > 0)
-                rows = serial + np.arange(len(sequences))
-                serial += len(sequences)
-                yield rows_of(
-                    row=pa.array(rows), doc_id=batch.column("doc_id"), held_out=batch.column("held_out"), n_tokens=pa.array(n_words + 1),
-                    n_known=pa.array(n_known), base=pa.array(base), spelled=pa.array(np.add.reduceat(spelled, starts)),
-                    ratios=pa.ListArray.from_arrays(pa.array(np.append(starts, len(ratios)).astype(np.int32)), pa.array(ratios.astype(np.float32))),
-                )
-                rare = counts[key % max(len(words.hashes), 1)] == 0
-                key, times = key[rare], times[rare]
-                yield rows_of(row=pa.array(rows[key // max(len(words.hashes), 1)]), word=pa.array(words.hashes[key % max(len(words.hashes), 1)].view(np.int64)), n=pa.array(times))
+                own = np.append(Words(batch.column("text").cast(pa.binary()).to_pylist(), spelled=False).hashes, END_WORD)
+                own = np.setdiff1d(own, frequent, assume_unique=True).view(np.int64)
+                m, r = batch.num_rows, len(own)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(m + r, block)), *(pa.concat_arrays([batch.column(c), pa.nulls(r, t)]) for c, t in (("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.string()))),
+                    pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(own)]),
+                ], names)
+                block += 1
+
+    return run
+
+
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, spelled double, ratios array<float>, bin int, n long"
+
+
+def _score(model: Attention, table: Table, kind_totals: np.ndarray, train_tokens: int, distinct: int):
+    """The documents of a block, with the counts of its words outside the table. ``spelled`` is the log of all spellings, ``ratios`` have
+    the log of share by spelling for each word and the end. Rows with a ``bin`` count the ratios of training documents."""
+    scale = math.log10(train_tokens + 0.1 * (distinct + 1)) if train_tokens else -1.0
+    names = [c.split()[0] for c in SCORED.split(", ")]
+    types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.float32()), pa.int32(), pa.int64()]
+
+    def rows_of(**columns: pa.Array) -> pa.Table:
+        m = len(next(iter(columns.values())))
+        return pa.Table.from_arrays([columns[c].cast(t) if c in columns else pa.nulls(m, t) for c, t in zip(names, types, strict=True)], names)
+
+    def run(block: pa.Table, others: pa.Table) -> pa.Table:
+        words = Words(block.column("text").cast(pa.binary()).to_pylist())
+        sequences = _sequences(words)
+        if not sequences:
+            return rows_of(bin=pa.array([], pa.int32()))
+        rest = others.select(["word", "c", *KIND_COUNTS]).to_pandas()
+        rest = Table(rest["word"].to_numpy(np.int64).view(np.uint64), rest["c"].to_numpy(np.int64), rest[KIND_COUNTS].to_numpy(np.float64).reshape(-1, KINDS), kind_totals, train_tokens)
+        own = table.only(np.append(words.hashes, END_WORD), rest)
+        counts, end_count = own.counts[:-1], int(own.counts[-1])
+        logs = log_probabilities(model, sequences).astype(np.float64)
+        n_words = np.diff(words.firsts)
+        text = np.repeat(np.arange(len(sequences)), n_words)
+        # a text's words, then its end
+        lengths = np.insert(words.length[words.index], words.firsts[1:], 1)
+        spelled = np.add.reduceat(logs, np.cumsum(lengths) - lengths)
+        with_ends = np.insert(words.index, words.firsts[1:], len(words.hashes))
+        with np.errstate(divide="ignore"):
+            ratios = np.log(own.probabilities(with_ends, n_words + 1)) - spelled
+        starts = words.firsts[:-1] + np.arange(len(sequences))
+        # a text's own words must not speak for their shares
+        _, inside, times = np.unique(text * len(words.hashes) + words.index, return_inverse=True, return_counts=True)
+        only_here = np.insert(counts[words.index] <= times[inside], words.firsts[1:], False)
+        used = np.where(only_here, -np.inf, ratios)[np.repeat(~block.column("held_out").to_numpy(), n_words + 1)]
+        bins = np.bincount(((np.clip(used, -EDGE, EDGE - 1e-6) + EDGE) * PER_UNIT).astype(np.int64))
+        known = counts[words.index]
+        part = np.where(known > 0, np.log10(known + 0.1), -1.0) - scale
         filled = np.flatnonzero(bins)
-        yield rows_of(bin=pa.array(filled), n=pa.array(bins[filled]))
+        return pa.concat_tables([
+            rows_of(
+                doc_id=block.column("doc_id"), held_out=block.column("held_out"), n_tokens=pa.array(n_words + 1),
+                n_known=pa.array(np.bincount(text, known > 0, len(sequences)).astype(np.int64) + (end_count > 0)),
+                base=pa.array(np.bincount(text, part, len(sequences)) + (math.log10(end_count + 0.1) - scale)),
+                spelled=pa.array(np.add.reduceat(spelled, starts)),
+                ratios=pa.ListArray.from_arrays(pa.array(np.append(starts, len(ratios)).astype(np.int32)), pa.array(ratios.astype(np.float32))),
+            ),
+            rows_of(bin=pa.array(filled), n=pa.array(bins[filled])),
+        ])
 
     return run
 
@@ -726,29 +754,23 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     totals = word_counts.agg(F.sum("c").alias("tokens"), F.count("*").alias("distinct"), *[F.sum(f"k{k}").alias(f"k{k}") for k in range(KINDS)]).first()
     tokens, distinct = int(totals.tokens or 0), int(totals.distinct or 0)
     top = word_counts.filter(F.col("c") >= _least_count(word_counts)).toPandas()  # TABLE rows at most
-    names = [f"k{k}" for k in range(KINDS)]
-    table = Table(top["word"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), top[names].to_numpy(np.float64).reshape(-1, KINDS),
-                  np.array([totals[k] or 0 for k in names], float), tokens)
+    kind_totals = np.array([totals[k] or 0 for k in KIND_COUNTS], float)
+    table = Table(top["word"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), top[KIND_COUNTS].to_numpy(np.float64).reshape(-1, KINDS), kind_totals, tokens)
     model = start(*gather(counted), classes)
     train(model, training)
     model.freeze()
 
-    scored = stash(docs.mapInArrow(_score(model, table, tokens, distinct), SCORED), "scores")
+    blocks = stash(docs.mapInArrow(_blocks(table.words), BLOCKS), "blocks")
+    others = blocks.filter("word is not null").select(F.col("block").alias("of"), "word").join(word_counts, "word")
+    texts = blocks.filter("word is null").select("block", "doc_id", "held_out", "text")
+    scored = texts.groupBy("block").cogroup(others.groupBy("of")).applyInArrow(_score(model, table, kind_totals, tokens, distinct), SCORED)
+    scored = stash(scored, "scores")
     found = scored.filter("bin is not null").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
     mixed = mixture(found["bin"].to_numpy(np.int64), found["n"].to_numpy(np.int64))
-    columns = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double"
-    whole = scored.filter("ratios is not null").select(*[c.split()[0] for c in columns.split(", ")], "spelled", "ratios").mapInArrow(_mixed(mixed), columns + ", score double")
-    rare = scored.filter("word is not null").select("row", "word", "n").join(word_counts.select("word", "c"), "word", "left")
-    share = F.log10(F.coalesce("c", F.lit(0)) + 0.1) - (F.lit(math.log10(tokens + 0.1 * (distinct + 1)) if tokens else -1.0))
-    sums = rare.groupBy("row").agg(F.sum(F.col("n") * share).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("found"))
-    zero = F.lit(0)
-    return whole.join(sums, "row", "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("found", zero)).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
-    )
+    columns = "doc_id long, held_out boolean, n_tokens long, n_known long, base double"
+    whole = scored.filter("ratios is not null").select(*[c.split()[0] for c in columns.split(", ")], "spelled", "ratios")
+    whole = whole.mapInArrow(_mixed(mixed), columns + ", score double")
+    return whole.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
 
 
 def op8_language(spark, sf_dir: str) -> DataFrame:
