@@ -136,6 +136,17 @@ def test_what_a_host_repeats_is_not_content(spark):
     assert {r.page_id: r.text for r in html.extract_text(frame).collect()} == dict(enumerate(body))
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    page = lambda text: f"<body><div class=x1>We use biscuits here</div><div class=x2><p>{text}</p></div></body>"
+    rng = random.Random(7)
+    body = ["the page that all copy"] * 60 + [words(rng, 30) for _ in range(6)]
+    rows = [(i, "http://h.example/" + str(i), page(b)) for i, b in enumerate(body)] + [(100 + i, None, page("no url")) for i in range(3)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html.extract_text(frame).collect()}
+    assert {i: got[i] for i in range(66)} == dict(enumerate(body))
+    assert {got[100 + i] for i in range(3)} == {"We use biscuits here\n\nno url"}
+
+
 def test_a_long_page(spark):
     text = "word " * 200_000
     frame = spark.createDataFrame([(1, "http://x.example", f"<article><p>{text}</p></article>")], "page_id long, url string, html string")
