@@ -1,5 +1,7 @@
 """Every registered query of the text operators, over the smallest tables."""
 
+import random
+
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
@@ -45,3 +47,15 @@ def test_stages_take_empty_tables_and_odd_rows(spark, k):
     assert odd.count() > 0
     if k < 4:
         assert odd.columns == documents(spark).columns
+
+
+def test_a_repeated_id_goes_only_with_the_text_that_is_a_copy(spark):
+    from tests.llm.data import SCHEMA, words
+    from tideline.llm import stages
+
+    rng = random.Random(9)
+    copied, clean, other = (words(rng, 80) for _ in range(3))
+    rows = [(1, copied), (5, copied), (5, clean), (5, clean), (7, clean), (8, other), (8, ""), (8, None)]
+    docs = spark.createDataFrame([(i, t, "en", "web", len(t or "")) for i, t in rows], SCHEMA)
+    got = [(r.doc_id, r.text) for r in stages.keep_one_of_each(spark, docs, SF).collect()]
+    assert sorted(got, key=repr) == sorted([(1, copied), (5, clean), (8, other), (8, ""), (8, None)], key=repr)

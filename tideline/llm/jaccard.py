@@ -33,9 +33,11 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tideline.llm.common import IdFilter, byte_slices, parts, small_batches, stash, text_of
 from tideline.llm.graph import components
@@ -370,8 +372,20 @@ def _verified(pairs: DataFrame, docs: DataFrame, one_id: DataFrame) -> DataFrame
     return both.filter(100 * common >= 80 * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
+@F.pandas_udf(LongType())
+def class_of_text(text: pd.Series) -> pd.Series:
+    """The class of a text's set, as ``linked_classes`` has it; null without words."""
+    sets = shingle_sets([(t or "").encode() for t in text])
+    return pd.Series([int(_signed(_class(s))) if len(s) else None for s in sets], dtype="Int64")
+
+
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every document."""
+    return linked_classes(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def linked_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``link_documents`` with ``cls``, which equal sets share."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     described = stash(docs.mapInArrow(_describe, DESCRIBED), "shingle-sets")
@@ -407,7 +421,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     grouped = own.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     smallest = grouped.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     out = grouped.join(smallest, "comp", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "cls", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def op5_jaccard(spark, sf_dir: str) -> DataFrame:

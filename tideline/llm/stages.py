@@ -42,16 +42,16 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near copies, and one of its repeated rows.
 
-    Rows with a null id stay: nothing tells which of a group they would be. Only rows that a filter of
+    Rows of one id with different texts are decided each by its own text. Rows with a null id stay: nothing tells which of a group they would be. Only rows that a filter of
     bounded size can't clear are moved for the decision.
     """
-    links = stash(jaccard.link_documents(docs).filter("doc_id is not null"), "links")
-    gone = stash(links.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
+    links = stash(jaccard.linked_classes(docs).filter("doc_id is not null"), "links")
+    gone = stash(links.filter("component_id <> doc_id").select("doc_id", F.col("cls").alias("_class")).distinct(), "gone")
     several = links.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    in_doubt = F.col("doc_id").isNotNull() & IdFilter(gone.union(several)).column()
+    in_doubt = F.col("doc_id").isNotNull() & IdFilter(gone.select("doc_id").union(several)).column()
     marked = docs.withColumn("_in_doubt", F.coalesce(in_doubt, F.lit(False)))
-    doubtful = marked.filter("_in_doubt").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
-    return marked.filter("not _in_doubt").unionByName(doubtful).select(*docs.columns)
+    doubtful = marked.filter("_in_doubt").withColumn("_class", jaccard.class_of_text("text")).join(gone, ["doc_id", "_class"], "left_anti")
+    return marked.filter("not _in_doubt").unionByName(doubtful.dropDuplicates(["doc_id", "text"]).drop("_class")).select(*docs.columns)
 
 
 @keeps_columns
