@@ -147,6 +147,15 @@ def test_copies_of_a_page_keep_their_text(spark):
     assert {got[100 + i] for i in range(3)} == {"We use biscuits here\n\nno url"}
 
 
+@pytest.mark.parametrize("html_of", [
+    "<body class='single has-sidebar'><p>{}</p></body>", "<html class='no-nav'><main class='no-sidebar' id=related><p>{}</p></main></html>",
+    "<body><article class='post related'><p>{}</p><div class=related>x</div></article></body>", "<body class=topbar><p>{}</p></body>",
+])
+def test_names_of_a_whole_page_cut_nothing(html_of):
+    blocks, _ = html.parse(html_of.format("text"))
+    assert [text for text, style in blocks if not style.cut] == ["text"]
+
+
 def test_a_long_page(spark):
     text = "word " * 200_000
     frame = spark.createDataFrame([(1, "http://x.example", f"<article><p>{text}</p></article>")], "page_id long, url string, html string")
