@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tideline.llm import fingerprints, html, jaccard, language, mixing, neighbours, packing, repeats, rules, sharding
+from tideline.llm import conversations, fingerprints, html, jaccard, language, mixing, neighbours, packing, repeats, rules, sharding, simhash
 
 QUERIES = {
     "op1_neighbours": neighbours.op1_neighbours,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_language": language.op8_language,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_sharding": sharding.op10_sharding,
+    "op12_conversations": conversations.op12_conversations,
+    "op13_simhash": simhash.op13_simhash,
 }
 
 ORACLES: dict[str, str] = {"op2_mixing": mixing.ORACLE}
