@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tideline.llm import conversations, fingerprints, html, jaccard, language, mixing, neighbours, packing, repeats, rules, sharding, simhash
+from tideline.llm import collocations, conversations, fingerprints, html, jaccard, language, mixing, neighbours, packing, repeats, rules, sharding, simhash
 
 QUERIES = {
     "op1_neighbours": neighbours.op1_neighbours,
@@ -15,8 +15,9 @@ QUERIES = {
     "op8_language": language.op8_language,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_sharding": sharding.op10_sharding,
+    "op11_collocations": collocations.op11_collocations,
     "op12_conversations": conversations.op12_conversations,
     "op13_simhash": simhash.op13_simhash,
 }
 
-ORACLES: dict[str, str] = {"op2_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op2_mixing": mixing.ORACLE, "op11_collocations": collocations.ORACLE}
