@@ -29,7 +29,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -429,7 +428,7 @@ WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER.decode()}', '{_LOWER.decode()}'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents
 ), worded AS (
-  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), w -> w <> '') AS w FROM pieces
+  SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\x20\x09]+') IF x <> ''] AS w FROM pieces
 ), sized AS (
   SELECT lang, w, unnest(range(1, {LONGEST + 1})) AS m FROM worded
 ), placed AS (
