@@ -4,12 +4,14 @@ import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline import model as m
 from tideline.operators.envelope import (
     flatten_changes,
     normalize_envelope,
     parse_envelope,
+    parse_envelopes,
     unwrap_payload,
 )
 
@@ -121,6 +123,100 @@ def test_untyped_images_follow_the_rules(spark):
     assert values(normalize_envelope(maps, {"at": m.TIMESTAMP_MS}))[0]["after"] == {"at": "2024-01-01 00:00:00", "y": ""}
 
 
+def test_a_null_payload_is_no_change(spark):
+    text = '{"payload":null,"op":"c","after":{"id":1},"source":{"db":"d"}}'
+    df = spark.createDataFrame([(text,)], "value STRING")
+    with pytest.raises((PySparkException, Py4JJavaError), match="payload of an envelope is null"):
+        parse_envelope(df, IMAGE).collect()
+    row = parse_envelope(df, IMAGE, mode="PERMISSIVE").first()
+    assert (row.op, row.after.id) == ("c", 1)
+    assert unwrap_payload(df).first().value == text
+    # the word alone is no null payload
+    other = spark.createDataFrame([('{"op":"c","after":{"name":"\\"payload\\":null"}}',)], "value STRING")
+    assert parse_envelope(other, IMAGE).first().after.name == '"payload":null'
+
+
+def test_decimals_of_too_many_digits_fail(spark):
+    text = '{"after":{"id":1,"price":123456789012345678901234567890.123456789012}}'
+    df = spark.createDataFrame([(text,)], "value STRING")
+    with pytest.raises((PySparkException, Py4JJavaError), match="more than 38 digits"):
+        parse_envelope(df, "id BIGINT, price DECIMAL(38,2)").collect()
+    assert parse_envelope(df, "id BIGINT, price DECIMAL(38,2)", mode="PERMISSIVE").first().after.price is None
+    short = spark.createDataFrame([('{"after":{"id":1,"price":1.5E3}}',)], "value STRING")
+    assert str(parse_envelope(short, "id BIGINT, price DECIMAL(38,2)").first().after.price) == "1500.00"
+
+
+TYPED = """id BIGINT, raw BINARY, moment TIMESTAMP, local TIMESTAMP_NTZ, day DATE, tags ARRAY<STRING>, sizes ARRAY<DECIMAL(30,4)>,
+  attrs MAP<STRING,INT>, inner STRUCT<a: INT, b: STRING>, big DECIMAL(38,0), ok BOOLEAN, x DOUBLE"""
+TYPED_ROW = """SELECT 1L, unhex('00ff10'), TIMESTAMP'2024-01-02 03:04:05.123456 UTC', TIMESTAMP_NTZ'2024-01-02 03:04:05', DATE'2024-02-29',
+  array('a', null, '"q"'), array(12345678901234567890123456.7891BD, null), map('k', 1), named_struct('a', 7, 'b', 'é'), 98765432109876543210987654321098765432BD, true, 0.1D"""
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_columns_of_every_type_come_back(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.sql(f"{TYPED_ROW} UNION ALL SELECT 2L, null, null, null, null, null, null, null, null, null, null, null")
+        rows = rows.toDF(*[f"c{k}" for k in range(12)])
+        rows = rows.select(F.struct(*rows.columns).cast(T.StructType.fromDDL(TYPED)).alias("after"))
+        env = rows.select(
+            F.when(F.lit(False), F.col("after")).alias("before"), "after",
+            F.expr("named_struct('db', 'shop', 'table', 't', 'ts_ms', 1L)").alias("source"),
+            F.lit("c").alias("op"), F.lit(1).cast("bigint").alias("ts_ms"), F.lit(None).cast("string").alias("transaction"),
+        )
+        back = parse_envelope(normalize_envelope(env).select("value"), TYPED)
+        assert back.selectExpr("after.*").orderBy("id").collect() == env.selectExpr("after.*").orderBy("id").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_numbers_of_logical_types_come_back(spark):
+    rules = {"d": m.DATE, "t": m.TIME_US, "tn": m.TIME_NS, "ms": m.TIMESTAMP_MS, "us": m.TIMESTAMP_US, "ns": m.TIMESTAMP_NS}
+    schema = "d INT, t BIGINT, tn BIGINT, ms BIGINT, us BIGINT, ns BIGINT"
+    rows = [(19723, 3_723_004_000, 3_600_000_000_000, 1704067200123, 1704067200123000, -1_000_000), (-1, 0, 60_000_000_000, -1, 0, 5_000_000)]
+    images = spark.createDataFrame([(r,) for r in rows], T.StructType().add("after", T.StructType.fromDDL(schema)))
+    env = images.selectExpr(
+        "CASE WHEN false THEN after END before", "after", "named_struct('db','shop','table','t','ts_ms',1L) source", "'c' op", "1L ts_ms", "CAST(null AS STRING) transaction")
+    back = parse_envelope(normalize_envelope(env, rules).select("value"), schema, temporal=rules).selectExpr("after.*").collect()
+    assert sorted(map(tuple, back)) == sorted(rows)
+
+
+def test_instants_keep_an_offset_of_their_own(spark):
+    texts = ["2024-01-02T03:04:05Z", "2024-01-02 03:04:05.5+02:00", "2024-01-02 03:04:05"]
+    df = spark.createDataFrame([(json.dumps({"after": {"at": t}}),) for t in texts], "value STRING")
+    got = parse_envelope(df, "at TIMESTAMP").selectExpr("CAST(unix_micros(after.at) AS STRING)").collect()
+    assert [r[0] for r in got] == ["1704164645000000", "1704157445500000", "1704135845000000"]
+
+
+def test_types_that_no_envelope_shows_are_refused_by_name(spark):
+    df = spark.createDataFrame([("{}",)], "value STRING")
+    with pytest.raises(ValueError, match="column v .* interval"):
+        parse_envelope(df, "id INT, v INTERVAL DAY")
+
+
+TABLES = {"shop.a": "id BIGINT, name STRING, at TIMESTAMP", "shop.b": "Id STRING, price DECIMAL(38,18), raw BINARY", "crm.c": "id INT, name ARRAY<INT>"}
+
+
+def many(spark, *more):
+    envelopes = [
+        {"after": {"id": 1, "name": "x", "at": "2024-01-02 11:04:05"}, "source": {"db": "shop", "table": "a"}, "op": "c", "ts_ms": 1},
+        {"payload": {"before": {"Id": "k", "price": "", "raw": "AP8Q"}, "source": {"db": "shop ", "table": "b"}, "op": "d", "ts_ms": 2}},
+        {"before": {"id": 3, "name": [1, 2]}, "after": {"id": 3, "name": []}, "source": {"db": "crm", "table": "c"}, "op": "u", "ts_ms": 3}, *more]
+    return spark.createDataFrame([(json.dumps(e), k) for k, e in enumerate(envelopes)], "value STRING, k INT")
+
+
+def test_envelopes_of_many_tables(spark):
+    rows = parse_envelopes(many(spark), TABLES).orderBy("k").collect()
+    assert [(r.table_no, r.op, r.source.table) for r in rows] == [(0, "c", "a"), (1, "d", "b"), (2, "u", "c")]
+    assert rows[0].before is None and rows[0].after.t0.name == "x" and rows[0].after.t1 is None and rows[0].after.t2 is None
+    assert rows[1].after is None and (rows[1].before.t1.Id, rows[1].before.t1.price, bytes(rows[1].before.t1.raw)) == ("k", None, b"\x00\xff\x10")
+    assert (rows[2].before.t2.name, rows[2].after.t2.name) == ([1, 2], [])
+    texts = many(spark, {"after": {"id": 9}, "source": {"db": "shop", "table": "z"}, "op": "c"})
+    with pytest.raises((PySparkException, Py4JJavaError), match="no columns are known of shop.z"):
+        parse_envelopes(texts, TABLES).collect()
+    assert parse_envelopes(texts, TABLES, unknown="drop").count() == 3
+
+
 def test_unwrap(spark):
     bare = '{"op":"c","after":{"x":1}}'
     df = spark.createDataFrame([(bare,), ('{"schema":{},"payload":' + bare + "}",)], "value STRING")

@@ -231,6 +231,10 @@ WITH {CDC} SELECT op, 'shop' AS db, tbl, ts_ms, user_id, event_id, event_type,
     "t4_flatten_decimals": """
 SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN '9876543210' || lpad(CAST(event_id AS VARCHAR), 10, '0') || '.'
   || lpad(CAST(user_id AS VARCHAR), 12, '0') || '123456' END AS amount FROM events""",
+    "t4_flatten_types": f"""
+SELECT event_id, hex(encode(props)) AS raw, CASE WHEN event_id % 6 <> 0 THEN epoch_us(ts) END AS moment,
+       {_SECONDS} || CASE WHEN {_US} % 1000000 = 0 THEN '' ELSE '.' || rtrim({_F6}, '0') END AS local, strftime(ts, '%Y-%m-%d') AS day,
+       user_id || ',' || event_id AS ids, CAST(user_id::HUGEINT * 10000000000000000000::HUGEINT + event_id AS VARCHAR) AS big FROM events""",
     "t5_effective_key": f"WITH {CDC} SELECT pos, op, {_key()} AS key_value FROM cdc",
     "t6_row_kinds": KINDS,
     "t7_primary_key_map": """
@@ -277,6 +281,7 @@ WITH {CDC}, {USERS} SELECT * FROM users WHERE user_id NOT IN (SELECT user_id FRO
 WITH {CDC}, nexts AS (SELECT *, lead(op) OVER (ORDER BY pos) AS next_op FROM cdc)
 SELECT user_id, event_id, event_type, value, ts, props FROM nexts WHERE op <> 'd' AND coalesce(next_op, '') <> 'u'""",
     "k4_apply_stream": MERGED,
+    "k4_apply_buckets": MERGED,
     "k5_debug_lines": f"""
 SELECT pos, row_kind || '[' || user_id || ', ' || event_id || ', ' || event_type || ', ' || CAST(value AS VARCHAR) || ', ' || ts
   || ', ' || props || ']' AS line
@@ -290,5 +295,11 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, p
 {LATEST_ROWS}
 UNION ALL SELECT * FROM users WHERE user_id NOT IN (SELECT user_id FROM ranked)""",
     "q3_mirror_stream": f"WITH {CDC}, {LATEST} {LATEST_ROWS}",
+    "q3_mirror_tables": f"""
+WITH {CDC}, {LATEST}
+SELECT CASE user_id % 3 WHEN 0 THEN 'events' WHEN 1 THEN 'clicks' ELSE 'amounts' END AS tbl, user_id,
+       CASE user_id % 3 WHEN 0 THEN event_id || '|' || event_type || '|' || ts || '|' || props WHEN 1 THEN event_type
+       ELSE CAST(event_id::HUGEINT * 1000000000000000::HUGEINT + user_id AS VARCHAR) || '.000000|' || ts || '|' || user_id || ',' || event_id END AS detail
+FROM ranked WHERE rn = 1 AND op <> 'd'""",
 } | PASS_THROUGH
 ORACLES["s2_initial_stream"] = ORACLES["q3_mirror"]

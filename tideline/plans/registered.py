@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline import model as m
-from tideline.functions.temporal import render_temporal
+from tideline.functions.temporal import epoch_micros, render_temporal
 from tideline.operators import changelog, envelope, routing
 from tideline.plans import fixtures as fx
-from tideline.plans.mirror import mirror_table, start_mirror
+from tideline.plans.mirror import mirror_table, read_mirrored, start_mirror, start_mirror_tables
 from tideline.plans.publish import publish_by_key, publish_by_registry
 from tideline.plans.scripts import run_script
 from tideline.session import fresh_path
 from tideline.sinks import debug, rows
 from tideline.sources import cdc, topics
+from tideline.streaming import buckets
 from tideline.streaming.apply import compact_applied, read_applied, start_apply, write_batch
 from tideline.streaming.jobs import envelope_stream, start_envelope_files
 
@@ -202,6 +203,26 @@ def t4_flatten_decimals(spark, sf_dir):
     return rows.select("event_id", F.col("amount").cast("string").alias("amount"))
 
 
+def t4_flatten_types(spark, sf_dir):
+    """Binary, instant, local, array and large decimal columns, through envelope text and back."""
+    events = fx.table(spark, sf_dir, "events")
+    row = events.select(
+        "event_id",
+        F.col("props").cast("binary").alias("raw"),
+        F.when(F.col("event_id") % 6 != 0, F.timestamp_micros(epoch_micros(F.col("ts")))).alias("moment"),
+        F.col("ts").alias("local"),
+        F.to_date("ts").alias("day"),
+        F.array(F.col("user_id"), F.col("event_id")).alias("ids"),
+        (F.col("user_id").cast("decimal(18,0)") * F.lit("1" + "0" * 19).cast("decimal(20,0)") + F.col("event_id")).cast("decimal(38,0)").alias("big"),
+    )
+    texts = envelope.normalize_envelope(cdc.cdc_snapshot(row, "shop", "typed", fx.SNAPSHOT_TS)).select(F.col("after.event_id").alias("pos"), "value")
+    back = envelope.flatten_changes(_half_wrapped(texts), row.schema)
+    return back.select(
+        "event_id", F.hex("raw").alias("raw"), F.unix_micros("moment").alias("moment"), F.col("local").cast("string").alias("local"),
+        F.col("day").cast("string").alias("day"), F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"), F.col("big").cast("string").alias("big"),
+    )
+
+
 def t5_effective_key(spark, sf_dir):
     return changelog.effective_key(fx.cdc_events(spark, sf_dir), KEY_MAP).select("pos", "op", "key_value")
 
@@ -332,6 +353,17 @@ def k4_apply_stream(spark, sf_dir):
     return read_applied(spark, path, KEYS, fx.user_rows(spark, sf_dir))
 
 
+def k4_apply_buckets(spark, sf_dir):
+    """Batches into a table of buckets that starts from a snapshot; the last of them changes few keys only."""
+    path = fresh_path(spark, "buckets")
+    snapshot = cdc.cdc_snapshot(fx.user_rows(spark, sf_dir), fx.DB, "users", fx.SNAPSHOT_TS)
+    changes = fx.cdc_events(spark, sf_dir)
+    buckets.write_base(snapshot, changes, path, KEYS, ORDER, buckets=16)
+    for i, part in enumerate(("pos % 3 = 0 AND user_id % 50 <> 7", "pos % 3 <> 0 AND user_id % 50 <> 7", "user_id % 50 = 7")):
+        buckets.write_batch(changes.filter(part), i, path, KEYS, ORDER, merge_after=2)
+    return buckets.read_table(spark, path)
+
+
 def k5_debug_lines(spark, sf_dir):
     env = fx.cdc_events(spark, sf_dir)
     return debug.debug_lines(changelog.to_row_kinds(env, ["pos"]), keep=["pos"])
@@ -423,17 +455,67 @@ def q3_mirror_stream(spark, sf_dir):
     return read_applied(spark, path, KEYS)
 
 
+#: Columns and key of three tables that have little in common.
+MIRRORED = {
+    "shop.events": (fx.IMAGE, ["user_id"]),
+    "shop.clicks": ("user_id BIGINT, kind STRING", ["user_id"]),
+    "crm.amounts": ("uid STRING, amount DECIMAL(38,6), at TIMESTAMP, ids ARRAY<BIGINT>", ["uid"]),
+}
+
+
+def _table_texts(spark, sf_dir):
+    """Envelopes of three tables, by ``user_id`` modulo 3, in one frame."""
+    env = fx.cdc_events(spark, sf_dir)
+
+    def image(side, *cols):
+        return F.when(F.col(side).isNotNull(), F.struct(*cols))
+
+    def clicks(side):
+        return image(side, F.col(side)["user_id"].alias("user_id"), F.col(side)["event_type"].alias("kind"))
+
+    def amounts(side):
+        i = F.col(side)
+        amount = (i["event_id"].cast("decimal(18,0)") * F.lit(10**15).cast("decimal(18,0)") + i["user_id"]).cast("decimal(38,6)")
+        return image(side, i["user_id"].cast("string").alias("uid"), amount.alias("amount"), F.timestamp_micros(i["ts"]).alias("at"), F.array(i["user_id"], i["event_id"]).alias("ids"))
+
+    out = None
+    for k, (table, shape) in enumerate(zip(MIRRORED, (None, clicks, amounts))):
+        own = env.filter(F.coalesce("after.user_id", "before.user_id") % 3 == k)
+        own = own if shape is None else own.withColumns({side: shape(side) for side in ("before", "after")})
+        db, name = table.split(".")
+        source = F.struct(F.lit(db).alias("db"), F.lit(name).alias("table"), F.col("source.ts_ms").alias("ts_ms"), "pos", F.col("order_ts"))
+        texts = envelope.normalize_envelope(own.withColumn("source", source)).select("value")
+        out = texts if out is None else out.union(texts)
+    return out
+
+
+def q3_mirror_tables(spark, sf_dir):
+    """One stream of envelopes into three typed tables of different columns."""
+    lines, path = fresh_path(spark, "lines"), fresh_path(spark, "mirror")
+    _table_texts(spark, sf_dir).write.text(lines)
+    stream = spark.readStream.option("maxFilesPerTrigger", 2).text(lines)
+    images, keys = ({t: pair[i] for t, pair in MIRRORED.items()} for i in (0, 1))
+    source = "db STRING, table STRING, ts_ms BIGINT, pos BIGINT, order_ts BIGINT"
+    start_mirror_tables(stream, path, images, keys, ["source.order_ts", "source.pos"], source, buckets=8, merge_after=1).awaitTermination()
+    events, clicks, amounts = (read_mirrored(spark, path, t) for t in MIRRORED)
+    return (
+        events.select(F.lit("events").alias("tbl"), "user_id", F.concat_ws("|", "event_id", "event_type", "ts", "props").alias("detail"))
+        .union(clicks.select(F.lit("clicks"), "user_id", "kind"))
+        .union(amounts.select(F.lit("amounts"), F.col("uid").cast("bigint"), F.concat_ws("|", F.col("amount").cast("string"), F.unix_micros("at"), F.array_join(F.col("ids").cast("array<string>"), ","))))
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         s1_snapshot, s1_snapshot_envelopes, s2_initial, s2_initial_stream, s2_latest, s3_select_tables, s3_select_patterns,
         s7_offsets_for_times, s7_offsets_tail, s8_replay_from, s8_replay_earliest,
-        t1_normalize, t1_normalize_mixed, t2_render_temporal, t2_order_dates, t3_unwrap_payload, t4_flatten, t4_flatten_decimals,
+        t1_normalize, t1_normalize_mixed, t2_render_temporal, t2_order_dates, t3_unwrap_payload, t4_flatten, t4_flatten_decimals, t4_flatten_types,
         t5_effective_key, t6_row_kinds, t7_primary_key_map, t8_fan_out,
         p1_hash_partition, p1_hash_temporal_key, p2_registry_partition, p3_partition_load, p4_allocate, p4_allocate_empty,
         p5_registry_for,
         k1_topic_frame, k1_registry_topic_frame, k2_encode_rows, k2_encode_orders, k3_delete_keys, k3_delete_event_keys, k3_remove_rows,
-        k4_latest_rows, k4_apply_to_base, k4_moving_keys, k4_apply_stream, k5_debug_lines,
-        q1_script_batch, q2_script_immediate, q3_mirror, q3_mirror_stream,
+        k4_latest_rows, k4_apply_to_base, k4_moving_keys, k4_apply_stream, k4_apply_buckets, k5_debug_lines,
+        q1_script_batch, q2_script_immediate, q3_mirror, q3_mirror_stream, q3_mirror_tables,
     )
 } | {name: _pass_through(name) for name in PASS_THROUGH}
