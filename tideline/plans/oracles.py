@@ -233,7 +233,7 @@ SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN '9876543210' || lpad(CAST(even
   || lpad(CAST(user_id AS VARCHAR), 12, '0') || '123456' END AS amount FROM events""",
     "t4_flatten_types": f"""
 SELECT event_id, hex(encode(props)) AS raw, CASE WHEN event_id % 6 <> 0 THEN epoch_us(ts) END AS moment,
-       {_SECONDS} || CASE WHEN {_US} % 1000000 = 0 THEN '' ELSE '.' || rtrim({_F6}, '0') END AS local, strftime(ts, '%Y-%m-%d') AS day,
+       {_OPTIONAL_MS} AS local, strftime(ts, '%Y-%m-%d') AS day,
        user_id || ',' || event_id AS ids, CAST(user_id::HUGEINT * 10000000000000000000::HUGEINT + event_id AS VARCHAR) AS big FROM events""",
     "t5_effective_key": f"WITH {CDC} SELECT pos, op, {_key()} AS key_value FROM cdc",
     "t6_row_kinds": KINDS,

@@ -204,7 +204,10 @@ def t4_flatten_decimals(spark, sf_dir):
 
 
 def t4_flatten_types(spark, sf_dir):
-    """Binary, instant, local, array and large decimal columns, through envelope text and back."""
+    """Binary, instant, local, array and large decimal columns, through envelope text and back.
+
+    Local times are shown to the millisecond, as those of a log are; instants to the microsecond.
+    """
     events = fx.table(spark, sf_dir, "events")
     row = events.select(
         "event_id",
