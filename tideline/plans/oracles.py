@@ -287,6 +287,14 @@ SELECT pos, row_kind || '[' || user_id || ', ' || event_id || ', ' || event_type
   || ', ' || props || ']' AS line
 FROM ({KINDS}) k""",
     "q1_script_batch": SCRIPT_RESULT,
+    "q1_script_shared": """
+SELECT o_orderstatus AS what, count(*) AS n FROM orders GROUP BY 1
+UNION ALL SELECT o_orderpriority, count(*) FROM orders GROUP BY 1
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), CAST(floor(o_totalprice) AS BIGINT) FROM orders WHERE o_totalprice > 100000""",
+    "q1_script_stream": """
+SELECT event_id, event_type || '/' || user_id AS what, TRUE AS kept FROM events WHERE event_type <> 'error'
+UNION ALL SELECT event_id, '-' || event_type, NULL FROM events WHERE event_type = 'error'
+UNION ALL SELECT DISTINCT NULL, event_type, NULL FROM events""",
     "q2_script_immediate": SCRIPT_RESULT,
     "q3_mirror": f"""
 WITH {CDC}, {USERS},

@@ -13,7 +13,7 @@ from tideline.operators import changelog, envelope, routing
 from tideline.plans import fixtures as fx
 from tideline.plans.mirror import mirror_table, read_mirrored, start_mirror, start_mirror_tables
 from tideline.plans.publish import publish_by_key, publish_by_registry
-from tideline.plans.scripts import run_script
+from tideline.plans.scripts import run_script, start_script
 from tideline.session import fresh_path
 from tideline.sinks import debug, rows
 from tideline.sources import cdc, topics
@@ -403,6 +403,50 @@ def q2_script_immediate(spark, sf_dir):
     return _script_table(spark, sf_dir, "immediate")
 
 
+SHARED_SCRIPT = """
+CREATE TABLE {v}_status (status STRING, n BIGINT) USING parquet LOCATION '{out}/status';
+CREATE TABLE {v}_large (orderkey BIGINT, price DOUBLE) USING parquet LOCATION '{out}/large';
+INSERT INTO {v}_status SELECT o_orderstatus, count(*) FROM {v}_orders GROUP BY o_orderstatus;
+INSERT INTO {v}_large SELECT o_orderkey, o_totalprice FROM {v}_orders WHERE o_totalprice > 100000;
+INSERT INTO {v}_status SELECT o_orderpriority, count(*) FROM {v}_orders GROUP BY o_orderpriority;
+"""
+
+
+def q1_script_shared(spark, sf_dir):
+    """Three inserts into two tables, from one scan of their source."""
+    name, out = "script_shared", fresh_path(spark, "script")
+    fx.table(spark, sf_dir, "orders").createOrReplaceTempView(f"{name}_orders")
+    for t in ("status", "large"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}_{t}")
+    run_script(spark, SHARED_SCRIPT.format(v=name, out=out), parallel=2, share=True)
+    status, large = (spark.read.parquet(f"{out}/{t}") for t in ("status", "large"))
+    return status.select(F.col("status").alias("what"), "n").union(large.select(F.col("orderkey").cast("string"), F.floor("price")))
+
+
+STREAM_SCRIPT = """
+CREATE TABLE {v}_events (event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE) USING parquet LOCATION '{src}';
+CREATE TABLE {v}_types (kind STRING) USING parquet LOCATION '{out}/types';
+CREATE TABLE {v}_changes (event_id BIGINT, what STRING, kept BOOLEAN) USING parquet LOCATION '{out}/changes';
+CREATE TEMPORARY VIEW {v}_errors AS SELECT event_id, user_id, event_type FROM STREAM {v}_events WHERE event_type = 'error';
+INSERT INTO {v}_types SELECT DISTINCT event_type FROM {v}_events;
+INSERT INTO {v}_changes SELECT event_id, concat(event_type, '/', user_id), true FROM STREAM {v}_events WHERE event_type <> 'error';
+INSERT INTO {v}_changes (what, event_id) SELECT concat('-', event_type), event_id FROM {v}_errors;
+"""
+
+
+def q1_script_stream(spark, sf_dir):
+    """Streams over the events, started by a script: two inserts into one table, one over a view of a stream."""
+    name, out, src = "script_stream", fresh_path(spark, "script"), fresh_path(spark, "events")
+    fx.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value").write.parquet(src)
+    spark.catalog.dropTempView(f"{name}_errors")
+    for t in ("events", "types", "changes"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}_{t}")
+    for query in start_script(spark, STREAM_SCRIPT.format(v=name, src=src, out=out), f"{out}/checkpoint"):
+        query.awaitTermination()
+    types, changes = (spark.table(f"{name}_{t}") for t in ("types", "changes"))
+    return changes.union(types.select(F.lit(None).cast("bigint"), "kind", F.lit(None).cast("boolean")))
+
+
 PASS_THROUGH = {
     # joins, semi and anti joins, aggregation
     "q1_pass_joins": """
@@ -519,6 +563,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         p5_registry_for,
         k1_topic_frame, k1_registry_topic_frame, k2_encode_rows, k2_encode_orders, k3_delete_keys, k3_delete_event_keys, k3_remove_rows,
         k4_latest_rows, k4_apply_to_base, k4_moving_keys, k4_apply_stream, k4_apply_buckets, k5_debug_lines,
-        q1_script_batch, q2_script_immediate, q3_mirror, q3_mirror_stream, q3_mirror_tables,
+        q1_script_batch, q1_script_shared, q1_script_stream, q2_script_immediate, q3_mirror, q3_mirror_stream, q3_mirror_tables,
     )
 } | {name: _pass_through(name) for name in PASS_THROUGH}
