@@ -136,3 +136,37 @@ def test_positions_over_many_partitions(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("x")).repartition(9)
     rows = with_position(df, ["x"]).collect()
     assert [r.position for r in sorted(rows, key=lambda r: r.x)] == list(range(5000))
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_allocation_over_distinct_loads(spark, monkeypatch, small):
+    from tideline.operators import routing
+
+    if not small:
+        monkeypatch.setattr(routing, "BROADCAST_ROWS", 10)
+    rnd = random.Random(3)
+    loads = list(range(0, 240, 2))
+    rnd.shuffle(loads)
+    taken = [(f"old.t{p}_{k}", str(p), "tp") for p, load in enumerate(loads) for k in range(load)]
+    names = [(f"new.t{k}", k) for k in range(700)] + [("old.t3_0", 5), (" new.t7 ", 999)]
+    registry = spark.createDataFrame(taken, REGISTRY_SCHEMA)
+    out = allocate_partitions(registry, spark.createDataFrame(names, "db_table_name STRING, ord BIGINT"), "tp", len(loads))
+    expected = {}
+    for name, _ in names[:700]:
+        p = min(range(len(loads)), key=lambda q: (loads[q], q))
+        loads[p] += 1
+        expected[name] = str(p)
+    assert {r.db_table_name: r.kafka_partition for r in out.collect() if r.db_table_name.startswith("new")} == expected
+    assert out.count() == len(taken) + 700
+
+
+def test_a_handful_of_tables_takes_few_jobs(spark):
+    registry = spark.createDataFrame([("s.a", "0", "tp"), ("s.b", "1", "tp")], REGISTRY_SCHEMA)
+    tables = spark.createDataFrame([(f"s.{c}", i) for i, c in enumerate("acdef")], "db_table_name STRING, ord BIGINT")
+    spark.sparkContext.setJobGroup("allocate", "few jobs")
+    try:
+        out = allocate_partitions(registry, tables, "tp", 3)
+        assert {r.db_table_name: r.kafka_partition for r in out.collect()} == {"s.a": "0", "s.b": "1", "s.c": "2", "s.d": "0", "s.e": "1", "s.f": "2"}
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("allocate")) <= 10
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

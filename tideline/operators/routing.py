@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.hashing import fold_hash, signed32
 from tideline.operators.changelog import _with_key_value, key_map_frame, qualified_table
 from tideline.operators.positions import with_position
-from tideline.operators.sizing import checked_broadcast
+from tideline.operators.sizing import BROADCAST_ROWS, checked_broadcast
 
 
 def hash_partition(env: DataFrame, key_map: DataFrame | dict[str, str], n: int) -> DataFrame:
@@ -77,29 +77,32 @@ def partition_load(routes: DataFrame, n: int) -> DataFrame:
     return used.unionByName(every).groupBy("partition").agg(F.sum("one").alias("tables"))
 
 
-def _fill_plan(load: DataFrame, tables: int) -> DataFrame:
-    """One row holding ``steps``: how the next ``tables`` tables fill the partitions.
+def water_level(loads: list[int], tables: int) -> int:
+    """The load up to which partitions are filled, the least loaded first, when ``tables`` more are dealt out."""
+    level, before = 0, 0
+    for members, load in enumerate(sorted(loads) + [None]):
+        # the first ``members`` partitions are level with each other, up to the load of the next one
+        if load is not None and before + members * (load - level) < tables:
+            before += members * (load - level)
+            level = load
+        elif members:
+            return level + -(-(tables - before) // members)
+    return level
 
-    Slots are taken in the order (load, partition). From a load level on, the
-    partitions at or below it (``members``) take turns until the next level
-    that some partition already has; ``first`` is the rank of the first table
-    in the step. The input has one row per partition of the topic.
-    """
-    levels = load.groupBy(F.col("tables").alias("level")).agg(F.collect_list("partition").alias("ps"))
-    turns = levels.selectExpr(
-        "level",
-        "ps",
-        "sum(size(ps)) OVER (ORDER BY level) * (lead(level) OVER (ORDER BY level) - level) AS slots",
-    )
-    firsts = turns.selectExpr(
-        "level",
-        "ps",
-        "coalesce(sum(slots) OVER (ORDER BY level ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first",
-    )
-    steps = firsts.filter(F.col("first") < tables).selectExpr(
-        "first", "sort_array(flatten(collect_list(ps) OVER (ORDER BY level))) AS members"
-    )
-    return steps.selectExpr("sort_array(collect_list(struct(first, members))) AS steps")
+
+def _ranked(rows: DataFrame, order_by: list[str], count: int) -> DataFrame:
+    """``rank`` in a total order. Few rows, which are local, are ranked as they are; many by a range-partitioned sort."""
+    if count > BROADCAST_ROWS:
+        return with_position(rows, order_by, "rank")
+    return rows.coalesce(1).withColumn("rank", F.row_number().over(Window.orderBy(*order_by)).cast("bigint") - 1)
+
+
+def _local(rows: DataFrame) -> tuple[DataFrame, int]:
+    """The rows and their number; at most as many as may be broadcast are fetched, and then not computed again."""
+    head = rows.limit(BROADCAST_ROWS + 1).toArrow()
+    if head.num_rows > BROADCAST_ROWS:
+        return rows, rows.count()
+    return rows.sparkSession.createDataFrame(head, schema=rows.schema), head.num_rows
 
 
 def allocate_partitions(registry: DataFrame, tables: DataFrame, topic: str, n: int) -> DataFrame:
@@ -108,6 +111,10 @@ def allocate_partitions(registry: DataFrame, tables: DataFrame, topic: str, n: i
     ``tables`` has ``db_table_name`` and ``ord``, the input order. New tables
     take, one after the other, the least-loaded partition, the lowest one on
     ties. Registered tables keep theirs.
+
+    The places that tables take are rows: each partition has one per load between its own and the level that all
+    are filled to, ordered by load and partition. So there are at most ``n`` more than new tables, whatever the loads, and
+    the rank of a place is the rank of its table.
     """
     known = registry_for(registry, topic)
     fresh = (
@@ -117,16 +124,18 @@ def allocate_partitions(registry: DataFrame, tables: DataFrame, topic: str, n: i
         .join(known.select("db_table_name"), "db_table_name", "left_anti")
     )
     if n > 1:
-        ranked = with_position(fresh, ["ord", "db_table_name"], "rank")
-        plan = _fill_plan(partition_load(known, n), ranked.count()).scalar()
-        step = F.element_at(F.filter(F.col("_plan"), lambda s: s["first"] <= F.col("rank")), -1)
-        turn = (F.col("rank") - F.col("_step")["first"]) % F.size(F.col("_step")["members"])
-        chosen = F.get(F.col("_step")["members"], turn.cast("int"))
-        placed = (
-            ranked.withColumn("_plan", plan)
-            .withColumn("_step", step)
-            .select("db_table_name", chosen.cast("string").alias("kafka_partition"))
-        )
+        fresh, count = _local(fresh)
+        used = known.filter(F.col("partition").between(0, n - 1)).groupBy("partition").agg(F.count(F.lit(1)).alias("tables"))
+        loads = [0] * n
+        for row in used.collect():  # at most one per partition of the topic
+            loads[row.partition] = row.tables
+        level = water_level(loads, count)
+        low = [(p, load) for p, load in enumerate(loads) if load < level]
+        places = registry.sparkSession.createDataFrame(low, "partition INT, load BIGINT")
+        places = places.select("partition", F.explode(F.sequence(F.col("load"), F.lit(level - 1).cast("bigint"))).alias("load"))
+        ranked = _ranked(fresh, ["ord", "db_table_name"], count)
+        placed = ranked.join(_ranked(places, ["load", "partition"], count + n), "rank")
+        placed = placed.select("db_table_name", F.col("partition").cast("string").alias("kafka_partition"))
     else:
         placed = fresh.select("db_table_name", F.lit("0").alias("kafka_partition"))
     added = placed.withColumn("kafka_topic", F.lit(topic))

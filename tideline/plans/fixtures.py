@@ -121,6 +121,17 @@ def supplier_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wide_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table per order, on partitions of which the higher ones have more and more tables."""
+    key = F.col("o_orderkey").cast("double")
+    partition = F.floor(F.sqrt(key * 100.0)).cast("bigint") % 5_000
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("shop.order_"), F.col("o_orderkey").cast("string")).alias("db_table_name"),
+        partition.cast("string").alias("kafka_partition"),
+        F.lit(TOPIC).alias("kafka_topic"),
+    )
+
+
 def customer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names to allocate: one table per customer, then every supplier's again."""
     customers = table(spark, sf_dir, "customer").select(

@@ -151,6 +151,11 @@ SELECT 'erp.supplier_' || s_suppkey AS db_table_name,
        CASE WHEN s_suppkey % 4 = 3 THEN 'audit' ELSE 'changes' END AS kafka_topic
 FROM supplier"""
 
+WIDE = """
+SELECT 'shop.order_' || o_orderkey AS db_table_name, CAST(CAST(floor(sqrt(CAST(o_orderkey AS DOUBLE) * 100.0)) AS BIGINT) % 5000 AS VARCHAR) AS kafka_partition,
+       'changes' AS kafka_topic
+FROM orders"""
+
 EMPTY = "SELECT '' AS db_table_name, '' AS kafka_partition, '' AS kafka_topic WHERE FALSE"
 
 SCRIPT_RESULT = """
@@ -256,6 +261,7 @@ SELECT CAST(p AS INTEGER) AS partition, count(kafka_partition) AS tables FROM (S
 LEFT JOIN ({REGISTRY}) reg ON CAST(kafka_partition AS BIGINT) = p AND kafka_topic = 'changes' GROUP BY p""",
     "p4_allocate": _allocate(REGISTRY, 12),
     "p4_allocate_empty": _allocate(EMPTY, 6),
+    "p4_allocate_wide": _allocate(WIDE, 5000),
     "p5_registry_for": f"""
 SELECT db_table_name, CAST(kafka_partition AS INTEGER) AS partition FROM ({REGISTRY}) reg WHERE kafka_topic = 'audit'""",
     "k1_topic_frame": f"""

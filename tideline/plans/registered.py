@@ -286,6 +286,11 @@ def p4_allocate_empty(spark, sf_dir):
     return routing.allocate_partitions(fx.empty_registry(spark), fx.customer_tables(spark, sf_dir), fx.TOPIC, 6)
 
 
+def p4_allocate_wide(spark, sf_dir):
+    """A topic of 5,000 partitions with many different loads."""
+    return routing.allocate_partitions(fx.wide_registry(spark, sf_dir), fx.customer_tables(spark, sf_dir), fx.TOPIC, 5_000)
+
+
 def p5_registry_for(spark, sf_dir):
     return routing.registry_for(fx.supplier_registry(spark, sf_dir), "audit")
 
@@ -559,7 +564,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         s7_offsets_for_times, s7_offsets_tail, s8_replay_from, s8_replay_earliest,
         t1_normalize, t1_normalize_mixed, t2_render_temporal, t2_order_dates, t3_unwrap_payload, t4_flatten, t4_flatten_decimals, t4_flatten_types,
         t5_effective_key, t6_row_kinds, t7_primary_key_map, t8_fan_out,
-        p1_hash_partition, p1_hash_temporal_key, p2_registry_partition, p3_partition_load, p4_allocate, p4_allocate_empty,
+        p1_hash_partition, p1_hash_temporal_key, p2_registry_partition, p3_partition_load, p4_allocate, p4_allocate_empty, p4_allocate_wide,
         p5_registry_for,
         k1_topic_frame, k1_registry_topic_frame, k2_encode_rows, k2_encode_orders, k3_delete_keys, k3_delete_event_keys, k3_remove_rows,
         k4_latest_rows, k4_apply_to_base, k4_moving_keys, k4_apply_stream, k4_apply_buckets, k5_debug_lines,
