@@ -16,7 +16,7 @@ Long lists do not become all pairs. Each set first tries only one of the list me
 shingle earliest, the middle of a group of near copies: the nearest by sketch. Verified
 links form components. Then every pair of a list that is in different components, and that
 sizes, places in the lists and sketches do not rule out, is verified too, so no link between components
-is lost. A sketch gives a lower bound of the difference of two sets and rules out only what cannot link.
+is lost; only such pairs leave the task that holds a list. A sketch gives a lower bound of the difference of two sets and rules out only what cannot link.
 
 Equal sets are one class from the start (a 64-bit hash of the set), and copies cost
 nothing. Verification compares whole sets.
@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -176,7 +176,17 @@ def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-DESCRIBED = "kind int, id long, cls long, n long, sketch binary"
+#: Bytes of the short sketch that goes with a list entry.
+SHORT = 128
+DESCRIBED = "kind int, id long, cls long, n long, sketch binary, short binary"
+
+
+def folded(x: bytes, limit: int = SHORT) -> bytes:
+    """A sketch of at most ``limit`` bytes."""
+    a = np.frombuffer(x, np.uint8)
+    while len(a) > limit:
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return a.tobytes()
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,13 +199,15 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, counts = np.unique(np.concatenate(list(distinct.values()) or [np.empty(0, np.uint64)]), return_counts=True)
         often = counts >= FREQUENT
         m = int(often.sum())
+        sketches = [sketch(s) if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays([
             pa.array(np.repeat([0, 1], [len(sets), m]).astype(np.int32)),
             pa.chunked_array([batch.column("doc_id"), pa.array(_signed(values[often]), pa.int64())]).combine_chunks(),
             pa.array(np.concatenate([classes, np.zeros(m, np.int64)]), mask=np.concatenate([n == 0, np.zeros(m, bool)])),
             pa.array(np.concatenate([n, counts[often]])),
-            pa.array([sketch(s) if len(s) else None for s in sets] + [None] * m, pa.binary()),
-        ], ["kind", "id", "cls", "n", "sketch"])
+            pa.array(sketches + [None] * m, pa.binary()),
+            pa.array([x and folded(x) for x in sketches] + [None] * m, pa.binary()),
+        ], ["kind", "id", "cls", "n", "sketch", "short"])
 
 
 def _postings(frequent: np.ndarray, rank: np.ndarray, small: int):
@@ -308,22 +320,49 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _listed(2, np.zeros(len(pairs), np.int64), pairs[:, 0], pairs[:, 1], np.zeros(len(pairs)), np.zeros(len(pairs)))
 
 
+def _apart(sketches: list[bytes]) -> Callable[[int, np.ndarray], np.ndarray]:
+    """A function that gives the least differences of one of the short sketches from others of up to twice its width."""
+    width = np.array([max(1, len(x) // 8) for x in sketches])
+    bits = np.zeros((len(sketches), 2 * max(width)), np.uint64)
+    for i, x in enumerate(sketches):
+        bits[i, : width[i]] = np.frombuffer(x.ljust(8, b"\0"), np.uint64)
+    narrow = np.array([len(x) for x in sketches])
+
+    def apart(i: int, js: np.ndarray) -> np.ndarray:
+        n = width[i]
+        same, twice = bits[js, :n], np.zeros((len(js), n), np.uint64)
+        wide = width[js] == 2 * n
+        twice[wide] = bits[js[wide], n : 2 * n]
+        # below a word's width only sketches of one width are compared
+        known = wide & (narrow[js] == 2 * narrow[i]) | (narrow[js] == narrow[i])
+        return np.where(known, np.bitwise_count(bits[i, :n] ^ same ^ twice).sum(axis=1), 0)
+
+    return apart
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a list that lie in different components and may link."""
+    """Pairs of a list that lie in different components and may link, by sizes, places and short sketches.
+
+    So next to nothing but links is written, however long a list is.
+    """
+    batches = list(batches)
     key, cls, comp, size, place = _columns(batches, ["key", "cls", "comp", "size", "place"])
+    sketches = [x for batch in batches for x in batch.column("short").to_pylist()]
     order = np.lexsort((size, key))
     key, cls, comp, size, place = (x[order].astype(np.int64) for x in (key, cls, comp, size, place))
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
     starts = np.append(np.flatnonzero(new), len(key))
     found = np.empty((0, 2), np.int64)
-    mixed = np.add.reduceat((comp != comp[np.repeat(starts[:-1], np.diff(starts))]).astype(np.int64), starts[:-1]) > 0 if len(key) else []
-    for a, b in ((starts[i], starts[i + 1]) for i in np.flatnonzero(mixed)):
+    for a, b in zip(starts, starts[1:], strict=False):
         s, p = size[a:b], place[a:b]
+        apart = _apart([sketches[i] for i in order[a:b]])
         for i in range(b - a - 1):  # sizes grow along the list
             to = np.searchsorted(s, 5 * s[i] // 4, "right")
             j = np.arange(i + 1, to)
             j = j[(comp[a + j] != comp[a + i]) & _bound(s[i], p[i], s[j], p[j])]
+            if len(j):
+                j = j[apart(i, j) <= s[i] + s[j] - 2 * -(-4 * (s[i] + s[j]) // 9)]
             if len(j):
                 found = np.concatenate([found, np.stack([np.minimum(cls[a + j], cls[a + i]), np.maximum(cls[a + j], cls[a + i])], axis=1)])
         if len(found) > 200_000:
@@ -404,7 +443,7 @@ def linked_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sure = listed.filter("kind = 2").select(F.col("cls").alias("a"), F.col("other").alias("b")).distinct()
     in_lists = lists.select("cls").distinct()
     classes = described.filter("kind = 0 and cls is not null").join(in_lists, "cls", "left_semi")
-    classes = stash(classes.groupBy("cls").agg(F.min("id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "sketches")
+    classes = stash(classes.groupBy("cls").agg(F.min("id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("short").alias("short")), "sketches")
 
     voted = listed.filter("kind = 1").select(F.col("cls").alias("a"), F.col("other").alias("b")).distinct()
     tried = _filtered(voted, classes).groupBy("a").agg(F.min_by("b", F.struct("far", "b")).alias("b"))
@@ -412,7 +451,10 @@ def linked_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     near = stash(_verified(tried, docs, classes).union(sure), "near-links")
     labels = components(near)
     in_comps = lists.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    several = in_comps.repartition(n_parts, "key").mapInArrow(_across, "a long, b long").distinct()
+    # only lists whose members are not all together by now are looked at again
+    apart = in_comps.groupBy("key").agg(F.min("comp").alias("first"), F.max("comp").alias("last")).filter("first <> last").select("key")
+    entries = in_comps.join(apart, "key", "left_semi").join(classes.select("cls", "short"), "cls").select("key", "cls", "comp", "size", "place", "short")
+    several = entries.repartition(n_parts, "key").mapInArrow(_across, "a long, b long").distinct()
     rest = several.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     rest = stash(_filtered(rest, classes).select("a", "b"), "rest")
     far = stash(_verified(rest, docs, classes), "far-links")
