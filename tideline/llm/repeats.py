@@ -214,11 +214,10 @@ def _packed(n_buckets: int, n_chunks: int, ids, tags, found) -> list[tuple]:
     key = trigger >> np.uint64(24)
     bucket = (key % np.uint64(n_buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-    for b in range(n_buckets):
-        some = order[cuts[b] : cuts[b + 1]]
-        if not len(some):
-            continue
+    cuts = np.append(_runs(bucket[order])[0], len(order))
+    for first, last in zip(cuts, cuts[1:], strict=False):
+        some = order[first:last]
+        b = int(bucket[some[0]])
         docs, index = np.unique(doc[some], return_inverse=True)
         short = phrase[some] >> np.uint64(16)
         raw = b"".join(a.tobytes() for a in (
@@ -402,13 +401,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 
 def _ids(ranges: DataFrame) -> DataFrame:
+    """The documents of ranges, each once: all of a document's ranges are of one chunk, and meet in one task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = np.empty(0, np.int64)
         for batch in batches:
-            got = [np.unique(_read_ranges(b)[0]) for b in batch.column("blob").to_pylist()]
-            ids = np.unique(np.concatenate(got)) if got else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64())], ["doc_id"])
+            got = [_read_ranges(b)[0] for b in batch.column("blob").to_pylist()]
+            ids = np.unique(np.concatenate([ids, *got]))
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64())], ["doc_id"])
 
-    return ranges.select("blob").mapInArrow(run, "doc_id long")
+    return ranges.select("chunk", "blob").repartition("chunk").select("blob").mapInArrow(run, "doc_id long")
 
 
 def op4_repeats(spark, sf_dir: str) -> DataFrame:
