@@ -25,6 +25,12 @@ users AS (
   FROM customer)
 """
 
+# all fields of both images of a change
+IMAGES = """CASE WHEN op <> 'c' THEN user_id END AS b_user_id, b_event_id, b_event_type, CASE WHEN op <> 'c' THEN value END AS b_value,
+       CASE WHEN op <> 'c' THEN ts END AS b_ts, CASE WHEN op <> 'c' THEN props END AS b_props,
+       CASE WHEN op <> 'd' THEN user_id END AS a_user_id, CASE WHEN op <> 'd' THEN event_id END AS a_event_id, CASE WHEN op <> 'd' THEN event_type END AS a_event_type,
+       CASE WHEN op <> 'd' THEN value END AS a_value, CASE WHEN op <> 'd' THEN ts END AS a_ts, CASE WHEN op <> 'd' THEN props END AS a_props"""
+
 LATEST = """
 ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, pos DESC) AS rn FROM cdc)
 """
@@ -197,11 +203,12 @@ SELECT o_orderkey, '{{"before":{{}},"after":' || {_ORDER_JSON} || ',"source":{{"
   || '{SNAPSHOT_TS},"transaction":""}}' AS value
 FROM orders""",
     "s2_initial": f"""
-WITH {CDC}
-SELECT 'r' AS op, 'users' AS tbl, CAST({SNAPSHOT_POS} AS BIGINT) AS pos, CAST({SNAPSHOT_TS} AS BIGINT) AS ts_ms,
-       c_custkey AS user_id FROM customer
-UNION ALL SELECT op, tbl, pos, ts_ms, user_id FROM cdc WHERE pos > {SNAPSHOT_POS}""",
-    "s2_latest": f"WITH {CDC} SELECT op, tbl, pos, ts_ms, user_id FROM cdc WHERE pos > {SNAPSHOT_POS}",
+WITH {CDC}, {USERS}
+SELECT op, tbl, pos, ts_ms, user_id, {IMAGES} FROM cdc WHERE pos > {SNAPSHOT_POS}
+UNION ALL
+SELECT 'r', 'users', CAST({SNAPSHOT_POS} AS BIGINT), CAST({SNAPSHOT_TS} AS BIGINT), user_id,
+       NULL, NULL, NULL, NULL, NULL, NULL, user_id, event_id, event_type, value, ts, props FROM users""",
+    "s2_latest": f"WITH {CDC} SELECT op, tbl, pos, ts_ms, user_id, {IMAGES} FROM cdc WHERE pos > {SNAPSHOT_POS}",
     "s3_select_tables": f"WITH {CDC} SELECT tbl, op, pos FROM cdc WHERE tbl IN ('events_1', 'events_3')",
     "s3_select_patterns": f"""
 WITH {CDC} SELECT tbl, op, count(*) AS n FROM cdc WHERE tbl IN ('events_0', 'events_1', 'events_2') GROUP BY tbl, op""",
@@ -229,7 +236,7 @@ FROM events""",
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day_text,
        strftime(o_orderdate, '%Y-%m-%d') || ' 00:00:00' AS ts_text FROM orders""",
     "t3_unwrap_payload": f"""
-WITH {CDC} SELECT pos, op, tbl, CASE WHEN op <> 'd' THEN event_type END AS after_type, TRUE AS bare FROM cdc""",
+WITH {CDC} SELECT pos, op, ts_ms, '' AS tx, tbl, 'shop' AS db, ts_ms AS source_ts_ms, pos AS source_pos, {IMAGES}, TRUE AS bare FROM cdc""",
     "t4_flatten": f"""
 WITH {CDC} SELECT op, 'shop' AS db, tbl, ts_ms, user_id, event_id, event_type,
        CASE WHEN event_id % 7 <> 0 THEN value END AS value, ts, props FROM cdc""",

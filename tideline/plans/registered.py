@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tideline import model as m
 from tideline.functions.temporal import epoch_micros, render_temporal
@@ -59,10 +60,16 @@ def _user_source(spark: SparkSession, sf_dir: str, startup: str) -> DataFrame:
     env = cdc.cdc_source(snapshot, changes, startup, SNAPSHOT_POS)
     return env.select(
         "op", F.col("source.table").alias("tbl"), F.col("source.pos").alias("pos"), "ts_ms",
-        F.coalesce("after.user_id", "before.user_id").alias("user_id"),
+        F.coalesce("after.user_id", "before.user_id").alias("user_id"), *_both_images(),
     )
 
 
+def _both_images(root: str = "") -> list[Column]:
+    """All fields of both images, named ``b_…`` and ``a_…``."""
+    names = StructType.fromDDL(fx.IMAGE).names
+    return [F.col(f"{root}{side}.{name}").alias(f"{side[0]}_{name}") for side in ("before", "after") for name in names]
+
+
 def s2_initial(spark, sf_dir):
     return _user_source(spark, sf_dir, "initial")
 
@@ -173,12 +180,18 @@ def _half_wrapped(texts: DataFrame) -> DataFrame:
 
 def t3_unwrap_payload(spark, sf_dir):
     texts = envelope.unwrap_payload(_half_wrapped(_envelope_texts(spark, sf_dir)))
-    shape = "op STRING, source STRUCT<table: STRING>, after STRUCT<event_type: STRING>, payload STRING"
+    image, source = (", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in StructType.fromDDL(ddl).fields) for ddl in (fx.IMAGE, fx.SOURCE))
+    shape = f"op STRING, ts_ms BIGINT, transaction STRING, source STRUCT<{source}>, before STRUCT<{image}>, after STRUCT<{image}>, payload STRING"
     return texts.select("pos", F.from_json("value", shape).alias("e")).select(
         "pos",
         "e.op",
+        "e.ts_ms",
+        F.col("e.transaction").alias("tx"),
         F.col("e.source.table").alias("tbl"),
-        F.col("e.after.event_type").alias("after_type"),
+        F.col("e.source.db").alias("db"),
+        F.col("e.source.ts_ms").alias("source_ts_ms"),
+        F.col("e.source.pos").alias("source_pos"),
+        *_both_images("e."),
         F.col("e.payload").isNull().alias("bare"),
     )
 
