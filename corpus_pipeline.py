@@ -19,7 +19,7 @@ STAGES = [
     ("pack", stages.pack),
 ]
 
-#: Trained scores, byte-level cuts and tokenization are not SQL; tests compare each stage with a brute-force version.
+#: Trained scores, byte-level cuts and tokenization are not SQL; tests check the effects of each stage.
 ORACLE_SQL = None
 
 
