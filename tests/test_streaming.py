@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -7,9 +8,11 @@ from tests.test_changelog import FRAME, applied, frame
 from tideline.operators.changelog import to_row_kinds
 from tideline.operators.envelope import normalize_envelope
 from tideline.plans.mirror import start_mirror
+from tideline.sinks.debug import read_debug
 from tideline.streaming import apply
 from tideline.streaming.apply import compact_applied, drop_compacted, read_applied, start_apply, write_batch
-from tideline.streaming.jobs import envelope_stream, start_debug, start_envelope_files, start_fan_out, start_rows
+from tideline.streaming.commits import Commits, read_commits, read_fan_out
+from tideline.streaming.jobs import envelope_stream, start_debug, start_envelope_files, start_fan_out, start_rows, start_topic_in_order
 
 KEYS, ORDER = ["id"], ["ts_ms", "pos"]
 
@@ -193,3 +196,67 @@ def test_fan_out_refuses_another_checkpoint(spark, tmp_path):
     start_fan_out(stream, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
     with pytest.raises(ValueError, match="another checkpoint"):
         start_fan_out(stream, str(tmp_path / "out"), str(tmp_path / "other"))
+
+
+def test_fan_out_shows_whole_batches(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(3):
+        changes = [("c", None, (k, "a"), 10 * i + k, "d", f"t{k % 2}") for k in range(6) if i != 1 or k % 2]
+        frame(spark, *changes).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(FRAME).option("maxFilesPerTrigger", 1).parquet(source)
+    start_fan_out(stream, out, str(tmp_path / "c")).awaitTermination()
+    state = read_commits(spark, out)
+    assert state.last == 2 and state.runs == {"db=d/table=t0": [[0, 0], [2, 2]], "db=d/table=t1": [[0, 2]]}
+    # a batch that was cut off after one table, and a draft of its commit
+    frame(spark, ("c", None, (9, "x"), 99, "d", "t0")).write.parquet(f"{out}/batch_id=3/db=d/table=t0")
+    open(f"{out}/_commits-3.draft", "w").write("{")
+    seen = read_fan_out(spark, out)
+    assert sorted(tuple(r) for r in seen.groupBy("db", "table", "batch_id").count().collect()) == [
+        ("d", "t0", 0, 3), ("d", "t0", 2, 3), ("d", "t1", 0, 3), ("d", "t1", 1, 3), ("d", "t1", 2, 3)
+    ]
+    assert seen.filter("pos = 99").count() == 0
+    assert read_fan_out(spark, out, ["d.t1"], since=1).count() == 3
+    assert read_fan_out(spark, out, ["d.unknown"]).count() == 0
+    assert {r.v for r in read_fan_out(spark, out, ["d.t0"]).select("after.v").collect()} == {"a"}
+
+
+def test_fan_out_read_before_the_first_batch(spark, tmp_path):
+    with pytest.raises(ValueError, match="no whole batch"):
+        read_fan_out(spark, str(tmp_path))
+
+
+def test_commit_runs():
+    state = Commits()
+    for batch, folders in enumerate((["a"], ["a", "b"], [], ["b"], ["b"])):
+        state = state.adding(batch, "{}", folders)
+    assert state.runs == {"a": [[0, 1]], "b": [[1, 1], [3, 4]]} and state.last == 4
+
+
+def test_topic_stream_in_order(spark, tmp_path):
+    rows = spark.range(600).selectExpr("CAST(id AS STRING) AS value", "CAST(id % 3 AS INT) AS partition", "(id * 7) % 600 AS at")
+    rows.repartition(6).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).parquet(str(tmp_path / "in"))
+    sent = []
+
+    def send(part, bootstrap, topic, opts):
+        sent.append([(bootstrap, topic, opts)] + [tuple(r) for r in part.collect()])
+
+    start_topic_in_order(stream, ["at"], 3, "h:1", "t", str(tmp_path / "c"), {"acks": "all"}, write=send).awaitTermination()
+    assert len(sent) == 2 and all(batch[0] == ("h:1", "t", {"acks": "all"}) for batch in sent)
+    assert sum(len(batch) - 1 for batch in sent) == 600
+    for batch in sent:
+        for k in range(3):
+            places = [int(value) * 7 % 600 for value, partition in batch[1:] if partition == k]
+            assert places and places == sorted(places)
+
+
+def test_debug_stream_in_order(spark, tmp_path):
+    frame(spark, *[("c", None, (i, "a"), (i * 11) % 30) for i in range(30)]).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(FRAME).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    kinds = stream.select(F.lit("+I").alias("row_kind"), "after.*", "pos")
+    start_debug(kinds, str(tmp_path / "out"), str(tmp_path / "c"), order_by=["pos"]).awaitTermination()
+    lines = [r.line for r in read_debug(spark, str(tmp_path / "out")).orderBy("position").collect()]
+    assert sorted(lines) == sorted(f"+I[{i}, a]" for i in range(30))
+    batches = len([f for f in os.listdir(tmp_path / "out") if f.startswith("batch_id=")])
+    places = [int(line[3:].split(",")[0]) * 11 % 30 for line in lines]
+    assert sum(b < a for a, b in zip(places, places[1:])) < batches

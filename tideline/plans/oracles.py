@@ -252,6 +252,8 @@ SELECT event_id, hex(encode(props)) AS raw, CASE WHEN event_id % 6 <> 0 THEN epo
     "t7_primary_key_map": """
 SELECT p_brand AS db_table, 'col_' || max(p_partkey) AS pk_column FROM part WHERE p_size % 5 = 0 GROUP BY p_brand""",
     "t8_fan_out": f"""
+WITH {CDC} SELECT 'shop' AS db, tbl, count(*) AS n, min(pos) AS first_pos, max(pos) AS last_pos FROM cdc GROUP BY tbl""",
+    "t8_fan_out_stream": f"""
 WITH {CDC} SELECT 'shop' AS db, tbl, count(*) AS n, min(pos) AS first_pos, max(pos) AS last_pos FROM cdc GROUP BY tbl""",
     "p1_hash_partition": f"""
 WITH {CDC}, keyed AS (SELECT pos, tbl, {_key()} AS key_value FROM cdc)
@@ -275,6 +277,11 @@ SELECT db_table_name, CAST(kafka_partition AS INTEGER) AS partition FROM ({REGIS
 WITH {CDC}, keyed AS (SELECT *, {_key()} AS key_value FROM cdc)
 SELECT {_envelope('CAST(value AS VARCHAR)', _ROUTED_TS)} AS value,
        CAST(abs({_hash("tbl || 'shop' || key_value")} % 6) AS INTEGER) AS partition FROM keyed""",
+    "k1_ordered_frame": f"""
+WITH {CDC}, keyed AS (SELECT *, {_key()} AS key_value FROM cdc),
+routed AS (SELECT pos, {_envelope('CAST(value AS VARCHAR)', _ROUTED_TS)} AS value,
+       CAST(abs({_hash("tbl || 'shop' || key_value")} % 6) AS INTEGER) AS partition FROM keyed)
+SELECT value, partition, row_number() OVER (PARTITION BY partition ORDER BY pos) - 1 AS sequence FROM routed""",
     "k1_registry_topic_frame": f"""
 WITH {CDC}, {_allocate_ctes(REGISTRY, "SELECT tbl AS name, min(pos) AS ord FROM cdc GROUP BY tbl", 12)}
 SELECT {_envelope('CAST(value AS VARCHAR)', _ROUTED_TS)} AS value, CAST(p AS INTEGER) AS partition
@@ -298,6 +305,10 @@ SELECT user_id, event_id, event_type, value, ts, props FROM nexts WHERE op <> 'd
     "k5_debug_lines": f"""
 SELECT pos, row_kind || '[' || user_id || ', ' || event_id || ', ' || event_type || ', ' || CAST(value AS VARCHAR) || ', ' || ts
   || ', ' || props || ']' AS line
+FROM ({KINDS}) k""",
+    "k5_ordered_lines": f"""
+SELECT row_number() OVER (ORDER BY pos, row_kind = '+U') - 1 AS position, row_kind || '[' || user_id || ', ' || event_id || ', ' || event_type
+  || ', ' || CAST(value AS VARCHAR) || ', ' || ts || ', ' || props || ']' AS line
 FROM ({KINDS}) k""",
     "q1_script_batch": SCRIPT_RESULT,
     "q1_script_shared": """

@@ -20,7 +20,8 @@ from tideline.sinks import debug, rows
 from tideline.sources import cdc, topics
 from tideline.streaming import buckets
 from tideline.streaming.apply import compact_applied, read_applied, start_apply, write_batch
-from tideline.streaming.jobs import envelope_stream, start_envelope_files
+from tideline.streaming.commits import read_commits, read_fan_out
+from tideline.streaming.jobs import envelope_stream, start_envelope_files, start_fan_out
 
 KEYS = ["user_id"]
 ORDER = ["order_ts", "pos"]
@@ -263,6 +264,19 @@ def t8_fan_out(spark, sf_dir):
     )
 
 
+def t8_fan_out_stream(spark, sf_dir):
+    """The fan-out of a stream, read back by its commits while a later batch is unfinished."""
+    path = fresh_path(spark, "fan-out")
+    start_fan_out(_event_stream(spark, sf_dir), path, f"{path}-checkpoint").awaitTermination()
+    unfinished = read_commits(spark, path).last + 1
+    changelog.fan_out(fx.cdc_events(spark, sf_dir).filter("pos % 2 = 0"), f"{path}/batch_id={unfinished}", ["shop.events_1"])
+    return (
+        read_fan_out(spark, path)
+        .groupBy("db", F.col("table").alias("tbl"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
+    )
+
+
 # routing
 
 
@@ -315,6 +329,10 @@ def k1_topic_frame(spark, sf_dir):
     return publish_by_key(fx.cdc_events(spark, sf_dir), KEY_MAP, 6, TEMPORAL)
 
 
+def k1_ordered_frame(spark, sf_dir):
+    return publish_by_key(fx.cdc_events(spark, sf_dir), KEY_MAP, 6, TEMPORAL, order_by=["pos"])
+
+
 def k1_registry_topic_frame(spark, sf_dir):
     env = fx.cdc_events(spark, sf_dir)
     registry = routing.allocate_partitions(fx.supplier_registry(spark, sf_dir), fx.event_tables(env), fx.TOPIC, 12)
@@ -390,6 +408,14 @@ def k5_debug_lines(spark, sf_dir):
     return debug.debug_lines(changelog.to_row_kinds(env, ["pos"]), keep=["pos"])
 
 
+def k5_ordered_lines(spark, sf_dir):
+    """Lines written in order and read back; of an update's two rows the old image comes first."""
+    path = fresh_path(spark, "debug")
+    kinds = changelog.to_row_kinds(fx.cdc_events(spark, sf_dir), ["pos"])
+    debug.debug_sink(kinds.withColumn("new", F.col("row_kind") == m.UPDATE_AFTER), path, ["pos", "new"])
+    return debug.read_debug(spark, path)
+
+
 # scripts and copies
 
 SCRIPT = """
@@ -576,11 +602,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         s1_snapshot, s1_snapshot_envelopes, s2_initial, s2_initial_stream, s2_latest, s3_select_tables, s3_select_patterns,
         s7_offsets_for_times, s7_offsets_tail, s8_replay_from, s8_replay_earliest,
         t1_normalize, t1_normalize_mixed, t2_render_temporal, t2_order_dates, t3_unwrap_payload, t4_flatten, t4_flatten_decimals, t4_flatten_types,
-        t5_effective_key, t6_row_kinds, t7_primary_key_map, t8_fan_out,
+        t5_effective_key, t6_row_kinds, t7_primary_key_map, t8_fan_out, t8_fan_out_stream,
         p1_hash_partition, p1_hash_temporal_key, p2_registry_partition, p3_partition_load, p4_allocate, p4_allocate_empty, p4_allocate_wide,
         p5_registry_for,
-        k1_topic_frame, k1_registry_topic_frame, k2_encode_rows, k2_encode_orders, k3_delete_keys, k3_delete_event_keys, k3_remove_rows,
-        k4_latest_rows, k4_apply_to_base, k4_moving_keys, k4_apply_stream, k4_apply_buckets, k5_debug_lines,
+        k1_topic_frame, k1_ordered_frame, k1_registry_topic_frame, k2_encode_rows, k2_encode_orders, k3_delete_keys, k3_delete_event_keys, k3_remove_rows,
+        k4_latest_rows, k4_apply_to_base, k4_moving_keys, k4_apply_stream, k4_apply_buckets, k5_debug_lines, k5_ordered_lines,
         q1_script_batch, q1_script_shared, q1_script_stream, q2_script_immediate, q3_mirror, q3_mirror_stream, q3_mirror_tables,
     )
 } | {name: _pass_through(name) for name in PASS_THROUGH}

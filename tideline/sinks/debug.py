@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.operators.positions import with_position
+
 
 def debug_lines(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """``line``: the row as ``+I[v1, v2, …]``, with the ``keep`` columns beside it."""
@@ -15,6 +17,26 @@ def debug_lines(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return rows.select(*keep, line.alias("line"))
 
 
-def debug_sink(rows: DataFrame, path: str) -> None:
-    """Write the lines of all rows to a folder of text files; limit ``rows`` for fewer."""
-    debug_lines(rows).select("line").write.text(path)
+def debug_sink(rows: DataFrame, path: str, order_by: list[str] | None = None, mode: str = "errorifexists") -> None:
+    """Write the lines of all rows to a folder of text files; limit ``rows`` for fewer.
+
+    With ``order_by`` the files, by name, and the lines in them are in that order: rows are sorted by ranges, in many
+    tasks. The lines are without these columns.
+    """
+    lines = debug_lines(rows, order_by)
+    if order_by:
+        lines = lines.orderBy(*order_by).select("line")
+    lines.write.mode(mode).text(path)
+
+
+def read_debug(spark: SparkSession, path: str) -> DataFrame:
+    """``line`` and ``position``, from 0, of lines written in order: by batch, file and place in the file."""
+    name = F.col("_metadata.file_name")
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"),
+        F.coalesce(F.regexp_extract("_metadata.file_path", r"/batch_id=(\d+)/", 1).try_cast("bigint"), F.lit(-1)).alias("_batch"),
+        F.regexp_extract(name, r"^part-(\d+)", 1).cast("bigint").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),  # grows within a block
+    )
+    return with_position(lines, ["_batch", "_file", "_block", "_line"]).select("position", "line")

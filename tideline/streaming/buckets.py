@@ -16,7 +16,6 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field, replace
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tideline.operators.changelog import keyed_images, last_images
 from tideline.streaming.apply import _file_system, own_checkpoint
+from tideline.streaming.files import read_text, replace_text
 
 #: Buckets of a table, and parts of a bucket above which it is merged.
 BUCKETS, MERGE_AFTER = 64, 4
@@ -47,17 +47,10 @@ class Manifest:
 
 def read_manifest(spark: SparkSession, path: str) -> Manifest | None:
     """The published state of a table; None before its first batch."""
-    files, target = _file_system(spark, f"{path}/manifest.json")
-    try:
-        stream = files.open(target)
-    except Py4JJavaError as error:
-        if "FileNotFound" not in error.java_exception.getClass().getName():
-            raise
+    text = read_text(spark, f"{path}/manifest.json")
+    if text is None:
         return None
-    try:
-        found = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
+    found = json.loads(text)
     return Manifest(**found | {"parts": {int(b): p for b, p in found["parts"].items()}})
 
 
@@ -66,17 +59,7 @@ def publish(spark: SparkSession, path: str, manifest: Manifest) -> None:
     now = read_manifest(spark, path)
     if (now.version if now else -1) != manifest.version - 1:
         raise RuntimeError(f"{path} was changed by another job")
-    files, target = _file_system(spark, f"{path}/manifest.json")
-    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest-{manifest.version}.json.draft")
-    out = files.create(draft, True)
-    try:
-        out.write(bytearray(manifest.text(), "utf-8"))
-    finally:
-        out.close()
-    renames = spark._jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(renames, 1)
-    options[0] = renames.OVERWRITE
-    spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(draft, target, options)
+    replace_text(spark, f"{path}/manifest.json", f"{path}/manifest-{manifest.version}.json.draft", manifest.text())
 
 
 def bucket_of(keys: list[str], buckets: int) -> Column:
