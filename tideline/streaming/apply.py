@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tideline import model as m
 from tideline.operators.changelog import keyed_images, last_images, remove_rows
-from tideline.sinks.rows import delete_rows_jdbc, insert_rows_jdbc
+from tideline.sinks.rows import delete_rows_jdbc, insert_rows_jdbc, merge_rows_jdbc, versioned_rows
 
 
 def write_batch(env: DataFrame, batch_id: int, path: str, keys: list[str], order_by: list[str]) -> None:
@@ -84,6 +84,28 @@ def start_apply_jdbc(
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def apply_versions_jdbc(
+    env: DataFrame, batch_id: int, url: str, table: str, staging: str, keys: list[str], version: str, **options: str
+) -> None:
+    """Bring a JDBC table up to date with one micro-batch, whatever order batches come in.
+
+    ``version`` is a whole-number column of the changes that grows with a key's changes, such as a log position. The table has it in a
+    column of its own and marks removed keys (``sinks.rows.VERSION``, ``REMOVED``). The database compares versions before
+    it deletes or inserts. Each batch has its own staging table, so a delete that is still at
+    work never reads the keys of the next batch.
+    """
+    folded = last_images(keyed_images(env, keys, [version]), keys).withColumn("_version", F.col("_order.o0"))
+    merge_rows_jdbc(versioned_rows(folded, keys), url, table, f"{staging}_{batch_id}", keys, **options)
+
+
+def start_apply_versions_jdbc(
+    stream: DataFrame, checkpoint: str, trigger: dict | None = None, **target
+) -> StreamingQuery:
+    """Apply a stream of changes to a versioned JDBC table; ``target`` as in :func:`apply_versions_jdbc`."""
+    writer = stream.writeStream.foreachBatch(lambda env, i: apply_versions_jdbc(env, i, **target))
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
 def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
