@@ -237,3 +237,15 @@ def test_language_scores_do_not_depend_on_the_size_of_the_table(spark, monkeypat
         monkeypatch.setattr(language, "TABLE", size)
         for a, b in zip(whole, sorted(language.score_documents(docs).collect(), key=key), strict=True):
             assert a[:5] == b[:5] and np.allclose(a[5:], b[5:], rtol=1e-6)
+
+
+def test_language_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(language, "UNIT", 40)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    again = docs.filter("doc_id % 7 = 0")
+    docs = docs.union(again)  # repeated rows too
+    one, many = ({(r.doc_id, r.n_tokens): r for r in language.score_documents(docs.repartition(n)).collect()} for n in (1, 16))
+    assert one.keys() == many.keys()
+    for k, r in one.items():
+        assert r.base_score == pytest.approx(many[k].base_score, rel=1e-9)
+        assert r.score / r.n_tokens == pytest.approx(many[k].score / r.n_tokens, abs=1e-3)

@@ -23,15 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
+def stash(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here, and every
     executor can read the rows again after another one is lost."""
     spark = df.sparkSession
-    path = fresh_path(spark, name)
+    path = path or fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete stashed folders that nothing still to run reads: what was made of them is on the driver or stashed itself."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def text_of(col: str | Column = "text") -> Column:
     """The text, a null one as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

@@ -10,8 +10,10 @@ by class counts, mostly languages) weigh by how well each explains the words so
 * Counts (words, subwords, classes after subwords) come from every training document. Equal words are spelled once per batch.
 * Classes come from what precedes each subword in all training text, kinds from the class shares of all training texts.
   Both are sums over all tasks; only the centres that kinds start from are chosen on ``STARTS`` texts.
-* Attention weights are fitted in ``EPOCHS`` rounds. In each, every task trains the last round's weights in numpy on all
-  its training documents, and the results are averaged, by how often a subword occurred or by the number of places.
+* Attention weights are fitted in ``EPOCHS`` rounds. Training documents are dealt, by a hash of id and text, to units of about
+  ``UNIT`` documents. In a round, the last round's weights are trained in numpy on each unit, in order of the hash, and the
+  results are averaged, by how often a subword occurred or by the number of places. So scores don't depend on how
+  the table is partitioned. Repeated rows whose subwords are more than ``TOGETHER`` make further units.
 * The part of the word table in the mixture is fitted on all words of all training documents, by a histogram of
   how much more likely the table finds each word than its spelling does. A word that no other text has counts as unseen.
 * Scoring cuts each document's subwords into overlapping windows of ``WINDOW`` places. Each window scores its last
@@ -39,8 +41,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import byte_slices, remainder, stash, text_of
+from tideline.llm.common import byte_slices, discard, parts, remainder, stash, text_of
 from tideline.llm.packing import encoder
+from tideline.session import fresh_path
 
 WINDOW, STRIDE = 24, 16
 CLASSES, DIM = 48, 16
@@ -57,6 +60,8 @@ MARKS = 24
 EDGE, PER_UNIT = 64, 64
 #: Bytes of text that are worked on together.
 TOGETHER = 4 << 20
+#: Training documents of a unit, on average.
+UNIT = 2_048
 PRIOR = 20.0
 _BYTE = np.random.default_rng(8).integers(0, 2**64, 256, np.uint64)
 _BASE = np.uint64(0x5851F42D4C957F2D)
@@ -515,33 +520,58 @@ def _numbers(column: pa.Array) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
+def _units(column: pa.Array) -> Iterator[list[np.ndarray]]:
+    """The texts of each unit."""
+    for k in range(len(column)):
+        yield _numbers(column[k].values)
+
+
+def _unit_row(sequences: list[np.ndarray]) -> pa.Array:
+    """One unit as a list of lists."""
+    offsets = np.cumsum([0, *map(len, sequences)]).astype(np.int32)
+    texts = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sequences).astype(np.int32)))
+    return pa.ListArray.from_arrays(pa.array([0, len(sequences)], pa.int32()), texts)
+
+
 SUMS = [f"s{k}" for k in range(MARKS)]
-CONTEXTS = f"a long, n long, {', '.join(c + ' long' for c in SUMS)}, ids array<int>"
+CONTEXTS = f"a long, n long, {', '.join(c + ' long' for c in SUMS)}, ids array<array<int>>"
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row with ``ids`` for each text, and at the end a row without for each subword."""
+    """Texts sorted by unit give a row with ``ids`` for each unit, and at the end a row without for each subword."""
     counts, sums = contexts([])
     whole = lambda v: pa.array(v, pa.int64())
     names = ["a", "n", *SUMS, "ids"]
+    held: list[np.ndarray] = []
+    unit, size = None, 0
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * (MARKS + 2) + [_unit_row(held)], names)
+
     for batch in batches:
         for some in byte_slices(batch, TOGETHER):
             sequences = _sequences(Words(some.column("text").cast(pa.binary()).to_pylist()))
             n, s = contexts(sequences)
             counts += n
             sums += s
-            offsets = np.cumsum([0, *map(len, sequences)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sequences)))
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(ids), pa.int64())] * (MARKS + 2) + [ids], names)
+            for own, sequence in zip(some.column("unit").to_pylist(), sequences, strict=True):
+                if held and (own != unit or size > TOGETHER):
+                    yield row()
+                    held, size = [], 0
+                held.append(sequence)
+                unit, size = own, size + len(sequence)
+    if held:
+        yield row()
     seen = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([whole(seen), whole(counts[seen]), *(whole(c) for c in sums[seen].T), pa.nulls(len(seen), pa.list_(pa.int32()))], names)
+    yield pa.RecordBatch.from_arrays([whole(seen), whole(counts[seen]), *(whole(c) for c in sums[seen].T), pa.nulls(len(seen), pa.list_(pa.list_(pa.int32())))], names)
 
 
 def _histograms(classes: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h = np.round(histograms(_numbers(batch.column("ids")), classes) * 65535).astype(np.uint16)
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in h], pa.binary())], ["h"])
+            for sequences in _units(batch.column("ids")):
+                h = np.round(histograms(sequences, classes) * 65535).astype(np.uint16)
+                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in h], pa.binary())], ["h"])
 
     return run
 
@@ -550,27 +580,28 @@ WEIGHTS = [f"w{k}" for k in range(DIM)]
 
 
 def _round(model: Attention):
-    """The weights after training on all documents of a task, times what they count: ``n``."""
+    """The weights after training on a unit, times what they count: ``n``; summed over a task's units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model.begin()
-        size, places = len(model.embed), 0
-        seen = np.zeros(size, np.int64)
+        size = len(model.embed)
+        rest = size + np.arange(len(model.small()))
+        before = np.concatenate([model.embed, model.small()])
+        total, n = np.zeros(before.shape), np.zeros(len(before), np.int64)
         for batch in batches:
-            sequences = _numbers(batch.column("ids"))
-            part = np.cumsum([len(s) for s in sequences]) // TOGETHER
-            for k in np.unique(part):
-                x, target, _ = windows([s for s, own in zip(sequences, part, strict=True) if own == k])
+            for sequences in _units(batch.column("ids")):
+                model.take(np.arange(len(before)), before)
+                model.begin()
+                x, target, _ = windows(sequences)
                 model.learn(x, target)
-                seen += np.bincount(x.ravel(), minlength=size)
-                places += int((target >= 0).sum())
-        if places:
-            rows = np.flatnonzero(seen)
-            rest = model.small()
-            n = np.concatenate([seen[rows], np.full(len(rest), places)])
-            values = np.concatenate([model.embed[rows], rest]).astype(np.float64) * n[:, None]
-            rows = np.concatenate([rows, size + np.arange(len(rest))])
-            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(n), *(pa.array(c) for c in values.T)], ["a", "n", *WEIGHTS])
+                seen = np.bincount(x.ravel(), minlength=size)
+                rows = np.flatnonzero(seen)
+                total[rows] += model.embed[rows] * seen[rows, None].astype(np.float64)
+                places = int((target >= 0).sum())
+                total[rest] += model.small() * float(places)
+                n[rows] += seen[rows]
+                n[rest] += places
+        rows = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(n[rows]), *(pa.array(c) for c in total[rows].T)], ["a", "n", *WEIGHTS])
 
     return run
 
@@ -581,6 +612,8 @@ def train(model: Attention, training: DataFrame) -> None:
         schema = f"a long, n long, {', '.join(c + ' double' for c in WEIGHTS)}"
         sums = training.mapInArrow(_round(model), schema).groupBy("a").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in WEIGHTS])
         sums = sums.toPandas()  # a row per subword at most, and those of small()
+        if not len(sums):
+            return
         model.take(sums["a"].to_numpy(np.int64), sums[WEIGHTS].to_numpy(np.float64).reshape(-1, DIM) / sums[["n"]].to_numpy(np.float64))
 
 
@@ -739,16 +772,22 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), (remainder(folds) == 0).alias("held_out"))
     trained = docs.filter("not held_out")
-    encoded = stash(trained.select("text").mapInArrow(_contexts, CONTEXTS), "subwords")
+    spark = docs.sparkSession
+    paths = {name: fresh_path(spark, name) for name in ("subwords", "histograms", "counts", "blocks")}
+    units = parts(trained.count(), UNIT)
+    order = F.xxhash64("doc_id", "text")
+    dealt = trained.select(F.pmod(order, F.lit(units)).alias("unit"), order.alias("order"), "text").repartition("unit").sortWithinPartitions("unit", "order")
+    encoded = stash(dealt.select("unit", "text").mapInArrow(_contexts, CONTEXTS), "subwords", paths["subwords"])
     sums = encoded.filter("ids is null").groupBy("a").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SUMS]).toPandas()  # a row per subword
     context = contexts([])
     context[0][sums["a"]], context[1][sums["a"]] = sums["n"], sums[SUMS]
     classes = classes_of(*context)
     training = encoded.filter("ids is not null").select("ids")
-    centres = kinds_of(stash(training.mapInArrow(_histograms(classes), "h binary"), "histograms"))
+    centres = kinds_of(stash(training.mapInArrow(_histograms(classes), "h binary"), "histograms", paths["histograms"]))
+    discard(spark, paths["histograms"])
 
     counted = trained.select("text").mapInArrow(_count(classes, centres), COUNTED).groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
-    counted = stash(counted, "counts")
+    counted = stash(counted, "counts", paths["counts"])
     by_kind = [F.coalesce(F.sum(F.when(F.col("b") == k, F.col("n"))), F.lit(0)).alias(f"k{k}") for k in range(KINDS)]
     word_counts = stash(counted.filter("kind = 0").groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("c"), *by_kind), "word-counts")
     totals = word_counts.agg(F.sum("c").alias("tokens"), F.count("*").alias("distinct"), *[F.sum(f"k{k}").alias(f"k{k}") for k in range(KINDS)]).first()
@@ -759,12 +798,14 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     model = start(*gather(counted), classes)
     train(model, training)
     model.freeze()
+    discard(spark, paths["counts"], paths["subwords"])  # what is still to run reads neither
 
-    blocks = stash(docs.mapInArrow(_blocks(table.words), BLOCKS), "blocks")
+    blocks = stash(docs.mapInArrow(_blocks(table.words), BLOCKS), "blocks", paths["blocks"])
     others = blocks.filter("word is not null").select(F.col("block").alias("of"), "word").join(word_counts, "word")
     texts = blocks.filter("word is null").select("block", "doc_id", "held_out", "text")
     scored = texts.groupBy("block").cogroup(others.groupBy("of")).applyInArrow(_score(model, table, kind_totals, tokens, distinct), SCORED)
     scored = stash(scored, "scores")
+    discard(spark, paths["blocks"])
     found = scored.filter("bin is not null").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
     mixed = mixture(found["bin"].to_numpy(np.int64), found["n"].to_numpy(np.int64))
     columns = "doc_id long, held_out boolean, n_tokens long, n_known long, base double"
