@@ -169,17 +169,23 @@ def lasso(features: np.ndarray, y: np.ndarray, penalty: float, steps: int = 400)
     """Logistic regression with an L1 penalty, by accelerated proximal gradient."""
     n, m = features.shape
     mean = features.mean(axis=0)
-    x = features - mean
+
+    def times(w: np.ndarray) -> np.ndarray:  # the centred features are never written out
+        return features @ w - mean @ w
+
+    def back(e: np.ndarray) -> np.ndarray:
+        return features.T @ e - mean * e.sum()
+
     v = np.full(m, 1 / math.sqrt(max(m, 1)))
     for _ in range(20):  # the largest eigenvalue gives the step
-        v = x.T @ (x @ v)
+        v = back(times(v))
         v /= max(np.linalg.norm(v), 1e-12)
-    step = 4 / max(float(np.sum((x @ v) ** 2)) / n * 1.1 + 1, 1e-9)
+    step = 4 / max(float(np.sum(times(v) ** 2)) / n * 1.1 + 1, 1e-9)
     w, bias = np.zeros(m), math.log((y.sum() + 1) / (n - y.sum() + 1))
     look, look_bias, t = w.copy(), bias, 1.0
     for _ in range(steps):
-        err = _sigmoid(look_bias + x @ look) - y
-        new = look - step * (x.T @ err) / n
+        err = _sigmoid(look_bias + times(look)) - y
+        new = look - step * back(err) / n
         new = np.sign(new) * np.maximum(np.abs(new) - step * penalty, 0)
         new_bias = look_bias - step * err.mean()
         t_next = (1 + math.sqrt(1 + 4 * t * t)) / 2
@@ -214,9 +220,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, label: s
     # at most max_rows pairs of numbers, up to the hash's spread
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     frame, names = with_statistics(texts)
-    rows = frame.select("doc_id", "_stats", "_y").orderBy("doc_id", "_y", "_stats").collect()
-    x = np.array([r._stats for r in rows], float).reshape(len(rows), len(names))
-    return fit_rules(x, np.array([r._y for r in rows], float), names, penalty)
+    rows = frame.select("doc_id", "_stats", "_y").orderBy("doc_id", "_y", "_stats").toArrow()
+    x = rows.column("_stats").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, len(names))
+    return fit_rules(x, rows.column("_y").to_numpy(), names, penalty)
 
 
 def score_documents(docs: DataFrame, model: RuleModel) -> DataFrame:
