@@ -12,13 +12,14 @@ Everything is read from whole texts; windows are places in the text and nothing
 A text below ``SHORT`` bytes has too few windows to choose from, so all its 8-byte strings are
 features as well.
 
-``compare_neighbours`` sorts documents by id without a global sort: ids are cut into ranges of
-bounded bytes, each range is one group, and the first document of a range is also
-sent to the range before it. Only the ranges' bounds, a few numbers each, pass the driver.
+``compare_neighbours`` reads documents by descending id without a global sort: ids are cut into ranges of about equal
+bytes and rows, each range is sorted (Spark spills it) and read as a stream, and the first text of a range is also sent
+to the range before it. There are at most ``MOST_RANGES`` ranges, so their bounds, a number each, are bounded too. An id with more
+rows than a range holds, or null ids, are cut further by how their texts start.
 
 Defined cases: a null text counts as empty; an empty text has the empty fingerprint, whose likeness
 is 1 to itself and 0 to others. Rows of equal ids are neighbours in the order of their texts. Null
-ids come last. A table's only document is its own neighbour. An empty table gives no rows.
+ids come last, as rows of the smallest long. A table's only document is its own neighbour. An empty table gives no rows.
 Other columns are ignored.
 """
 
@@ -30,10 +31,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tideline.llm.common import parts, text_of
+from tideline.llm.common import byte_slices, parts, small_batches, text_of
 
 WINDOW = 64
 POPULAR = 16
@@ -49,6 +51,11 @@ CHANCE = 0.15
 #: Bytes of text that are worked on together.
 CHUNK = 1 << 17
 BYTES_PER_RANGE = 16 << 20
+MOST_RANGES = 50_000
+#: Bytes of text whose pairs are compared together.
+SLICE = 1 << 20
+#: Bytes by which texts of one id are cut into ranges.
+STARTS = 7
 
 #: The class of each byte: the low four bits of a mixed byte value.
 CLASSES = (np.arange(256, dtype=np.uint32) * np.uint32(2654435761) >> np.uint32(20) & np.uint32(15)).astype(np.uint8)
@@ -191,67 +198,90 @@ OUT = pa.schema([
 ])
 
 
+def _start(text: Column) -> Column:
+    """The first bytes of a text as a number, in the order of texts."""
+    return F.conv(F.rpad(F.hex(F.substring(text.cast("binary"), 1, STARTS)), 2 * STARTS, "0"), 16, 10).cast("long")
+
+
+def _cuts(keyed: DataFrame) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Keys that end ranges, and for a key that ends several, the starts of texts that end all of them but the last.
+
+    A row weighs 1, and 1 more for every mean size that its text has, so a range has at most twice the mean of
+    bytes and of rows, but for a text that is longer alone.
+    """
+    size, rows = keyed.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    n = min(parts(size or 0, BYTES_PER_RANGE), MOST_RANGES)
+    if n == 1:
+        return np.empty(0, np.int64), {}
+    weight = (1 + F.octet_length("text") / F.lit(size / rows)).cast("int")
+    weighed = keyed.select("key", F.explode(F.array_repeat(F.lit(0), weight)))
+    shares = [k / n for k in range(1, n)]
+    cuts = np.array(weighed.agg(F.percentile_approx("key", shares, max(10_000, 20 * n))).first()[0], np.int64)
+    keys, times = np.unique(cuts, return_counts=True)
+    starts = {}
+    for bits in {int(k).bit_length() for k in times if k > 1}:  # as many numbers at once as there are ranges, twice at most
+        own = {int(key): int(k) for key, k in zip(keys, times, strict=True) if k > 1 and int(k).bit_length() == bits}
+        shares = [j / 2**bits for j in range(1, 2**bits)]
+        hot = keyed.sparkSession.createDataFrame([(key,) for key in own], "key long")
+        found = keyed.join(F.broadcast(hot), "key").groupBy("key").agg(F.percentile_approx(_start(F.col("text")), shares, max(10_000, 20 << bits)))
+        for key, ends in found.collect():
+            starts[key] = np.array(ends, np.int64)[np.arange(1, own[key]) * 2**bits // own[key] - 1]
+    return cuts, starts
+
+
+def _in_ranges(keyed: DataFrame) -> DataFrame:
+    """``keyed`` with ``range``, numbered in reading order."""
+    cuts, starts = _cuts(keyed)
+    sent = keyed.sparkSession.sparkContext.broadcast((cuts, starts))
+
+    @F.pandas_udf("int")
+    def in_range(keys: pd.Series, begins: pd.Series) -> pd.Series:
+        cuts, starts = sent.value
+        at, key = np.searchsorted(cuts, keys, side="left"), keys.to_numpy()
+        for hot in set(starts) & set(key[np.searchsorted(cuts, key, side="right") - at > 1].tolist()):
+            own = key == hot
+            at[own] += np.searchsorted(starts[hot], begins[own], side="left")
+        return pd.Series(at)
+
+    return keyed.withColumn("start", _start(F.col("text"))).withColumn("range", in_range("key", "start"))
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order, each against the next one of its range; a range ends with the guest from the next one."""
+    last = None
+    for batch in batches:
+        for some in byte_slices(batch, SLICE):
+            new = list(zip(*(some.column(c).to_pylist() for c in ("range", "doc_id", "text")), strict=True))
+            prints = digests([text.encode() for _, _, text in new])
+            rows = [(*row, chain) for row, chain in zip(new, prints, strict=True)]
+            rows = rows if last is None else [last, *rows]
+            last = rows[-1]
+            pairs = [(a, b) for a, b in zip(rows, rows[1:], strict=False) if a[0] == b[0]]
+            edits = [_edited(a[2], b[2]).encode() for a, b in pairs]
+            changed = digests(edits)
+            out = [
+                (a[1], len(a[2]), hashlib.sha256(edit).hexdigest(), a[3].tobytes().hex(), c.tobytes().hex(), likeness(a[3], c), likeness(a[3], b[3]))
+                for (a, b), edit, c in zip(pairs, edits, changed, strict=True)
+            ]
+            yield pa.RecordBatch.from_pylist([dict(zip(OUT.names, row, strict=True)) for row in out], OUT)
+
+
 def compare_neighbours(docs: DataFrame) -> DataFrame:
     """Each document's fingerprint against its edited text's and the next document's."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = parts(size, BYTES_PER_RANGE)
-    cuts = docs.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n + 1)], max(10_000, 20 * n))).first()[0] or []
-    cuts = np.unique(np.array(cuts[:-1], np.int64))
-
-    @F.pandas_udf("long")
-    def in_range(ids: pd.Series) -> pd.Series:
-        known = ids.notna()
-        out = np.zeros(len(ids), np.int64)
-        out[known] = np.searchsorted(cuts, ids[known].astype("int64"), side="left")
-        return pd.Series(out)
-
-    # one number per range: its largest id
-    tops = docs.select("doc_id", in_range("doc_id").alias("range")).groupBy("range").agg(F.max("doc_id").alias("top")).orderBy("range").collect()
-    ranges = [r.range for r in tops]
-    # a range's first document also goes to the range that is read before it
-    guests = {r.top: ranges[(k + 1) % len(ranges)] for k, r in enumerate(tops) if r.top is not None} if len(ranges) > 1 else {}
-
-    @F.pandas_udf("array<struct<range: long, guest: boolean>>")
-    def targets(ids: pd.Series) -> pd.Series:
-        known = ids.notna()
-        own = np.zeros(len(ids), np.int64)
-        own[known] = np.searchsorted(cuts, ids[known].astype("int64"), side="left")
-        out = [[{"range": int(r), "guest": False}] for r in own]
-        for k in np.flatnonzero(known.to_numpy()):
-            at = guests.get(int(ids.iloc[k]))
-            if at is not None:
-                out[k].append({"range": at, "guest": True})
-        return pd.Series(out)
-
-    def compare(group: pa.Table) -> pa.Table:
-        rows = [
-            (guest, doc_id is None, -(doc_id or 0), text, doc_id)
-            for doc_id, text, guest in zip(group["doc_id"].to_pylist(), group["text"].to_pylist(), group["guest"].to_pylist(), strict=True)
-        ]
-        rows.sort(key=lambda r: r[:4])
-        own = [(r[4], r[3]) for r in rows if not r[0]]
-        guest = next((r[3] for r in rows if r[0]), own[0][1] if own else "")
-        out = {name: [] for name in OUT.names}
-        texts = [t for _, t in own] + [guest]
-        for start in range(0, len(own), 256):
-            some = texts[start : start + 257]
-            edits = [_edited(a, b).encode() for a, b in zip(some, some[1:], strict=False)]
-            prints = digests([t.encode() for t in some] + edits)
-            plain, changed = prints[: len(some)], prints[len(some) :]
-            for k, edit in enumerate(edits):
-                out["doc_id"].append(own[start + k][0])
-                out["n_chars"].append(len(some[k]))
-                out["edited_sha256"].append(hashlib.sha256(edit).hexdigest())
-                out["fingerprint"].append(plain[k].tobytes().hex())
-                out["edited_fingerprint"].append(changed[k].tobytes().hex())
-                out["near_edited"].append(likeness(plain[k], changed[k]))
-                out["near_next"].append(likeness(plain[k], plain[k + 1]))
-        return pa.table(out, schema=OUT)
-
-    placed = docs.withColumn("to", F.explode(targets("doc_id"))).select("doc_id", "text", "to.range", "to.guest")
+    small_batches(docs.sparkSession)
+    doc_id = F.col("doc_id").cast("long")
+    key = F.coalesce(F.bitwise_not(doc_id), F.lit(np.iinfo(np.int64).max))  # ascending where ids descend
+    rows = _in_ranges(docs.select(doc_id.alias("doc_id"), text_of().alias("text"), key.alias("key")))
+    # a row per range, at most MOST_RANGES
+    order = Window.orderBy("range")
+    before = F.coalesce(F.lag("range").over(order), F.max("range").over(Window.partitionBy()))
+    firsts = rows.groupBy("range").agg(F.min(F.struct("key", "start")).alias("first")).select("range", "first.*", before.alias("before"))
+    guests = rows.join(F.broadcast(firsts), ["range", "key", "start"]).groupBy("before").agg(F.min("text").alias("text"))
+    placed = rows.select("range", F.lit(False).alias("guest"), "key", "doc_id", "text").unionByName(
+        guests.select(F.col("before").alias("range"), F.lit(True).alias("guest"), "text"), allowMissingColumns=True
+    )
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return placed.groupBy("range").applyInArrow(compare, schema)
+    return placed.repartition("range").sortWithinPartitions("range", "guest", "key", "text").select("range", "doc_id", "text").mapInArrow(_compare, schema)
 
 
 def op9_fingerprints(spark, sf_dir: str) -> DataFrame:
