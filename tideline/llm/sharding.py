@@ -111,10 +111,12 @@ def assign_shards(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", t
         .groupBy("block")
         .applyInPandas(pack, "digest binary, piece int, shard int")
     )
-    shards = packed.unionByName(placed)
     n_chunks = parts(int(total[2]), ROWS_PER_CHUNK)
     chunk = F.pmod(F.xxhash64("doc_id", "digest"), F.lit(n_chunks)).cast("int")
-    placed_rows = stash(units.join(shards, ["digest", "piece"]).withColumn("chunk", chunk), "shard-rows")
+    # rows of large groups meet the few placed groups where they are; only the others are shuffled
+    marked = units.join(F.broadcast(placed), ["digest", "piece"], "left")
+    others = marked.filter("shard is null").drop("shard").join(packed, ["digest", "piece"])
+    placed_rows = stash(marked.filter("shard is not null").unionByName(others).withColumn("chunk", chunk), "shard-rows")
     return with_slots(placed_rows).select("doc_id", "bytes", "tokens", "text_crc32", "shard", "slot")
 
 
