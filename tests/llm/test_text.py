@@ -156,6 +156,33 @@ def test_names_of_a_whole_page_cut_nothing(html_of):
     assert [text for text, style in blocks if not style.cut] == ["text"]
 
 
+def test_importance_decides_in_articles_too(spark):
+    rng = random.Random(9)
+    page = "<body><nav>menu</nav><article><h1>{}</h1><p>{}</p><div class=x9>{}</div></article></body>".format
+    notice, rows = "Read our guide to biscuits", []
+    for host, h1, text, last in (
+        ("notice", lambda: "The same head", lambda: "</p><p>".join(words(rng, 10) for _ in range(3)), lambda: notice),  # heads are not judged so
+        ("own", lambda: words(rng, 5), lambda: words(rng, 30), lambda: words(rng, 5)),
+        ("copies", lambda: "One head", lambda: "one text", lambda: notice),  # the same article on pages that differ
+        ("near", lambda: "One head", lambda: "nearly one text", lambda: "the end" + " x" * (rng.random() < 0.1)),
+    ):
+        for i in range(40):
+            parts = h1(), text(), last()
+            rows.append((len(rows), f"http://{host}.example/{i}", page(*parts).replace("menu", words(rng, 3)), "\n\n".join(parts[:2] if host == "notice" else parts).replace("</p><p>", "\n\n")))
+    for i in range(9):  # too few to tell
+        rows.append((len(rows), f"http://few.example/{i}", page(str(i), words(rng, 9), notice), None))
+    frame = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html.extract_text(frame).collect()}
+    for i, url, _, want in rows:
+        assert got[i] == want if want else got[i].endswith(notice), url
+
+
+def test_one_decision_for_all_roles():
+    blocks, _ = html.parse("<div>out</div><article><h2>head</h2><p>in</p><aside><h2>cut</h2></aside></article><div role=main>main</div><div>main</div>")
+    assert {text: (round(s.role(True), 1), round(s.role(False), 1)) for text, s in blocks[:4]} == {"out": (-1, 0), "head": (0.5, 0.5), "in": (0.2, 0.2), "cut": (-1, -1)}
+    assert blocks[4][1].path != blocks[5][1].path  # a role is part of the style
+
+
 def test_a_long_page(spark):
     text = "word " * 200_000
     frame = spark.createDataFrame([(1, "http://x.example", f"<article><p>{text}</p></article>")], "page_id long, url string, html string")

@@ -10,9 +10,14 @@ count once, so that copies take no text away. From these follow, with m pages th
 * presentation importance, the entropy of child sequences to base m.
 
 The importance of a branch is their weighted sum, with what its role says added: an article or
-main element adds, menus, headers, footers, sidebars, notices, adverts, forms and comments (by tag, role, class or
-id) subtract; the classes and ids of html, body, main and article do not. Branches below the threshold are removed. Where a page has an article, what stands outside
-has no importance. Text in an article is never judged by how often it occurs, as pages may carry the same article.
+main element adds (``ARTICLE``), a heading in it adds more (``TITLE``), menus, headers, footers, sidebars, notices, adverts,
+forms and comments (by tag, role, class or id) and, where a page has an article, what stands outside subtract (``NOISE``);
+the classes and ids of html, body, main and article do not. Branches below the threshold are removed, in articles too:
+a style that says the same in a host's different articles is a notice, whatever its class.
+
+As pages may carry the same article, styles in articles are counted over different articles, not pages. Near copies are
+no notices either: where the article branch as a whole (the mean over its blocks) is below the threshold, or fewer than
+``ARTICLES`` different articles have a style, its importance there counts as 1.
 
 Copies are dropped and counts are combined before each shuffle, so a host with a third of all pages is one row
 per style and task where counts are summed; its list of unimportant styles is joined to the pages, and adaptive execution splits
@@ -59,6 +64,13 @@ HEADERS = {"header", "masthead", "topbar"}
 
 THRESHOLD = 0.3
 CONTENT, PRESENTATION = 0.8, 0.2
+#: What roles add to importance, which is 0 to 1.
+ARTICLE, TITLE, NOISE = 0.2, 0.3, -1.0
+#: A style in articles is judged by so many different ones at least.
+ARTICLES = 10
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Marks in a path what is an article by its role, not by its tag.
+BY_ROLE = "@article"
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -81,10 +93,20 @@ def _hash(text: str) -> int:
 class Style:
     """One node on the way from the root to the text."""
 
-    __slots__ = ("tag", "path", "cut", "article", "children")
+    __slots__ = ("tag", "path", "cut", "article", "title", "children")
+
+    def __init__(self, tag: str, path: str, cut: bool, article: bool, title: bool):
+        self.tag, self.path, self.cut, self.article, self.title, self.children = tag, path, cut, article, title, []
+
+    @property
+    def inside(self) -> bool:
+        return self.article and not self.cut
 
-    def __init__(self, tag: str, path: str, cut: bool, article: bool):
-        self.tag, self.path, self.cut, self.article, self.children = tag, path, cut, article, []
+    def role(self, has_article: bool) -> float:
+        """What is added to the importance on a page that has an article, or has none."""
+        if self.cut or (has_article and not self.article):
+            return NOISE
+        return ARTICLE * self.article + TITLE * self.title
 
 
 def _open(tag: str, attrs: str, above: Style) -> Style:
@@ -103,17 +125,18 @@ def _open(tag: str, attrs: str, above: Style) -> Style:
             elif m[2] is None and m[3] is None and m[4] is None:
                 cut = True  # hidden
     words = set(_WORDS.findall(names))
-    article = above.article or tag in ("article", "main") or role in ("main", "article") or prop == "articlebody"
+    by_role = not above.article and tag not in ("article", "main") and (role in ("main", "article") or prop == "articlebody")
+    article = above.article or tag in ("article", "main") or by_role
     named = tag not in WHOLE and bool(words & CUT_NAMES)
     cut = cut or named or role in CUT_ROLES or (not article and (tag == "header" or (tag not in WHOLE and bool(words & HEADERS))))
     mark = tag + ("." + ".".join(sorted(set(names.split()))) if names else "")
     above.children.append(mark)
-    return Style(tag, above.path + "/" + mark, cut, article)
+    return Style(tag, above.path + "/" + mark + BY_ROLE * by_role, cut, article, above.title or (article and tag in HEADINGS))
 
 
 def parse(page: str) -> tuple[list[tuple[str, Style]], list[Style]]:
     """The text blocks of a page in order, each with its style node, and all nodes."""
-    root = Style("", "", False, False)
+    root = Style("", "", False, False, False)
     stack, blocks, nodes, run, at = [root], [], [root], [], 0
 
     def flush() -> None:
@@ -169,18 +192,28 @@ def parse(page: str) -> tuple[list[tuple[str, Style]], list[Style]]:
 
 
 ITEMS = "array<struct<kind: int, path: long, item: long>>"
+#: Kinds of items: a block's content, a sequence of child tags; the same in articles.
+SAID, SHOWN, SAID_INSIDE, SHOWN_INSIDE = 0, 1, 2, 3
+BOTH = [SAID, SAID_INSIDE], [SHOWN, SHOWN_INSIDE]
 
 
 def _styles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What style nodes hold, for each page that the batch does not have already. ``page`` is a hash of its blocks,
-    ``tree`` one of its nodes. Kind 0: a block's content; kind 1: a sequence of child tags."""
+    """What style nodes hold, for each page and each article that the batch does not have already. ``page`` is a hash of
+    its blocks, ``tree`` one of its nodes."""
     for batch in batches:
         pages: dict[tuple[str, int, int], set] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             blocks, nodes = parse(page)
-            key = host, _hash(repr([(s.path, text) for text, s in blocks])), _hash(repr([(n.path, n.children) for n in nodes]))
-            if key not in pages:
-                pages[key] = {(0, _hash(s.path), _hash(text)) for text, s in blocks} | {(1, _hash(n.path), _hash(" ".join(n.children))) for n in nodes}
+            article = [(text, s) for text, s in blocks if s.inside], [n for n in nodes if n.inside]
+            for of, (b, n) in (("", (blocks, nodes)), ("article", article)):
+                if of and not n:
+                    continue
+                key = host, _hash(of + repr([(s.path, text) for text, s in b])), _hash(repr([(x.path, x.children) for x in n]))
+                if key not in pages:
+                    said, shown = (SAID_INSIDE, SHOWN_INSIDE) if of else (SAID, SHOWN)
+                    pages[key] = {(said, _hash(s.path), _hash(text)) for text, s in b if of or not s.inside} | {
+                        (shown, _hash(x.path), _hash(" ".join(x.children))) for x in n if of or not x.inside
+                    }
         hosts, texts, trees = zip(*pages, strict=True) if pages else ((), (), ())
         columns = zip(*(x for held in pages.values() for x in held), strict=True) if pages else ((), (), ())
         items = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64()), strict=True)], ["kind", "path", "item"])
@@ -196,51 +229,64 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def style_importance(pages: DataFrame) -> DataFrame:
-    """``host``, ``path`` and ``importance`` of every style node with text, before roles are added."""
+    """``host``, ``path`` and ``importance`` of every style node with text, before roles are added; whether it is in articles
+    (``inside``), and how many blocks and how many pages or articles it was counted on."""
     held = with_host(pages).select("host", "html").mapInArrow(_styles, f"host string, page long, tree long, items {ITEMS}")
     different = held.groupBy("host", "page").agg(F.min_by("items", "tree").alias("items"))
     items = different.select("host", F.inline("items")).groupBy("kind", "host", "path", "item").agg(F.count("*").alias("n"))
     by_path = items.groupBy("host", "path").agg(
-        *[F.sum(F.when(F.col("kind") == k, F.col("n"))).alias(f"n{k}") for k in (0, 1)],
-        *[F.sum(F.when(F.col("kind") == k, F.col("n") * F.log("n"))).alias(f"s{k}") for k in (0, 1)],
+        *[F.sum(F.when(F.col("kind").isin(k), F.col("n"))).alias(f"n{i}") for i, k in enumerate(BOTH)],
+        *[F.sum(F.when(F.col("kind").isin(k), F.col("n") * F.log("n"))).alias(f"s{i}") for i, k in enumerate(BOTH)],
+        (F.max("kind") >= SAID_INSIDE).alias("inside"),
     )
     m = F.log(F.greatest("n1", F.lit(2)))  # every page with the node has one sequence of children
     content = F.greatest(F.lit(0.0), 1 - F.col("s0") / (F.col("n0") * m))
     shown = F.when(F.col("n1") > 1, (F.log("n1") - F.col("s1") / F.col("n1")) / F.log("n1")).otherwise(1.0)
-    return by_path.filter("n0 is not null").select("host", "path", (CONTENT * content + PRESENTATION * shown).alias("importance"))
+    importance = (CONTENT * content + PRESENTATION * shown).alias("importance")
+    return by_path.filter("n0 is not null").select("host", "path", importance, "inside", F.col("n0").alias("blocks"), F.col("n1").alias("pages"))
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        low_sets: dict[int, set] = {}
-        for page, low in zip(batch.column("html").to_pylist(), batch.column("low"), strict=True):
-            blocks, nodes = parse(page)
-            has_article = any(n.article and not n.cut for n in nodes)
-            kept = []
-            known: dict[str, bool] = {}
-            values = low.as_py() or ()
-            low_set = low_sets.setdefault(hash(tuple(values)), set(values)) if values else ()
-            for text, style in blocks:
-                keep = known.get(style.path)
-                if keep is None:
-                    keep = not style.cut and (style.article if has_article else _hash(style.path) not in low_set)
-                    known[style.path] = keep
-                if keep and not style.cut:
-                    kept.append(text)
-            texts.append("\n\n".join(kept))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(np.array([len(t) for t in texts], np.int64))],
-            ["page_id", "url", "text", "n_chars"],
-        )
+def low_importance(styles: DataFrame, threshold: float) -> DataFrame:
+    """``host`` and the importance of its styles that are judged and below the threshold (``low``)."""
+    judged = (F.col("importance") < threshold) & (~F.col("inside") | (F.col("pages") >= ARTICLES))
+    by_host = styles.groupBy("host").agg(
+        *[F.collect_list(F.when(judged & (F.col("inside") == k), F.struct("path", "importance"))).alias(f"low{int(k)}") for k in (False, True)],
+        (F.sum(F.when(F.col("inside"), F.col("importance") * F.col("blocks"))) / F.sum(F.when(F.col("inside"), F.col("blocks")))).alias("article"),
+    )
+    low = F.when(F.col("article") >= threshold, F.concat("low0", "low1")).otherwise(F.col("low0"))
+    return by_host.select("host", F.map_from_entries(low).alias("low")).filter(F.size("low") > 0)
+
+
+def _extract(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for page, low in zip(batch.column("html").to_pylist(), batch.column("low"), strict=True):
+                blocks, nodes = parse(page)
+                has_article = any(n.inside for n in nodes)
+                importance = dict(low.as_py() or ())
+                known: dict[tuple[str, float], bool] = {}
+                kept = []
+                for text, style in blocks:
+                    node = style.path, style.role(has_article)
+                    if node not in known:
+                        known[node] = importance.get(_hash(style.path), 1.0) + node[1] >= threshold
+                    if known[node]:
+                        kept.append(text)
+                texts.append("\n\n".join(kept))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(np.array([len(t) for t in texts], np.int64))],
+                ["page_id", "url", "text", "n_chars"],
+            )
+
+    return run
 
 
 def extract_text(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every page."""
-    low = style_importance(pages).filter(F.col("importance") < threshold)
-    by_host = stash(low.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("low")), "styles")
+    by_host = stash(low_importance(style_importance(pages), threshold), "styles")
     joined = with_host(pages).join(by_host, "host", "left").select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "low")
-    return joined.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    return joined.mapInArrow(_extract(threshold), "page_id long, url string, text string, n_chars long")
 
 
 def op7_html(spark, sf_dir: str) -> DataFrame:
