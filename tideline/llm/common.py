@@ -23,12 +23,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stash(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+#: Spark's setting by which the shuffle files of a query go when it ends, not when the driver collects its garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stash(df: DataFrame, name: str, path: str | None = None, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here, and every
-    executor can read the rows again after another one is lost."""
+    executor can read the rows again after another one is lost. The shuffles of the write go with its end."""
     spark = df.sparkSession
     path = path or fresh_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -38,10 +38,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import byte_slices, discard, parts, remainder, stash, text_of
+from tideline.llm.common import TEXTS_PER_BATCH, byte_slices, discard, parts, remainder, stash, text_of
 from tideline.llm.packing import encoder
 from tideline.session import fresh_path
 
@@ -579,10 +580,11 @@ def _histograms(classes: np.ndarray):
 WEIGHTS = [f"w{k}" for k in range(DIM)]
 
 
-def _round(model: Attention):
+def _round(shared: Broadcast[Attention]):
     """The weights after training on a unit, times what they count: ``n``; summed over a task's units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = copy.deepcopy(shared.value)  # other tasks of the process start from the same weights
         size = len(model.embed)
         rest = size + np.arange(len(model.small()))
         before = np.concatenate([model.embed, model.small()])
@@ -610,8 +612,10 @@ def train(model: Attention, training: DataFrame) -> None:
     """``EPOCHS`` rounds over all training documents."""
     for _ in range(EPOCHS):
         schema = f"a long, n long, {', '.join(c + ' double' for c in WEIGHTS)}"
-        sums = training.mapInArrow(_round(model), schema).groupBy("a").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in WEIGHTS])
+        shared = training.sparkSession.sparkContext.broadcast(model)
+        sums = training.mapInArrow(_round(shared), schema).groupBy("a").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in WEIGHTS])
         sums = sums.toPandas()  # a row per subword at most, and those of small()
+        shared.destroy()  # else its copies on disk stay until the driver collects its garbage
         if not len(sums):
             return
         model.take(sums["a"].to_numpy(np.int64), sums[WEIGHTS].to_numpy(np.float64).reshape(-1, DIM) / sums[["n"]].to_numpy(np.float64))
@@ -643,7 +647,7 @@ def _blocks(frequent: np.ndarray):
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, spelled double, ratios array<float>, bin int, n long"
 
 
-def _score(model: Attention, table: Table, kind_totals: np.ndarray, train_tokens: int, distinct: int):
+def _score(shared: Broadcast[tuple[Attention, Table]], kind_totals: np.ndarray, train_tokens: int, distinct: int):
     """The documents of a block, with the counts of its words outside the table. ``spelled`` is the log of all spellings, ``ratios`` have
     the log of share by spelling for each word and the end. Rows with a ``bin`` count the ratios of training documents."""
     scale = math.log10(train_tokens + 0.1 * (distinct + 1)) if train_tokens else -1.0
@@ -655,6 +659,9 @@ def _score(model: Attention, table: Table, kind_totals: np.ndarray, train_tokens
         return pa.Table.from_arrays([columns[c].cast(t) if c in columns else pa.nulls(m, t) for c, t in zip(names, types, strict=True)], names)
 
     def run(block: pa.Table, others: pa.Table) -> pa.Table:
+        model, table = shared.value
+        if not model.frozen:  # once per process, as it would more than double what is sent
+            model.freeze()
         words = Words(block.column("text").cast(pa.binary()).to_pylist())
         sequences = _sequences(words)
         if not sequences:
@@ -744,7 +751,7 @@ def _mixed(part: float):
         table, spelling = np.log(part), np.log(1 - part)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(a, TEXTS_PER_BATCH) for whole in batches for a in range(0, whole.num_rows, TEXTS_PER_BATCH)):
             ratios = batch.column("ratios")
             n = ratios.value_lengths().to_numpy(zero_copy_only=False)
             value = np.logaddexp(spelling, table + ratios.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
@@ -773,11 +780,11 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), (remainder(folds) == 0).alias("held_out"))
     trained = docs.filter("not held_out")
     spark = docs.sparkSession
-    paths = {name: fresh_path(spark, name) for name in ("subwords", "histograms", "counts", "blocks")}
+    paths = {name: fresh_path(spark, name) for name in ("subwords", "histograms", "counts", "word-counts", "blocks")}
     units = parts(trained.count(), UNIT)
     order = F.xxhash64("doc_id", "text")
     dealt = trained.select(F.pmod(order, F.lit(units)).alias("unit"), order.alias("order"), "text").repartition("unit").sortWithinPartitions("unit", "order")
-    encoded = stash(dealt.select("unit", "text").mapInArrow(_contexts, CONTEXTS), "subwords", paths["subwords"])
+    encoded = stash(dealt.select("unit", "text").mapInArrow(_contexts, CONTEXTS), "subwords", paths["subwords"], "zstd")
     sums = encoded.filter("ids is null").groupBy("a").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SUMS]).toPandas()  # a row per subword
     context = contexts([])
     context[0][sums["a"]], context[1][sums["a"]] = sums["n"], sums[SUMS]
@@ -789,7 +796,7 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     counted = trained.select("text").mapInArrow(_count(classes, centres), COUNTED).groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
     counted = stash(counted, "counts", paths["counts"])
     by_kind = [F.coalesce(F.sum(F.when(F.col("b") == k, F.col("n"))), F.lit(0)).alias(f"k{k}") for k in range(KINDS)]
-    word_counts = stash(counted.filter("kind = 0").groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("c"), *by_kind), "word-counts")
+    word_counts = stash(counted.filter("kind = 0").groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("c"), *by_kind), "word-counts", paths["word-counts"])
     totals = word_counts.agg(F.sum("c").alias("tokens"), F.count("*").alias("distinct"), *[F.sum(f"k{k}").alias(f"k{k}") for k in range(KINDS)]).first()
     tokens, distinct = int(totals.tokens or 0), int(totals.distinct or 0)
     top = word_counts.filter(F.col("c") >= _least_count(word_counts)).toPandas()  # TABLE rows at most
@@ -797,15 +804,16 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     table = Table(top["word"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), top[KIND_COUNTS].to_numpy(np.float64).reshape(-1, KINDS), kind_totals, tokens)
     model = start(*gather(counted), classes)
     train(model, training)
-    model.freeze()
+    shared = spark.sparkContext.broadcast((model, table))
     discard(spark, paths["counts"], paths["subwords"])  # what is still to run reads neither
 
-    blocks = stash(docs.mapInArrow(_blocks(table.words), BLOCKS), "blocks", paths["blocks"])
+    blocks = stash(docs.mapInArrow(_blocks(table.words), BLOCKS), "blocks", paths["blocks"], "zstd")
     others = blocks.filter("word is not null").select(F.col("block").alias("of"), "word").join(word_counts, "word")
     texts = blocks.filter("word is null").select("block", "doc_id", "held_out", "text")
-    scored = texts.groupBy("block").cogroup(others.groupBy("of")).applyInArrow(_score(model, table, kind_totals, tokens, distinct), SCORED)
-    scored = stash(scored, "scores")
-    discard(spark, paths["blocks"])
+    scored = texts.groupBy("block").cogroup(others.groupBy("of")).applyInArrow(_score(shared, kind_totals, tokens, distinct), SCORED)
+    scored = stash(scored, "scores", compression="zstd")
+    shared.destroy()
+    discard(spark, paths["blocks"], paths["word-counts"])
     found = scored.filter("bin is not null").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
     mixed = mixture(found["bin"].to_numpy(np.int64), found["n"].to_numpy(np.int64))
     columns = "doc_id long, held_out boolean, n_tokens long, n_known long, base double"
