@@ -1,12 +1,16 @@
-"""What operators leave on disk while they run."""
+"""What operators leave on disk and hold in memory while they run."""
 
+import random
 import time
+import tracemalloc
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tests.llm.data import documents
-from tideline.llm import common, language
+from tests.llm.data import documents, words
+from tideline.llm import common, language, repeats
 
 
 def held(spark, kind):
@@ -34,3 +38,26 @@ def test_language_leaves_no_model(spark):
     before = held(spark, "broadcast")
     assert language.score_documents(documents(spark, n=60)).count()
     assert not [f for f in left(spark, "broadcast", before) if f.exists() and f.stat().st_size > 4 << 20]
+
+
+def bucket(rng, n):
+    """A bucket of phrases of ``n`` documents, some with passages of others."""
+    texts = [words(rng, 500) for _ in range(n)]
+    texts = [t + " " + rng.choice(texts)[:400] if rng.random() < 0.5 else t for t in texts]
+    batches = [pa.RecordBatch.from_arrays([pa.array(np.arange(a, a + 200)), pa.array(np.zeros(200, np.int32)), pa.array(texts[a : a + 200])], ["doc_id", "tag", "text"]) for a in range(0, n, 200)]
+    return pa.Table.from_batches(list(repeats._send(1, 4)(iter(batches)))), sum(map(len, texts))
+
+
+def ranges(table):
+    return sorted((r["kind"], r["chunk"], r["blob"]) for r in table.to_pylist())
+
+
+def test_a_bucket_is_sorted_by_shares(monkeypatch):
+    group, size = bucket(random.Random(3), 2400)
+    tracemalloc.start()
+    by_shares = repeats._order(1, 4)(group)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    monkeypatch.setattr(repeats, "SORT_BYTES", 1 << 40)
+    assert ranges(by_shares) == ranges(repeats._order(1, 4)(group))
+    assert by_shares.num_rows and peak < 5 * size, (peak / size, size)

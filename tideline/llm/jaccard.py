@@ -95,7 +95,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.concatenate([[np.uint64(1)], np.full(n, base)]).cumprod(dtype=np.uint64)
 
 
-def shingle_sets(texts: list[bytes], chunk: int = 1 << 20) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes], chunk: int = 256 << 10) -> list[np.ndarray]:
     """The sorted 64-bit shingle hashes of each text."""
     out, start = [], 0
     while start < len(texts):
@@ -196,15 +196,17 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.array([len(s) for s in sets], np.int64)
         classes = _signed([_class(s) if len(s) else 0 for s in sets])
         distinct = {c: s for c, s in zip(classes.tolist(), sets, strict=True)}
-        values, counts = np.unique(np.concatenate(list(distinct.values()) or [np.empty(0, np.uint64)]), return_counts=True)
-        often = counts >= FREQUENT
-        m = int(often.sum())
+        held = np.concatenate(list(distinct.values()) or [np.empty(0, np.uint64)])
+        held.sort()
+        often = np.unique(held[FREQUENT - 1 :][held[FREQUENT - 1 :] == held[: max(0, len(held) - FREQUENT + 1)]])
+        counts = np.searchsorted(held, often, "right") - np.searchsorted(held, often, "left")
+        m = len(often)
         sketches = [sketch(s) if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays([
             pa.array(np.repeat([0, 1], [len(sets), m]).astype(np.int32)),
-            pa.chunked_array([batch.column("doc_id"), pa.array(_signed(values[often]), pa.int64())]).combine_chunks(),
+            pa.chunked_array([batch.column("doc_id"), pa.array(_signed(often), pa.int64())]).combine_chunks(),
             pa.array(np.concatenate([classes, np.zeros(m, np.int64)]), mask=np.concatenate([n == 0, np.zeros(m, bool)])),
-            pa.array(np.concatenate([n, counts[often]])),
+            pa.array(np.concatenate([n, counts])),
             pa.array(sketches + [None] * m, pa.binary()),
             pa.array([x and folded(x) for x in sketches] + [None] * m, pa.binary()),
         ], ["kind", "id", "cls", "n", "sketch", "short"])

@@ -8,7 +8,7 @@ their trigger at the same place, so every string belongs to one phrase: the stri
 all their bytes. In repetitive text the dictionary of phrases is far smaller than the text.
 
 *Dictionary order.* Phrases meet by the hash of their trigger, in buckets of bounded size. Sorted there by trigger,
-phrase and document, equal phrases are runs: all but the run's first document lose the phrase's strings. Different
+phrase and document, some triggers at a time, equal phrases are runs: all but the run's first document lose the phrase's strings. Different
 phrases of one trigger can still share strings, where a repeat begins or ends. Such strings contain the 17
 bytes left or right of the trigger, so only phrases of different first documents that agree there go on.
 
@@ -46,6 +46,8 @@ SIDE = SPAN // 2
 BUCKET_BYTES, CHUNK_BYTES = 16 << 20, 4 << 20
 #: Bytes of text that are parsed together, and whose phrases are packed together.
 TOGETHER, SEND_BYTES = 256 << 10, 4 << 20
+#: Bytes of unpacked phrases that are sorted together.
+SORT_BYTES = 4 << 20
 _PLACE = np.uint64((1 << 26) - 1)
 _rng = np.random.default_rng(4)
 _BYTE = _rng.integers(0, 2**64, 256, np.uint64)
@@ -140,8 +142,12 @@ def _pack(blob: bytes) -> bytes:
     return len(blob).to_bytes(8, "little") + pa.compress(blob, codec="zstd", asbytes=True)
 
 
-def _unpack(blob: bytes) -> bytes:
-    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+def _unpacked_size(blob: bytes | pa.Buffer) -> int:
+    return int.from_bytes(blob[:8], "little")
+
+
+def _unpack(blob: bytes | pa.Buffer) -> bytes:
+    return pa.decompress(blob[8:], _unpacked_size(blob), codec="zstd", asbytes=True)
 
 
 def _write_ranges(doc_id, tag, start, more) -> bytes:
@@ -240,7 +246,8 @@ def _send(n_buckets: int, n_chunks: int):
     return run
 
 
-def _read_phrases(blob: bytes):
+def _read_phrases(blob: bytes | pa.Buffer, share: int, shares: int):
+    """The phrases whose triggers are in one share of all."""
     raw = _unpack(blob)
     n_docs, n = np.frombuffer(raw, np.int64, 2)
     at, out = 16, []
@@ -248,43 +255,58 @@ def _read_phrases(blob: bytes):
         out.append(np.frombuffer(raw, kind, int(m), at))
         at += out[-1].nbytes
     ids, tags, step, move, more, off, key, low, high, left, right = out
-    doc = np.cumsum(step)
-    return ids[doc], tags[doc], np.cumsum(move, dtype=np.int32), more.astype(np.int32), off.astype(np.int32), key, low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), left, right
+    some = np.flatnonzero(key % np.uint32(shares) == share)
+    doc = np.cumsum(step, dtype=np.int32)[some]
+    short = low[some].astype(np.uint64) | high[some].astype(np.uint64) << np.uint64(32)
+    return ids[doc], tags[doc], np.cumsum(move, dtype=np.int32)[some], more[some].astype(np.int32), off[some].astype(np.int32), key[some], short, left[some], right[some]
 
 
 def _order(n_buckets: int, n_chunks: int):
-    """Sorts a bucket's phrases, and tells which strings are repeats and which may be."""
+    """Sorts a bucket's phrases, a share of its triggers at a time, and tells which strings are repeats and which may be."""
 
     def run(group: pa.Table) -> pa.Table:
         rows = [tuple(r) for r in zip(*(group.filter(pc.greater(group["kind"], PHRASES))[c].to_pylist() for c in ("kind", "bucket", "chunk", "blob")), strict=True)]
-        blobs = group.filter(pc.equal(group["kind"], PHRASES))["blob"].to_pylist()
-        if blobs:
-            doc, tag, start, more, off, key, phrase, left, right = (np.concatenate(c) for c in zip(*map(_read_phrases, blobs), strict=True))
-            order = np.lexsort((doc, phrase, key))
-            doc, tag, start, more, off, key, phrase, left, right = (x[order] for x in (doc, tag, start, more, off, key, phrase, left, right))
-            at, run_of = _runs(key, phrase)
-            lead = doc[at]  # the first document of each phrase
-            later = doc > lead[run_of]
-            rows += _by_chunk(REPEATED, n_chunks, n_buckets, doc[later], tag[later], start[later], more[later])
-            # phrases of one trigger that agree on a side but have different first documents
-            agrees = []
-            for side in (left, right):
-                by = np.lexsort((side[at], key[at]))
-                starts, run_at = _runs(key[at][by], side[at][by])
-                differ = np.minimum.reduceat(lead[by], starts) != np.maximum.reduceat(lead[by], starts)
-                agrees.append(np.zeros(len(at), bool))
-                agrees[-1][by] = differ[run_at]
-            on_left, on_right = (g[run_of] for g in agrees)
-            # strings with the whole left side start up to SIDE before the trigger, those with the right side from there on
-            first = np.where(on_left, 0, np.maximum(off - SIDE, 0))
-            last = np.where(on_right, more, np.minimum(off - SIDE, more))
-            look = ~later & (on_left | on_right) & (first <= last)
-            rows += _by_chunk(UNSURE, n_chunks, n_buckets, doc[look], tag[look], (start + first)[look], (last - first)[look])
+        blobs = [b.as_buffer() for b in group.filter(pc.equal(group["kind"], PHRASES))["blob"]]
+        del group
+        shares = parts(sum(map(_unpacked_size, blobs)), SORT_BYTES)
+        found = [_sorted_share([_read_phrases(b, share, shares) for b in blobs]) for share in range(shares if blobs else 0)]
+        del blobs
+        for kind, ranges in zip((REPEATED, UNSURE), zip(*found, strict=True), strict=False):
+            rows += _by_chunk(kind, n_chunks, n_buckets, *(np.concatenate(c) for c in zip(*ranges, strict=True)))
         return pa.Table.from_batches([_rows(rows)]).select(["kind", "chunk", "blob"])
 
     return run
 
 
+def _sorted_share(read: list[tuple]) -> tuple[tuple, tuple]:
+    """Ranges (document, tag, start, how many more) of strings that are repeats, and of those that may be."""
+    columns = [list(c) for c in zip(*read, strict=True)]
+    read.clear()
+    for k, c in enumerate(columns):
+        columns[k] = np.concatenate(c)
+    order = np.lexsort((columns[0], columns[6], columns[5]))  # by trigger, phrase and document
+    for k, c in enumerate(columns):
+        columns[k] = c[order]
+    doc, tag, start, more, off, key, phrase, left, right = columns
+    at, run_of = _runs(key, phrase)
+    lead = doc[at]  # the first document of each phrase
+    later = doc > lead[run_of]
+    # phrases of one trigger that agree on a side but have different first documents
+    agrees = []
+    for side in (left, right):
+        by = np.lexsort((side[at], key[at]))
+        starts, run_at = _runs(key[at][by], side[at][by])
+        differ = np.minimum.reduceat(lead[by], starts) != np.maximum.reduceat(lead[by], starts) if len(starts) else np.empty(0, bool)
+        agrees.append(np.zeros(len(at), bool))
+        agrees[-1][by] = differ[run_at]
+    on_left, on_right = (g[run_of] for g in agrees)
+    # strings with the whole left side start up to SIDE before the trigger, those with the right side from there on
+    first = np.where(on_left, 0, np.maximum(off - SIDE, 0))
+    last = np.where(on_right, more, np.minimum(off - SIDE, more))
+    look = ~later & (on_left | on_right) & (first <= last)
+    return (doc[later], tag[later], start[later], more[later]), (doc[look], tag[look], (start + first)[look], (last - first)[look])
+
+
 def _keyed(docs: DataFrame, n_chunks: int) -> DataFrame:
     text = text_of()
     tag = F.hash("doc_id", text)
