@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.llm.data import documents, words
-from tideline.llm import common, language, repeats
+from tideline.llm import common, language, repeats, stages
 
 
 def held(spark, kind):
@@ -61,3 +61,27 @@ def test_a_bucket_is_sorted_by_shares(monkeypatch):
     monkeypatch.setattr(repeats, "SORT_BYTES", 1 << 40)
     assert ranges(by_shares) == ranges(repeats._order(1, 4)(group))
     assert by_shares.num_rows and peak < 5 * size, (peak / size, size)
+
+
+def evaluators(node):
+    """The most Python evaluators that stand in one stage on the way to a node, and in any stage below it."""
+    below = [evaluators(node.children().apply(i)) for i in range(node.children().size())]
+    here, most = (max((b[k] for b in below), default=0) for k in (0, 1))
+    name = node.nodeName()
+    here = 0 if "Exchange" in name else here + any(x in name for x in ("Python", "Arrow", "Pandas"))
+    return here, max(here, most)
+
+
+def test_a_task_of_near_copies_has_one_python_worker(spark):
+    rng = random.Random(5)
+    texts = [words(rng, 40) for _ in range(30)]
+    rows = [(i, texts[i % 30], "en", "web", 1) for i in range(90)] + [(7, texts[1], "en", "web", 1), (3, None, "en", "web", 1), (None, texts[2], "en", "web", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        kept = stages.keep_one_of_each(spark, docs, "")
+        assert evaluators(kept._jdf.queryExecution().executedPlan())[1] == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted([*range(30), 3])

@@ -48,10 +48,10 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     links = stash(jaccard.linked_classes(docs).filter("doc_id is not null"), "links")
     gone = stash(links.filter("component_id <> doc_id").select("doc_id", F.col("cls").alias("_class")).distinct(), "gone")
     several = links.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    in_doubt = F.col("doc_id").isNotNull() & IdFilter(gone.select("doc_id").union(several)).column()
-    marked = docs.withColumn("_in_doubt", F.coalesce(in_doubt, F.lit(False)))
-    doubtful = marked.filter("_in_doubt").withColumn("_class", jaccard.class_of_text("text")).join(gone, ["doc_id", "_class"], "left_anti")
-    return marked.filter("not _in_doubt").unionByName(doubtful.dropDuplicates(["doc_id", "text"]).drop("_class")).select(*docs.columns)
+    wanted = IdFilter(gone.select("doc_id").union(several))
+    in_doubt = F.coalesce(F.col("doc_id").isNotNull() & wanted.column(), F.lit(False))
+    doubtful = jaccard.with_class(docs, wanted).join(gone, ["doc_id", "_class"], "left_anti")
+    return docs.filter(~in_doubt).unionByName(doubtful.dropDuplicates(["doc_id", "text"]).drop("_class")).select(*docs.columns)
 
 
 @keeps_columns
