@@ -85,3 +85,39 @@ def test_a_task_of_near_copies_has_one_python_worker(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted([*range(30), 3])
+
+
+def peak_of(batches):
+    tracemalloc.start()
+    n = sum(b.num_rows for b in batches)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return n, peak
+
+
+def test_language_works_on_short_stretches(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = [words(rng, 400) for _ in range(3200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(3200) // 800), pa.array(texts)], ["unit", "text"])
+    classes = language.cluster(language._sequences(language.Words([t.encode() for t in texts[:100]])))
+    size = sum(map(len, texts))
+    for run, most in ((language._contexts, 10.5), (language._count(classes, np.random.default_rng(1).random((language.KINDS, language.CLASSES))), 8)):
+        n, peak = peak_of(run(iter([batch])))
+        assert n and peak < most * size, (n, peak / size, size)
+    units = [b.column("ids").to_pylist() for b in language._contexts(iter([batch])) if b.column("ids").null_count == 0]
+    monkeypatch.setattr(language, "TOGETHER", 1 << 30)
+    assert units == [b.column("ids").to_pylist() for b in language._contexts(iter([batch])) if b.column("ids").null_count == 0]
+    assert len(units) == 4
+
+
+def test_language_sends_small_batches(spark):
+    names = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before = [spark.conf.get(n) for n in names]
+    for n in names:
+        spark.conf.unset(n)
+    try:
+        language.score_documents(documents(spark, n=20))
+        assert [int(spark.conf.get(n)) for n in names] == [common.TEXTS_PER_BATCH, common.BYTES_PER_BATCH]
+    finally:
+        for n, v in zip(names, before, strict=True):
+            spark.conf.set(n, v)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,8 +62,8 @@ def remainder(n: int, id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(n), F.lit(0)).cast("int")
 
 
-#: Texts per Arrow batch where whole texts go to Python.
-TEXTS_PER_BATCH = 1_000
+#: Texts, and bytes, per Arrow batch where whole texts go to Python; a longer row is a batch of its own.
+TEXTS_PER_BATCH, BYTES_PER_BATCH = 1_000, 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -70,9 +71,9 @@ def small_batches(spark: SparkSession) -> None:
 
     A smaller size that is set already stays.
     """
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= TEXTS_PER_BATCH:
-        spark.conf.set(name, TEXTS_PER_BATCH)
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS_PER_BATCH), ("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)):
+        if not 0 < int(re.sub(r"\D", "", spark.conf.get(name))) <= most:
+            spark.conf.set(name, most)
 
 
 def parts(rows: int, per_part: int) -> int:

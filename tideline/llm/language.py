@@ -13,7 +13,7 @@ by class counts, mostly languages) weigh by how well each explains the words so
 * Attention weights are fitted in ``EPOCHS`` rounds. Training documents are dealt, by a hash of id and text, to units of about
   ``UNIT`` documents. In a round, the last round's weights are trained in numpy on each unit, in order of the hash, and the
   results are averaged, by how often a subword occurred or by the number of places. So scores don't depend on how
-  the table is partitioned. Repeated rows whose subwords are more than ``TOGETHER`` make further units.
+  the table is partitioned. Repeated rows whose subwords are more than ``LONGEST_UNIT`` make further units.
 * The part of the word table in the mixture is fitted on all words of all training documents, by a histogram of
   how much more likely the table finds each word than its spelling does. A word that no other text has counts as unseen.
 * Scoring cuts each document's subwords into overlapping windows of ``WINDOW`` places. Each window scores its last
@@ -42,7 +42,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import TEXTS_PER_BATCH, byte_slices, discard, parts, remainder, stash, text_of
+from tideline.llm.common import TEXTS_PER_BATCH, byte_slices, discard, parts, remainder, small_batches, stash, text_of
 from tideline.llm.packing import encoder
 from tideline.session import fresh_path
 
@@ -60,9 +60,13 @@ MARKS = 24
 #: The histogram for the mixture: natural logarithms from -EDGE to EDGE.
 EDGE, PER_UNIT = 64, 64
 #: Bytes of text that are worked on together.
-TOGETHER = 4 << 20
+TOGETHER = 1 << 20
+#: Rows of counts from which on they are summed and sent.
+COUNTS_TOGETHER = 1 << 18
 #: Training documents of a unit, on average.
 UNIT = 2_048
+#: Subwords from which on a unit has no more texts.
+LONGEST_UNIT = 4 << 20
 PRIOR = 20.0
 _BYTE = np.random.default_rng(8).integers(0, 2**64, 256, np.uint64)
 _BASE = np.uint64(0x5851F42D4C957F2D)
@@ -145,18 +149,30 @@ def vocabulary() -> tuple[int, int, int, int]:
     return n, n + 1, n + 2, n + 3
 
 
+_marked: list[np.ndarray] = []
+
+
+def _marks() -> np.ndarray:
+    """The marks of each subword, by mark."""
+    if not _marked:
+        _marked.append(np.round(np.random.default_rng(3).standard_normal((vocabulary()[3], MARKS)) * 256).astype(np.int16).T.copy())
+    return _marked[0]
+
+
 def contexts(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """How often each subword occurs, and the sums of the marks of what precedes it; whole numbers, exact in any order."""
     end, begin, _, size = vocabulary()
+    sums = np.zeros((size, MARKS), np.int64)
     if not sequences:
-        return np.zeros(size, np.int64), np.zeros((size, MARKS), np.int64)
-    marks = np.round(np.random.default_rng(3).standard_normal((size, MARKS)) * 256)
+        return np.zeros(size, np.int64), sums
+    marks = _marks()
     stream = np.concatenate([np.concatenate([[begin], s, [end]]) for s in sequences])
     before, after = stream[:-1], stream[1:]
     inside = after < end
     before, after = before[inside], after[inside]
-    sums = np.stack([np.bincount(after, marks[before, k], size) for k in range(MARKS)], axis=1)
-    return np.bincount(after, minlength=size), sums.astype(np.int64)
+    for k in range(MARKS):
+        sums[:, k] = np.bincount(after, marks[k][before], size)
+    return np.bincount(after, minlength=size), sums
 
 
 def cluster(sequences: list[np.ndarray]) -> np.ndarray:
@@ -495,18 +511,25 @@ def _count(classes: np.ndarray, centres: np.ndarray):
         ]
         return [np.concatenate([np.asarray(c[k], np.int64) for c in rows]) for k in (1, 2, 3)] + [np.repeat([0, 1, 2], [len(r[1]) for r in rows])]
 
+    def summed(found: list[list[np.ndarray]]) -> pa.RecordBatch:
+        a, b, n, kind = (np.concatenate(c) for c in zip(*found, strict=True))
+        order = np.lexsort((a, kind * CLASSES + b))
+        a, b, n, kind = a[order], b[order], n[order], kind[order]
+        at = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (kind[1:] != kind[:-1])]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(kind[at].astype(np.int32)), pa.array(a[at]), pa.array(b[at]), pa.array(np.add.reduceat(n, at))], ["kind", "a", "b", "n"]
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [tallies(some.column("text").cast(pa.binary()).to_pylist()) for some in byte_slices(batch, TOGETHER)]
-            if not found:
-                continue
-            a, b, n, kind = (np.concatenate(c) for c in zip(*found, strict=True))
-            order = np.lexsort((a, kind * CLASSES + b))
-            a, b, n, kind = a[order], b[order], n[order], kind[order]
-            at = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (kind[1:] != kind[:-1])]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kind[at].astype(np.int32)), pa.array(a[at]), pa.array(b[at]), pa.array(np.add.reduceat(n, at))], ["kind", "a", "b", "n"]
-            )
+        found, size = [], 0
+        for some in (part for batch in batches for part in byte_slices(batch, TOGETHER)):
+            found.append(tallies(some.column("text").cast(pa.binary()).to_pylist()))
+            size += len(found[-1][0])
+            if size > COUNTS_TOGETHER:
+                yield summed(found)
+                found, size = [], 0
+        if found:
+            yield summed(found)
 
     return run
 
@@ -556,7 +579,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts += n
             sums += s
             for own, sequence in zip(some.column("unit").to_pylist(), sequences, strict=True):
-                if held and (own != unit or size > TOGETHER):
+                if held and (own != unit or size > LONGEST_UNIT):
                     yield row()
                     held, size = [], 0
                 held.append(sequence)
@@ -584,7 +607,8 @@ def _round(shared: Broadcast[Attention]):
     """The weights after training on a unit, times what they count: ``n``; summed over a task's units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = copy.deepcopy(shared.value)  # other tasks of the process start from the same weights
+        model = copy.copy(shared.value)
+        model.embed, model.wq, model.wk, model.wv, model.place = (w.copy() for w in model.weights())  # other tasks of the process start from the same
         size = len(model.embed)
         rest = size + np.arange(len(model.small()))
         before = np.concatenate([model.embed, model.small()])
@@ -777,6 +801,7 @@ def _least_count(word_counts: DataFrame) -> int:
 
 def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), (remainder(folds) == 0).alias("held_out"))
     trained = docs.filter("not held_out")
     spark = docs.sparkSession
