@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stash(df: DataFrame, name: str, path: str | None = None, compression: str = "snappy") -> DataFrame:
+def stash(df: DataFrame, name: str, path: str | None = None, compression: str = "snappy", **options: int) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here, and every
     executor can read the rows again after another one is lost. The shuffles of the write go with its end."""
     spark = df.sparkSession
@@ -36,7 +36,7 @@ def stash(df: DataFrame, name: str, path: str | None = None, compression: str =
     before = spark.conf.get(CLEAN_UP, None)
     spark.conf.set(CLEAN_UP, "true")
     try:
-        df.write.parquet(path, compression=compression)
+        df.write.options(**options).parquet(path, compression=compression)
     finally:
         if before is None:
             spark.conf.unset(CLEAN_UP)

@@ -65,6 +65,8 @@ TOGETHER = 1 << 20
 COUNTS_TOGETHER = 1 << 18
 #: Training documents of a unit, on average.
 UNIT = 2_048
+#: Units are long rows: a file is cut so that few of them are written and read at once.
+FEW_UNITS = {"parquet.block.size": 4 << 20, "parquet.page.size.row.check.min": 2, "parquet.page.size.row.check.max": 1_000}
 #: Subwords from which on a unit has no more texts.
 LONGEST_UNIT = 4 << 20
 PRIOR = 20.0
@@ -85,6 +87,30 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(32)
 
 
+_power: list[np.ndarray] = []
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """The powers 0 to ``n`` of the hash's base and of its inverse; few of them are kept."""
+    kept = 1 << 18
+    make = lambda n: [np.concatenate([[np.uint64(1)], np.full(n, b)]).cumprod(dtype=np.uint64) for b in (_BASE, _INVERSE)]
+    if n > kept:
+        return make(n)
+    if not _power:
+        _power.extend(make(kept))
+    return [p[: n + 1] for p in _power]
+
+
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes in order, a place of each, and which one each place has; not stable, which numpy sorts far faster."""
+    order = np.argsort(hashes)
+    own = hashes[order]
+    new = np.append(True, own[1:] != own[:-1])[: len(own)]
+    index = np.empty(len(own), np.int64)
+    index[order] = np.cumsum(new) - 1
+    return own[new], order[new], index
+
+
 class Words:
     """The words of some texts: hashes, and spellings of the distinct ones."""
 
@@ -93,15 +119,15 @@ class Words:
         edge = np.diff(np.concatenate([[False], ~_SPACE[data]]).astype(np.int8))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         hashes = np.empty(len(starts), np.uint64)
-        for a in range(0, len(starts), 1 << 17):  # by stretches, which stay in the cache
-            s, e = starts[a : a + (1 << 17)], ends[a : a + (1 << 17)]
+        for a in range(0, len(starts), 1 << 14):  # by stretches, which stay in the cache
+            s, e = starts[a : a + (1 << 14)], ends[a : a + (1 << 14)]
             part = data[s[0] : e[-1]]
-            up, down = (np.concatenate([[np.uint64(1)], np.full(len(part), b)]).cumprod(dtype=np.uint64) for b in (_BASE, _INVERSE))
+            up, down = _powers(len(part))
             sums = np.concatenate([[np.uint64(0)], (_BYTE[part] * up[:-1]).cumsum(dtype=np.uint64)])
             hashes[a : a + len(s)] = (sums[e - s[0]] - sums[s - s[0]]) * down[s - s[0]] + (e - s).astype(np.uint64)
         limits = np.cumsum([len(t) + 1 for t in texts])
         self.firsts = np.searchsorted(starts, np.concatenate([[0], limits]))  # of each text
-        self.hashes, at, self.index = np.unique(_mix(hashes) | np.uint64(2), return_index=True, return_inverse=True)
+        self.hashes, at, self.index = _distinct(_mix(hashes) | np.uint64(2))
         if spelled:
             self.spell(data, starts[at], ends[at])
 
@@ -169,10 +195,13 @@ def contexts(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     stream = np.concatenate([np.concatenate([[begin], s, [end]]) for s in sequences])
     before, after = stream[:-1], stream[1:]
     inside = after < end
-    before, after = before[inside], after[inside]
+    pairs = np.sort(after[inside].astype(np.int64) << 32 | before[inside])
+    at = np.flatnonzero(np.diff(pairs, prepend=-1))
+    times = np.diff(np.append(at, len(pairs)))
+    after, before = pairs[at] >> 32, pairs[at] & 0xFFFFFFFF
     for k in range(MARKS):
-        sums[:, k] = np.bincount(after, marks[k][before], size)
-    return np.bincount(after, minlength=size), sums
+        sums[:, k] = np.bincount(after, marks[k][before] * times, size)
+    return np.bincount(after, times, size).astype(np.int64), sums
 
 
 def cluster(sequences: list[np.ndarray]) -> np.ndarray:
@@ -318,6 +347,25 @@ class Table:
         return out
 
 
+#: Row sums are products with these, which is faster than to add along short rows.
+_ONES = np.ones(max(WINDOW, CLASSES), np.float32)
+
+
+def _plain(total: np.ndarray) -> bool:
+    """Whether sums of exponentials are far from what float32 can't hold, so that no maximum has to be taken off."""
+    return bool(len(total) == 0 or 1e-20 < total.min() <= total.max() < 1e30)
+
+
+def sums_of(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, in order, and the sum of the rows of each."""
+    keys = ids.astype(np.int64) << 32 | np.arange(len(ids))
+    keys.sort()
+    ids, by_id = keys >> 32, keys & 0xFFFFFFFF
+    cuts = np.flatnonzero(np.diff(ids, prepend=-1))
+    # two floats are added as one complex number, as each row has its price
+    return ids[cuts], np.add.reduceat(rows.take(by_id, axis=0).view(np.complex64), cuts, axis=0).view(np.float32)
+
+
 class Attention:
     """Weights of the layer, its forward pass and its training."""
 
@@ -326,39 +374,63 @@ class Attention:
         size = len(classes)
         rng = np.random.default_rng(1)
         self.embed = (rng.standard_normal((size, DIM)) * 0.3).astype(np.float32)
+        self.embed[vocabulary()[2]] = 0  # so that it adds nothing to any sum, and is never moved
         self.wq, self.wk = ((rng.standard_normal((DIM, DIM)) / math.sqrt(DIM)).astype(np.float32) for _ in range(2))
         self.wv = np.zeros((DIM, CLASSES), np.float32)
         self.place = np.zeros(WINDOW, np.float32)
         at = np.arange(WINDOW)
         self.back = at[WINDOW - STRIDE :, None] - at[None, :]
         self.causal = np.where(self.back >= 0, 0, -1e9).astype(np.float32)
-        self.frozen: tuple[np.ndarray, ...] = ()
+        self.frozen: np.ndarray | None = None
 
     def freeze(self) -> Attention:
-        """Tables of queries, keys and values per subword, so that scoring only looks them up."""
-        keys = np.column_stack([self.embed @ self.wk, np.zeros(len(self.embed))]).astype(np.float32)
-        keys[vocabulary()[2]] = 0
-        keys[vocabulary()[2], DIM] = -1e9
-        queries = np.column_stack([self.embed @ self.wq / math.sqrt(DIM), np.ones(len(self.embed))]).astype(np.float32)
-        self.frozen = queries, keys, (self.embed @ self.wv).astype(np.float32)
+        """A table of what each subword asks of others, so that scoring only looks it up."""
+        self.frozen = self.embed @ (self.wq / np.float32(math.sqrt(DIM))) @ self.wk.T
         return self
 
+    def attend(self, asked: np.ndarray, turned: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """How much each of the last STRIDE places takes of each place; ``turned`` has the places' subwords as columns."""
+        p = asked @ turned
+        padded = x == vocabulary()[2]
+        some = np.flatnonzero(padded.any(axis=1))
+        with np.errstate(over="ignore", invalid="ignore"):
+            np.exp(p, out=p)
+            p *= np.where(self.back >= 0, np.exp(self.place[np.maximum(self.back, 0)]), np.float32(0))
+            p[some] *= ~padded[some, None]
+            total = p.reshape(-1, WINDOW) @ _ONES[:WINDOW]
+        if not _plain(total):
+            p = asked @ turned + self.causal + self.place[np.maximum(self.back, 0)] + np.where(padded, np.float32(-1e9), np.float32(0))[:, None]
+            p -= p.max(axis=2, keepdims=True)
+            np.exp(p, out=p)
+            total = p.sum(axis=2)
+        p *= (1 / total).reshape(len(x), STRIDE, 1)
+        return p
+
+    def exponentials(self, taken: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | int]:
+        """Of every class, up to a factor a row, their sums, and the logarithm of that factor with its sign changed."""
+        z = taken @ self.wv
+        z += self.follows.take(last, axis=0)
+        with np.errstate(over="ignore", invalid="ignore"):
+            np.exp(z, out=z)
+            total = z @ _ONES[:CLASSES]
+        if _plain(total):
+            return z, total, 0
+        z = taken @ self.wv + self.follows.take(last, axis=0)
+        top = z.max(axis=1)
+        np.exp(z - top[:, None], out=z)
+        return z, z.sum(axis=1), top
+
     def log_shares(self, x: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log probability of the ids ``target`` after the last STRIDE places of windows ``x``."""
-        queries, keys, values = self.frozen
-        last = x[:, WINDOW - STRIDE :]
-        score = queries[last] @ keys[x].transpose(0, 2, 1)
-        score += self.causal + self.place[np.maximum(self.back, 0)]
-        score -= score.max(axis=2, keepdims=True)
-        np.exp(score, out=score)
-        score /= score.sum(axis=2, keepdims=True)
-        logits = score @ values[x]
-        logits += self.follows[last]
-        own = np.take_along_axis(logits, self.classes[target][:, :, None], axis=2)[:, :, 0]
-        top = logits.max(axis=2)
-        logits -= top[:, :, None]
-        np.exp(logits, out=logits)
-        return own - top - np.log(logits.sum(axis=2)) + self.within[target]
+        e = self.embed.take(x, axis=0)
+        last = x[:, WINDOW - STRIDE :].ravel()
+        p = self.attend(self.frozen.take(last, axis=0).reshape(-1, STRIDE, DIM), e.transpose(0, 2, 1).copy(), x)
+        taken = (p @ e).reshape(-1, DIM)
+        z, total, top = self.exponentials(taken, last)
+        own = self.classes.take(target.ravel())
+        # the class's own exponent, as its exponential may be 0
+        logit = np.einsum("ij,ij->i", taken, self.wv.T.take(own, axis=0)) + self.follows.ravel().take(last * np.int64(CLASSES) + own)
+        return (logit - top - np.log(total)).reshape(target.shape) + self.within.take(target)
 
     def train(self, x: np.ndarray, target: np.ndarray) -> None:
         """``EPOCHS`` passes over windows."""
@@ -376,58 +448,46 @@ class Attention:
 
     def learn(self, x: np.ndarray, target: np.ndarray, rate: float = 0.01) -> None:
         """Adam on the cross entropy of the next class, by hand-written gradients. A step moves the subwords that it has."""
-        pad = vocabulary()[2]
         weights = self.weights()
         first, second = self.moments
         order = self.order.permutation(len(x))
-        back, front = np.maximum(self.back, 0), WINDOW - STRIDE
-        flat = lambda t: t.reshape(-1, t.shape[-1])
+        front, root = WINDOW - STRIDE, np.float32(1 / math.sqrt(DIM))
+        by_window = lambda t: t.reshape(-1, STRIDE, DIM)
         for a in range(0, len(order), BATCH):
-            some = x[order[a : a + BATCH]]
-            goal = target[order[a : a + BATCH]]
-            real = goal >= 0
-            n = max(int(real.sum()), 1)
-            padded = some == pad
-            e = self.embed[some]
-            e[padded] = 0
-            el, last = e[:, front:], some[:, front:]
-            q, k, v = el @ self.wq, e @ self.wk, e @ self.wv
-            p = q @ k.transpose(0, 2, 1)
-            p *= np.float32(1 / math.sqrt(DIM))
-            p += self.causal + self.place[back]
-            p += np.where(padded, np.float32(-1e9), np.float32(0))[:, None, :]
-            p -= p.max(axis=2, keepdims=True)
-            np.exp(p, out=p)
-            p /= p.sum(axis=2, keepdims=True)
-            z = p @ v
-            z += self.follows[last]
-            z -= z.max(axis=2, keepdims=True)
-            np.exp(z, out=z)
-            z /= z.sum(axis=2, keepdims=True)
-            dz = flat(z)
-            dz[np.arange(len(dz)), self.classes[np.maximum(goal, 0)].ravel()] -= 1
-            z *= (real / np.float32(n))[:, :, None]
-            dv = p.transpose(0, 2, 1) @ z
-            ds = z @ v.transpose(0, 2, 1)
-            ds -= (ds * p).sum(axis=2, keepdims=True)
+            some, goal = x[order[a : a + BATCH]], target[order[a : a + BATCH]].ravel()
+            last, real = some[:, front:].ravel(), goal >= 0
+            part = real / np.float32(max(int(real.sum()), 1))
+            e = self.embed.take(some, axis=0)
+            turned, el = e.transpose(0, 2, 1).copy(), e[:, front:].reshape(-1, DIM)
+            q = el @ (self.wq * root)
+            asked = q @ self.wk.T
+            p = self.attend(by_window(asked), turned, some)
+            taken = (p @ e).reshape(-1, DIM)
+            z, total, _ = self.exponentials(taken, last)
+            z *= (part / total)[:, None]
+            z.ravel()[np.arange(0, z.size, CLASSES) + self.classes.take(np.maximum(goal, 0))] -= part
+            # from here on, what the loss changes by
+            d_taken = z @ self.wv.T
+            ds = by_window(d_taken) @ turned
+            ds -= np.einsum("ij,ij->i", d_taken, taken).reshape(-1, STRIDE, 1)
             ds *= p
-            dq = ds @ k / np.float32(math.sqrt(DIM))
-            dk = ds.transpose(0, 2, 1) @ q / np.float32(math.sqrt(DIM))
-            de = dk @ self.wk.T + dv @ self.wv.T
-            de[:, front:] += dq @ self.wq.T
-            de[padded] = 0
-            ids = some.ravel()
-            by_id = np.argsort(ids, kind="stable")
-            cuts = np.flatnonzero(np.diff(ids[by_id], prepend=-1))
-            here = ids[by_id[cuts]]
-            grad_place = np.bincount(back.ravel(), np.where(self.back >= 0, ds.sum(axis=0), 0).ravel(), WINDOW).astype(np.float32)
-            grads = [np.add.reduceat(flat(de)[by_id], cuts, axis=0), flat(el).T @ flat(dq), flat(e).T @ flat(dk), flat(e).T @ flat(dv), grad_place]
+            d_asked = (ds @ e).reshape(-1, DIM)
+            dq = d_asked @ self.wk
+            de = ds.transpose(0, 2, 1) @ by_window(asked)
+            de += p.transpose(0, 2, 1) @ by_window(d_taken)
+            de[:, front:] += by_window(dq @ (self.wq.T * root))
+            by_place = np.ones(len(ds), np.float32) @ ds.reshape(len(ds), -1)
+            grad_place = np.bincount(np.maximum(self.back, 0).ravel(), np.where(self.back.ravel() >= 0, by_place, 0), WINDOW).astype(np.float32)
+            here, grad_embed = sums_of(some.ravel(), de.reshape(-1, DIM))
+            grads = [grad_embed, el.T @ dq * root, d_asked.T @ q, taken.T @ z, grad_place]
             self.steps += 1
             for i, (w, g) in enumerate(zip(weights, grads, strict=True)):
                 at = here if i == 0 else slice(None)
-                first[i][at] += 0.1 * (g - first[i][at])
-                second[i][at] += 0.01 * (g * g - second[i][at])
-                w[at] -= rate * (first[i][at] / (1 - 0.9**self.steps)) / (np.sqrt(second[i][at] / (1 - 0.99**self.steps)) + 1e-8)
+                m, v = first[i][at], second[i][at]
+                m += 0.1 * (g - m)
+                v += 0.01 * (g * g - v)
+                first[i][at], second[i][at] = m, v
+                w[at] -= rate * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.99**self.steps)) + 1e-8)
 
     def small(self) -> np.ndarray:
         """All weights but the subwords' own, as rows of ``DIM`` numbers."""
@@ -472,8 +532,8 @@ def log_probabilities(model: Attention, sequences: list[np.ndarray]) -> np.ndarr
     """Of each subword and each text's end, text after text."""
     x, target, _ = windows(sequences)
     out = np.empty(target.shape, np.float32)
-    for a in range(0, len(x), 1024):
-        out[a : a + 1024] = model.log_shares(x[a : a + 1024], np.maximum(target[a : a + 1024], 0))
+    for a in range(0, len(x), BATCH):  # few, so that they stay in the cache
+        out[a : a + BATCH] = model.log_shares(x[a : a + BATCH], np.maximum(target[a : a + BATCH], 0))
     return out[target >= 0]
 
 
@@ -482,10 +542,10 @@ COUNTED = "kind int, a long, b long, n long"
 
 
 def _tally(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct small numbers and how often each occurs."""
-    n = np.bincount(values)
-    some = np.flatnonzero(n)
-    return some, n[some]
+    """Distinct numbers from 0 on and how often each occurs."""
+    values = np.sort(values)
+    at = np.flatnonzero(np.diff(values, prepend=-1))
+    return values[at], np.diff(np.append(at, len(values)))
 
 
 def _count(classes: np.ndarray, centres: np.ndarray):
@@ -513,7 +573,8 @@ def _count(classes: np.ndarray, centres: np.ndarray):
 
     def summed(found: list[list[np.ndarray]]) -> pa.RecordBatch:
         a, b, n, kind = (np.concatenate(c) for c in zip(*found, strict=True))
-        order = np.lexsort((a, kind * CLASSES + b))
+        # equal rows come together; others between them would only be sent apart, as the sums are added again
+        order = np.argsort(_mix(a.view(np.uint64) + (kind * CLASSES + b).view(np.uint64) * _BASE))
         a, b, n, kind = a[order], b[order], n[order], kind[order]
         at = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (kind[1:] != kind[:-1])]))
         return pa.RecordBatch.from_arrays(
@@ -538,27 +599,27 @@ def _sequences(words: Words) -> list[np.ndarray]:
     return [words.sequence(a, b)[0] for a, b in zip(words.firsts, words.firsts[1:], strict=False)]
 
 
-def _numbers(column: pa.Array) -> list[np.ndarray]:
-    """The texts of a column of subword ids."""
-    values, at = column.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *column.value_lengths().to_pylist()])
-    return [values[a:b] for a, b in zip(at, at[1:], strict=False)]
+def _id_type() -> type:
+    return np.uint16 if vocabulary()[3] <= 1 << 16 else np.int32
 
 
 def _units(column: pa.Array) -> Iterator[list[np.ndarray]]:
     """The texts of each unit."""
-    for k in range(len(column)):
-        yield _numbers(column[k].values)
+    for unit in column:
+        numbers = np.frombuffer(unit.as_buffer(), np.int32, 1)
+        at = np.cumsum(np.append(0, np.frombuffer(unit.as_buffer(), np.int32, numbers[0], 4)))
+        values = np.frombuffer(unit.as_buffer(), _id_type(), at[-1], 4 + 4 * int(numbers[0])).astype(np.int32)
+        yield [values[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
 def _unit_row(sequences: list[np.ndarray]) -> pa.Array:
-    """One unit as a list of lists."""
-    offsets = np.cumsum([0, *map(len, sequences)]).astype(np.int32)
-    texts = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sequences).astype(np.int32)))
-    return pa.ListArray.from_arrays(pa.array([0, len(sequences)], pa.int32()), texts)
+    """One unit: how many texts, how long they are, their subword ids. Spark has far less to hold so than of nested lists."""
+    sizes = np.array([len(sequences), *map(len, sequences)], np.int32)
+    return pa.array([sizes.tobytes() + np.concatenate(sequences).astype(_id_type()).tobytes()], pa.binary())
 
 
 SUMS = [f"s{k}" for k in range(MARKS)]
-CONTEXTS = f"a long, n long, {', '.join(c + ' long' for c in SUMS)}, ids array<array<int>>"
+CONTEXTS = f"a long, n long, {', '.join(c + ' long' for c in SUMS)}, ids binary"
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -587,7 +648,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if held:
         yield row()
     seen = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([whole(seen), whole(counts[seen]), *(whole(c) for c in sums[seen].T), pa.nulls(len(seen), pa.list_(pa.list_(pa.int32())))], names)
+    yield pa.RecordBatch.from_arrays([whole(seen), whole(counts[seen]), *(whole(c) for c in sums[seen].T), pa.nulls(len(seen), pa.binary())], names)
 
 
 def _histograms(classes: np.ndarray):
@@ -684,7 +745,7 @@ def _score(shared: Broadcast[tuple[Attention, Table]], kind_totals: np.ndarray,
 
     def run(block: pa.Table, others: pa.Table) -> pa.Table:
         model, table = shared.value
-        if not model.frozen:  # once per process, as it would more than double what is sent
+        if model.frozen is None:  # once per process, as it would add to what is sent
             model.freeze()
         words = Words(block.column("text").cast(pa.binary()).to_pylist())
         sequences = _sequences(words)
@@ -809,7 +870,7 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     units = parts(trained.count(), UNIT)
     order = F.xxhash64("doc_id", "text")
     dealt = trained.select(F.pmod(order, F.lit(units)).alias("unit"), order.alias("order"), "text").repartition("unit").sortWithinPartitions("unit", "order")
-    encoded = stash(dealt.select("unit", "text").mapInArrow(_contexts, CONTEXTS), "subwords", paths["subwords"], "zstd")
+    encoded = stash(dealt.select("unit", "text").mapInArrow(_contexts, CONTEXTS), "subwords", paths["subwords"], "zstd", **FEW_UNITS)
     sums = encoded.filter("ids is null").groupBy("a").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SUMS]).toPandas()  # a row per subword
     context = contexts([])
     context[0][sums["a"]], context[1][sums["a"]] = sums["n"], sums[SUMS]
