@@ -6,8 +6,8 @@ import time
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import functions as F
 
+from tests.llm import data
 from tideline.llm import common, language
 from tideline.llm.language import CLASSES, DIM, STRIDE, WINDOW
 
@@ -119,7 +119,7 @@ def test_units_are_single_values_and_few_in_a_group_of_rows(spark, tmp_path):
         assert [t.tolist() for t in again] == [t.tolist() for t in texts] and again[0].dtype == np.int32
     rows = spark.range(40, numPartitions=1)
     rows = rows.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([rng.bytes(600_000) for _ in range(b.num_rows)], pa.binary())], ["ids"]) for b in batches), "ids binary")
-    common.stash(rows, "units", str(tmp_path / "units"), "zstd", **language.FEW_UNITS)
+    common.stash(rows, "units", str(tmp_path / "units"), "zstd", **language.SMALL_GROUPS)
     groups = [g.num_rows for f in (tmp_path / "units").glob("*.parquet") for m in [pq.ParquetFile(f).metadata] for g in map(m.row_group, range(m.num_row_groups))]
     assert sum(groups) == 40 and max(groups) <= 20, groups
 
@@ -135,3 +135,14 @@ def test_counts_of_what_precedes():
             sums[after] += language._marks()[:, before]
     got = language.contexts(sequences)
     assert (got[0] == counts).all() and (got[1] == sums).all()
+
+
+def test_texts_of_a_block_travel_compressed(spark):
+    texts = [t or "" for t in data.texts(n=900)]
+    docs = spark.createDataFrame([(i, i % 9 == 0, t) for i, t in enumerate(texts)], "doc_id long, held_out boolean, text string").coalesce(1)
+    rows = docs.mapInArrow(language._blocks(np.array([language.END_WORD])), language.BLOCKS).collect()
+    packed = [r.data for r in rows if r.word is None]
+    assert sum(map(len, packed)) < 0.7 * sum(len(t.encode()) for t in texts)
+    back = [r for p in packed for r in pa.ipc.open_stream(p).read_all().to_pylist()]
+    assert [(r["doc_id"], r["held_out"], r["text"]) for r in back] == [(i, i % 9 == 0, t) for i, t in enumerate(texts)]
+    assert len({r.block for r in rows}) == len(packed) and {r.word for r in rows} > {None}

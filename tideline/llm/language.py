@@ -65,8 +65,8 @@ TOGETHER = 1 << 20
 COUNTS_TOGETHER = 1 << 18
 #: Training documents of a unit, on average.
 UNIT = 2_048
-#: Units are long rows: a file is cut so that few of them are written and read at once.
-FEW_UNITS = {"parquet.block.size": 4 << 20, "parquet.page.size.row.check.min": 2, "parquet.page.size.row.check.max": 1_000}
+#: Units and blocks are long rows: a file is cut so that few of them are written and read at once.
+SMALL_GROUPS = {"parquet.block.size": 4 << 20, "parquet.page.size.row.check.min": 2, "parquet.page.size.row.check.max": 1_000}
 #: Subwords from which on a unit has no more texts.
 LONGEST_UNIT = 4 << 20
 PRIOR = 20.0
@@ -706,24 +706,32 @@ def train(model: Attention, training: DataFrame) -> None:
         model.take(sums["a"].to_numpy(np.int64), sums[WEIGHTS].to_numpy(np.float64).reshape(-1, DIM) / sums[["n"]].to_numpy(np.float64))
 
 
-BLOCKS = "block long, doc_id long, held_out boolean, text string, word long"
+BLOCKS = "block long, data binary, word long"
+TEXTS = ["doc_id", "held_out", "text"]
+
+
+def _packed(batch: pa.RecordBatch) -> bytes:
+    """A block's documents as one compressed value, as all of them are written and shuffled."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
 def _blocks(frequent: np.ndarray):
-    """Rows without a ``word`` are documents with a block; the others are a block's distinct words outside ``frequent``, which is sorted."""
+    """A row with ``data`` has the documents of a block; the others are a block's distinct words outside ``frequent``, which is sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 40
-        names = ["block", "doc_id", "held_out", "text", "word"]
         for big in batches:
             for batch in byte_slices(big, TOGETHER):
                 own = np.append(Words(batch.column("text").cast(pa.binary()).to_pylist(), spelled=False).hashes, END_WORD)
                 own = np.setdiff1d(own, frequent, assume_unique=True).view(np.int64)
-                m, r = batch.num_rows, len(own)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(m + r, block)), *(pa.concat_arrays([batch.column(c), pa.nulls(r, t)]) for c, t in (("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.string()))),
-                    pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(own)]),
-                ], names)
+                    pa.array(np.full(1 + len(own), block)),
+                    pa.concat_arrays([pa.array([_packed(batch.select(TEXTS))], pa.binary()), pa.nulls(len(own), pa.binary())]),
+                    pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(own)]),
+                ], ["block", "data", "word"])
                 block += 1
 
     return run
@@ -743,14 +751,15 @@ def _score(shared: Broadcast[tuple[Attention, Table]], kind_totals: np.ndarray,
         m = len(next(iter(columns.values())))
         return pa.Table.from_arrays([columns[c].cast(t) if c in columns else pa.nulls(m, t) for c, t in zip(names, types, strict=True)], names)
 
-    def run(block: pa.Table, others: pa.Table) -> pa.Table:
+    def run(packed: pa.Table, others: pa.Table) -> pa.Table:
         model, table = shared.value
         if model.frozen is None:  # once per process, as it would add to what is sent
             model.freeze()
+        if not packed.num_rows:
+            return rows_of(bin=pa.array([], pa.int32()))
+        block = pa.ipc.open_stream(packed.column("data")[0].as_buffer()).read_all()  # a block has one row
         words = Words(block.column("text").cast(pa.binary()).to_pylist())
         sequences = _sequences(words)
-        if not sequences:
-            return rows_of(bin=pa.array([], pa.int32()))
         rest = others.select(["word", "c", *KIND_COUNTS]).to_pandas()
         rest = Table(rest["word"].to_numpy(np.int64).view(np.uint64), rest["c"].to_numpy(np.int64), rest[KIND_COUNTS].to_numpy(np.float64).reshape(-1, KINDS), kind_totals, train_tokens)
         own = table.only(np.append(words.hashes, END_WORD), rest)
@@ -870,7 +879,7 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     units = parts(trained.count(), UNIT)
     order = F.xxhash64("doc_id", "text")
     dealt = trained.select(F.pmod(order, F.lit(units)).alias("unit"), order.alias("order"), "text").repartition("unit").sortWithinPartitions("unit", "order")
-    encoded = stash(dealt.select("unit", "text").mapInArrow(_contexts, CONTEXTS), "subwords", paths["subwords"], "zstd", **FEW_UNITS)
+    encoded = stash(dealt.select("unit", "text").mapInArrow(_contexts, CONTEXTS), "subwords", paths["subwords"], "zstd", **SMALL_GROUPS)
     sums = encoded.filter("ids is null").groupBy("a").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SUMS]).toPandas()  # a row per subword
     context = contexts([])
     context[0][sums["a"]], context[1][sums["a"]] = sums["n"], sums[SUMS]
@@ -893,9 +902,9 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     shared = spark.sparkContext.broadcast((model, table))
     discard(spark, paths["counts"], paths["subwords"])  # what is still to run reads neither
 
-    blocks = stash(docs.mapInArrow(_blocks(table.words), BLOCKS), "blocks", paths["blocks"], "zstd")
+    blocks = stash(docs.mapInArrow(_blocks(table.words), BLOCKS), "blocks", paths["blocks"], "zstd", **SMALL_GROUPS)
     others = blocks.filter("word is not null").select(F.col("block").alias("of"), "word").join(word_counts, "word")
-    texts = blocks.filter("word is null").select("block", "doc_id", "held_out", "text")
+    texts = blocks.filter("data is not null").select("block", "data")
     scored = texts.groupBy("block").cogroup(others.groupBy("of")).applyInArrow(_score(shared, kind_totals, tokens, distinct), SCORED)
     scored = stash(scored, "scores", compression="zstd")
     shared.destroy()
